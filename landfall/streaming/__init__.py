@@ -1,0 +1,10 @@
+"""Streaming.
+
+The source system is a pure batch job: it only uses ``spark.read`` and
+``df.write``; there is no watermark, windowed aggregation, state or late
+data anywhere in it. Nothing is built here, by design (no operator is added
+that the source does not have). The batch jobs in ``landfall.plans`` take
+and return DataFrames, and all row-level rules are stateless expressions, so
+they are usable on a streaming DataFrame as well; only the keep-first
+de-duplication would need a watermark there.
+"""
