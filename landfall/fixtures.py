@@ -135,3 +135,47 @@ def write_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
     uri = scratch_uri(spark, name)
     lines.write.text(uri)
     return uri
+
+
+def demographics_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the 12-column city-demographics file, one per customer, with the
+    source's header names (blanks and dashes); the state is missing for
+    nations divisible by 7 and keys repeat (several customers per nation)."""
+    c = table(spark, sf_dir, "customer")
+    nk, ck = F.col("c_nationkey"), F.col("c_custkey")
+    return c.select(
+        F.concat(F.lit("City "), nk.cast("string")).alias("City"),
+        F.when(nk % 7 != 0, F.concat(F.lit("State "), (nk % 5).cast("string"))).alias("State"),
+        F.round(F.col("c_acctbal") / 100, 1).alias("Median Age"),
+        (ck % 1000).cast("int").alias("Male Population"),
+        (ck % 1100).cast("int").alias("Female Population"),
+        (ck % 1000 + ck % 1100).cast("int").alias("Total Population"),
+        (ck % 90).cast("int").alias("Number of Veterans"),
+        (ck % 300).cast("int").alias("Foreign-born"),
+        F.round(F.col("c_acctbal") / 3000, 2).alias("Average Household Size"),
+        F.concat(F.lit("S"), (nk % 5).cast("string")).alias("State Code"),
+        F.col("c_mktsegment").alias("Race"),
+        ck.cast("int").alias("Count"),
+    )
+
+
+def write_star_inputs(spark: SparkSession, sf_dir: str):
+    """Write every raw input of the star build (CSV, text lists, Parquet
+    admissions), derived from the test tables, to scratch; returns the
+    ``StarInputs`` pointing at them."""
+    from landfall.plans.star import StarInputs
+
+    airports = scratch_uri(spark, "airport-codes")
+    raw_airports(spark, sf_dir).write.option("header", "true").csv(airports)
+    demo = scratch_uri(spark, "demographics")
+    demographics_source(spark, sf_dir).write.option("header", "true").option("sep", ";").csv(demo)
+    adm = scratch_uri(spark, "admissions")
+    raw_admissions(spark, sf_dir).write.parquet(adm)
+    return StarInputs(
+        airports_csv=airports,
+        demographics_csv=demo,
+        country_list=write_lines(spark, country_lines(spark, sf_dir), "country-list"),
+        port_list=write_lines(spark, port_lines(spark, sf_dir), "port-list"),
+        state_list=write_lines(spark, state_lines(spark, sf_dir), "state-list"),
+        admissions=adm,
+    )

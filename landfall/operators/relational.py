@@ -9,8 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Lookups up to this many rows are broadcast; beyond it the join shuffles.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Lookups within both bounds are broadcast; beyond them the join shuffles.
+DEFAULT_BROADCAST_ROWS = 250_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
@@ -79,22 +80,33 @@ def union_codes(df: DataFrame, code_cols: Sequence[str], out: str,
     return stacked.select(*order, source_col)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Size check before broadcasting: at most ``max_rows`` rows.
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Size check before broadcasting: at most ``max_rows`` rows and about
+    ``max_bytes`` of data (text length plus 8 bytes per other value).
 
     Reads no more than ``max_rows + 1`` rows (the limit stops the scan early).
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    width = F.lit(0)
+    for f in df.schema.fields:
+        if f.dataType.simpleString() == "string":
+            width = width + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        else:
+            width = width + F.lit(8)
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 
 def lookup_left(df: DataFrame, lookup: DataFrame, left_key: str | Column, right_key: str,
                 columns: Sequence[tuple[str, str]] | None = None,
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                bounded: bool = False) -> DataFrame:
+                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                bounded: bool = False, unique: bool = False) -> DataFrame:
     """Left outer equi-join to a lookup table, adding its label columns.
 
     * The lookup is de-duplicated on its key first, so the join never
-      multiplies fact rows (a code list may repeat a key).
+      multiplies fact rows (a code list may repeat a key); ``unique=True``
+      skips that step for lookups unique by construction.
     * It is broadcast only when its size is known to be small: ``bounded=True``
       (built from a fixed, small list) or it passes :func:`fits_broadcast`.
       Otherwise Spark's shuffle join is used (AQE may still convert it).
@@ -106,11 +118,11 @@ def lookup_left(df: DataFrame, lookup: DataFrame, left_key: str | Column, right_
     if columns is None:
         columns = [(c, c) for c in lookup.columns if c != right_key]
     small = lookup.select(right_key, *[c for c, _ in columns])
-    if not bounded and not fits_broadcast(small, max_broadcast_rows):
-        unique = keep_first(small, [right_key])
-        side = unique
+    deduped = small if unique else keep_first(small, [right_key])
+    if bounded or fits_broadcast(small, max_broadcast_rows, max_broadcast_bytes):
+        side = F.broadcast(deduped)
     else:
-        side = F.broadcast(keep_first(small, [right_key]))
+        side = deduped
     side = side.select(F.col(right_key).alias("_lk"),
                        *[F.col(c).alias(o) for c, o in columns])
     lk = F.col(left_key) if isinstance(left_key, str) else left_key
@@ -118,8 +130,10 @@ def lookup_left(df: DataFrame, lookup: DataFrame, left_key: str | Column, right_
 
 
 def label_or_other(df: DataFrame, code_col: str, lookup: DataFrame, key: str, label: str,
-                   out: str, other: str, bounded: bool = False) -> DataFrame:
+                   out: str, other: str, bounded: bool = False,
+                   unique: bool = False) -> DataFrame:
     """Replace a code by its label; codes missing from the list (and null
     codes) get the catch-all label ``other``."""
-    joined = lookup_left(df, lookup, code_col, key, [(label, "_label")], bounded=bounded)
+    joined = lookup_left(df, lookup, code_col, key, [(label, "_label")], bounded=bounded,
+                         unique=unique)
     return joined.withColumn(out, F.coalesce(F.col("_label"), F.lit(other))).drop("_label")

@@ -36,11 +36,14 @@ def cast_raw(raw: DataFrame) -> DataFrame:
 
 
 def admissions(raw: DataFrame, mode: DataFrame, visa: DataFrame,
-               lookups_bounded: bool = False) -> DataFrame:
+               lookups_bounded: bool = False, lookups_unique: bool = False) -> DataFrame:
     """Build the fact from raw admissions (any subset of the contract columns
     that includes ``cicid``, ``arrdate``, ``depdate``, ``dtaddto``).
 
     ``mode``: (transport_code, mode); ``visa``: (visa_code, visa).
+    ``lookups_bounded``: both lookups are small by construction (skip the
+    size check); ``lookups_unique``: their keys are unique (skip the
+    de-duplication).
     """
     clean = raw.where(F.col("depdate").isNotNull() & F.col("dtaddto").isNotNull())
     clean = clean.withColumns({
@@ -53,10 +56,10 @@ def admissions(raw: DataFrame, mode: DataFrame, visa: DataFrame,
     out = unique
     if "i94mode" in out.columns:
         out = lookup_left(out, mode, "i94mode", "transport_code", [("mode", "_mode")],
-                          bounded=lookups_bounded)
+                          bounded=lookups_bounded, unique=lookups_unique)
     if "i94visa" in out.columns:
         out = lookup_left(out, visa, "i94visa", "visa_code", [("visa", "_visa")],
-                          bounded=lookups_bounded)
+                          bounded=lookups_bounded, unique=lookups_unique)
     labels = {"i94mode": "_mode", "i94visa": "_visa"}
     return out.select(*[
         F.col(labels.get(r, r)).alias(o) for r, o, _ in ADMISSIONS_FIELDS if r in unique.columns

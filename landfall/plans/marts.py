@@ -1,11 +1,12 @@
 """Partitioned Parquet marts: writer and reader.
 
-Writing: rows are range-partitioned on (partition columns, row key) before
-the write. Each task then holds a contiguous slice of partition values, so
-it writes into few directories (no tasks x values small-file explosion), and
-a hot partition value (say one visa type with a third of all rows) is split
-across as many tasks as its size needs instead of landing in one task. With
-AQE the number of write tasks follows the data size.
+Writing uses Spark's ``REBALANCE`` hint on the partition columns: rows are
+hash-partitioned on the partition values (each directory is written by as
+few tasks as its size needs, so no tasks x values small-file explosion) and
+AQE sizes the write tasks at run time: small partitions are coalesced, and a
+hot partition value (say one visa type with a third of all rows) is split
+into several advisory-sized tasks instead of landing in one. Unlike range
+partitioning it needs no sampling pass over the input.
 
 Reading: always with the explicit contract schema (partition values are
 then parsed as the contract types, never inferred), columns re-selected in
@@ -18,27 +19,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def rebalance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """AQE-sized shuffle on ``cols`` (skewed values split, small ones merged)."""
+    return df.hint("rebalance", *cols) if cols else df.hint("rebalance")
+
+
 def write_mart(df: DataFrame, uri: str, partition_cols: Sequence[str],
-               sort_key: Sequence[str] = (), mode: str = "overwrite",
-               max_records_per_file: int | None = None,
-               num_partitions: int | None = None) -> None:
+               mode: str = "overwrite", max_records_per_file: int | None = None) -> None:
     """Write ``df`` as Hive-style partitioned Parquet at ``uri``.
 
-    ``sort_key``: extra columns (e.g. the table key) appended to the range
-    partitioning so that one large partition value can be spread over
-    several tasks and files.
+    ``max_records_per_file`` caps file size inside a (large) partition.
     """
     parts = list(partition_cols)
-    by = [F.col(c) for c in [*parts, *sort_key]]
-    out = df
-    if by:
-        out = (df.repartitionByRange(num_partitions, *by) if num_partitions
-               else df.repartitionByRange(*by))
-    writer = out.write.mode(mode)
+    writer = rebalance(df, parts).write.mode(mode)
     if parts:
         writer = writer.partitionBy(*parts)
     if max_records_per_file:

@@ -290,15 +290,15 @@ def lookup_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     de-duplicated); unknown codes keep the row with a null label."""
     raw = cast_raw(fx.raw_admissions(spark, sf_dir).select("cicid", "i94mode", "i94visa"))
     out = lookup_left(raw, default_mode(spark), "i94mode", "transport_code",
-                      [("mode", "arrival_mode")], bounded=True)
+                      [("mode", "arrival_mode")], bounded=True, unique=True)
     out = lookup_left(out, default_visa(spark), "i94visa", "visa_code",
-                      [("visa", "visa_code")], bounded=True)
+                      [("visa", "visa_code")], bounded=True, unique=True)
     return out.select(F.col("cicid").alias("cic_id"), "arrival_mode", "visa_code")
 
 
 def build_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admissions(fx.raw_admissions(spark, sf_dir), default_mode(spark), default_visa(spark),
-                      lookups_bounded=True)
+                      lookups_bounded=True, lookups_unique=True)
 
 
 @query("fact_admissions", """
@@ -312,7 +312,7 @@ def fact_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mart(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
     fact = build_fact(spark, sf_dir)
     uri = scratch_uri(spark, f"mart-{layout}")
-    write_mart(fact, uri, LAYOUTS[layout], sort_key=["cic_id"])
+    write_mart(fact, uri, LAYOUTS[layout])
     return read_mart(spark, uri, fact_schema(fact.columns))
 
 
@@ -412,5 +412,5 @@ def state_or_other(spark: SparkSession, sf_dir: str) -> DataFrame:
     lookup = spark.createDataFrame(STATUS_LABELS, "code string, label string")
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     out = label_or_other(orders, "o_orderstatus", lookup, "code", "label", "state",
-                         "All Other Codes", bounded=True)
+                         "All Other Codes", bounded=True, unique=True)
     return out.select("o_orderkey", "state")
