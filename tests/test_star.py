@@ -19,3 +19,17 @@ def test_star_build_end_to_end(spark):
              for t in ("visatype", "arrival_date", "citizenship")]
     assert facts[0].exceptAll(facts[1]).count() == 0
     assert facts[1].exceptAll(facts[2]).count() == 0
+
+
+def test_cli_runs_the_star(spark, capsys):
+    import json
+
+    from landfall.__main__ import main
+    inp = fx.write_star_inputs(spark, SMALL)
+    out = scratch_uri(spark, "star-cli")
+    main(["--airports-csv", inp.airports_csv, "--demographics-csv", inp.demographics_csv,
+          "--country-list", inp.country_list, "--port-list", inp.port_list,
+          "--state-list", inp.state_list, "--admissions", inp.admissions, "--out", out])
+    uris = json.loads(capsys.readouterr().out.strip().splitlines()[0])
+    assert set(uris) == set(star.TABLE_PATHS)
+    assert spark.read.parquet(uris["country"]).count() == 25
