@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.contracts import AIRPORT_COLUMNS, RAW_ADMISSIONS_COLUMNS
 from landfall.functions.cleaning import SAS_EPOCH
 from landfall.session import scratch_uri
 
@@ -28,7 +29,7 @@ def _cases(subject: Column, mapping: list[tuple[int, object]]) -> Column:
     return out
 
 
-def raw_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_admissions(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
     """Admission records shaped like the SAS extract: doubles for numbers and
     day numbers, text for the admitted-until date.
 
@@ -37,11 +38,16 @@ def raw_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     departure; ``dtaddto`` is ``D/S``, ``mm/dd/yyyy``, ``99999999`` or null
     for some keys, ``mmddyyyy`` otherwise; mode 7 and missing mode are
     unknown codes, as is visa 4.
+
+    ``full=True`` adds the other ten raw fields the fact carries (residence,
+    port, address, age, visa post, birth year, gender, airline, admission
+    and flight number; address and gender missing for some keys), in
+    contract order, so the whole 20-column contract is exercised.
     """
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     j = o.join(c, o["o_custkey"] == c["c_custkey"])
-    k = F.col("o_orderkey")
+    k, ck, nk = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
     day = F.datediff(F.to_date("o_orderdate"), F.lit(SAS_EPOCH).cast("date"))
     mode = _cases(k % 6, [(0, 1.0), (1, 2.0), (2, 3.0), (3, 9.0), (4, 7.0)])
     dtaddto = (F.when(k % 11 == 0, F.lit("D/S"))
@@ -49,34 +55,66 @@ def raw_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .when(k % 17 == 0, F.lit("99999999"))
                 .when(k % 19 == 0, F.lit(None).cast("string"))
                 .otherwise(F.date_format("o_orderdate", "MMddyyyy")))
-    return j.select(
-        k.cast("double").alias("cicid"),
-        F.year("o_orderdate").cast("double").alias("i94yr"),
-        F.month("o_orderdate").cast("double").alias("i94mon"),
-        F.col("c_nationkey").cast("double").alias("i94cit"),
-        day.cast("double").alias("arrdate"),
-        mode.alias("i94mode"),
-        F.when(k % 10 != 0, (day + k % 30).cast("double")).alias("depdate"),
-        (1 + k % 4).cast("double").alias("i94visa"),
-        dtaddto.alias("dtaddto"),
-        F.col("o_orderstatus").alias("visatype"),
-    )
-
-
-def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = {
+        "cicid": k.cast("double"),
+        "i94yr": F.year("o_orderdate").cast("double"),
+        "i94mon": F.month("o_orderdate").cast("double"),
+        "i94cit": nk.cast("double"),
+        "arrdate": day.cast("double"),
+        "i94mode": mode,
+        "depdate": F.when(k % 10 != 0, (day + k % 30).cast("double")),
+        "i94visa": (1 + k % 4).cast("double"),
+        "dtaddto": dtaddto,
+        "visatype": F.col("o_orderstatus"),
+    }
+    if full:
+        cols.update({
+            "i94res": ((nk + 1) % 25).cast("double"),
+            "i94port": F.concat(F.lit("P"), (k % 300).cast("string")),
+            "i94addr": F.when(k % 23 != 0, F.concat(F.lit("S"), (nk % 5).cast("string"))),
+            "i94bir": (ck % 90).cast("double"),
+            "visapost": F.substring("o_orderpriority", 3, 3),
+            "biryear": (F.year("o_orderdate") - ck % 90).cast("double"),
+            "gender": F.when(k % 3 == 0, F.lit("F")).when(k % 3 == 1, F.lit("M")),
+            "airline": F.concat(F.lit("A"), (ck % 40).cast("string")),
+            "admnum": (k * 1000 + 7).cast("double"),
+            "fltno": (k % 9000).cast("string"),
+        })
+    return j.select(*[cols[name].alias(name) for name in RAW_ADMISSIONS_COLUMNS if name in cols])
+
+
+def _airport_columns(full: bool) -> dict[str, Column]:
+    key, nk = F.col("c_custkey"), F.col("c_nationkey")
+    cols = {
+        "ident": F.col("c_name"),
+        "iso_country": F.when(nk % 2 == 0, "US").otherwise("CA"),
+        "iso_region": F.when(key % 9 == 0, "US").otherwise(F.concat(F.lit("US-"), F.col("c_mktsegment"))),
+        "iata_code": F.when(key % 3 == 0, F.concat(F.lit("P"), (key % 400).cast("string"))),
+        "local_code": F.when(key % 2 == 0, F.concat(F.lit("P"), (key % 500).cast("string"))),
+    }
+    if full:
+        cols.update({
+            "type": F.when(key % 3 == 0, "large_airport").when(key % 3 == 1, "small_airport")
+                     .otherwise("heliport"),
+            "name": F.concat(F.lit("Airport "), key.cast("string")),
+            "elevation_ft": (key % 5000).cast("string"),
+            "continent": F.lit("NA"),
+            "municipality": F.concat(F.lit("Town "), nk.cast("string")),
+            "gps_code": F.concat(F.lit("G"), key.cast("string")),
+            "coordinates": F.concat((key % 180).cast("string"), F.lit(", "), nk.cast("string")),
+        })
+    return cols
+
+
+def raw_airports(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
     """Airport rows shaped like the airport-codes CSV (all text): one per
     customer; even nations are 'US'; some regions lack the ``-``; a third have
-    an iata code, half a local code, some both, some none; codes repeat."""
+    an iata code, half a local code, some both, some none; codes repeat.
+
+    ``full=True`` gives all twelve columns of the file, in its order."""
     c = table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    return c.select(
-        F.col("c_name").alias("ident"),
-        F.when(F.col("c_nationkey") % 2 == 0, "US").otherwise("CA").alias("iso_country"),
-        F.when(key % 9 == 0, "US").otherwise(F.concat(F.lit("US-"), F.col("c_mktsegment")))
-         .alias("iso_region"),
-        F.when(key % 3 == 0, F.concat(F.lit("P"), (key % 400).cast("string"))).alias("iata_code"),
-        F.when(key % 2 == 0, F.concat(F.lit("P"), (key % 500).cast("string"))).alias("local_code"),
-    )
+    cols = _airport_columns(full)
+    return c.select(*[cols[n].alias(n) for n in AIRPORT_COLUMNS if n in cols])
 
 
 def demographics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,13 +184,13 @@ def demographics_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         F.concat(F.lit("City "), nk.cast("string")).alias("City"),
         F.when(nk % 7 != 0, F.concat(F.lit("State "), (nk % 5).cast("string"))).alias("State"),
-        F.round(F.col("c_acctbal") / 100, 1).alias("Median Age"),
+        ((ck % 600).cast("double") / 10).alias("Median Age"),
         (ck % 1000).cast("int").alias("Male Population"),
         (ck % 1100).cast("int").alias("Female Population"),
         (ck % 1000 + ck % 1100).cast("int").alias("Total Population"),
         (ck % 90).cast("int").alias("Number of Veterans"),
         (ck % 300).cast("int").alias("Foreign-born"),
-        F.round(F.col("c_acctbal") / 3000, 2).alias("Average Household Size"),
+        ((ck % 500).cast("double") / 100).alias("Average Household Size"),
         F.concat(F.lit("S"), (nk % 5).cast("string")).alias("State Code"),
         F.col("c_mktsegment").alias("Race"),
         ck.cast("int").alias("Count"),
@@ -166,11 +204,11 @@ def write_star_inputs(spark: SparkSession, sf_dir: str):
     from landfall.plans.star import StarInputs
 
     airports = scratch_uri(spark, "airport-codes")
-    raw_airports(spark, sf_dir).write.option("header", "true").csv(airports)
+    raw_airports(spark, sf_dir, full=True).write.option("header", "true").csv(airports)
     demo = scratch_uri(spark, "demographics")
     demographics_source(spark, sf_dir).write.option("header", "true").option("sep", ";").csv(demo)
     adm = scratch_uri(spark, "admissions")
-    raw_admissions(spark, sf_dir).write.parquet(adm)
+    raw_admissions(spark, sf_dir, full=True).write.parquet(adm)
     return StarInputs(
         airports_csv=airports,
         demographics_csv=demo,

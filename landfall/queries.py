@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall import fixtures as fx
-from landfall.contracts import LAYOUTS, fact_schema
+from landfall.contracts import AIRPORT_COLUMNS, DEMOGRAPHICS, LAYOUTS, fact_schema
 from landfall.functions.cleaning import admitted_until, region_state, sas_day_to_date, strip_nonword
 from landfall.operators.quality import drop_reasons, key_report, schema_report
 from landfall.operators.relational import keep_first, label_or_other, lookup_left
@@ -73,11 +73,64 @@ fact AS (
   LEFT JOIN (VALUES (1,'Air'),(2,'Sea'),(3,'Land'),(9,'Not reported')) m(code, mode) ON CAST(i94mode AS INTEGER) = m.code
  WHERE allowed IS NOT NULL AND cicid IS NOT NULL)"""
 
-_CTES = {"raw_admissions": RAW_ADMISSIONS_CTE, "raw_airports": RAW_AIRPORTS_CTE, "fact": FACT_CTE}
+RAW_ADMISSIONS_FULL_CTE = """raw_admissions_full AS (
+ SELECT CAST(o.o_orderkey AS DOUBLE) AS cicid,
+  CAST(year(o.o_orderdate) AS DOUBLE) AS i94yr, CAST(month(o.o_orderdate) AS DOUBLE) AS i94mon,
+  CAST(c.c_nationkey AS DOUBLE) AS i94cit, CAST((c.c_nationkey + 1) % 25 AS DOUBLE) AS i94res,
+  'P' || CAST(o.o_orderkey % 300 AS VARCHAR) AS i94port,
+  CAST(CAST(o.o_orderdate AS DATE) - DATE '1960-01-01' AS DOUBLE) AS arrdate,
+  CASE o.o_orderkey % 6 WHEN 0 THEN 1e0 WHEN 1 THEN 2e0 WHEN 2 THEN 3e0 WHEN 3 THEN 9e0 WHEN 4 THEN 7e0 END AS i94mode,
+  CASE WHEN o.o_orderkey % 23 <> 0 THEN 'S' || CAST(c.c_nationkey % 5 AS VARCHAR) END AS i94addr,
+  CASE WHEN o.o_orderkey % 10 <> 0 THEN CAST(CAST(o.o_orderdate AS DATE) - DATE '1960-01-01' + o.o_orderkey % 30 AS DOUBLE) END AS depdate,
+  CAST(o.o_custkey % 90 AS DOUBLE) AS i94bir,
+  CAST(1 + o.o_orderkey % 4 AS DOUBLE) AS i94visa,
+  substr(o.o_orderpriority, 3, 3) AS visapost,
+  CAST(year(o.o_orderdate) - o.o_custkey % 90 AS DOUBLE) AS biryear,
+  CASE WHEN o.o_orderkey % 11 = 0 THEN 'D/S' WHEN o.o_orderkey % 13 = 0 THEN strftime(o.o_orderdate, '%m/%d/%Y')
+       WHEN o.o_orderkey % 17 = 0 THEN '99999999' WHEN o.o_orderkey % 19 = 0 THEN NULL
+       ELSE strftime(o.o_orderdate, '%m%d%Y') END AS dtaddto,
+  CASE o.o_orderkey % 3 WHEN 0 THEN 'F' WHEN 1 THEN 'M' END AS gender,
+  'A' || CAST(o.o_custkey % 40 AS VARCHAR) AS airline,
+  CAST(o.o_orderkey * 1000 + 7 AS DOUBLE) AS admnum,
+  CAST(o.o_orderkey % 9000 AS VARCHAR) AS fltno,
+  o.o_orderstatus AS visatype
+ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)"""
+
+FACT_FULL_CTE = """clean_full AS (
+ SELECT *, try_strptime(CASE WHEN regexp_matches(regexp_replace(dtaddto, '[^A-Za-z0-9_]+', '', 'g'), '^[0-9]{8}$')
+        THEN regexp_replace(dtaddto, '[^A-Za-z0-9_]+', '', 'g') END, '%m%d%Y') AS allowed
+ FROM raw_admissions_full WHERE depdate IS NOT NULL AND dtaddto IS NOT NULL),
+fact_full AS (
+ SELECT CAST(cicid AS BIGINT) AS cic_id, CAST(i94yr AS INTEGER) AS year_of_entry, CAST(i94mon AS INTEGER) AS month_of_entry,
+  CAST(i94cit AS INTEGER) AS country_of_citizenship, CAST(i94res AS INTEGER) AS country_of_residence,
+  i94port AS port_of_entry, DATE '1960-01-01' + CAST(arrdate AS INTEGER) AS arrival_date,
+  m.mode AS arrival_mode, i94addr AS us_state, DATE '1960-01-01' + CAST(depdate AS INTEGER) AS departure_date,
+  CAST(i94bir AS INTEGER) AS person_age, v.visa AS visa_code, visapost AS visa_issuing_post,
+  CAST(biryear AS INTEGER) AS person_birth_year, CAST(allowed AS DATE) AS person_allowed_date,
+  gender, airline, CAST(admnum AS BIGINT) AS admission_number, fltno AS flight_number, visatype AS visa_type
+ FROM clean_full LEFT JOIN (VALUES (1,'Business'),(2,'Pleasure'),(3,'Student')) v(code, visa) ON CAST(i94visa AS INTEGER) = v.code
+  LEFT JOIN (VALUES (1,'Air'),(2,'Sea'),(3,'Land'),(9,'Not reported')) m(code, mode) ON CAST(i94mode AS INTEGER) = m.code
+ WHERE allowed IS NOT NULL AND cicid IS NOT NULL)"""
+
+RAW_AIRPORTS_FULL_CTE = """raw_airports_full AS (
+ SELECT c_name AS ident,
+  CASE c_custkey % 3 WHEN 0 THEN 'large_airport' WHEN 1 THEN 'small_airport' ELSE 'heliport' END AS "type",
+  'Airport ' || CAST(c_custkey AS VARCHAR) AS "name", CAST(c_custkey % 5000 AS VARCHAR) AS elevation_ft,
+  'NA' AS continent, CASE WHEN c_nationkey % 2 = 0 THEN 'US' ELSE 'CA' END AS iso_country,
+  CASE WHEN c_custkey % 9 = 0 THEN 'US' ELSE 'US-' || c_mktsegment END AS iso_region,
+  'Town ' || CAST(c_nationkey AS VARCHAR) AS municipality, 'G' || CAST(c_custkey AS VARCHAR) AS gps_code,
+  CASE WHEN c_custkey % 3 = 0 THEN 'P' || CAST(c_custkey % 400 AS VARCHAR) END AS iata_code,
+  CASE WHEN c_custkey % 2 = 0 THEN 'P' || CAST(c_custkey % 500 AS VARCHAR) END AS local_code,
+  CAST(c_custkey % 180 AS VARCHAR) || ', ' || CAST(c_nationkey AS VARCHAR) AS coordinates
+ FROM customer)"""
+
+_CTES = {"raw_admissions_full": RAW_ADMISSIONS_FULL_CTE, "raw_airports_full": RAW_AIRPORTS_FULL_CTE,
+         "fact_full": FACT_FULL_CTE,
+         "raw_admissions": RAW_ADMISSIONS_CTE, "raw_airports": RAW_AIRPORTS_CTE, "fact": FACT_CTE}
 
 
 def _sql(text: str) -> str:
-    """Substitute the three CTE placeholders (and only those)."""
+    """Substitute the CTE placeholders (and only those)."""
     for name, block in _CTES.items():
         text = text.replace("{" + name + "}", block)
     return text.strip()
@@ -344,6 +397,65 @@ def mart_by_citizenship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.where(F.col("country_of_citizenship") == 7)
 
 
+# ------------------------------------------------------------------ full contracts
+@query("dim_airports_csv", """
+WITH {raw_airports_full}, u AS (
+ SELECT 0 AS src, ident, "type", "name", elevation_ft, continent, iso_country, iso_region, municipality, gps_code, iata_code AS port_code, coordinates
+ FROM raw_airports_full WHERE iso_country = 'US' AND iata_code IS NOT NULL
+ UNION ALL SELECT 1, ident, "type", "name", elevation_ft, continent, iso_country, iso_region, municipality, gps_code, local_code, coordinates
+ FROM raw_airports_full WHERE iso_country = 'US' AND local_code IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY port_code ORDER BY src, ident) AS rn FROM u)
+SELECT ident, "type", "name", elevation_ft, continent, iso_country, municipality, gps_code, port_code, coordinates,
+ CASE WHEN len(string_split(iso_region, '-')) > 1 THEN string_split(iso_region, '-')[2] END AS state FROM r WHERE rn = 1
+""")
+def dim_airports_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 input end to end: the 12-column airport-codes CSV (all text) ->
+    airport dimension with the published columns."""
+    uri = scratch_uri(spark, "airport-codes")
+    fx.raw_airports(spark, sf_dir, full=True).write.option("header", "true").csv(uri)
+    raw = read_delimited(spark, uri, header=True, required=AIRPORT_COLUMNS)
+    return dims.airports(raw)
+
+
+_DEMO_COLS = ("City, State, median_age, male_population, female_population, total_population, "
+              "number_of_veterans, Foreign_born, Average_Household_Size, State_Code, Race, \"Count\"")
+
+
+@query("dim_demographics_csv", """
+WITH d AS (
+ SELECT 'City ' || CAST(c_nationkey AS VARCHAR) AS City,
+  CASE WHEN c_nationkey % 7 <> 0 THEN 'State ' || CAST(c_nationkey % 5 AS VARCHAR) END AS State,
+  CAST(c_custkey % 600 AS DOUBLE) / 10 AS median_age,
+  CAST(c_custkey % 1000 AS INTEGER) AS male_population, CAST(c_custkey % 1100 AS INTEGER) AS female_population,
+  CAST(c_custkey % 1000 + c_custkey % 1100 AS INTEGER) AS total_population,
+  CAST(c_custkey % 90 AS INTEGER) AS number_of_veterans, CAST(c_custkey % 300 AS INTEGER) AS Foreign_born,
+  CAST(c_custkey % 500 AS DOUBLE) / 100 AS Average_Household_Size,
+  'S' || CAST(c_nationkey % 5 AS VARCHAR) AS State_Code, c_mktsegment AS Race, CAST(c_custkey AS INTEGER) AS "Count"
+ FROM customer),
+r AS (SELECT *, row_number() OVER (PARTITION BY City, State, Race, State_Code ORDER BY median_age, male_population,
+  female_population, total_population, number_of_veterans, Foreign_born, Average_Household_Size, "Count") AS rn
+ FROM d WHERE State IS NOT NULL)
+SELECT """ + _DEMO_COLS + """ FROM r WHERE rn = 1
+""")
+def dim_demographics_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2 input end to end: the ';' demographics file (header with blanks and
+    dashes) read by position with the 12-column contract, rows without a
+    state dropped, one row per (City, State, Race, State_Code)."""
+    uri = scratch_uri(spark, "demographics")
+    fx.demographics_source(spark, sf_dir).write.option("header", "true").option("sep", ";").csv(uri)
+    return dims.demographics(read_delimited(spark, uri, sep=";", header=True, schema=DEMOGRAPHICS))
+
+
+@query("fact_admissions_full", """
+WITH {raw_admissions_full}, {fact_full} SELECT * FROM fact_full
+""")
+def fact_admissions_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact with the whole 20-column contract (P5/P6 in full)."""
+    raw = fx.raw_admissions(spark, sf_dir, full=True)
+    return admissions(raw, default_mode(spark), default_visa(spark),
+                      lookups_bounded=True, lookups_unique=True)
+
+
 # ------------------------------------------------------------------ quality
 @query("dq_key_report", """
 SELECT 'lineitem' AS table_name, count(*) AS row_count, count(*) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL) AS null_keys,

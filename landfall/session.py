@@ -41,34 +41,52 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    master = spark.sparkContext.master or ""
-    return master.startswith("local")
+_LOCAL_FALLBACK: list[str] = []
+
+
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        value = spark.conf.get(key, None)
+    except Exception:  # noqa: BLE001 - some session types refuse unknown keys
+        value = None
+    return value or None
+
+
+def _context(spark: SparkSession):
+    """The SparkContext when the session exposes one (not under Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Also makes sure ``DataFrame.checkpoint()`` can be used. Sets a local
-    folder only when running locally and nothing is configured.
+    Also makes sure ``DataFrame.checkpoint()`` can be used. A fresh local
+    folder is used only when the master is local and nothing is configured.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    sc = _context(spark)
+    configured = _conf(spark, "spark.checkpoint.dir")
+    if configured is None and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = sc.getCheckpointDir()
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current.rstrip("/")
-    if not _is_local(spark):
+    master = _conf(spark, "spark.master") or (sc.master if sc is not None else "") or ""
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder (HDFS/S3/...) "
             "for intermediate tables")
-    folder = tempfile.mkdtemp(prefix="landfall-ckpt-")
-    sc.setCheckpointDir(folder)
-    return folder
+    if not _LOCAL_FALLBACK:
+        _LOCAL_FALLBACK.append(tempfile.mkdtemp(prefix="landfall-ckpt-"))
+    if sc is not None:
+        sc.setCheckpointDir(_LOCAL_FALLBACK[0])
+    return _LOCAL_FALLBACK[0]
 
 
 def scratch_uri(spark: SparkSession, name: str) -> str:
