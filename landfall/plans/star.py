@@ -12,6 +12,7 @@ cache of the whole fact.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,26 +103,39 @@ def build_fact(spark: SparkSession, inp: StarInputs) -> DataFrame:
                       lookups_unique=inp.mode_list is None and inp.visa_list is None)
 
 
-def publish_fact(spark: SparkSession, fact: DataFrame, out: str) -> dict[str, str]:
-    """Write the three fact layouts; the first is computed, the others are
-    re-partitioned from the first written table."""
+def publish_fact(spark: SparkSession, fact: DataFrame, out: str,
+                 parallel_jobs: int = 2) -> dict[str, str]:
+    """Write the three fact layouts; the first is computed, the other two are
+    re-partitioned from the first written table (as concurrent jobs)."""
     first, *others = FACT_LAYOUTS
     uris = {first: table_uri(out, first)}
     write_mart(fact, uris[first], LAYOUTS[first])
     written = read_mart(spark, uris[first], fact_schema(fact.columns))
-    for layout in others:
-        uris[layout] = table_uri(out, layout)
-        write_mart(written, uris[layout], LAYOUTS[layout])
+    uris.update({layout: table_uri(out, layout) for layout in others})
+    with ThreadPoolExecutor(max(parallel_jobs, 1)) as pool:
+        for f in [pool.submit(write_mart, written, uris[layout], LAYOUTS[layout])
+                  for layout in others]:
+            f.result()
     return uris
 
 
-def run(spark: SparkSession, inp: StarInputs, out: str) -> dict[str, str]:
-    """Build and publish all eight tables; returns table -> URI."""
-    uris: dict[str, str] = {}
-    for name, df in build_dimensions(spark, inp).items():
-        uris[name] = table_uri(out, name)
-        write_mart(df, uris[name], LAYOUTS[name])
-    uris.update(publish_fact(spark, build_fact(spark, inp), out))
+def run(spark: SparkSession, inp: StarInputs, out: str, parallel_jobs: int = 4) -> dict[str, str]:
+    """Build and publish all eight tables; returns table -> URI.
+
+    The five dimension writes and the fact chain are independent Spark jobs
+    and are submitted concurrently (the small dimension jobs fill the
+    cluster while the fact is shuffled); any failure is raised.
+    """
+    dimensions = build_dimensions(spark, inp)
+    fact = build_fact(spark, inp)
+    uris = {name: table_uri(out, name) for name in dimensions}
+    with ThreadPoolExecutor(max(parallel_jobs, 1)) as pool:
+        fact_job = pool.submit(publish_fact, spark, fact, out)
+        dim_jobs = [pool.submit(write_mart, df, uris[name], LAYOUTS[name])
+                    for name, df in dimensions.items()]
+        for f in dim_jobs:
+            f.result()
+        uris.update(fact_job.result())
     return uris
 
 
