@@ -64,7 +64,8 @@ def parse_codelist(lines: DataFrame, key: str, label: str, key_type: str = "stri
 def read_codelist(spark: SparkSession, uri: str | Sequence[str], key: str, label: str,
                   key_type: str = "string", placeholders: Sequence[str] = ()) -> DataFrame:
     """Read and parse a code list; one row per key (null keys dropped; for a
-    repeated key the smallest label is kept, deterministically)."""
+    repeated key the smallest label is kept, deterministically: text files
+    carry no line order once split across tasks)."""
     lines = spark.read.text(uri)
     parsed = parse_codelist(lines, key, label, key_type, placeholders)
     return keep_first(drop_null_keys(parsed, [key]), [key], [label])

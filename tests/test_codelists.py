@@ -46,7 +46,7 @@ def test_state_mode_visa_shapes(spark):
                                           "\t'99'='All Other Codes'"]))
     assert sorted(tuple(r) for r in st.collect()) == [
         ("99", "All Other Codes"), ("AL", "ALABAMA"), ("WY", "WYOMING")]
-    # a repeated key yields one row (the reference list repeats mode 3)
+    # a repeated key yields one row (a list may repeat a line)
     md = read_mode(spark, _write(spark, ["\t1 = 'Air'", "\t2 = 'Sea'", "\t3 = 'Land'",
                                          "\t3 = 'Land'", "\t9 = 'Not reported'"]))
     assert sorted(tuple(r) for r in md.collect()) == [
