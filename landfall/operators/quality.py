@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.functions.cleaning import admitted_until
+from landfall.sources.constants import values_frame
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -32,8 +33,9 @@ def schema_report(df: DataFrame, contract: T.StructType) -> DataFrame:
         exp = f.dataType.simpleString()
         act = actual.get(f.name)
         rows.append((f.name, exp, act, act == exp))
-    meta = spark.createDataFrame(
-        rows, "column_name string, expected_type string, actual_type string, ok boolean")
+    meta = values_frame(spark, rows, T.StructType([
+        T.StructField("column_name", T.StringType()), T.StructField("expected_type", T.StringType()),
+        T.StructField("actual_type", T.StringType()), T.StructField("ok", T.BooleanType())]))
     present = [f.name for f in contract.fields if f.name in actual]
     if not present:
         return meta.withColumn("null_count", F.lit(None).cast("bigint"))

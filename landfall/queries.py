@@ -32,6 +32,7 @@ from landfall.sources.codelists import (
     read_port,
     read_state,
 )
+from landfall.sources.constants import values_frame
 from landfall.sources.delimited import read_delimited
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -521,7 +522,8 @@ SELECT o_orderkey, coalesce(d.label, 'All Other Codes') AS state FROM orders LEF
 """)
 def state_or_other(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q5: codes missing from the list go into the catch-all label."""
-    lookup = spark.createDataFrame(STATUS_LABELS, "code string, label string")
+    lookup = values_frame(spark, STATUS_LABELS, T.StructType([
+        T.StructField("code", T.StringType()), T.StructField("label", T.StringType())]))
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     out = label_or_other(orders, "o_orderstatus", lookup, "code", "label", "state",
                          "All Other Codes", bounded=True, unique=True)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from landfall.functions.cleaning import remove_quotes, to_na, trim_ws
 from landfall.operators.relational import drop_null_keys, keep_first
+from landfall.sources.constants import values_frame
 
 # key (optionally quoted) '=' label (optionally quoted), optional ';' at the end
 _LINE = r"^\s*'?\s*([^=]*?)\s*'?\s*=\s*'?(.*?)'?\s*;?\s*$"
@@ -75,14 +76,14 @@ def default_visa(spark: SparkSession) -> DataFrame:
     """The visa lookup when no visa list file is given."""
     schema = T.StructType([T.StructField("visa_code", T.LongType()),
                            T.StructField("visa", T.StringType())])
-    return spark.createDataFrame(DEFAULT_VISA_ROWS, schema)
+    return values_frame(spark, DEFAULT_VISA_ROWS, schema)
 
 
 def default_mode(spark: SparkSession) -> DataFrame:
     """The transport-mode lookup when no mode list file is given."""
     schema = T.StructType([T.StructField("transport_code", T.LongType()),
                            T.StructField("mode", T.StringType())])
-    return spark.createDataFrame(DEFAULT_MODE_ROWS, schema)
+    return values_frame(spark, DEFAULT_MODE_ROWS, schema)
 
 
 def split_place(df: DataFrame, place: str = "place", city: str = "city",
