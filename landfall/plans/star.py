@@ -84,12 +84,13 @@ def build_dimensions(spark: SparkSession, inp: StarInputs) -> dict[str, DataFram
                                             "iata_code", "local_code"])
     raw_airports = raw_airports.select(*[c for c in AIRPORT_COLUMNS if c in raw_airports.columns])
     demo = read_delimited(spark, inp.demographics_csv, sep=";", header=True, schema=DEMOGRAPHICS)
+    # the code-list readers already drop null keys and keep one row per key
     return {
         "airports": dims.airports(raw_airports),
         "demographics": dims.demographics(demo),
-        "country": dims.code_dimension(read_country(spark, inp.country_list), "country_code"),
-        "portOfEntry": dims.code_dimension(read_port(spark, inp.port_list), "port_of_entry"),
-        "state": dims.code_dimension(read_state(spark, inp.state_list), "state_code"),
+        "country": read_country(spark, inp.country_list),
+        "portOfEntry": read_port(spark, inp.port_list),
+        "state": read_state(spark, inp.state_list),
     }
 
 
@@ -97,10 +98,12 @@ def build_fact(spark: SparkSession, inp: StarInputs) -> DataFrame:
     """The admissions fact (lazy)."""
     raw = load_raw_admissions(spark, inp.admissions, inp.admissions_format,
                               options=inp.admissions_options)
-    mode = read_mode(spark, inp.mode_list)
-    visa = read_visa(spark, inp.visa_list)
-    return admissions(raw, mode, visa, lookups_bounded=inp.mode_list is None and inp.visa_list is None,
-                      lookups_unique=inp.mode_list is None and inp.visa_list is None)
+    # list files: raw parsed rows, so the broadcast size check reads at most
+    # max_rows + 1 lines before the lookup is de-duplicated
+    mode = read_mode(spark, inp.mode_list, dedup=False)
+    visa = read_visa(spark, inp.visa_list, dedup=False)
+    built_in = inp.mode_list is None and inp.visa_list is None
+    return admissions(raw, mode, visa, lookups_bounded=built_in, lookups_unique=built_in)
 
 
 def publish_fact(spark: SparkSession, fact: DataFrame, out: str,

@@ -63,13 +63,16 @@ def parse_codelist(lines: DataFrame, key: str, label: str, key_type: str = "stri
 
 
 def read_codelist(spark: SparkSession, uri: str | Sequence[str], key: str, label: str,
-                  key_type: str = "string", placeholders: Sequence[str] = ()) -> DataFrame:
-    """Read and parse a code list; one row per key (null keys dropped; for a
-    repeated key the smallest label is kept, deterministically: text files
-    carry no line order once split across tasks)."""
+                  key_type: str = "string", placeholders: Sequence[str] = (),
+                  dedup: bool = True) -> DataFrame:
+    """Read and parse a code list; null keys dropped and, with ``dedup``, one
+    row per key (for a repeated key the smallest label is kept,
+    deterministically: text files carry no line order once split across
+    tasks). ``dedup=False`` leaves that to the consumer (``lookup_left``
+    checks the size of the raw rows first, then de-duplicates)."""
     lines = spark.read.text(uri)
-    parsed = parse_codelist(lines, key, label, key_type, placeholders)
-    return keep_first(drop_null_keys(parsed, [key]), [key], [label])
+    parsed = drop_null_keys(parse_codelist(lines, key, label, key_type, placeholders), [key])
+    return keep_first(parsed, [key], [label]) if dedup else parsed
 
 
 def default_visa(spark: SparkSession) -> DataFrame:
@@ -112,17 +115,17 @@ def read_state(spark: SparkSession, uri: str) -> DataFrame:
     return read_codelist(spark, uri, "state_code", "state", "string")
 
 
-def read_mode(spark: SparkSession, uri: str | None = None) -> DataFrame:
+def read_mode(spark: SparkSession, uri: str | None = None, dedup: bool = True) -> DataFrame:
     """Transport-mode list: ``transport_code`` (long), ``mode``; the
     dictionary's four modes when ``uri`` is None."""
     if uri is None:
         return default_mode(spark)
-    return read_codelist(spark, uri, "transport_code", "mode", "long")
+    return read_codelist(spark, uri, "transport_code", "mode", "long", dedup=dedup)
 
 
-def read_visa(spark: SparkSession, uri: str | None = None) -> DataFrame:
+def read_visa(spark: SparkSession, uri: str | None = None, dedup: bool = True) -> DataFrame:
     """Visa list: ``visa_code`` (long), ``visa``; the dictionary's three
     categories when ``uri`` is None."""
     if uri is None:
         return default_visa(spark)
-    return read_codelist(spark, uri, "visa_code", "visa", "long")
+    return read_codelist(spark, uri, "visa_code", "visa", "long", dedup=dedup)

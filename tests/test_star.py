@@ -33,3 +33,21 @@ def test_cli_runs_the_star(spark, capsys):
     uris = json.loads(capsys.readouterr().out.strip().splitlines()[0])
     assert set(uris) == set(star.TABLE_PATHS)
     assert spark.read.parquet(uris["country"]).count() == 25
+
+
+def test_fact_with_list_files_matches_built_in_lookups(spark):
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+    base = fx.write_star_inputs(spark, SMALL)
+    mode_uri = scratch_uri(spark, "mode-list")
+    spark.createDataFrame([("\t1 = 'Air'",), ("\t2 = 'Sea'",), ("\t3 = 'Land'",), ("\t3 = 'Land'",),
+                           ("\t9 = 'Not reported'",)], "value string").write.text(mode_uri)
+    visa_uri = scratch_uri(spark, "visa-list")
+    spark.createDataFrame([("1 = Business",), ("2 = Pleasure",), ("3 = Student",)],
+                          "value string").write.text(visa_uri)
+    with_files = star.build_fact(spark, replace(base, mode_list=mode_uri, visa_list=visa_uri))
+    built_in = star.build_fact(spark, base)
+    assert with_files.count() == built_in.count()
+    assert with_files.exceptAll(built_in).count() == 0
+    assert with_files.where(F.col("arrival_mode") == "Land").count() > 0
