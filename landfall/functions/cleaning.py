@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 # the SAS epoch; admitted-until dates are 8 digits, month-day-year.
 SAS_EPOCH = "1960-01-01"
 ADMITTED_UNTIL_FORMAT = "MMddyyyy"
-# Largest day offset accepted from a SAS day number (about +-5,400 years);
-# anything further is not a date and becomes null instead of overflowing.
-_MAX_DAY_OFFSET = 2_000_000
+# Day offsets from the SAS epoch that stay inside the DATE range
+# 0001-01-01 .. 9999-12-31; anything further becomes null instead of overflowing.
+_MIN_DAY_OFFSET = -715_509
+_MAX_DAY_OFFSET = 2_936_549
 
 _WS = r"^\s+|\s+$"
 
@@ -55,11 +56,11 @@ def region_state(col: Column | str) -> Column:
 def sas_day_to_date(col: Column | str) -> Column:
     """SAS day number (days since 1960-01-01, stored as double) -> DATE.
 
-    Null, NaN and out-of-range numbers give null.
+    Null, NaN and numbers outside the DATE range give null.
     """
     days = _c(col).try_cast("int")
     return F.when(
-        days.between(-_MAX_DAY_OFFSET, _MAX_DAY_OFFSET),
+        days.between(_MIN_DAY_OFFSET, _MAX_DAY_OFFSET),
         F.date_add(F.lit(SAS_EPOCH).cast("date"), days),
     )
 

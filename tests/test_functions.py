@@ -18,10 +18,12 @@ def _one_col(spark, values, typ):
 
 
 def test_sas_day_to_date(spark):
-    df = _one_col(spark, [20573.0, None, float("nan"), 0.0, -1.0, 1e12], "double")
+    df = _one_col(spark, [20573.0, None, float("nan"), 0.0, -1.0, 1e12, 2936549.0, 2936550.0,
+                          -715509.0, -715510.0], "double")
     got = [r[0] for r in df.select(sas_day_to_date("v")).collect()]
     assert got == [dt.date(2016, 4, 29), None, None, dt.date(1960, 1, 1),
-                   dt.date(1959, 12, 31), None]
+                   dt.date(1959, 12, 31), None, dt.date(9999, 12, 31), None,
+                   dt.date(1, 1, 1), None]
 
 
 def test_admitted_until_edge_values(spark):
