@@ -80,6 +80,9 @@ def fact_schema(columns: list[str] | None = None) -> T.StructType:
 
 
 # ---------------------------------------------------------------- outputs
+AIRPORTS = _schema(*[(c, S) for c in ["ident", "type", "name", "elevation_ft", "continent",
+                                       "iso_country", "municipality", "gps_code", "port_code",
+                                       "coordinates", "state"]])
 COUNTRY = _schema(("country_code", L), ("country", S))
 PORT = _schema(("port_of_entry", S), ("city", S), ("state_code", S))
 STATE = _schema(("state_code", S), ("state", S))

@@ -16,7 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall import fixtures as fx
-from landfall.contracts import AIRPORT_COLUMNS, DEMOGRAPHICS, LAYOUTS, fact_schema
+from landfall.contracts import (
+    AIRPORT_COLUMNS,
+    AIRPORTS,
+    COUNTRY,
+    DEMOGRAPHICS,
+    LAYOUTS,
+    PORT,
+    STATE,
+    fact_schema,
+)
 from landfall.functions.cleaning import admitted_until, region_state, sas_day_to_date, strip_nonword
 from landfall.operators.quality import drop_reasons, key_report, schema_report
 from landfall.operators.relational import keep_first, label_or_other, lookup_left
@@ -457,6 +466,73 @@ def fact_admissions_full(spark: SparkSession, sf_dir: str) -> DataFrame:
                       lookups_bounded=True, lookups_unique=True)
 
 
+# ------------------------------------------------------------------ published dimensions
+def _published(spark: SparkSession, table: str, df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Write a dimension in its published layout and read it back."""
+    uri = scratch_uri(spark, f"dim-{table}")
+    write_mart(df, uri, LAYOUTS[table])
+    return read_mart(spark, uri, schema)
+
+
+@query("mart_airports_by_state")
+def mart_airports_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airports by state; one state read back (partition pruning)."""
+    m = _published(spark, "airports", dim_airports_csv(spark, sf_dir), AIRPORTS)
+    return m.where(F.col("state") == "BUILDING")
+
+
+@query("mart_demographics_by_state", """
+WITH d AS (
+ SELECT 'City ' || CAST(c_nationkey AS VARCHAR) AS City,
+  CASE WHEN c_nationkey % 7 <> 0 THEN 'State ' || CAST(c_nationkey % 5 AS VARCHAR) END AS State,
+  CAST(c_custkey % 600 AS DOUBLE) / 10 AS median_age,
+  CAST(c_custkey % 1000 AS INTEGER) AS male_population, CAST(c_custkey % 1100 AS INTEGER) AS female_population,
+  CAST(c_custkey % 1000 + c_custkey % 1100 AS INTEGER) AS total_population,
+  CAST(c_custkey % 90 AS INTEGER) AS number_of_veterans, CAST(c_custkey % 300 AS INTEGER) AS Foreign_born,
+  CAST(c_custkey % 500 AS DOUBLE) / 100 AS Average_Household_Size,
+  'S' || CAST(c_nationkey % 5 AS VARCHAR) AS State_Code, c_mktsegment AS Race, CAST(c_custkey AS INTEGER) AS "Count"
+ FROM customer),
+r AS (SELECT *, row_number() OVER (PARTITION BY City, State, Race, State_Code ORDER BY median_age, male_population,
+  female_population, total_population, number_of_veterans, Foreign_born, Average_Household_Size, "Count") AS rn
+ FROM d WHERE State IS NOT NULL)
+SELECT """ + _DEMO_COLS + """ FROM r WHERE rn = 1 AND State = 'State 1'
+""")
+def mart_demographics_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demographics by (State, City); one state read back."""
+    m = _published(spark, "demographics", dim_demographics_csv(spark, sf_dir), DEMOGRAPHICS)
+    return m.where(F.col("State") == "State 1")
+
+
+@query("mart_country_by_country", """
+SELECT CAST(n_nationkey AS BIGINT) AS country_code, CASE WHEN n_nationkey % 5 < 3 THEN 'NA' ELSE n_name END AS country
+FROM nation WHERE n_nationkey % 5 < 3
+""")
+def mart_country_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Country by label; the placeholder partition read back."""
+    m = _published(spark, "country", dict_country(spark, sf_dir), COUNTRY)
+    return m.where(F.col("country") == "NA")
+
+
+@query("mart_port_by_city", """
+SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS port_of_entry, s_name AS city,
+ CASE WHEN s_suppkey % 7 < 2 THEN NULL ELSE 'N' || CAST(s_nationkey AS VARCHAR) END AS state_code
+FROM supplier WHERE s_suppkey % 7 <> 0
+""")
+def mart_port_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ports by city; every real city read back (placeholder pruned)."""
+    m = _published(spark, "portOfEntry", dict_port(spark, sf_dir), PORT)
+    return m.where(F.col("city") != "NA")
+
+
+@query("mart_state_by_state", """
+SELECT CAST(n_nationkey AS VARCHAR) AS state_code, n_name AS state FROM nation WHERE n_name >= 'NATION_2'
+""")
+def mart_state_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States by name; a range of partitions read back."""
+    m = _published(spark, "state", dict_state(spark, sf_dir), STATE)
+    return m.where(F.col("state") >= "NATION_2")
+
+
 # ------------------------------------------------------------------ quality
 @query("dq_key_report", """
 SELECT 'lineitem' AS table_name, count(*) AS row_count, count(*) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL) AS null_keys,
@@ -528,3 +604,9 @@ def state_or_other(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = label_or_other(orders, "o_orderstatus", lookup, "code", "label", "state",
                          "All Other Codes", bounded=True, unique=True)
     return out.select("o_orderkey", "state")
+
+
+# The airports read-back oracle is the airport dimension's oracle restricted to one state.
+ORACLE["mart_airports_by_state"] = (
+    "SELECT * FROM (" + ORACLE["dim_airports_csv"] + ") WHERE state = 'BUILDING'")
+
