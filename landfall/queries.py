@@ -408,7 +408,7 @@ def mart_by_citizenship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ full contracts
-@query("dim_airports_csv", """
+_DIM_AIRPORTS_SQL = """
 WITH {raw_airports_full}, u AS (
  SELECT 0 AS src, ident, "type", "name", elevation_ft, continent, iso_country, iso_region, municipality, gps_code, iata_code AS port_code, coordinates
  FROM raw_airports_full WHERE iso_country = 'US' AND iata_code IS NOT NULL
@@ -417,7 +417,10 @@ WITH {raw_airports_full}, u AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY port_code ORDER BY src, ident) AS rn FROM u)
 SELECT ident, "type", "name", elevation_ft, continent, iso_country, municipality, gps_code, port_code, coordinates,
  CASE WHEN len(string_split(iso_region, '-')) > 1 THEN string_split(iso_region, '-')[2] END AS state FROM r WHERE rn = 1
-""")
+"""
+
+
+@query("dim_airports_csv", _DIM_AIRPORTS_SQL)
 def dim_airports_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 input end to end: the 12-column airport-codes CSV (all text) ->
     airport dimension with the published columns."""
@@ -474,7 +477,7 @@ def _published(spark: SparkSession, table: str, df: DataFrame, schema: T.StructT
     return read_mart(spark, uri, schema)
 
 
-@query("mart_airports_by_state")
+@query("mart_airports_by_state", "SELECT * FROM (" + _DIM_AIRPORTS_SQL + ") WHERE state = 'BUILDING'")
 def mart_airports_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airports by state; one state read back (partition pruning)."""
     m = _published(spark, "airports", dim_airports_csv(spark, sf_dir), AIRPORTS)
@@ -604,9 +607,3 @@ def state_or_other(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = label_or_other(orders, "o_orderstatus", lookup, "code", "label", "state",
                          "All Other Codes", bounded=True, unique=True)
     return out.select("o_orderkey", "state")
-
-
-# The airports read-back oracle is the airport dimension's oracle restricted to one state.
-ORACLE["mart_airports_by_state"] = (
-    "SELECT * FROM (" + ORACLE["dim_airports_csv"] + ") WHERE state = 'BUILDING'")
-
