@@ -8,10 +8,11 @@ from landfall.functions.cleaning import (
     sas_day_to_date,
     strip_nonword,
     to_na,
+    to_number,
     trim_ws,
 )
 
 __all__ = [
     "admitted_until", "nth_token", "region_state", "remove_quotes",
-    "sas_day_to_date", "strip_nonword", "to_na", "trim_ws",
+    "sas_day_to_date", "strip_nonword", "to_na", "to_number", "trim_ws",
 ]

@@ -53,12 +53,21 @@ def region_state(col: Column | str) -> Column:
     return nth_token(col, "-", 1)
 
 
+def to_number(col: Column | str, dtype: str) -> Column:
+    """A raw SAS number (double, or its text such as ``'5748517.0'`` from a CSV
+    export) as ``dtype``: through double first, since under ANSI a direct
+    text-to-integer cast rejects the fraction. NaN, junk and out-of-range
+    values give null; fractions are truncated."""
+    return _c(col).try_cast("double").try_cast(dtype)
+
+
 def sas_day_to_date(col: Column | str) -> Column:
-    """SAS day number (days since 1960-01-01, stored as double) -> DATE.
+    """SAS day number (days since 1960-01-01, stored as double or its text)
+    -> DATE.
 
     Null, NaN and numbers outside the DATE range give null.
     """
-    days = _c(col).try_cast("int")
+    days = to_number(col, "int")
     return F.when(
         days.between(_MIN_DAY_OFFSET, _MAX_DAY_OFFSET),
         F.date_add(F.lit(SAS_EPOCH).cast("date"), days),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.functions.cleaning import admitted_until
+from landfall.functions.cleaning import admitted_until, to_number
 from landfall.sources.constants import values_frame
 
 
@@ -77,7 +77,7 @@ def drop_reasons(raw: DataFrame) -> DataFrame:
     dep = F.col("depdate").isNull()
     dta = F.col("dtaddto").isNull()
     bad = admitted_until(F.col("dtaddto")).isNull()
-    cic = F.col("cicid").try_cast("bigint")
+    cic = to_number("cicid", "bigint")
     reason = (F.when(dep, 0).when(dta, 1).when(bad, 2).when(cic.isNull(), 3).otherwise(4))
     per_key = (raw.select(reason.alias("_r"), F.when(reason == 4, cic).alias("_k"))
                   .groupBy("_r", "_k").agg(F.count(F.lit(1)).alias("_n")))

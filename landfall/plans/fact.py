@@ -7,7 +7,8 @@ Rules, in order (each a native expression or a broadcast join):
 2. SAS day numbers become dates (days since 1960-01-01);
 3. the admitted-until text must be a real ``MMddyyyy`` date, else the row is
    dropped;
-4. numeric codes are cast (``try_cast``: no ANSI failure on NaN);
+4. numeric codes are cast through double (``try_cast``: no ANSI failure on
+   NaN or on CSV text such as ``5748517.0``);
 5. rows without ``cic_id`` are dropped, one row per ``cic_id`` is kept
    (deterministically);
 6. transport mode and visa codes are replaced by their labels (left joins to
@@ -21,18 +22,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall.contracts import ADMISSIONS_FIELDS, RAW_CASTS
-from landfall.functions.cleaning import admitted_until, sas_day_to_date
+from landfall.functions.cleaning import admitted_until, sas_day_to_date, to_number
 from landfall.operators.relational import keep_first, lookup_left
 
 
 def cast_raw(raw: DataFrame) -> DataFrame:
-    """Cast the raw SAS numbers and texts to their contract types."""
-    return raw.select(*[
-        F.col(c).try_cast(RAW_CASTS[c]).alias(c) if c in RAW_CASTS else F.col(c)
-        for c in raw.columns
-    ])
+    """Cast the raw SAS numbers and texts to their contract types (numbers
+    via double, so CSV text like ``'5748517.0'`` converts too)."""
+    def typed(c: str):
+        t = RAW_CASTS[c]
+        if isinstance(t, (T.IntegerType, T.LongType)):
+            return to_number(c, t.simpleString()).alias(c)
+        return F.col(c).try_cast(t).alias(c)
+    return raw.select(*[typed(c) if c in RAW_CASTS else F.col(c) for c in raw.columns])
 
 
 def admissions(raw: DataFrame, mode: DataFrame, visa: DataFrame,

@@ -26,7 +26,13 @@ from landfall.contracts import (
     STATE,
     fact_schema,
 )
-from landfall.functions.cleaning import admitted_until, region_state, sas_day_to_date, strip_nonword
+from landfall.functions.cleaning import (
+    admitted_until,
+    region_state,
+    sas_day_to_date,
+    strip_nonword,
+    to_number,
+)
 from landfall.operators.quality import drop_reasons, key_report, schema_report
 from landfall.operators.relational import keep_first, label_or_other, lookup_left
 from landfall.plans import dims
@@ -305,7 +311,7 @@ WITH {raw_admissions} SELECT CAST(cicid AS BIGINT) AS cic_id, DATE '1960-01-01'
 def sas_day_to_date_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SAS day numbers -> dates (null stays null)."""
     raw = fx.raw_admissions(spark, sf_dir)
-    return raw.select(F.col("cicid").try_cast("bigint").alias("cic_id"),
+    return raw.select(to_number("cicid", "bigint").alias("cic_id"),
                       sas_day_to_date("arrdate").alias("arrival_date"),
                       sas_day_to_date("depdate").alias("departure_date"))
 
@@ -316,7 +322,7 @@ WITH {raw_admissions} SELECT CAST(cicid AS BIGINT) AS cic_id, regexp_replace(dta
 def strip_nonword_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove non-word characters."""
     raw = fx.raw_admissions(spark, sf_dir)
-    return raw.select(F.col("cicid").try_cast("bigint").alias("cic_id"),
+    return raw.select(to_number("cicid", "bigint").alias("cic_id"),
                       strip_nonword("dtaddto").alias("dtaddto"))
 
 
@@ -328,7 +334,7 @@ SELECT CAST(cicid AS BIGINT) AS cic_id, person_allowed_date FROM d WHERE person_
 def admitted_until_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Admitted-until text -> date; invalid rows dropped."""
     raw = fx.raw_admissions(spark, sf_dir).where(F.col("dtaddto").isNotNull())
-    out = raw.select(F.col("cicid").try_cast("bigint").alias("cic_id"),
+    out = raw.select(to_number("cicid", "bigint").alias("cic_id"),
                      admitted_until("dtaddto").alias("person_allowed_date"))
     return out.where(F.col("person_allowed_date").isNotNull())
 
