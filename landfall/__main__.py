@@ -46,7 +46,7 @@ def main(argv: list[str] | None = None) -> None:
     uris = run(spark, inputs, a.out)
     print(json.dumps(uris))
     if a.report:
-        for r in published_key_report(spark, uris).collect():
+        for r in published_key_report(spark, uris, min_rows={}).collect():
             print(json.dumps(r.asDict()))
 
 

@@ -45,8 +45,10 @@ def schema_report(df: DataFrame, contract: T.StructType) -> DataFrame:
     return meta.join(F.broadcast(nulls), "column_name", "left")
 
 
-def key_report(df: DataFrame, table_name: str, keys: Sequence[str]) -> DataFrame:
-    """``table_name, row_count, null_keys, surplus_rows`` for one table.
+def key_report(df: DataFrame, table_name: str, keys: Sequence[str],
+               min_rows: int | None = None) -> DataFrame:
+    """``table_name, row_count, null_keys, surplus_rows`` for one table, plus
+    ``enough_rows`` (row_count >= ``min_rows``) when a minimum is given.
 
     ``surplus_rows`` = rows minus distinct key tuples (a null key part counts
     as a value), i.e. the rows a keep-first de-duplication would drop.
@@ -55,11 +57,14 @@ def key_report(df: DataFrame, table_name: str, keys: Sequence[str]) -> DataFrame
     keys = list(keys)
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     zero = F.lit(0).cast("bigint")
-    return groups.agg(
+    report = groups.agg(
         F.coalesce(F.sum("_n"), zero).alias("row_count"),
         F.coalesce(F.sum(F.when(_any_null(keys), F.col("_n")).otherwise(0)), zero).alias("null_keys"),
         F.coalesce(F.sum(F.col("_n") - 1), zero).alias("surplus_rows"),
     ).select(F.lit(table_name).alias("table_name"), "row_count", "null_keys", "surplus_rows")
+    if min_rows is None:
+        return report
+    return report.withColumn("enough_rows", F.col("row_count") >= F.lit(min_rows))
 
 
 # Fixed order of the cleaning rules of the admissions fact.

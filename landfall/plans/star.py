@@ -142,9 +142,13 @@ def run(spark: SparkSession, inp: StarInputs, out: str, parallel_jobs: int = 4)
     return uris
 
 
-def published_key_report(spark: SparkSession, uris: dict[str, str]) -> DataFrame:
-    """Rows, null keys and duplicate keys of every published table (read back)."""
-    reports = [key_report(spark.read.parquet(uri), name, TABLE_KEYS[name])
+def published_key_report(spark: SparkSession, uris: dict[str, str],
+                         min_rows: dict[str, int] | None = None) -> DataFrame:
+    """Rows, null keys and duplicate keys of every published table (read
+    back); with ``min_rows`` (table -> minimum, default 1) also whether each
+    table holds enough rows."""
+    reports = [key_report(spark.read.parquet(uri), name, TABLE_KEYS[name],
+                          None if min_rows is None else min_rows.get(name, 1))
                for name, uri in uris.items()]
     out = reports[0]
     for r in reports[1:]:

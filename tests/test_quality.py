@@ -8,6 +8,9 @@ def test_key_report(spark):
     assert (r.table_name, r.row_count, r.null_keys, r.surplus_rows) == ("t", 5, 2, 2)
     empty = key_report(df.where("a = 99"), "e", ["a"]).collect()[0]
     assert (empty.row_count, empty.null_keys, empty.surplus_rows) == (0, 0, 0)
+    assert key_report(df, "t", ["a"], min_rows=5).collect()[0].enough_rows is True
+    assert key_report(df, "t", ["a"], min_rows=6).collect()[0].enough_rows is False
+    assert "enough_rows" not in key_report(df, "t", ["a"]).columns
 
 
 def test_schema_report(spark):
