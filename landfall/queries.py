@@ -281,10 +281,12 @@ def dim_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("dim_demographics", """
+WITH d AS (
+ SELECT c_nationkey AS city, CASE WHEN c_nationkey % 7 <> 0 THEN c_nationkey % 5 END AS state,
+  c_mktsegment AS race, c_custkey AS n FROM customer)
 SELECT city, state, race, n FROM (
- SELECT c_nationkey AS city, c_nationkey % 5 AS state, c_mktsegment AS race, c_custkey AS n,
-  row_number() OVER (PARTITION BY c_nationkey, c_nationkey % 5, c_mktsegment ORDER BY c_custkey) AS rn
- FROM customer WHERE c_nationkey % 7 <> 0) WHERE rn = 1
+ SELECT *, row_number() OVER (PARTITION BY city, state, race ORDER BY n) AS rn FROM d WHERE state IS NOT NULL)
+WHERE rn = 1
 """)
 def dim_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 input: F5/D2 — rows with a state, one per (city, state, race)."""
@@ -513,8 +515,9 @@ def mart_demographics_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("mart_country_by_country", """
-SELECT CAST(n_nationkey AS BIGINT) AS country_code, CASE WHEN n_nationkey % 5 < 3 THEN 'NA' ELSE n_name END AS country
-FROM nation WHERE n_nationkey % 5 < 3
+SELECT * FROM (
+ SELECT CAST(n_nationkey AS BIGINT) AS country_code, CASE WHEN n_nationkey % 5 < 3 THEN 'NA' ELSE n_name END AS country
+ FROM nation) WHERE country = 'NA'
 """)
 def mart_country_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country by label; the placeholder partition read back."""
@@ -523,9 +526,11 @@ def mart_country_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("mart_port_by_city", """
-SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS port_of_entry, s_name AS city,
- CASE WHEN s_suppkey % 7 < 2 THEN NULL ELSE 'N' || CAST(s_nationkey AS VARCHAR) END AS state_code
-FROM supplier WHERE s_suppkey % 7 <> 0
+SELECT * FROM (
+ SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS port_of_entry,
+  CASE WHEN s_suppkey % 7 = 0 THEN 'NA' ELSE s_name END AS city,
+  CASE WHEN s_suppkey % 7 < 2 THEN NULL ELSE 'N' || CAST(s_nationkey AS VARCHAR) END AS state_code
+ FROM supplier) WHERE city <> 'NA'
 """)
 def mart_port_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ports by city; every real city read back (placeholder pruned)."""
