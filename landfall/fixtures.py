@@ -132,17 +132,17 @@ def demographics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------ code-list text
 def country_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Country list lines ``   <key> =  '<label>'`` from ``nation``; labels
-    cycle through the three placeholder kinds and real names with a
-    trailing blank."""
-    n = table(spark, sf_dir, "nation")
-    key = F.col("n_nationkey")
-    name = F.col("n_name")
+    """Country list lines ``   <key> =  '<label>'``, one per customer (so the
+    list grows with the data); labels cycle through the three placeholder
+    kinds and real names (the market segment) with a trailing blank."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    name = F.col("c_mktsegment")
     label = (F.when(key % 5 == 0, F.concat(F.lit("INVALID: "), name))
               .when(key % 5 == 1, F.format_string("No Country Code (%d)", key))
               .when(key % 5 == 2, F.concat(F.lit("Collapsed "), name, F.lit(" (should not show)")))
               .otherwise(F.concat(name, F.lit(" "))))
-    return n.select(F.format_string("   %d =  '%s'", key, label).alias("value"))
+    return c.select(F.format_string("   %d =  '%s'", key, label).alias("value"))
 
 
 def port_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,12 +159,12 @@ def port_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def state_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """State list lines ``\\t'<key>'='<name>'`` from ``nation``, with a blank
-    after the closing quote for even keys."""
-    n = table(spark, sf_dir, "nation")
-    key = F.col("n_nationkey")
+    """State list lines ``\t'<key>'='<name>'``, one per customer (the market
+    segment as name), with a blank after the closing quote for even keys."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
     tail = F.when(key % 2 == 0, F.lit(" ")).otherwise(F.lit(""))
-    return n.select(F.concat(F.format_string("\t'%d'='%s'", key, F.col("n_name")), tail)
+    return c.select(F.concat(F.format_string("\t'%d'='%s'", key, F.col("c_mktsegment")), tail)
                     .alias("value"))
 
 

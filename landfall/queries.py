@@ -210,7 +210,7 @@ def src_raw_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ code lists
 @query("dict_country", """
-SELECT CAST(n_nationkey AS BIGINT) AS country_code, CASE WHEN n_nationkey % 5 < 3 THEN 'NA' ELSE n_name END AS country FROM nation
+SELECT c_custkey AS country_code, CASE WHEN c_custkey % 5 < 3 THEN 'NA' ELSE c_mktsegment END AS country FROM customer
 """)
 def dict_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country list text -> (country_code long, country)."""
@@ -230,7 +230,7 @@ def dict_port(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("dict_state", """
-SELECT CAST(n_nationkey AS VARCHAR) AS state_code, n_name AS state FROM nation
+SELECT CAST(c_custkey AS VARCHAR) AS state_code, c_mktsegment AS state FROM customer
 """)
 def dict_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State list text -> (state_code, state)."""
@@ -516,8 +516,8 @@ def mart_demographics_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mart_country_by_country", """
 SELECT * FROM (
- SELECT CAST(n_nationkey AS BIGINT) AS country_code, CASE WHEN n_nationkey % 5 < 3 THEN 'NA' ELSE n_name END AS country
- FROM nation) WHERE country = 'NA'
+ SELECT c_custkey AS country_code, CASE WHEN c_custkey % 5 < 3 THEN 'NA' ELSE c_mktsegment END AS country
+ FROM customer) WHERE country = 'NA'
 """)
 def mart_country_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country by label; the placeholder partition read back."""
@@ -539,12 +539,13 @@ def mart_port_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("mart_state_by_state", """
-SELECT CAST(n_nationkey AS VARCHAR) AS state_code, n_name AS state FROM nation WHERE n_name >= 'NATION_2'
+SELECT * FROM (SELECT CAST(c_custkey AS VARCHAR) AS state_code, c_mktsegment AS state FROM customer)
+WHERE state >= 'HOUSEHOLD'
 """)
 def mart_state_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States by name; a range of partitions read back."""
     m = _published(spark, "state", dict_state(spark, sf_dir), STATE)
-    return m.where(F.col("state") >= "NATION_2")
+    return m.where(F.col("state") >= "HOUSEHOLD")
 
 
 # ------------------------------------------------------------------ quality
