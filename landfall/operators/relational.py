@@ -20,7 +20,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
 
     Deterministic (unlike ``dropDuplicates``): the remaining columns break
     ties, so the same input always yields the same rows. Null key parts
-    compare equal, as in ``PARTITION BY``.
+    compare equal, as in ``PARTITION BY``. Nulls sort last in the ``order``
+    columns (with ``nulls_last``) and first among the tie-breaking columns.
 
     Built as ``groupBy(keys).agg(min(struct(order..., rest...)))`` rather than
     a ``row_number`` window: the aggregate has a partial (map-side) step, so a

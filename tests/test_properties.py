@@ -90,3 +90,26 @@ def test_fact_is_deterministic_under_reshuffled_input(spark):
     assert a.count() == b.count() == admissions(raw, default_mode(spark), default_visa(spark),
                                                 True, True).count()
     assert a.exceptAll(b).count() == 0
+
+
+_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)),
+                           st.one_of(st.none(), st.integers(-2, 2)),
+                           st.one_of(st.none(), st.text("abAB", max_size=2))),
+                 min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(_rows)
+def test_keep_first_matches_brute_force(spark, rows):
+    from landfall.operators.relational import keep_first
+    df = spark.createDataFrame(rows, "k int, o int, x string")
+    got = sorted((tuple(r) for r in keep_first(df, ["k"], ["o"]).collect()),
+                 key=lambda t: (t[0] is not None, t[0] or 0))
+    # reference: per key, first by o with nulls last, then by x with nulls first
+    best = {}
+    for k, o, x in rows:
+        rank = (o is None, o or 0, x is not None, x or "")
+        if k not in best or rank < best[k][0]:
+            best[k] = (rank, (k, o, x))
+    exp = sorted((v[1] for v in best.values()), key=lambda t: (t[0] is not None, t[0] or 0))
+    assert got == exp
