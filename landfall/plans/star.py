@@ -77,17 +77,25 @@ def table_uri(out: str, table: str) -> str:
     return f"{out.rstrip('/')}/{TABLE_PATHS[table]}"
 
 
+def airports_dimension(spark: SparkSession, airports_csv: str) -> DataFrame:
+    """Airport-codes CSV -> airport dimension (lazy)."""
+    raw = read_delimited(spark, airports_csv, sep=",", header=True,
+                         required=["ident", "iso_country", "iso_region", "iata_code", "local_code"])
+    return dims.airports(raw.select(*[c for c in AIRPORT_COLUMNS if c in raw.columns]))
+
+
+def demographics_dimension(spark: SparkSession, demographics_csv: str) -> DataFrame:
+    """City-demographics CSV -> demographics dimension (lazy)."""
+    demo = read_delimited(spark, demographics_csv, sep=";", header=True, schema=DEMOGRAPHICS)
+    return dims.demographics(demo)
+
+
 def build_dimensions(spark: SparkSession, inp: StarInputs) -> dict[str, DataFrame]:
-    """The five dimension DataFrames (lazy)."""
-    raw_airports = read_delimited(spark, inp.airports_csv, sep=",", header=True,
-                                  required=["ident", "iso_country", "iso_region",
-                                            "iata_code", "local_code"])
-    raw_airports = raw_airports.select(*[c for c in AIRPORT_COLUMNS if c in raw_airports.columns])
-    demo = read_delimited(spark, inp.demographics_csv, sep=";", header=True, schema=DEMOGRAPHICS)
-    # the code-list readers already drop null keys and keep one row per key
+    """The five dimension DataFrames (lazy). The code-list readers already
+    drop null keys and keep one row per key."""
     return {
-        "airports": dims.airports(raw_airports),
-        "demographics": dims.demographics(demo),
+        "airports": airports_dimension(spark, inp.airports_csv),
+        "demographics": demographics_dimension(spark, inp.demographics_csv),
         "country": read_country(spark, inp.country_list),
         "portOfEntry": read_port(spark, inp.port_list),
         "state": read_state(spark, inp.state_list),
@@ -106,6 +114,46 @@ def build_fact(spark: SparkSession, inp: StarInputs) -> DataFrame:
     return admissions(raw, mode, visa, lookups_bounded=built_in, lookups_unique=built_in)
 
 
+# ------------------------------------------------------------ one job per table
+def _publish(df: DataFrame, out: str, table: str) -> str:
+    uri = table_uri(out, table)
+    write_mart(df, uri, LAYOUTS[table])
+    return uri
+
+
+def publish_airports(spark: SparkSession, airports_csv: str, out: str) -> str:
+    """Airport-codes CSV -> ``airports`` by state; returns its URI."""
+    return _publish(airports_dimension(spark, airports_csv), out, "airports")
+
+
+def publish_demographics(spark: SparkSession, demographics_csv: str, out: str) -> str:
+    """City-demographics CSV -> ``demographics`` by State, City."""
+    return _publish(demographics_dimension(spark, demographics_csv), out, "demographics")
+
+
+def publish_country(spark: SparkSession, country_list: str, out: str) -> str:
+    """Country list -> ``country`` by country."""
+    return _publish(read_country(spark, country_list), out, "country")
+
+
+def publish_ports(spark: SparkSession, port_list: str, out: str) -> str:
+    """Port list -> ``portOfEntry`` by city."""
+    return _publish(read_port(spark, port_list), out, "portOfEntry")
+
+
+def publish_states(spark: SparkSession, state_list: str, out: str) -> str:
+    """State list -> ``state`` by state."""
+    return _publish(read_state(spark, state_list), out, "state")
+
+
+def publish_admissions(spark: SparkSession, admissions: str, out: str, fmt: str = "parquet",
+                       mode_list: str | None = None, visa_list: str | None = None,
+                       options: dict[str, str] | None = None) -> dict[str, str]:
+    """Raw admissions -> the three fact layouts; returns layout -> URI."""
+    inp = StarInputs("", "", "", "", "", admissions, fmt, mode_list, visa_list, dict(options or {}))
+    return publish_fact(spark, build_fact(spark, inp), out)
+
+
 def publish_fact(spark: SparkSession, fact: DataFrame, out: str,
                  parallel_jobs: int = 2) -> dict[str, str]:
     """Write the three fact layouts; the first is computed, the other two are
@@ -129,15 +177,20 @@ def run(spark: SparkSession, inp: StarInputs, out: str, parallel_jobs: int = 4)
     and are submitted concurrently (the small dimension jobs fill the
     cluster while the fact is shuffled); any failure is raised.
     """
-    dimensions = build_dimensions(spark, inp)
+    jobs = {
+        "airports": (publish_airports, inp.airports_csv),
+        "demographics": (publish_demographics, inp.demographics_csv),
+        "country": (publish_country, inp.country_list),
+        "portOfEntry": (publish_ports, inp.port_list),
+        "state": (publish_states, inp.state_list),
+    }
     fact = build_fact(spark, inp)
-    uris = {name: table_uri(out, name) for name in dimensions}
+    uris: dict[str, str] = {}
     with ThreadPoolExecutor(max(parallel_jobs, 1)) as pool:
         fact_job = pool.submit(publish_fact, spark, fact, out)
-        dim_jobs = [pool.submit(write_mart, df, uris[name], LAYOUTS[name])
-                    for name, df in dimensions.items()]
-        for f in dim_jobs:
-            f.result()
+        dim_jobs = {name: pool.submit(fn, spark, src, out) for name, (fn, src) in jobs.items()}
+        for name, f in dim_jobs.items():
+            uris[name] = f.result()
         uris.update(fact_job.result())
     return uris
 

@@ -51,3 +51,14 @@ def test_fact_with_list_files_matches_built_in_lookups(spark):
     assert with_files.count() == built_in.count()
     assert with_files.exceptAll(built_in).count() == 0
     assert with_files.where(F.col("arrival_mode") == "Land").count() > 0
+
+
+def test_single_table_jobs(spark):
+    inp = fx.write_star_inputs(spark, SMALL)
+    out = scratch_uri(spark, "star-single")
+    uri = star.publish_country(spark, inp.country_list, out)
+    assert uri.endswith("country/country.parquet")
+    assert spark.read.parquet(uri).count() == fx.table(spark, SMALL, "customer").count()
+    layouts = star.publish_admissions(spark, inp.admissions, out)
+    assert sorted(layouts) == ["arrival_date", "citizenship", "visatype"]
+    assert len({spark.read.parquet(u).count() for u in layouts.values()}) == 1
