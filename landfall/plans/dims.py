@@ -41,8 +41,3 @@ def demographics(df: DataFrame, key: Sequence[str] = tuple(DEMOGRAPHICS_KEY),
     """City demographics: rows with a state, one per key (City, State, Race,
     State_Code); among duplicates the first by the remaining columns."""
     return keep_first(df.where(F.col(state_col).isNotNull()), list(key))
-
-
-def code_dimension(df: DataFrame, key: str) -> DataFrame:
-    """Country, port-of-entry and state dimensions: non-null key, one row per key."""
-    return keep_first(drop_null_keys(df, [key]), [key])

@@ -21,6 +21,7 @@ from landfall.contracts import (
     AIRPORT_COLUMNS,
     DEMOGRAPHICS,
     DEMOGRAPHICS_KEY,
+    FACT_KEY,
     FACT_LAYOUTS,
     LAYOUTS,
     fact_schema,
@@ -52,9 +53,9 @@ TABLE_KEYS = {
     "country": ["country_code"],
     "portOfEntry": ["port_of_entry"],
     "state": ["state_code"],
-    "visatype": ["cic_id"],
-    "arrival_date": ["cic_id"],
-    "citizenship": ["cic_id"],
+    "visatype": FACT_KEY,
+    "arrival_date": FACT_KEY,
+    "citizenship": FACT_KEY,
 }
 
 
@@ -90,18 +91,6 @@ def demographics_dimension(spark: SparkSession, demographics_csv: str) -> DataFr
     return dims.demographics(demo)
 
 
-def build_dimensions(spark: SparkSession, inp: StarInputs) -> dict[str, DataFrame]:
-    """The five dimension DataFrames (lazy). The code-list readers already
-    drop null keys and keep one row per key."""
-    return {
-        "airports": airports_dimension(spark, inp.airports_csv),
-        "demographics": demographics_dimension(spark, inp.demographics_csv),
-        "country": read_country(spark, inp.country_list),
-        "portOfEntry": read_port(spark, inp.port_list),
-        "state": read_state(spark, inp.state_list),
-    }
-
-
 def build_fact(spark: SparkSession, inp: StarInputs) -> DataFrame:
     """The admissions fact (lazy)."""
     raw = load_raw_admissions(spark, inp.admissions, inp.admissions_format,

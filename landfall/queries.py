@@ -193,10 +193,6 @@ def src_csv_semicolon_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, uri, sep=";", header=True, schema=SUPPLIER_CONTRACT)
 
 
-ADMISSION_FIXTURE_COLUMNS = ["cicid", "i94yr", "i94mon", "i94cit", "arrdate", "i94mode",
-                             "depdate", "i94visa", "dtaddto", "visatype"]
-
-
 @query("src_raw_admissions", """
 WITH {raw_admissions} SELECT cicid, i94yr, i94mon, i94cit, arrdate, i94mode, depdate, i94visa, dtaddto, visatype FROM raw_admissions
 """)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from landfall.contracts import MODE, VISA
 from landfall.functions.cleaning import remove_quotes, to_na, trim_ws
 from landfall.operators.relational import drop_null_keys, keep_first
 from landfall.sources.constants import values_frame
@@ -77,16 +78,12 @@ def read_codelist(spark: SparkSession, uri: str | Sequence[str], key: str, label
 
 def default_visa(spark: SparkSession) -> DataFrame:
     """The visa lookup when no visa list file is given."""
-    schema = T.StructType([T.StructField("visa_code", T.LongType()),
-                           T.StructField("visa", T.StringType())])
-    return values_frame(spark, DEFAULT_VISA_ROWS, schema)
+    return values_frame(spark, DEFAULT_VISA_ROWS, VISA)
 
 
 def default_mode(spark: SparkSession) -> DataFrame:
     """The transport-mode lookup when no mode list file is given."""
-    schema = T.StructType([T.StructField("transport_code", T.LongType()),
-                           T.StructField("mode", T.StringType())])
-    return values_frame(spark, DEFAULT_MODE_ROWS, schema)
+    return values_frame(spark, DEFAULT_MODE_ROWS, MODE)
 
 
 def split_place(df: DataFrame, place: str = "place", city: str = "city",
