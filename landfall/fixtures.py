@@ -168,6 +168,15 @@ def state_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .alias("value"))
 
 
+def mode_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transport-mode list lines ``\t<key> = '<label>'``, one per order (so the
+    list grows with the data), labels cycling through the four modes."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    label = _cases(key % 4, [(0, "Air"), (1, "Sea"), (2, "Land"), (3, "Not reported")])
+    return o.select(F.format_string("\t%d = '%s'", key, label).alias("value"))
+
+
 def write_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
     """Write text lines to a fresh scratch location; returns its URI."""
     uri = scratch_uri(spark, name)

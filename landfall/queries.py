@@ -44,6 +44,7 @@ from landfall.sources.codelists import (
     default_mode,
     default_visa,
     read_country,
+    read_mode,
     read_port,
     read_state,
 )
@@ -234,6 +235,18 @@ def dict_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_state(spark, uri)
 
 
+@query("dict_mode", """
+SELECT o_orderkey AS transport_code,
+ CASE o_orderkey % 4 WHEN 0 THEN 'Air' WHEN 1 THEN 'Sea' WHEN 2 THEN 'Land' ELSE 'Not reported' END AS mode
+FROM orders
+""")
+def dict_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transport-mode list text (tab, numeric key, quoted label) ->
+    (transport_code long, mode)."""
+    uri = fx.write_lines(spark, fx.mode_lines(spark, sf_dir), "mode-list")
+    return read_mode(spark, uri)
+
+
 # ------------------------------------------------------------------ filters, unions
 @query("filter_eq_not_null", """
 WITH {raw_admissions} SELECT cicid, depdate, dtaddto FROM raw_admissions WHERE visatype = 'F' AND depdate IS NOT NULL AND dtaddto IS NOT NULL
