@@ -205,6 +205,24 @@ def src_raw_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_raw_admissions(spark, uri, "parquet")
 
 
+@query("src_raw_admissions_csv", """
+WITH {raw_admissions} SELECT CAST(cicid AS BIGINT) AS cicid, DATE '1960-01-01' + CAST(arrdate AS INTEGER) AS arrival_date,
+ DATE '1960-01-01' + CAST(depdate AS INTEGER) AS departure_date, CAST(i94mode AS INTEGER) AS i94mode,
+ CAST(i94visa AS INTEGER) AS i94visa, dtaddto, visatype FROM raw_admissions
+""")
+def src_raw_admissions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV variant of the source (every value text, a leading index
+    column ``_c0``) through the same loader; numbers and day numbers convert
+    from their text (``'20573.0'``) as from doubles."""
+    uri = scratch_uri(spark, "raw-admissions-csv")
+    raw = fx.raw_admissions(spark, sf_dir)
+    raw.select(F.col("cicid").cast("bigint").alias("_c0"), "*").write.option("header", "true").csv(uri)
+    typed = cast_raw(load_raw_admissions(spark, uri, "csv"))
+    return typed.select("cicid", sas_day_to_date("arrdate").alias("arrival_date"),
+                        sas_day_to_date("depdate").alias("departure_date"),
+                        "i94mode", "i94visa", "dtaddto", "visatype")
+
+
 # ------------------------------------------------------------------ code lists
 @query("dict_country", """
 SELECT c_custkey AS country_code, CASE WHEN c_custkey % 5 < 3 THEN 'NA' ELSE c_mktsegment END AS country FROM customer
