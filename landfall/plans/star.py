@@ -29,7 +29,7 @@ from landfall.contracts import (
 from landfall.operators.quality import key_report
 from landfall.plans import dims
 from landfall.plans.fact import admissions
-from landfall.plans.marts import read_mart, write_mart
+from landfall.plans.marts import read_mart, write_mart, write_tasks
 from landfall.sources.admissions import load_raw_admissions
 from landfall.sources.codelists import read_country, read_mode, read_port, read_state, read_visa
 from landfall.sources.delimited import read_delimited
@@ -105,8 +105,10 @@ def build_fact(spark: SparkSession, inp: StarInputs) -> DataFrame:
 
 # ------------------------------------------------------------ one job per table
 def _publish(df: DataFrame, out: str, table: str) -> str:
+    """Write a dimension: small, bounded by its code space, many partition
+    values, so one wave of hash-partitioned tasks writes its directories."""
     uri = table_uri(out, table)
-    write_mart(df, uri, LAYOUTS[table])
+    write_mart(df, uri, LAYOUTS[table], tasks=write_tasks(df.sparkSession))
     return uri
 
 

@@ -37,7 +37,7 @@ from landfall.operators.quality import drop_reasons, key_report, schema_report
 from landfall.operators.relational import keep_first, label_or_other, lookup_left
 from landfall.plans import dims
 from landfall.plans.fact import admissions, cast_raw
-from landfall.plans.marts import read_mart, write_mart
+from landfall.plans.marts import read_mart, write_mart, write_tasks
 from landfall.session import scratch_uri
 from landfall.sources.admissions import load_raw_admissions
 from landfall.sources.codelists import (
@@ -508,7 +508,7 @@ def fact_admissions_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _published(spark: SparkSession, table: str, df: DataFrame, schema: T.StructType) -> DataFrame:
     """Write a dimension in its published layout and read it back."""
     uri = scratch_uri(spark, f"dim-{table}")
-    write_mart(df, uri, LAYOUTS[table])
+    write_mart(df, uri, LAYOUTS[table], tasks=write_tasks(spark))
     return read_mart(spark, uri, schema)
 
 
