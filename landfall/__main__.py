@@ -1,12 +1,14 @@
 """Command line: build and publish the star.
 
     spark-submit --py-files landfall.zip landfall/__main__.py \\
-        --airports-csv s3a://raw/airport-codes_csv.csv \\
-        --demographics-csv s3a://raw/us-cities-demographics.csv \\
-        --country-list s3a://raw/I94cntyl.txt --port-list s3a://raw/I94port.txt \\
-        --state-list s3a://raw/I94State.txt --mode-list s3a://raw/I94mode.txt \\
-        --admissions s3a://raw/i94/ --admissions-format parquet \\
-        --out s3a://analytics/
+        --airports-csv s3a://bucket/raw/airports.csv \\
+        --demographics-csv s3a://bucket/raw/city_demographics.csv \\
+        --country-list s3a://bucket/raw/lists/countries.txt \\
+        --port-list s3a://bucket/raw/lists/ports.txt \\
+        --state-list s3a://bucket/raw/lists/states.txt \\
+        --mode-list s3a://bucket/raw/lists/modes.txt \\
+        --admissions s3a://bucket/raw/admissions/ --admissions-format parquet \\
+        --out s3a://bucket/star/
 
 Credentials and file-system settings come from the Spark/Hadoop
 configuration (``spark.hadoop.fs.s3a.*``), not from this program.
