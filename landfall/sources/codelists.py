@@ -2,9 +2,9 @@
 
 Shapes handled by one parser (tabs shown as ``\\t``)::
 
-       582 =  'MEXICO Air Sea, ...'        country: long key
-       'ALC'\\t=\\t'ALCAN, AK      '         port: quoted string key
-    \\t'AL'='ALABAMA'                       state
+       582 =  'FREEDONIA Air Sea, ...'     country: long key
+       'ALQ'\\t=\\t'ALDER, QQ      '         port: quoted string key
+    \\t'QA'='QUILLAND'                      state
     \\t1 = 'Air'                            transport mode
     1 = Business                            visa (unquoted)
 
@@ -88,7 +88,7 @@ def default_mode(spark: SparkSession) -> DataFrame:
 
 def split_place(df: DataFrame, place: str = "place", city: str = "city",
                 state_code: str = "state_code") -> DataFrame:
-    """``'ALCAN, AK'`` -> city ``ALCAN``, state_code ``AK``; token 1 is null when
+    """``'ALDER, QQ'`` -> city ``ALDER``, state_code ``QQ``; token 1 is null when
     there is no comma. Tokens are trimmed."""
     parts = F.split(F.col(place), ",")
     return (df.withColumn(city, trim_ws(F.get(parts, 0)))

@@ -18,34 +18,34 @@ def _write(spark, lines):
 
 
 def test_country_shapes(spark):
-    lines = ["   0  =  'INVALID: STATELESS'", "   311 =  'Collapsed Tanzania (should not show)'",
-             "   54 =  'No Country Code (54)'", "   687 =  'ARGENTINA '",
-             "   582 =  'MEXICO Air Sea, and Not Reported (I-94, no land arrivals)'", "",
+    lines = ["   0  =  'INVALID: NOWHERE'", "   311 =  'Collapsed Atlantis (should not show)'",
+             "   54 =  'No Country Code (54)'", "   687 =  'ARCADIA '",
+             "   582 =  'FREEDONIA Air Sea, and Not Reported (X-9, no land arrivals)'", "",
              "   996 =  'No Country Code (996)' ;"]
     got = {r[0]: r[1] for r in read_country(spark, _write(spark, lines)).collect()}
-    assert got == {0: "NA", 311: "NA", 54: "NA", 687: "ARGENTINA",
-                   582: "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)", 996: "NA"}
+    assert got == {0: "NA", 311: "NA", 54: "NA", 687: "ARCADIA",
+                   582: "FREEDONIA Air Sea, and Not Reported (X-9, no land arrivals)", 996: "NA"}
 
 
 def test_port_shapes(spark):
-    lines = ["   'AG'\t\t=\t'No PORT Code (AG)'", "   'NK' \t=\t'No PORT Code (NK)'",
-             "   'CP '\t=\t'No PORT Code (CP)'", "   'INT'\t=\t'INT''L FALLS, MN      '",
-             "   'GTF'\t=\t'Collapsed into INT, MN'", "   'BLT'\t=\t'PACIFIC, HWY. STATION, CA '",
-             "   'WAS'\t=\t'WASHINGTON DC         '", "'ALC'\t=\t'ALCAN, AK             '"]
+    lines = ["   'QG'\t\t=\t'No PORT Code (QG)'", "   'ZK' \t=\t'No PORT Code (ZK)'",
+             "   'ZP '\t=\t'No PORT Code (ZP)'", "   'KIT'\t=\t'KIT''S CROSSING, ZZ      '",
+             "   'QTF'\t=\t'Collapsed into KIT, ZZ'", "   'BQT'\t=\t'LAKESIDE, RTE. DEPOT, YY '",
+             "   'CPX'\t=\t'CAPITAL CITY         '", "'ALQ'\t=\t'ALDER, QQ             '"]
     got = {r[0]: (r[1], r[2]) for r in read_port(spark, _write(spark, lines)).collect()}
     assert got == {
-        "AG": ("NA", None), "NK": ("NA", None), "CP": ("NA", None),
-        "INT": ("INTL FALLS", "MN"), "GTF": ("NA", None),
-        "BLT": ("PACIFIC", "HWY. STATION"), "WAS": ("WASHINGTON DC", None),
-        "ALC": ("ALCAN", "AK"),
+        "QG": ("NA", None), "ZK": ("NA", None), "ZP": ("NA", None),
+        "KIT": ("KITS CROSSING", "ZZ"), "QTF": ("NA", None),
+        "BQT": ("LAKESIDE", "RTE. DEPOT"), "CPX": ("CAPITAL CITY", None),
+        "ALQ": ("ALDER", "QQ"),
     }
 
 
 def test_state_mode_visa_shapes(spark):
-    st = read_state(spark, _write(spark, ["\t'AL'='ALABAMA'", "\t'WY'='WYOMING' ",
+    st = read_state(spark, _write(spark, ["\t'QA'='QUILLAND'", "\t'ZY'='ZEPHYRIA' ",
                                           "\t'99'='All Other Codes'"]))
     assert sorted(tuple(r) for r in st.collect()) == [
-        ("99", "All Other Codes"), ("AL", "ALABAMA"), ("WY", "WYOMING")]
+        ("99", "All Other Codes"), ("QA", "QUILLAND"), ("ZY", "ZEPHYRIA")]
     # a repeated key yields one row (a list may repeat a line)
     md = read_mode(spark, _write(spark, ["\t1 = 'Air'", "\t2 = 'Sea'", "\t3 = 'Land'",
                                          "\t3 = 'Land'", "\t9 = 'Not reported'"]))
