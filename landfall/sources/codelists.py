@@ -51,7 +51,7 @@ def parse_codelist(lines: DataFrame, key: str, label: str, key_type: str = "stri
     placeholder labels are replaced by ``NA`` before quotes are removed.
     Keys that do not convert to ``key_type`` become null and are dropped.
     """
-    line = F.col(line_col)
+    line = F.regexp_replace(F.col(line_col), "^\uFEFF", "")  # a byte-order mark on line 1
     raw_key = trim_ws(remove_quotes(F.regexp_extract(line, _LINE, 1)))
     raw_label = F.regexp_extract(line, _LINE, 2)
     if placeholders:

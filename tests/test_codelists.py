@@ -18,7 +18,7 @@ def _write(spark, lines):
 
 
 def test_country_shapes(spark):
-    lines = ["   0  =  'INVALID: NOWHERE'", "   311 =  'Collapsed Atlantis (should not show)'",
+    lines = ["\ufeff   0  =  'INVALID: NOWHERE'", "   311 =  'Collapsed Atlantis (should not show)'",
              "   54 =  'No Country Code (54)'", "   687 =  'ARCADIA '",
              "   582 =  'FREEDONIA Air Sea, and Not Reported (X-9, no land arrivals)'", "",
              "   996 =  'No Country Code (996)' ;"]
