@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Lookups within both bounds are broadcast; beyond them the join shuffles.
@@ -23,11 +23,13 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
     compare equal, as in ``PARTITION BY``. Nulls sort last in the ``order``
     columns (with ``nulls_last``) and first among the tie-breaking columns.
 
-    Built as ``groupBy(keys).agg(min(struct(order..., rest...)))`` rather than
-    a ``row_number`` window: the aggregate has a partial (map-side) step, so a
-    hot key holding a large share of the rows is reduced to one row per input
-    partition *before* the shuffle and no single task ever receives the whole
-    group.
+    Built as ``row_number() OVER (PARTITION BY keys ORDER BY order, rest) = 1``.
+    Spark (3.5+) plans this as a *partial* ``WindowGroupLimit`` before the
+    shuffle and a final one after it, so every map task keeps only its first
+    row per key: a key holding a third of all rows reaches its reducer as
+    one row per map task, never as the whole group (measured by
+    ``tests/shuffle_evidence.py``). It needs the same map-side sort as
+    Spark's ``dropDuplicates`` aggregate, but less work after it.
     """
     keys = list(keys)
     order = list(order)
@@ -35,18 +37,14 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
     if missing:
         raise ValueError(f"keep_first: unknown columns {missing}")
     rest = [c for c in df.columns if c not in keys and c not in order]
-    ranked = order + rest
-    if not ranked:
+    if not order and not rest:
         return df.select(*keys).distinct()
-    fields: list[Column] = []
-    for i, c in enumerate(ranked):
-        if nulls_last and i < len(order):
-            fields.append(F.col(c).isNull().alias(f"n{i}"))
-        fields.append(F.col(c).alias(f"v{i}"))
-    best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_first"))
-    cols = {k: F.col(k) for k in keys}
-    cols.update({c: F.col(f"_first.v{i}").alias(c) for i, c in enumerate(ranked)})
-    return best.select(*[cols[c] for c in df.columns])
+    ranking = ([F.col(c).asc_nulls_last() if nulls_last else F.col(c).asc_nulls_first()
+                for c in order]
+               + [F.col(c).asc_nulls_first() for c in rest])
+    rn = "__keep_first_rn"
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*ranking)
+    return df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1).drop(rn)
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
