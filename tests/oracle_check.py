@@ -31,7 +31,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v.hex()  # exact: no rounding hides a difference
     if isinstance(v, _dt.datetime):
         return v.isoformat()
     if isinstance(v, _dt.date):
