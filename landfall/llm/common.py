@@ -58,12 +58,6 @@ class Scratch:
         path = jvm.org.apache.hadoop.fs.Path(uri)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
-    def release(self, df: DataFrame) -> None:
-        """Delete a kept table that nothing reads any more."""
-        for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            if f.split("/")[-2:] and any(f.endswith(t.split("/", 3)[-1]) for t in self._temporary):
-                self.drop(f)
-
 
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have (case-insensitive)."""
@@ -141,20 +135,19 @@ def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -
     e = scratch.keep(e.where("u <> v").distinct(), "cc-edges")
     previous = None
     while True:
+        # large star: every larger neighbour of u points to the least of u and its neighbours
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = scratch.keep(both.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
-        # large star: every larger neighbour of u points to the least of u's closed neighbourhood
-        large = (both.join(low, "u").where("v > u")
-                 .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
+        low = scratch.keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-min")
+        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         e = scratch.keep(large, "cc-large")
-        # small star: each node u has neighbours v < u; they all move to the least one
-        low = scratch.keep(e.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
+        # small star: a node's smaller neighbours, and the node, point to the least of them
+        low = e.groupBy("u").agg(F.min("v").alias("m"))
         small = (e.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         e = scratch.keep(small, "cc-small")
-        state = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
-                            F.count_distinct("u")).first())
-        if state == previous and state[0] == state[2]:
+        state = tuple(e.agg(F.count("*"), F.count_distinct("u"), F.sum(F.col("u").cast("decimal(38,0)")),
+                            F.sum(F.col("v").cast("decimal(38,0)"))).first())
+        if state == previous and state[0] == state[1]:
             break
         previous = state
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules
+from . import byte_bpe, jaccard_join, mixing, quality_rules
 from .common import Scratch
 
 
@@ -13,6 +13,21 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def bpe_files() -> tuple[str, str]:
+    """Path of the rank file and the pattern that splits text before merging."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(_documents(spark, sf_dir), *bpe_files())
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_groups(spark, _documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(spark, _documents(spark, sf_dir))
 
@@ -23,7 +38,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         return scratch.keep(mixed, "result", result=True)
 
 
-QUERIES = {f.__name__: f for f in (op9_quality_rules, op10_source_mix)}
+QUERIES = {f.__name__: f for f in (op3_byte_bpe, op8_jaccard_join, op9_quality_rules, op10_source_mix)}
 
 ORACLE: dict[str, str] = {}
 
