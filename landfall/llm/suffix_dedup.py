@@ -146,45 +146,37 @@ def context_table(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "text_id binary, low int, anchor long, digest binary, body binary")
 
 
-def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(suffix array, ranks), ordered by the first ``depth`` bytes at least, by
-    Larsson-Sadakane refinement: ranks double their reach each round, and only
-    groups that are still unsorted are sorted again. Equal suffixes up to that
-    depth share the rank of the group's last place."""
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """The suffix array by Larsson-Sadakane refinement: ranks double their
+    reach each round, and only groups that are still unsorted are sorted again."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     key = np.zeros(n, np.uint64)
     for j in range(8):
         key = (key << np.uint64(8)) | padded[j:j + n]
     sa = np.argsort(key, kind="stable")
-    rank = np.empty(n, np.int64)
-
-    def group_ends(keys):
-        """Whether each place ends a group, in sorted order."""
-        return np.append(keys[1:] != keys[:-1], True)
-
-    ends = group_ends(key[sa])
-    # a suffix that ends inside its key sorts before longer ones with zero bytes: the padding of
-    # the last 7 places may tie with real zeros, which later rounds settle by the rank past the end
+    rank = np.empty(n, np.int64)  # the last place of a suffix's group
+    ends = np.append(np.diff(key[sa]) != 0, True)[:n]
     places = np.flatnonzero(ends)
     rank[sa] = np.repeat(places, np.diff(np.append(-1, places)))
+    unsorted = ~(ends & np.append(True, ends[:-1])[:n])
     reach = 8
-    open_ = ~(ends & np.append(True, ends[:-1]))
-    while reach < depth and open_.any():
-        where = np.flatnonzero(open_)
+    while unsorted.any():
+        where = np.flatnonzero(unsorted)
         members = sa[where]
         ahead = members + reach
-        second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        # past the end the shorter suffix comes first (the padding is no byte)
+        second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, n - ahead)
         group = rank[members]
-        order = np.argsort(group * (n + 1) + second, kind="stable")
+        order = np.argsort(group * (2 * n + reach + 1) + second + n + reach, kind="stable")
         members, group, second = members[order], group[order], second[order]
         sa[where] = members
-        change = np.append((group[1:] != group[:-1]) | (second[1:] != second[:-1]), True)
+        change = np.append((np.diff(group) != 0) | (np.diff(second) != 0), True)
         last = np.flatnonzero(change)
         rank[members] = np.repeat(where[last], np.diff(np.append(-1, last)))
-        open_[where] = ~(change & np.append(True, change[:-1]))
+        unsorted[where] = ~(change & np.append(True, change[:-1]))
         reach *= 2
-    return sa, rank
+    return sa
 
 
 def common_prefixes(text: np.ndarray, sa: np.ndarray, starts: np.ndarray, cap: int) -> np.ndarray:
@@ -225,7 +217,7 @@ def window_classes(bodies: list[bytes]):
     text = np.frombuffer(b"".join(bodies), np.uint8)
     lengths = np.array([len(b) for b in bodies])
     starts = np.cumsum(lengths) - lengths
-    sa, _ = suffix_array(text, WIDTH)
+    sa = suffix_array(text)
     prefix = common_prefixes(text, sa, starts, WIDTH)
     classes = np.cumsum(prefix[sa] < WIDTH)
     context = np.repeat(np.arange(len(bodies)), lengths)[sa]
@@ -236,6 +228,8 @@ def window_classes(bodies: list[bytes]):
 
 def _spans(context: np.ndarray, start: np.ndarray):
     """Per context the merged byte spans [from, to) of its repeated windows."""
+    if not len(start):
+        return context, start, start
     order = np.lexsort((start, context))
     context, start = context[order], start[order]
     head = np.append(True, (context[1:] != context[:-1]) | (start[1:] > start[:-1] + WIDTH))
@@ -326,10 +320,9 @@ def merge_runs(runs: DataFrame) -> DataFrame:
             again = (total[p] >= 2)[np.frombuffer(r["key_of"], np.int64)]
             context = np.frombuffer(r["context"], np.int64)[again]
             start = np.frombuffer(r["start"], np.int64)[again]
-            if len(start):
-                for c, a, b in zip(*(x.tolist() for x in _spans(context, start)), strict=True):
-                    digests.append(r["digests"][c])
-                    spans.append([a, b])
+            for c, a, b in zip(*(x.tolist() for x in _spans(context, start)), strict=True):
+                digests.append(r["digests"][c])
+                spans.append([a, b])
         return pa.table({"digest": pa.array(digests, pa.binary()), "span": pa.array(spans, pa.list_(pa.int32()))})
 
     return runs.groupBy("anchor", "range").applyInArrow(merge, "digest binary, span array<int>")
