@@ -246,10 +246,9 @@ def jaccard_groups(spark, docs: DataFrame, k: int = K) -> DataFrame:
 
 def one_of_each_group(spark, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those that link, directly or not, to a row
-    with a smaller doc_id; of rows with equal ids and texts one stays."""
+    with a smaller doc_id (rows with equal ids are one document and stay)."""
     with Scratch(spark, "jaccard-stage") as scratch:
         groups = jaccard_groups(spark, docs)
         keep = scratch.keep(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                            .select(F.col("doc_id").alias("kept_id")).distinct(), "kept-ids")
-        out = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
-        return scratch.keep(out, "kept", result=True)
+                            .select(F.col("doc_id").alias("kept_id")).distinct(), "kept-ids", result=True)
+    return docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")

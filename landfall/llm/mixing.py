@@ -85,7 +85,7 @@ def keyed(docs: DataFrame, row_id: str = "doc_id", text: str = "text", source: s
                        sampling_key(F.col(row_id), F.col(text)).alias("key"))
 
 
-def mix_plan(scratch: Scratch, base: DataFrame) -> DataFrame:
+def mix_plan(scratch: Scratch, base: DataFrame, result: bool = False) -> DataFrame:
     """One row per source: m_source, source_size, target, epochs and ``last``,
     the greatest (key, doc_id, size) that the fractional part still takes
     (null: none). ``base`` has the columns of ``keyed``; written tables only.
@@ -116,7 +116,7 @@ def mix_plan(scratch: Scratch, base: DataFrame) -> DataFrame:
     last = taken.groupBy(F.col("source").alias("l_source")).agg(
         F.max(F.struct("key", "doc_id", "size")).alias("last"))
     plan = targets.join(last, F.col("m_source").eqNullSafe(F.col("l_source")), "left")
-    return scratch.keep(plan.select("m_source", "source_size", "target", "epochs", "last"), "mix-plan")
+    return scratch.keep(plan.select("m_source", "source_size", "target", "epochs", "last"), "mix-plan", result)
 
 
 def copies():
@@ -137,15 +137,13 @@ def mix(scratch: Scratch, docs: DataFrame) -> DataFrame:
 def mix_documents(spark, docs: DataFrame) -> DataFrame:
     """The mixed corpus: each row of ``docs`` repeated as often as it is taken
     (rows that are not taken go), with all its columns."""
-    row, cols = "carried", [F.col(f"`{c}`") for c in docs.columns]
     with Scratch(spark, "mixing") as scratch:
-        plan = mix_plan(scratch, scratch.keep(keyed(docs), "mix-keys"))
-        base = keyed(docs.select("doc_id", "text", "source")).columns
-        packed = docs.select(F.struct(*cols).alias(row))
-        rows = packed.select(
-            row, F.col(f"{row}.doc_id").alias(base[0]), F.col(f"{row}.source").alias(base[1]),
-            count_words(F.col(f"{row}.text")).alias(base[2]),
-            sampling_key(F.col(f"{row}.doc_id"), F.col(f"{row}.text")).alias(base[3]))
-        taken = rows.join(plan, F.col("source").eqNullSafe(F.col("m_source"))).select(
-            row, F.explode(F.array_repeat(F.lit(1), copies().cast("int"))).alias("copy"))
-        return scratch.keep(taken.select(f"{row}.*"), "mixed", result=True)
+        plan = mix_plan(scratch, scratch.keep(keyed(docs), "mix-keys"), result=True)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row).select(
+        "row", F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"),
+        count_words(F.col("row.text")).alias("size"),
+        sampling_key(F.col("row.doc_id"), F.col("row.text")).alias("key"))
+    taken = rows.join(plan, F.col("source").eqNullSafe(F.col("m_source"))).select(
+        "row", F.explode(F.array_repeat(F.lit(1), copies().cast("int"))).alias("copy"))
+    return taken.select("row.*")

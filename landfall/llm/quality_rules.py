@@ -175,9 +175,10 @@ def estimate(patterns: DataFrame) -> tuple[dict[str, tuple[float, float]], float
     return accuracy, good
 
 
-def judged(scratch: Scratch, docs: DataFrame, keep: list, text: str = "text") -> DataFrame:
-    """``keep`` columns, counts ``c``, ``base_failed``, ``posterior``, ``kept``."""
-    table = scratch.keep(counted(docs, keep, text), "counts")
+def judged(scratch: Scratch, docs: DataFrame, keep: list, text: str = "text", result: bool = False) -> DataFrame:
+    """``keep`` columns, counts ``c``, ``base_failed``, ``posterior``, ``kept``;
+    ``result``: the counted table outlives ``scratch``."""
+    table = scratch.keep(counted(docs, keep, text), "counts", result)
     patterns = scratch.keep(table.select(*votes()).groupBy(*RULES).agg(F.count("*").alias("n"))
                             .coalesce(1), "patterns")
     accuracy, good = estimate(patterns)
@@ -202,5 +203,5 @@ def keep_good(spark, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     with Scratch(spark, "quality-filter") as scratch:
-        out = judged(scratch, packed.withColumn("text", F.col("row.text")), ["row"])
-        return scratch.keep(out.where("kept").select("row.*"), "kept", result=True)
+        out = judged(scratch, packed.withColumn("text", F.col("row.text")), ["row"], result=True)
+        return out.where("kept").select("row.*")

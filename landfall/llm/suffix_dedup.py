@@ -328,7 +328,7 @@ def merge_runs(runs: DataFrame) -> DataFrame:
     return runs.groupBy("anchor", "range").applyInArrow(merge, "digest binary, span array<int>")
 
 
-def repeated_spans(scratch: Scratch, texts: DataFrame, group: int = GROUP) -> DataFrame:
+def repeated_spans(scratch: Scratch, texts: DataFrame, group: int = GROUP, result: bool = False) -> DataFrame:
     """(text_id, spans): for each text that has repeated strings, byte spans
     [from, to) that cover them; spans may touch or overlap."""
     found = scratch.keep(anchor_table(texts), "anchors")
@@ -354,7 +354,7 @@ def repeated_spans(scratch: Scratch, texts: DataFrame, group: int = GROUP) -> Da
         "text_id", (F.col("low") + F.get("span", F.lit(0))).alias("from"),
         (F.col("low") + F.get("span", F.lit(1))).alias("to"))
     return scratch.keep(placed.groupBy("text_id").agg(F.collect_set(F.struct("from", "to")).alias("spans")),
-                        "text-spans")
+                        "text-spans", result)
 
 
 def kept_bytes(raw: bytes | None, spans: list[dict] | None) -> tuple[bytes, int, int]:
@@ -374,10 +374,10 @@ def kept_bytes(raw: bytes | None, spans: list[dict] | None) -> tuple[bytes, int,
     return b"".join(kept), removed, runs
 
 
-def _with_spans(docs: DataFrame, scratch: Scratch, text, *columns):
+def _with_spans(docs: DataFrame, scratch: Scratch, text, *columns, result: bool = False):
     raw = F.coalesce(text.cast("binary"), F.lit(b""))
     texts = docs.select(F.unhex(F.md5(raw)).alias("text_id"), raw.alias("raw"), *columns)
-    spans = repeated_spans(scratch, texts.select("text_id", "raw"))
+    spans = repeated_spans(scratch, texts.select("text_id", "raw"), result=result)
     return texts.join(spans, "text_id", "left")
 
 
@@ -418,15 +418,14 @@ def remove_repeats(spark, docs: DataFrame) -> DataFrame:
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     with Scratch(spark, "suffix-stage") as scratch:
         packed = docs.select(whole.alias("row"))
-        joined = _with_spans(packed, scratch, F.col("row.text"), "row").select("row", "raw", "spans")
-        schema = T.StructType([T.StructField("row", joined.schema["row"].dataType), T.StructField("cut", T.BooleanType()),
-                               T.StructField("text", T.StringType())])
-        new = joined.mapInArrow(run, schema)
-        text = F.when(F.col("cut"), F.col("text")).otherwise(F.col("row.text"))
-        out = {c: F.col(f"row.`{c}`") for c in docs.columns}
-        for c in out:
-            if c.lower() == "text":
-                out[c] = text
-            elif c.lower() == "n_chars":
-                out[c] = F.when(F.col("cut"), F.length("text")).otherwise(out[c]).cast(docs.schema[c].dataType)
-        return scratch.keep(new.select(*[e.alias(c) for c, e in out.items()]), "cut", result=True)
+        joined = _with_spans(packed, scratch, F.col("row.text"), "row", result=True).select("row", "raw", "spans")
+    schema = T.StructType([T.StructField("row", joined.schema["row"].dataType), T.StructField("cut", T.BooleanType()),
+                           T.StructField("text", T.StringType())])
+    new = joined.mapInArrow(run, schema)
+    out = {c: F.col(f"row.`{c}`") for c in docs.columns}
+    for c in out:
+        if c.lower() == "text":
+            out[c] = F.when(F.col("cut"), F.col("text")).otherwise(out[c])
+        elif c.lower() == "n_chars":
+            out[c] = F.when(F.col("cut"), F.length("text")).otherwise(out[c]).cast(docs.schema[c].dataType)
+    return new.select(*[e.alias(c) for c, e in out.items()])
