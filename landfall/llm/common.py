@@ -53,6 +53,10 @@ class Scratch:
         df.write.parquet(uri)
         return self.spark.read.schema(df.schema).parquet(uri)
 
+    def temporary(self, uri: str) -> None:
+        """Delete ``uri`` with the other tables."""
+        self._temporary.append(uri)
+
     def drop(self, uri: str) -> None:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(uri)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, html_text, jaccard_join, mixing, quality_rules, suffix_dedup
+from . import byte_bpe, html_text, jaccard_join, mixing, quality_rules, suffix_dedup, warc
 from .common import Scratch
 
 
@@ -20,6 +20,10 @@ def bpe_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_documents(spark, sf_dir), *bpe_files())
 
@@ -46,7 +50,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         return scratch.keep(mixed, "result", result=True)
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op5_html_text, op6_suffix_dedup, op8_jaccard_join, op9_quality_rules, op10_source_mix)}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_byte_bpe, op5_html_text, op6_suffix_dedup, op8_jaccard_join, op9_quality_rules, op10_source_mix)}
 
 ORACLE: dict[str, str] = {}
 
