@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, html_text, jaccard_join, mixing, quality_rules, suffix_dedup, warc
+from . import byte_bpe, embedding_dedup, html_text, jaccard_join, mixing, quality_rules, suffix_dedup, warc
 from .common import Scratch
 
 
@@ -28,6 +28,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_documents(spark, sf_dir), *bpe_files())
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -50,7 +54,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         return scratch.keep(mixed, "result", result=True)
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_byte_bpe, op5_html_text, op6_suffix_dedup, op8_jaccard_join, op9_quality_rules, op10_source_mix)}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_byte_bpe, op4_embedding_dedup, op5_html_text, op6_suffix_dedup, op8_jaccard_join, op9_quality_rules, op10_source_mix)}
 
 ORACLE: dict[str, str] = {}
 
