@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, embedding_dedup, html_text, jaccard_join, mixing, quality_rules, suffix_dedup, warc
+from . import byte_bpe, embedding_dedup, html_text, jaccard_join, language_id, mixing, quality_rules, suffix_dedup, warc
 from .common import Scratch
 
 
@@ -40,6 +40,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(spark, _documents(spark, sf_dir))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(spark, _documents(spark, sf_dir))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(spark, _documents(spark, sf_dir))
 
@@ -54,7 +58,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         return scratch.keep(mixed, "result", result=True)
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_byte_bpe, op4_embedding_dedup, op5_html_text, op6_suffix_dedup, op8_jaccard_join, op9_quality_rules, op10_source_mix)}
+QUERIES = {f.__name__: f for f in (op2_warc, op3_byte_bpe, op4_embedding_dedup, op5_html_text, op6_suffix_dedup, op7_language_id, op8_jaccard_join, op9_quality_rules, op10_source_mix)}
 
 ORACLE: dict[str, str] = {}
 
