@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, embedding_dedup, html_text, jaccard_join, language_id, mixing, quality_rules, suffix_dedup, warc
+from . import byte_bpe, embedding_dedup, html_text, jaccard_join, language_id, line_crf, mixing, quality_rules, suffix_dedup, warc
 from .common import Scratch
 
 
@@ -20,6 +20,10 @@ def bpe_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality(spark, _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -58,7 +62,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         return scratch.keep(mixed, "result", result=True)
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_byte_bpe, op4_embedding_dedup, op5_html_text, op6_suffix_dedup, op7_language_id, op8_jaccard_join, op9_quality_rules, op10_source_mix)}
+QUERIES = {f.__name__: f for f in (op1_line_crf, op2_warc, op3_byte_bpe, op4_embedding_dedup, op5_html_text, op6_suffix_dedup, op7_language_id, op8_jaccard_join, op9_quality_rules, op10_source_mix)}
 
 ORACLE: dict[str, str] = {}
 
