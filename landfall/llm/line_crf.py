@@ -83,7 +83,7 @@ def line_features(data: np.ndarray, offsets: np.ndarray, powers: Powers):
     again = _repeats(line_of, words)
     place = (np.arange(len(words)) - at[:-1][line_of]).astype(np.uint64)
     line_hash = np.add.reduceat(mix64(words + place * np.uint64(0x9E3779B97F4A7C15)), at[:-1][keep]) if keep.any() else words
-    per_line = lambda x: np.bincount(line_of, weights=x, minlength=len(start))[keep]
+    n_adjacent, n_again = (np.bincount(line_of, weights=x, minlength=len(start))[keep] for x in (adjacent, again))
     c = {k: v[keep].astype(np.float64) for k, v in counts.items()}
     start, stop, n_words = start[keep], stop[keep], n_words[keep].astype(np.float64)
     rows = np.searchsorted(offsets, start, side="right") - 1
@@ -94,8 +94,8 @@ def line_features(data: np.ndarray, offsets: np.ndarray, powers: Powers):
     for i, x in enumerate((
             np.log1p(inked) / 5, c["symbol"] / inked, c["symbol"] / inked > 0.02, c["digit"] / inked,
             c["upper"] / np.maximum(c["letter"], 1), c["letter"] / np.maximum(inked, 1), np.log1p(n_words) / 4,
-            inked / n_words / 10, _SENTENCE_END[data[last_ink]], per_line(adjacent) / n_words,
-            1 - per_line(again) / n_words, _repeats(rows, line_hash), c["shout"] / n_words,
+            inked / n_words / 10, _SENTENCE_END[data[last_ink]], n_adjacent / n_words,
+            1 - n_again / n_words, _repeats(rows, line_hash), c["shout"] / n_words,
             c["upper"] / n_words, c["point"] / inked)):
         own[:, i] = x
     first = np.append(True, rows[1:] != rows[:-1])[:len(rows)]
