@@ -40,8 +40,9 @@ from .shingles import mix64
 WIDTH = 200          # bytes of a repeated string
 GRAM = 32            # bytes of an anchor
 GROUP = 4096         # different contexts of an anchor that one shard takes
-SHARD_BYTES = 1 << 21
-SLICE_BYTES = 1 << 22
+SHARD_BYTES = 640 << 10
+SLICE_BYTES = 1 << 19
+FIRST = 7            # bytes of the first ranks
 _POS_BITS = np.uint64(24)  # places inside a slice
 
 
@@ -146,68 +147,97 @@ def context_table(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "text_id binary, low int, anchor long, digest binary, body binary")
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """The suffix array by Larsson-Sadakane refinement: ranks double their
-    reach each round, and only groups that are still unsorted are sorted again."""
+def suffix_ranks(text: np.ndarray, depth: int) -> np.ndarray:
+    """Ranks of the suffixes by their first ``depth`` bytes or more, by
+    Larsson-Sadakane refinement: ranks double their reach each round, and only
+    groups that are still unsorted are sorted again. Suffixes that are equal so
+    far share the rank of their group's last place."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     key = np.zeros(n, np.uint64)
-    for j in range(8):
+    for j in range(FIRST):
         key = (key << np.uint64(8)) | padded[j:j + n]
-    sa = np.argsort(key, kind="stable")
-    rank = np.empty(n, np.int64)  # the last place of a suffix's group
+    # the last byte tells suffixes that end inside the key from those with zero bytes there
+    key = key << np.uint64(8) | np.minimum(np.arange(n, 0, -1), FIRST).astype(np.uint64)
+    sa = np.argsort(key)
+    rank = np.empty(n, np.int64)
     ends = np.append(np.diff(key[sa]) != 0, True)[:n]
     places = np.flatnonzero(ends)
     rank[sa] = np.repeat(places, np.diff(np.append(-1, places)))
     unsorted = ~(ends & np.append(True, ends[:-1])[:n])
-    reach = 8
-    while unsorted.any():
+    reach = FIRST
+    while reach < depth and unsorted.any():
         where = np.flatnonzero(unsorted)
         members = sa[where]
-        ahead = members + reach
-        # past the end the shorter suffix comes first (the padding is no byte)
-        second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, n - ahead)
-        group = rank[members]
-        order = np.argsort(group * (2 * n + reach + 1) + second + n + reach, kind="stable")
-        members, group, second = members[order], group[order], second[order]
+        key = _pair_keys(rank, members, reach)
+        order = np.argsort(key)
+        members, key = members[order], key[order]
         sa[where] = members
-        change = np.append((np.diff(group) != 0) | (np.diff(second) != 0), True)
+        change = np.append(np.diff(key) != 0, True)
         last = np.flatnonzero(change)
         rank[members] = np.repeat(where[last], np.diff(np.append(-1, last)))
         unsorted[where] = ~(change & np.append(True, change[:-1]))
         reach *= 2
-    return sa
-
-
-def common_prefixes(text: np.ndarray, sa: np.ndarray, starts: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefix, up to ``cap``, of each suffix with its predecessor in the
-    suffix array, by text place. Kasai's walk in one lane per piece of text
-    (``starts``): the next place shares at least one byte less."""
+    return rank
+
+
+def _pair_keys(rank: np.ndarray, places: np.ndarray, reach: int) -> np.ndarray:
+    """(rank here, rank ``reach`` further on) as one number; past the end the
+    shorter suffix comes first."""
+    n = len(rank)
+    ahead = places + reach
+    second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, n - ahead)
+    return rank[places] * (2 * n + reach + 1) + second + n + reach
+
+
+def sorted_suffixes(text: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
+    """The given suffixes ordered by at least their first ``depth`` bytes: the
+    last refinement sorts only those asked for."""
+    half = FIRST
+    while half * 2 < depth:
+        half *= 2
+    rank = suffix_ranks(text, half)
+    return places[np.argsort(_pair_keys(rank, places, half))]
+
+
+def common_prefixes(text: np.ndarray, order: np.ndarray, starts: np.ndarray, counts: np.ndarray,
+                    cap: int) -> np.ndarray:
+    """Common prefix, up to ``cap``, of each suffix with the one before it in
+    ``order``, by text place. Kasai's walk in one lane per run of places
+    (``counts`` places from each of ``starts``): if the next place's partner
+    would still come before it, it shares at least one byte less with whatever
+    does. ``order`` must hold the bytes' order up to ``cap``; ties in any order."""
     n = len(text)
+    rank = np.full(n + 1, -1, np.int64)  # places outside ``order`` prove nothing
+    rank[order] = np.arange(len(order))
     before = np.full(n, -1, np.int64)
-    before[sa[1:]] = sa[:-1]
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
+    before[order[1:]] = order[:-1]
+    padded = np.concatenate([text, np.zeros(15, np.uint8)])
+    eight = np.empty(n + 8, np.uint64)
+    for o in range(8):
+        part = eight[o::8]
+        part[:] = padded[o:o + 8 * ((len(padded) - o) // 8)].view("<u8")[:len(part)]
     out = np.zeros(n, np.int64)
-    lengths = np.diff(np.append(starts, n))
-    order = np.argsort(-lengths, kind="stable")
-    starts, lengths = starts[order], lengths[order]
-    h = np.zeros(len(starts), np.int64)
-    for j in range(int(lengths[0]) if len(lengths) else 0):
-        lanes = int(np.searchsorted(-lengths, -j, side="left"))  # those longer than j
-        at = starts[:lanes] + j
+    by_length = np.argsort(-counts, kind="stable")
+    starts, counts = starts[by_length], counts[by_length]
+    shared, partner = np.zeros(len(starts), np.int64), np.full(len(starts), n - 1, np.int64)
+    for j in range(int(counts[0]) if len(counts) else 0):
+        lanes = int(np.searchsorted(-counts, -j, side="left"))  # those longer than j
+        at, follows = starts[:lanes] + j, rank[partner[:lanes] + 1]
+        proven = (follows >= 0) & (follows < rank[at])
+        h = np.where(proven, np.maximum(shared[:lanes] - 1, 0), 0)
         other = before[at]
-        now = np.maximum(h[:lanes] - 1, 0)
-        now[other < 0] = 0
-        most = np.minimum(cap, n - np.maximum(at, other))
-        live = np.flatnonzero((other >= 0) & (now < most))
+        most = np.where(other < 0, 0, np.minimum(cap, n - np.maximum(at, other)))
+        live = np.flatnonzero(h < most)
         while len(live):
-            x, y = at[live] + now[live], other[live] + now[live]
-            same = padded[x] == padded[y]
-            live = live[same]
-            now[live] += 1
-            live = live[now[live] < most[live]]
-        h[:lanes] = now
-        out[at] = now
+            differ = eight[at[live] + h[live]] ^ eight[other[live] + h[live]]
+            equal = differ == 0
+            lowest = differ & (~differ + np.uint64(1))
+            bytes_ = np.where(equal, 8, np.log2(np.maximum(lowest, np.uint64(1)).astype(np.float64)).astype(np.int64) // 8)
+            h[live] = np.minimum(h[live] + bytes_, most[live])
+            live = live[equal & (h[live] < most[live])]
+        shared[:lanes], partner[:lanes] = h, np.where(other < 0, n - 1, other)
+        out[at] = h
     return out
 
 
@@ -216,14 +246,13 @@ def window_classes(bodies: list[bytes]):
     the same class have the same WIDTH bytes. In suffix order."""
     text = np.frombuffer(b"".join(bodies), np.uint8)
     lengths = np.array([len(b) for b in bodies])
-    starts = np.cumsum(lengths) - lengths
-    sa = suffix_array(text)
-    prefix = common_prefixes(text, sa, starts, WIDTH)
-    classes = np.cumsum(prefix[sa] < WIDTH)
-    context = np.repeat(np.arange(len(bodies)), lengths)[sa]
-    start = sa - starts[context]
-    valid = start <= lengths[context] - WIDTH
-    return context[valid], start[valid], classes[valid]
+    starts, windows = np.cumsum(lengths) - lengths, lengths - WIDTH + 1
+    context = np.repeat(np.arange(len(bodies)), windows)
+    start = np.arange(len(context)) - np.repeat(np.cumsum(windows) - windows, windows)
+    order = sorted_suffixes(text, starts[context] + start, WIDTH)
+    prefix = common_prefixes(text, order, starts, windows, WIDTH)
+    context = np.searchsorted(starts, order, side="right") - 1
+    return context, order - starts[context], np.cumsum(prefix[order] < WIDTH)
 
 
 def _spans(context: np.ndarray, start: np.ndarray):
