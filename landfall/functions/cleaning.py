@@ -19,7 +19,7 @@ ADMITTED_UNTIL_FORMAT = "MMddyyyy"
 _MIN_DAY_OFFSET = -715_509
 _MAX_DAY_OFFSET = 2_936_549
 
-_WS = r"^\s+|\s+$"
+_WS = " \t\n\x0b\f\r"
 
 
 def _c(col: Column | str) -> Column:
@@ -29,12 +29,12 @@ def _c(col: Column | str) -> Column:
 def trim_ws(col: Column | str) -> Column:
     """Trim all leading/trailing white space (tabs included; ``F.trim`` only
     removes blanks)."""
-    return F.regexp_replace(_c(col), _WS, "")
+    return F.btrim(_c(col), F.lit(_WS))
 
 
 def remove_quotes(col: Column | str) -> Column:
     """Remove every single quote (``INT''L`` -> ``INTL``)."""
-    return F.regexp_replace(_c(col), "'", "")
+    return F.replace(_c(col), F.lit("'"), F.lit(""))
 
 
 def to_na(col: Column | str, patterns: list[str], value: str = "NA") -> Column:
@@ -54,11 +54,14 @@ def region_state(col: Column | str) -> Column:
 
 
 def to_number(col: Column | str, dtype: str) -> Column:
-    """A raw SAS number (double, or its text such as ``'5748517.0'`` from a CSV
-    export) as ``dtype``: through double first, since under ANSI a direct
-    text-to-integer cast rejects the fraction. NaN, junk and out-of-range
-    values give null; fractions are truncated."""
-    return _c(col).try_cast("double").try_cast(dtype)
+    """A raw SAS number (a number, or its text such as ``'5748517.0'`` from a
+    CSV export) as ``dtype``, exactly: whole numbers above 2^53 keep every
+    digit. A direct cast comes first; text with a fraction or an exponent goes
+    through a wide decimal, and what that cannot hold through double. NaN,
+    junk and out-of-range values give null; fractions are truncated."""
+    c = _c(col)
+    return F.coalesce(c.try_cast(dtype), c.try_cast("decimal(38,10)").try_cast(dtype),
+                      c.try_cast("double").try_cast(dtype))
 
 
 def sas_day_to_date(col: Column | str) -> Column:
@@ -79,6 +82,13 @@ def strip_nonword(col: Column | str) -> Column:
     return F.regexp_replace(_c(col), r"\W+", "")
 
 
+def may_be_admitted_until(col: Column | str) -> Column:
+    """A cheap necessary condition of :func:`admitted_until`: exactly eight
+    digits somewhere in the text (no regular expression)."""
+    c = _c(col)
+    return F.length(c) - F.length(F.translate(c, "0123456789", "")) == 8
+
+
 def admitted_until(col: Column | str) -> Column:
     """Character admitted-until date -> DATE.
 
@@ -86,5 +96,5 @@ def admitted_until(col: Column | str) -> Column:
     order are a date. ``D/S``, ``00000000``, ``99999999``, impossible days
     (``02302016``) and null give null.
     """
-    s = strip_nonword(col)
-    return F.when(s.rlike("^[0-9]{8}$"), F.try_to_date(s, ADMITTED_UNTIL_FORMAT))
+    digits = F.regexp_extract(strip_nonword(col), "^([0-9]{8})$", 1)  # '' if it is anything else
+    return F.try_to_date(digits, ADMITTED_UNTIL_FORMAT)

@@ -3,12 +3,15 @@
 Rules, in order (each a native expression or a broadcast join):
 
 1. rows without a departure date or an admitted-until text are dropped
-   (plain null predicates: Parquet pushes them into the scan);
-2. SAS day numbers become dates (days since 1960-01-01);
+   (plain null predicates: Parquet pushes them into the scan), and so are
+   texts that cannot be a date (not eight digits: no regular expression);
+2. SAS day numbers become dates (days since 1960-01-01); a departure that is
+   no date (NaN, junk) drops the row;
 3. the admitted-until text must be a real ``MMddyyyy`` date, else the row is
-   dropped;
-4. numeric codes are cast through double (``try_cast``: no ANSI failure on
-   NaN or on CSV text such as ``5748517.0``);
+   dropped. It is converted once: rows with a date come first in step 5, and
+   what is left without one goes after it;
+4. numeric codes are cast exactly (``try_cast``: no ANSI failure on NaN or on
+   CSV text such as ``5748517.0``);
 5. rows without ``cic_id`` are dropped, one row per ``cic_id`` is kept
    (deterministically);
 6. transport mode and visa codes are replaced by their labels (left joins to
@@ -25,13 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.contracts import ADMISSIONS_FIELDS, RAW_CASTS
-from landfall.functions.cleaning import admitted_until, sas_day_to_date, to_number
+from landfall.functions.cleaning import admitted_until, may_be_admitted_until, sas_day_to_date, to_number
 from landfall.operators.relational import keep_first, lookup_left
 
 
 def cast_raw(raw: DataFrame) -> DataFrame:
-    """Cast the raw SAS numbers and texts to their contract types (numbers
-    via double, so CSV text like ``'5748517.0'`` converts too)."""
+    """Cast the raw SAS numbers and texts to their contract types (CSV text
+    like ``'5748517.0'`` converts too)."""
     def typed(c: str):
         t = RAW_CASTS[c]
         if isinstance(t, (T.IntegerType, T.LongType)):
@@ -51,13 +54,16 @@ def admissions(raw: DataFrame, mode: DataFrame, visa: DataFrame,
     de-duplication).
     """
     clean = raw.where(F.col("depdate").isNotNull() & F.col("dtaddto").isNotNull())
+    clean = clean.where(may_be_admitted_until("dtaddto") & sas_day_to_date("depdate").isNotNull())
     clean = clean.withColumns({
         "arrdate": sas_day_to_date("arrdate"),
         "depdate": sas_day_to_date("depdate"),
         "dtaddto": admitted_until("dtaddto"),
-    }).where(F.col("dtaddto").isNotNull())
+    })
     typed = cast_raw(clean).where(F.col("cicid").isNotNull())
-    unique = keep_first(typed, ["cicid"])
+    # a filter here would be pushed below the conversion and repeat it per row
+    valid = typed.withColumn("_no_date", F.col("dtaddto").isNull())
+    unique = keep_first(valid, ["cicid"], ["_no_date"]).where(~F.col("_no_date")).drop("_no_date")
     out = unique
     if "i94mode" in out.columns:
         out = lookup_left(out, mode, "i94mode", "transport_code", [("mode", "_mode")],

@@ -30,6 +30,10 @@ ROWS = [
     _row(1.0, mon=5.0),                          # duplicate key: loses to the first row
     _row(7.0, arr=None, mode=7.0, visa=float("nan")),  # unknown codes, no arrival
     _row(8.0, dta="10/29/2016"),                 # slashes are stripped
+    _row(9.0, dep=float("nan")),                 # a departure that is no date
+    _row(float("nan")),                          # a key that is no number
+    _row(10.0, mon=1.0, dta="02302016"),         # loses to the row with a date, though it sorts first
+    _row(10.0, mon=9.0),
 ]
 
 
@@ -46,7 +50,8 @@ def test_fact_rules(spark):
         [f.dataType for f in fact_schema().fields]
     assert fact.columns == fact_schema().fieldNames()
     got = {r.cic_id: r for r in fact.collect()}
-    assert sorted(got) == [1, 7, 8]
+    assert sorted(got) == [1, 7, 8, 10]
+    assert got[10].month_of_entry == 9
     one = got[1]
     assert one.month_of_entry == 4
     assert one.arrival_date == dt.date(2016, 4, 29)
@@ -66,6 +71,8 @@ def test_fact_plan_is_native(spark):
     assert len(re.findall(r"^\(\d+\) BroadcastHashJoin", plan, re.M)) == 2
     # the null predicates reach the Parquet scan
     assert "IsNotNull(depdate)" in plan and "IsNotNull(dtaddto)" in plan
+    # the admitted-until text is converted once per row
+    assert plan.count("\\W+") == 1
     # one shuffle (the de-duplication); both lookups are broadcast
     assert len(re.findall(r"^\(\d+\) Exchange$", plan, re.M)) == 1
     assert re.search(r"\) WindowGroupLimit\n.*\nArguments: .*row_number\(\), 1, Partial", plan)
@@ -82,4 +89,43 @@ def test_fact_from_csv_text_equals_fact_from_doubles(spark):
     from_doubles = admissions(_raw(spark), default_mode(spark), default_visa(spark),
                               lookups_bounded=True, lookups_unique=True)
     assert sorted(map(tuple, from_csv.collect())) == sorted(map(tuple, from_doubles.collect()))
-    assert from_csv.count() == 3
+    assert from_csv.count() == 4
+
+
+def test_keys_above_2_53_stay_apart(spark):
+    from pyspark.sql import functions as F
+
+    big = 2 ** 53
+    base = _raw(spark).where("cicid = 1 AND i94mon = 4").limit(1)
+    for make in (lambda k: F.lit(k), lambda k: F.lit(str(k)), lambda k: F.lit(f"{k}.0")):
+        raw = base.withColumn("cicid", make(big)).unionByName(base.withColumn("cicid", make(big + 1)))
+        fact = admissions(raw, default_mode(spark), default_visa(spark), True, True)
+        assert sorted(r.cic_id for r in fact.collect()) == [big, big + 1]
+        from landfall.operators.quality import drop_reasons
+
+        reasons = {r.reason: r.row_count for r in drop_reasons(raw).collect()}
+        assert (reasons["kept"], reasons["duplicate_cic_id"]) == (2, 0)
+
+
+def test_lookup_branches_agree_on_a_hot_null(spark):
+    """Broadcast and shuffle joins give the same fact rows: four codes and a
+    null code that most rows carry."""
+    from pyspark.sql import functions as F
+
+    from landfall.operators.relational import lookup_left
+
+    facts = spark.range(0, 20_000).select("id", F.when(F.col("id") % 5 == 0, F.col("id") % 4).alias("code"))
+    lookup = spark.createDataFrame([(0, "a"), (1, "b"), (2, None), (2, "c"), (9, "z")], "k long, label string")
+    small = lookup_left(facts, lookup, "code", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = lookup_left(facts, lookup, "code", "k", max_broadcast_rows=1)
+        plan = plan_text(large)
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        a, b = small.collect(), large.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan_text(small)
+    assert sorted(map(tuple, a), key=repr) == sorted(map(tuple, b), key=repr) and len(a) == 20_000
+    assert {r.label for r in a} == {None, "a", "b", "c"}

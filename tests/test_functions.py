@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from landfall.functions import (
     to_na,
     trim_ws,
 )
+from landfall.functions.cleaning import to_number
 
 
 def _one_col(spark, values, typ):
@@ -46,14 +48,34 @@ def test_region_state(spark):
 
 
 def test_trim_quotes_and_placeholders(spark):
-    df = _one_col(spark, ["\t'ZY' ", "KIT''S CROSSING", "  x\t\t"], "string")
-    got = [tuple(r) for r in df.select(trim_ws(remove_quotes("v")), remove_quotes("v"),
-                                       trim_ws("v")).collect()]
-    assert got[0][0] == "ZY"
-    assert got[1][1] == "KITS CROSSING"
-    assert got[2][2] == "x"
-    labels = _one_col(spark, ["INVALID: NOWHERE", "No Country Code (54)", "ARCADIA",
-                              "Collapsed Atlantis (should not show)", "X INVALID"], "string")
+    words = ["one", "two words", "three  more"]
+    df = _one_col(spark, [f"\t'{w}' " for w in words] + [f" \r\n{w}\x0b\f" for w in words] + ["''a'b''", None], "string")
+    got = [tuple(r) for r in df.select(trim_ws(remove_quotes("v")), remove_quotes("v"), trim_ws("v")).collect()]
+    assert [r[0] for r in got] == words + words + ["ab", None]
+    assert [r[2] for r in got[:3]] == [f"'{w}'" for w in words]
+    assert got[6][1] == "ab"
+    # fixed values: the placeholder patterns; the labels around them are the test's own
     pats = ["No Country.*", "INVALID.*", "Collapsed.*"]
+    heads = [p.removesuffix(".*") for p in pats]
+    labels = _one_col(spark, [f"{h}{w}" for h in heads for w in words] + words + [f"x {heads[0]}"], "string")
     got = [r[0] for r in labels.select(to_na(F.col("v"), pats)).collect()]
-    assert got == ["NA", "NA", "ARCADIA", "NA", "X NA"]
+    assert got == ["NA"] * 9 + words + ["x NA"]
+
+
+BIG = 2 ** 53
+
+
+def test_whole_numbers_are_exact(spark):
+    values = [BIG, BIG + 1, -BIG - 1, 9223372036854775807, 0]
+    for kind, make in (("bigint", int), ("decimal(25,2)", Decimal), ("string", str),
+                       ("string", lambda v: f"{v}.0"), ("string", lambda v: f" {v}.75 ")):
+        df = _one_col(spark, [make(v) for v in values], kind)
+        assert [r[0] for r in df.select(to_number("v", "bigint")).collect()] == values, kind
+
+
+def test_numbers_that_are_none(spark):
+    df = _one_col(spark, ["NaN", "x", "", None, "1e400", "99999999999999999999", "5.5E3", "-1.9", "1E2"], "string")
+    assert [r[0] for r in df.select(to_number("v", "bigint")).collect()] == [None] * 6 + [5500, -1, 100]
+    df = _one_col(spark, [float("nan"), float("inf"), 1e19, 2.9, -0.5], "double")
+    assert [r[0] for r in df.select(to_number("v", "bigint")).collect()] == [None, None, None, 2, 0]
+    assert [r[0] for r in df.select(to_number("v", "int")).collect()] == [None, None, None, 2, 0]
