@@ -9,7 +9,6 @@ Layout
 ``operators``  DataFrame -> DataFrame building blocks (keep-first de-duplication,
                code unions, checked broadcast lookups, quality reports)
 ``plans``      the dimension and fact jobs, mart writer/reader, the full star build
-``streaming``  (the reference has no streaming; see its module docstring)
 
 Everything is expressed with built-in Spark expressions, so Catalyst keeps
 filters and projections at the scan and whole-stage codegen stays intact.

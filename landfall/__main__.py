@@ -21,7 +21,15 @@ import json
 
 from pyspark.sql import SparkSession
 
-from landfall.plans.star import StarInputs, published_key_report, run
+from landfall.contracts import fact_columns
+
+from landfall.plans.star import (
+    StarInputs,
+    admissions_drop_reasons,
+    published_key_report,
+    published_schema_report,
+    run,
+)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -33,10 +41,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--state-list", required=True)
     p.add_argument("--admissions", required=True)
     p.add_argument("--admissions-format", default="parquet")
+    p.add_argument("--admissions-option", action="append", default=[], metavar="KEY=VALUE",
+                   help="option of the admissions reader (may be repeated)")
+    p.add_argument("--admissions-columns", help="comma-separated columns of a source narrower than the contract")
     p.add_argument("--mode-list")
     p.add_argument("--visa-list")
     p.add_argument("--out", required=True)
-    p.add_argument("--report", action="store_true", help="print the key report of the outputs")
+    p.add_argument("--report", action="store_true", help="print drop reasons, and schema and key reports of the outputs")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("landfall-star").getOrCreate()
     inputs = StarInputs(
@@ -44,12 +55,18 @@ def main(argv: list[str] | None = None) -> None:
         country_list=a.country_list, port_list=a.port_list, state_list=a.state_list,
         admissions=a.admissions, admissions_format=a.admissions_format,
         mode_list=a.mode_list, visa_list=a.visa_list,
+        admissions_options=dict(x.split("=", 1) for x in a.admissions_option),
+        admissions_columns=a.admissions_columns.split(",") if a.admissions_columns else None,
     )
     uris = run(spark, inputs, a.out)
     print(json.dumps(uris))
     if a.report:
-        for r in published_key_report(spark, uris, min_rows={}).collect():
-            print(json.dumps(r.asDict()))
+        fact = None if inputs.admissions_columns is None else fact_columns(inputs.admissions_columns)
+        for report in (admissions_drop_reasons(spark, inputs),
+                       published_schema_report(spark, uris, fact),
+                       published_key_report(spark, uris, {}, fact)):
+            for r in report.collect():  # a few rows per table
+                print(json.dumps(r.asDict()))
 
 
 if __name__ == "__main__":

@@ -16,14 +16,14 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
 S, I, L, D, DT = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType(), T.DateType()
 
 # ---------------------------------------------------------------- inputs
-# Airport codes: CSV with header, every column arrives as text.
+# Column names of the airport-codes CSV (header, all text).
 AIRPORT_COLUMNS = [
     "ident", "type", "name", "elevation_ft", "continent", "iso_country",
     "iso_region", "municipality", "gps_code", "iata_code", "local_code", "coordinates",
 ]
 
-# City demographics: ';'-separated, header present but with other names;
-# names are assigned by position.
+# City demographics, ';'-separated, header present but with other
+# names; names are assigned by position.
 DEMOGRAPHICS = _schema(
     ("City", S), ("State", S), ("median_age", D), ("male_population", I),
     ("female_population", I), ("total_population", I), ("number_of_veterans", I),
@@ -32,7 +32,8 @@ DEMOGRAPHICS = _schema(
 )
 DEMOGRAPHICS_KEY = ["City", "State", "Race", "State_Code"]
 
-# Raw admissions: the 20 fields the fact carries, with their raw and output types.
+# The 20 raw admission fields the fact carries, with their raw
+# names, output names and output types.
 # (raw name, output name, output type)
 ADMISSIONS_FIELDS: list[tuple[str, str, T.DataType]] = [
     ("cicid", "cic_id", L),
@@ -57,7 +58,7 @@ ADMISSIONS_FIELDS: list[tuple[str, str, T.DataType]] = [
     ("visatype", "visa_type", S),
 ]
 RAW_ADMISSIONS_COLUMNS = [r for r, _, _ in ADMISSIONS_FIELDS]
-# Raw numeric codes are cast to these types before lookups (SAS numbers are doubles).
+# Types that raw fields are cast to before lookups (SAS numbers are doubles).
 RAW_CASTS: dict[str, T.DataType] = {
     "cicid": L, "i94yr": I, "i94mon": I, "i94cit": I, "i94res": I, "i94mode": I,
     "i94bir": I, "i94visa": I, "biryear": I, "admnum": L,
@@ -70,6 +71,11 @@ ADMISSIONS_REQUIRED = ["cicid", "arrdate", "depdate", "dtaddto"]
 FACT_KEY = ["cic_id"]
 
 
+def fact_columns(raw_columns: list[str]) -> list[str]:
+    """Published names of raw admission columns, in contract order."""
+    return [o for r, o, _ in ADMISSIONS_FIELDS if r in raw_columns]
+
+
 def fact_schema(columns: list[str] | None = None) -> T.StructType:
     """Contract of the fact (optionally restricted to the given output columns)."""
     fields = [(o, t) for _, o, t in ADMISSIONS_FIELDS]
@@ -89,7 +95,7 @@ STATE = _schema(("state_code", S), ("state", S))
 MODE = _schema(("transport_code", L), ("mode", S))
 VISA = _schema(("visa_code", L), ("visa", S))
 
-# Partition layout of every published table: table -> partition columns.
+# Partition layout of every published table (table -> partition columns).
 LAYOUTS: dict[str, list[str]] = {
     "airports": ["state"],
     "demographics": ["State", "City"],

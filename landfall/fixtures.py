@@ -37,7 +37,9 @@ def raw_admissions(spark: SparkSession, sf_dir: str, full: bool = False) -> Data
     arrival, the customer's nation the citizenship. Every 10th row has no
     departure; ``dtaddto`` is ``D/S``, ``mm/dd/yyyy``, ``99999999`` or null
     for some keys, ``mmddyyyy`` otherwise; mode 7 and missing mode are
-    unknown codes, as is visa 4.
+    unknown codes, as is visa 4. Every 7th order has a second record with the
+    same ``cicid`` a day later; some orders have one without a ``cicid``, with
+    a NaN ``cicid`` or with a NaN departure.
 
     ``full=True`` adds the other ten raw fields the fact carries (residence,
     port, address, age, visa post, birth year, gender, airline, admission
@@ -46,9 +48,13 @@ def raw_admissions(spark: SparkSession, sf_dir: str, full: bool = False) -> Data
     """
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
-    j = o.join(c, o["o_custkey"] == c["c_custkey"])
-    k, ck, nk = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
-    day = F.datediff(F.to_date("o_orderdate"), F.lit(SAS_EPOCH).cast("date"))
+    k, ck, nk, v = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey"), F.col("variant")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"]).withColumn(
+        "variant", F.explode(F.array(*[F.lit(i) for i in range(5)]))).where(
+        (v == 0) | ((v == 1) & (k % 7 == 0)) | ((v == 2) & (k % 35 == 0)) | ((v == 3) & (k % 49 == 0))
+        | ((v == 4) & (k % 77 == 1)))
+    nan = F.lit(float("nan"))
+    day = F.datediff(F.to_date("o_orderdate"), F.lit(SAS_EPOCH).cast("date")) + (v == 1).cast("int")
     mode = _cases(k % 6, [(0, 1.0), (1, 2.0), (2, 3.0), (3, 9.0), (4, 7.0)])
     dtaddto = (F.when(k % 11 == 0, F.lit("D/S"))
                 .when(k % 13 == 0, F.date_format("o_orderdate", "MM/dd/yyyy"))
@@ -56,13 +62,13 @@ def raw_admissions(spark: SparkSession, sf_dir: str, full: bool = False) -> Data
                 .when(k % 19 == 0, F.lit(None).cast("string"))
                 .otherwise(F.date_format("o_orderdate", "MMddyyyy")))
     cols = {
-        "cicid": k.cast("double"),
+        "cicid": F.when(v == 3, nan).when(v != 2, k.cast("double")),
         "i94yr": F.year("o_orderdate").cast("double"),
         "i94mon": F.month("o_orderdate").cast("double"),
         "i94cit": nk.cast("double"),
         "arrdate": day.cast("double"),
         "i94mode": mode,
-        "depdate": F.when(k % 10 != 0, (day + k % 30).cast("double")),
+        "depdate": F.when(v == 4, nan).when(k % 10 != 0, (day + k % 30).cast("double")),
         "i94visa": (1 + k % 4).cast("double"),
         "dtaddto": dtaddto,
         "visatype": F.col("o_orderstatus"),
@@ -134,28 +140,47 @@ def demographics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def country_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country list lines ``   <key> =  '<label>'``, one per customer (so the
     list grows with the data); labels cycle through the three placeholder
-    kinds and real names (the market segment) with a trailing blank."""
+    kinds and real names (the market segment) with a trailing blank, some with
+    a quote inside, some empty. Every 9th key has a second line, and every
+    11th customer a line without a key, another without ``=``."""
     c = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     name = F.col("c_mktsegment")
     label = (F.when(key % 5 == 0, F.concat(F.lit("INVALID: "), name))
               .when(key % 5 == 1, F.format_string("No Country Code (%d)", key))
               .when(key % 5 == 2, F.concat(F.lit("Collapsed "), name, F.lit(" (should not show)")))
+              .when(key % 15 == 3, F.concat(name, F.lit("''S ")))
+              .when(key % 25 == 4, F.lit(""))
               .otherwise(F.concat(name, F.lit(" "))))
-    return c.select(F.format_string("   %d =  '%s'", key, label).alias("value"))
+    first = F.format_string("   %d =  '%s'", key, label)
+    return _ordered_lines(c, key, [
+        (F.lit(True), first), (key % 9 == 0, F.format_string("   %d =  'A SECOND LINE' ;", key)),
+        (key % 11 == 0, F.lit("    =  'NO KEY'")), (key % 11 == 0, F.concat(F.lit("/* "), name))])
+
+
+def _ordered_lines(rows: DataFrame, key: Column, lines: list[tuple[Column, Column]]) -> DataFrame:
+    """``value`` lines by key, those of a row in the given order, where their
+    condition holds: written, the files hold them in that order."""
+    numbered = F.array(*[F.struct(cond.alias("on"), F.lit(i).alias("n"), line.alias("value"))
+                         for i, (cond, line) in enumerate(lines)])
+    return rows.select(key.alias("key"), F.inline(numbered)).where("on").orderBy("key", "n").select("value")
 
 
 def port_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Port list lines ``   'S<key>' \\t=\\t'<place>'`` from ``supplier``:
-    placeholders, places without a comma, and ``<name>, N<nation>``."""
+    both kinds of placeholders, places without a comma, and ``<city>, N<nation>``
+    over 97 cities, some with a quote inside. Every 9th key has a second line."""
     s = table(spark, sf_dir, "supplier")
     key = F.col("s_suppkey")
     pad = F.lit("      ")
+    city = F.concat(F.lit("PORT "), (key % 97).cast("string"), F.when(key % 5 == 0, "''S").otherwise(""))
     place = (F.when(key % 7 == 0, F.format_string("No PORT Code (%d)", key))
-              .when(key % 7 == 1, F.concat(F.col("s_name"), pad))
-              .otherwise(F.concat(F.col("s_name"), F.lit(", N"),
-                                  F.col("s_nationkey").cast("string"), pad)))
-    return s.select(F.format_string("   'S%d' \t=\t'%s'", key, place).alias("value"))
+              .when(key % 7 == 1, F.concat(city, pad))
+              .when(key % 7 == 2, F.concat(F.lit("Collapsed into "), city))
+              .otherwise(F.concat(city, F.lit(", N"), F.col("s_nationkey").cast("string"), pad)))
+    return _ordered_lines(s, key, [
+        (F.lit(True), F.format_string("   'S%d' \t=\t'%s'", key, place)),
+        (key % 9 == 0, F.format_string("   'S%d' \t=\t'A SECOND PORT, XX'", key))])
 
 
 def state_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,6 +202,18 @@ def mode_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.format_string("\t%d = '%s'", key, label).alias("value"))
 
 
+def visa_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visa list lines ``<key> = <label>`` (no quotes), one per customer, labels
+    cycling through the three categories; some close with ``;``, and every 9th
+    key has a second line."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    label = _cases(key % 3, [(0, "Business"), (1, "Pleasure"), (2, "Student")])
+    end = F.when(key % 4 == 0, " ;").otherwise("")
+    return _ordered_lines(c, key, [(F.lit(True), F.concat(F.format_string("%d = %s", key, label), end)),
+                                   (key % 9 == 0, F.format_string("%d = Another", key))])
+
+
 def write_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
     """Write text lines to a fresh scratch location; returns its URI."""
     uri = scratch_uri(spark, name)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.functions.cleaning import admitted_until, to_number
+from landfall.functions.cleaning import admitted_until, sas_day_to_date, to_number
 from landfall.sources.constants import values_frame
 
 
@@ -22,12 +22,14 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def schema_report(df: DataFrame, contract: T.StructType) -> DataFrame:
+def schema_report(df: DataFrame, contract: T.StructType,
+                  stored: dict[str, str] | None = None) -> DataFrame:
     """One row per contract column: ``column_name, expected_type, actual_type,
     ok, null_count``. A missing column has a null ``actual_type`` and
-    ``ok = false``."""
+    ``ok = false``. ``stored`` (column -> type name) replaces the types of
+    ``df`` where it was read with a given schema."""
     spark = df.sparkSession
-    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields} | (stored or {})
     rows = []
     for f in contract.fields:
         exp = f.dataType.simpleString()
@@ -36,7 +38,7 @@ def schema_report(df: DataFrame, contract: T.StructType) -> DataFrame:
     meta = values_frame(spark, rows, T.StructType([
         T.StructField("column_name", T.StringType()), T.StructField("expected_type", T.StringType()),
         T.StructField("actual_type", T.StringType()), T.StructField("ok", T.BooleanType())]))
-    present = [f.name for f in contract.fields if f.name in actual]
+    present = [f.name for f in contract.fields if f.name in df.columns]
     if not present:
         return meta.withColumn("null_count", F.lit(None).cast("bigint"))
     counts = df.agg(*[(F.count(F.lit(1)) - F.count(F.col(c))).alias(c) for c in present])
@@ -68,8 +70,8 @@ def key_report(df: DataFrame, table_name: str, keys: Sequence[str],
 
 
 # Fixed order of the cleaning rules of the admissions fact.
-DROP_REASONS = ["no_departure_date", "no_admitted_until", "invalid_admitted_until",
-                "no_cic_id", "duplicate_cic_id", "kept"]
+DROP_REASONS = ["no_departure_date", "no_admitted_until", "invalid_departure_date",
+                "invalid_admitted_until", "no_cic_id", "duplicate_cic_id", "kept"]
 
 
 def drop_reasons(raw: DataFrame) -> DataFrame:
@@ -81,16 +83,17 @@ def drop_reasons(raw: DataFrame) -> DataFrame:
     """
     dep = F.col("depdate").isNull()
     dta = F.col("dtaddto").isNull()
+    no_day = sas_day_to_date("depdate").isNull()
     bad = admitted_until(F.col("dtaddto")).isNull()
     cic = to_number("cicid", "bigint")
-    reason = (F.when(dep, 0).when(dta, 1).when(bad, 2).when(cic.isNull(), 3).otherwise(4))
-    per_key = (raw.select(reason.alias("_r"), F.when(reason == 4, cic).alias("_k"))
+    reason = (F.when(dep, 0).when(dta, 1).when(no_day, 2).when(bad, 3).when(cic.isNull(), 4).otherwise(5))
+    per_key = (raw.select(reason.alias("_r"), F.when(reason == 5, cic).alias("_k"))
                   .groupBy("_r", "_k").agg(F.count(F.lit(1)).alias("_n")))
     zero = F.lit(0).cast("bigint")
     totals = per_key.agg(
         *[F.coalesce(F.sum(F.when(F.col("_r") == i, F.col("_n"))), zero).alias(DROP_REASONS[i])
-          for i in range(4)],
-        F.coalesce(F.sum(F.when(F.col("_r") == 4, F.col("_n") - 1)), zero).alias(DROP_REASONS[4]),
-        F.coalesce(F.sum(F.when(F.col("_r") == 4, F.lit(1))), zero).alias(DROP_REASONS[5]),
+          for i in range(5)],
+        F.coalesce(F.sum(F.when(F.col("_r") == 5, F.col("_n") - 1)), zero).alias(DROP_REASONS[5]),
+        F.coalesce(F.sum(F.when(F.col("_r") == 5, F.lit(1))), zero).alias(DROP_REASONS[6]),
     )
     return totals.unpivot([], DROP_REASONS, "reason", "row_count")

@@ -84,7 +84,8 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     """Size check before broadcasting: at most ``max_rows`` rows and about
     ``max_bytes`` of data (text length plus 8 bytes per other value).
 
-    Reads no more than ``max_rows + 1`` rows (the limit stops the scan early).
+    Eager: runs one job over ``df`` whose partial aggregates send a single row
+    per task, whatever its size.
     """
     width = F.lit(0)
     for f in df.schema.fields:
@@ -92,7 +93,7 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
             width = width + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
         else:
             width = width + F.lit(8)
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 
@@ -104,8 +105,9 @@ def lookup_left(df: DataFrame, lookup: DataFrame, left_key: str | Column, right_
     """Left outer equi-join to a lookup table, adding its label columns.
 
     * The lookup is de-duplicated on its key first, so the join never
-      multiplies fact rows (a code list may repeat a key); ``unique=True``
-      skips that step for lookups unique by construction.
+      multiplies fact rows (of rows with equal keys the smallest label stays,
+      nulls last); ``unique=True`` skips that step for lookups that are unique
+      already, such as code lists read from files (the first line wins there).
     * It is broadcast only when its size is known to be small: ``bounded=True``
       (built from a fixed, small list) or it passes :func:`fits_broadcast`.
       Otherwise Spark's shuffle join is used (AQE may still convert it).
@@ -117,7 +119,7 @@ def lookup_left(df: DataFrame, lookup: DataFrame, left_key: str | Column, right_
     if columns is None:
         columns = [(c, c) for c in lookup.columns if c != right_key]
     small = lookup.select(right_key, *[c for c, _ in columns])
-    deduped = small if unique else keep_first(small, [right_key])
+    deduped = small if unique else keep_first(small, [right_key], [c for c, _ in columns])
     if bounded or fits_broadcast(small, max_broadcast_rows, max_broadcast_bytes):
         side = F.broadcast(deduped)
     else:

@@ -1,6 +1,6 @@
 """Partitioned Parquet marts: writer and reader.
 
-Writing (large tables) uses Spark's ``REBALANCE`` hint on the partition columns: rows are
+Writing uses Spark's ``REBALANCE`` hint on the partition columns: rows are
 hash-partitioned on the partition values (each directory is written by as
 few tasks as its size needs, so no tasks x values small-file explosion) and
 AQE sizes the write tasks at run time: small partitions are coalesced, and a
@@ -19,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -28,33 +27,16 @@ def rebalance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *cols) if cols else df.hint("rebalance")
 
 
-def write_tasks(spark: SparkSession) -> int:
-    """One wave of tasks: the cluster's default parallelism (total cores)."""
-    try:
-        return max(int(spark.sparkContext.defaultParallelism), 1)
-    except Exception:  # noqa: BLE001 - no SparkContext handle (Spark Connect)
-        return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
-
-
 def write_mart(df: DataFrame, uri: str, partition_cols: Sequence[str],
-               mode: str = "overwrite", max_records_per_file: int | None = None,
-               tasks: int | None = None) -> None:
+               mode: str = "overwrite", max_records_per_file: int | None = None) -> None:
     """Write ``df`` as Hive-style partitioned Parquet at ``uri``.
 
-    By default rows are REBALANCEd on the partition columns (AQE sizes the
-    tasks by bytes and splits hot values): right for large tables.
-    ``tasks=n`` hash-partitions into exactly ``n`` tasks instead: right for
-    small dimension tables with many partition values, whose write time is
-    per file (directory creation, object-store PUTs), not per byte, so one
-    coalesced task would write every directory in turn.
+    Rows are REBALANCEd on the partition columns: AQE sizes the tasks by bytes,
+    merges small partitions and splits hot values.
     ``max_records_per_file`` caps file size inside a (large) partition.
     """
     parts = list(partition_cols)
-    if tasks and parts:
-        shaped = df.repartition(tasks, *[F.col(c) for c in parts])
-    else:
-        shaped = rebalance(df, parts)
-    writer = shaped.write.mode(mode)
+    writer = rebalance(df, parts).write.mode(mode)
     if parts:
         writer = writer.partitionBy(*parts)
     if max_records_per_file:

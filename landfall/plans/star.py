@@ -16,20 +16,25 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landfall.contracts import (
     AIRPORT_COLUMNS,
+    AIRPORTS,
+    COUNTRY,
     DEMOGRAPHICS,
     DEMOGRAPHICS_KEY,
     FACT_KEY,
     FACT_LAYOUTS,
     LAYOUTS,
+    PORT,
+    STATE,
     fact_schema,
 )
-from landfall.operators.quality import key_report
+from landfall.operators.quality import drop_reasons, key_report, schema_report
 from landfall.plans import dims
 from landfall.plans.fact import admissions
-from landfall.plans.marts import read_mart, write_mart, write_tasks
+from landfall.plans.marts import read_mart, write_mart
 from landfall.sources.admissions import load_raw_admissions
 from landfall.sources.codelists import read_country, read_mode, read_port, read_state, read_visa
 from landfall.sources.delimited import read_delimited
@@ -58,6 +63,10 @@ TABLE_KEYS = {
     "citizenship": FACT_KEY,
 }
 
+# Contract of each published dimension; the fact's is ``fact_schema``.
+TABLE_CONTRACTS = {"airports": AIRPORTS, "demographics": DEMOGRAPHICS, "country": COUNTRY,
+                   "portOfEntry": PORT, "state": STATE}
+
 
 @dataclass
 class StarInputs:
@@ -72,6 +81,7 @@ class StarInputs:
     mode_list: str | None = None   # default: the dictionary's four modes
     visa_list: str | None = None   # default: the dictionary's three visa categories
     admissions_options: dict[str, str] = field(default_factory=dict)
+    admissions_columns: list[str] | None = None  # default: the whole contract
 
 
 def table_uri(out: str, table: str) -> str:
@@ -92,23 +102,23 @@ def demographics_dimension(spark: SparkSession, demographics_csv: str) -> DataFr
 
 
 def build_fact(spark: SparkSession, inp: StarInputs) -> DataFrame:
-    """The admissions fact (lazy)."""
-    raw = load_raw_admissions(spark, inp.admissions, inp.admissions_format,
-                              options=inp.admissions_options)
-    # list files: raw parsed rows, so the broadcast size check reads at most
-    # max_rows + 1 lines before the lookup is de-duplicated
-    mode = read_mode(spark, inp.mode_list, dedup=False)
-    visa = read_visa(spark, inp.visa_list, dedup=False)
+    """The admissions fact. Lazy but for the size check of each list file."""
     built_in = inp.mode_list is None and inp.visa_list is None
-    return admissions(raw, mode, visa, lookups_bounded=built_in, lookups_unique=built_in)
+    return admissions(raw_admissions(spark, inp), read_mode(spark, inp.mode_list),
+                      read_visa(spark, inp.visa_list), lookups_bounded=built_in, lookups_unique=True)
+
+
+def raw_admissions(spark: SparkSession, inp: StarInputs) -> DataFrame:
+    """The raw admissions of the inputs (lazy)."""
+    return load_raw_admissions(spark, inp.admissions, inp.admissions_format,
+                               columns=inp.admissions_columns, options=inp.admissions_options)
 
 
 # ------------------------------------------------------------ one job per table
 def _publish(df: DataFrame, out: str, table: str) -> str:
-    """Write a dimension: small, bounded by its code space, many partition
-    values, so one wave of hash-partitioned tasks writes its directories."""
+    """Write a dimension in its layout."""
     uri = table_uri(out, table)
-    write_mart(df, uri, LAYOUTS[table], tasks=write_tasks(df.sparkSession))
+    write_mart(df, uri, LAYOUTS[table])
     return uri
 
 
@@ -139,9 +149,10 @@ def publish_states(spark: SparkSession, state_list: str, out: str) -> str:
 
 def publish_admissions(spark: SparkSession, admissions: str, out: str, fmt: str = "parquet",
                        mode_list: str | None = None, visa_list: str | None = None,
-                       options: dict[str, str] | None = None) -> dict[str, str]:
+                       options: dict[str, str] | None = None,
+                       columns: list[str] | None = None) -> dict[str, str]:
     """Raw admissions -> the three fact layouts; returns layout -> URI."""
-    inp = StarInputs("", "", "", "", "", admissions, fmt, mode_list, visa_list, dict(options or {}))
+    inp = StarInputs("", "", "", "", "", admissions, fmt, mode_list, visa_list, dict(options or {}), columns)
     return publish_fact(spark, build_fact(spark, inp), out)
 
 
@@ -186,15 +197,46 @@ def run(spark: SparkSession, inp: StarInputs, out: str, parallel_jobs: int = 4)
     return uris
 
 
-def published_key_report(spark: SparkSession, uris: dict[str, str],
-                         min_rows: dict[str, int] | None = None) -> DataFrame:
-    """Rows, null keys and duplicate keys of every published table (read
-    back); with ``min_rows`` (table -> minimum, default 1) also whether each
-    table holds enough rows."""
-    reports = [key_report(spark.read.parquet(uri), name, TABLE_KEYS[name],
-                          None if min_rows is None else min_rows.get(name, 1))
-               for name, uri in uris.items()]
+def read_published(spark: SparkSession, table: str, uri: str,
+                   fact_columns: list[str] | None = None) -> DataFrame:
+    """A published table with its contract: partition values are parsed as the
+    contract's types, never inferred."""
+    return read_mart(spark, uri, TABLE_CONTRACTS.get(table) or fact_schema(fact_columns))
+
+
+def _stacked(reports: list[DataFrame]) -> DataFrame:
     out = reports[0]
     for r in reports[1:]:
         out = out.unionByName(r)
     return out
+
+
+def published_key_report(spark: SparkSession, uris: dict[str, str],
+                         min_rows: dict[str, int] | None = None,
+                         fact_columns: list[str] | None = None) -> DataFrame:
+    """Rows, null keys and duplicate keys of every published table (read
+    back); with ``min_rows`` (table -> minimum, default 1) also whether each
+    table holds enough rows."""
+    return _stacked([key_report(read_published(spark, name, uri, fact_columns), name, TABLE_KEYS[name],
+                                None if min_rows is None else min_rows.get(name, 1))
+                     for name, uri in uris.items()])
+
+
+def published_schema_report(spark: SparkSession, uris: dict[str, str],
+                            fact_columns: list[str] | None = None) -> DataFrame:
+    """Column types against the contract and null counts of every published
+    table: ``table_name`` and the columns of ``schema_report``. Types are those
+    of the files for stored columns, the contract's for partition columns."""
+    reports = []
+    for name, uri in uris.items():
+        contract = TABLE_CONTRACTS.get(name) or fact_schema(fact_columns)
+        files = spark.read.parquet(uri).schema
+        stored = {f.name: f.dataType.simpleString() for f in files.fields if f.name not in LAYOUTS[name]}
+        table = read_published(spark, name, uri, fact_columns)
+        reports.append(schema_report(table, contract, stored).withColumn("table_name", F.lit(name)))
+    return _stacked(reports)
+
+
+def admissions_drop_reasons(spark: SparkSession, inp: StarInputs) -> DataFrame:
+    """Where the raw admission rows of the inputs go, per cleaning rule."""
+    return drop_reasons(raw_admissions(spark, inp))

@@ -37,7 +37,8 @@ from landfall.operators.quality import drop_reasons, key_report, schema_report
 from landfall.operators.relational import keep_first, label_or_other, lookup_left
 from landfall.plans import dims
 from landfall.plans.fact import admissions, cast_raw
-from landfall.plans.marts import read_mart, write_mart, write_tasks
+from landfall.plans import star
+from landfall.plans.marts import read_mart, write_mart
 from landfall.session import scratch_uri
 from landfall.sources.admissions import load_raw_admissions
 from landfall.sources.codelists import (
@@ -47,6 +48,7 @@ from landfall.sources.codelists import (
     read_mode,
     read_port,
     read_state,
+    read_visa,
 )
 from landfall.sources.constants import values_frame
 from landfall.sources.delimited import read_delimited
@@ -56,19 +58,27 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 # ------------------------------------------------------------------ oracle CTEs
+# The fact keeps the first record of a key by all raw columns in contract order.
+_SLIM = ["i94yr", "i94mon", "i94cit", "arrdate", "i94mode", "depdate", "i94visa", "allowed", "visatype"]
+_FULL = ["i94yr", "i94mon", "i94cit", "i94res", "i94port", "arrdate", "i94mode", "i94addr", "depdate", "i94bir",
+         "i94visa", "visapost", "biryear", "allowed", "gender", "airline", "admnum", "fltno", "visatype"]
+_ORDER_SLIM, _ORDER_FULL = (", ".join(f"{c} NULLS FIRST" for c in x) for x in (_SLIM, _FULL))
+
 RAW_ADMISSIONS_CTE = """raw_admissions AS (
- SELECT CAST(o.o_orderkey AS DOUBLE) AS cicid,
+ SELECT CASE WHEN v.v = 3 THEN 'nan'::DOUBLE WHEN v.v <> 2 THEN CAST(o.o_orderkey AS DOUBLE) END AS cicid,
   CAST(year(o.o_orderdate) AS DOUBLE) AS i94yr, CAST(month(o.o_orderdate) AS DOUBLE) AS i94mon,
   CAST(c.c_nationkey AS DOUBLE) AS i94cit,
-  CAST(CAST(o.o_orderdate AS DATE) - DATE '1960-01-01' AS DOUBLE) AS arrdate,
+  CAST(CAST(o.o_orderdate AS DATE) - DATE '1960-01-01' + (v.v = 1)::INT AS DOUBLE) AS arrdate,
   CASE o.o_orderkey % 6 WHEN 0 THEN 1e0 WHEN 1 THEN 2e0 WHEN 2 THEN 3e0 WHEN 3 THEN 9e0 WHEN 4 THEN 7e0 END AS i94mode,
-  CASE WHEN o.o_orderkey % 10 <> 0 THEN CAST(CAST(o.o_orderdate AS DATE) - DATE '1960-01-01' + o.o_orderkey % 30 AS DOUBLE) END AS depdate,
+  CASE WHEN v.v = 4 THEN 'nan'::DOUBLE WHEN o.o_orderkey % 10 <> 0 THEN CAST(CAST(o.o_orderdate AS DATE) - DATE '1960-01-01' + (v.v = 1)::INT + o.o_orderkey % 30 AS DOUBLE) END AS depdate,
   CAST(1 + o.o_orderkey % 4 AS DOUBLE) AS i94visa,
   CASE WHEN o.o_orderkey % 11 = 0 THEN 'D/S' WHEN o.o_orderkey % 13 = 0 THEN strftime(o.o_orderdate, '%m/%d/%Y')
        WHEN o.o_orderkey % 17 = 0 THEN '99999999' WHEN o.o_orderkey % 19 = 0 THEN NULL
        ELSE strftime(o.o_orderdate, '%m%d%Y') END AS dtaddto,
   o.o_orderstatus AS visatype
- FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)"""
+ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN (VALUES (0),(1),(2),(3),(4)) v(v) ON v.v = 0 OR (v.v = 1 AND o.o_orderkey % 7 = 0) OR (v.v = 2 AND o.o_orderkey % 35 = 0)
+   OR (v.v = 3 AND o.o_orderkey % 49 = 0) OR (v.v = 4 AND o.o_orderkey % 77 = 1))"""
 
 RAW_AIRPORTS_CTE = """raw_airports AS (
  SELECT c_name AS ident, CASE WHEN c_nationkey % 2 = 0 THEN 'US' ELSE 'CA' END AS iso_country,
@@ -80,25 +90,27 @@ RAW_AIRPORTS_CTE = """raw_airports AS (
 FACT_CTE = """clean AS (
  SELECT *, try_strptime(CASE WHEN regexp_matches(regexp_replace(dtaddto, '[^A-Za-z0-9_]+', '', 'g'), '^[0-9]{8}$')
         THEN regexp_replace(dtaddto, '[^A-Za-z0-9_]+', '', 'g') END, '%m%d%Y') AS allowed
- FROM raw_admissions WHERE depdate IS NOT NULL AND dtaddto IS NOT NULL),
+ FROM raw_admissions WHERE TRY_CAST(depdate AS INTEGER) IS NOT NULL AND dtaddto IS NOT NULL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY TRY_CAST(cicid AS BIGINT) ORDER BY """ + _ORDER_SLIM + """) AS rn
+ FROM clean WHERE allowed IS NOT NULL AND TRY_CAST(cicid AS BIGINT) IS NOT NULL),
 fact AS (
- SELECT CAST(cicid AS BIGINT) AS cic_id, CAST(i94yr AS INTEGER) AS year_of_entry, CAST(i94mon AS INTEGER) AS month_of_entry,
+ SELECT TRY_CAST(cicid AS BIGINT) AS cic_id, CAST(i94yr AS INTEGER) AS year_of_entry, CAST(i94mon AS INTEGER) AS month_of_entry,
   CAST(i94cit AS INTEGER) AS country_of_citizenship, DATE '1960-01-01' + CAST(arrdate AS INTEGER) AS arrival_date,
-  m.mode AS arrival_mode, DATE '1960-01-01' + CAST(depdate AS INTEGER) AS departure_date,
+  m.mode AS arrival_mode, DATE '1960-01-01' + TRY_CAST(depdate AS INTEGER) AS departure_date,
   v.visa AS visa_code, CAST(allowed AS DATE) AS person_allowed_date, visatype AS visa_type
- FROM clean LEFT JOIN (VALUES (1,'Business'),(2,'Pleasure'),(3,'Student')) v(code, visa) ON CAST(i94visa AS INTEGER) = v.code
+ FROM ranked LEFT JOIN (VALUES (1,'Business'),(2,'Pleasure'),(3,'Student')) v(code, visa) ON CAST(i94visa AS INTEGER) = v.code
   LEFT JOIN (VALUES (1,'Air'),(2,'Sea'),(3,'Land'),(9,'Not reported')) m(code, mode) ON CAST(i94mode AS INTEGER) = m.code
- WHERE allowed IS NOT NULL AND cicid IS NOT NULL)"""
+ WHERE rn = 1)"""
 
 RAW_ADMISSIONS_FULL_CTE = """raw_admissions_full AS (
- SELECT CAST(o.o_orderkey AS DOUBLE) AS cicid,
+ SELECT CASE WHEN v.v = 3 THEN 'nan'::DOUBLE WHEN v.v <> 2 THEN CAST(o.o_orderkey AS DOUBLE) END AS cicid,
   CAST(year(o.o_orderdate) AS DOUBLE) AS i94yr, CAST(month(o.o_orderdate) AS DOUBLE) AS i94mon,
   CAST(c.c_nationkey AS DOUBLE) AS i94cit, CAST((c.c_nationkey + 1) % 25 AS DOUBLE) AS i94res,
   'P' || CAST(o.o_orderkey % 300 AS VARCHAR) AS i94port,
-  CAST(CAST(o.o_orderdate AS DATE) - DATE '1960-01-01' AS DOUBLE) AS arrdate,
+  CAST(CAST(o.o_orderdate AS DATE) - DATE '1960-01-01' + (v.v = 1)::INT AS DOUBLE) AS arrdate,
   CASE o.o_orderkey % 6 WHEN 0 THEN 1e0 WHEN 1 THEN 2e0 WHEN 2 THEN 3e0 WHEN 3 THEN 9e0 WHEN 4 THEN 7e0 END AS i94mode,
   CASE WHEN o.o_orderkey % 23 <> 0 THEN 'S' || CAST(c.c_nationkey % 5 AS VARCHAR) END AS i94addr,
-  CASE WHEN o.o_orderkey % 10 <> 0 THEN CAST(CAST(o.o_orderdate AS DATE) - DATE '1960-01-01' + o.o_orderkey % 30 AS DOUBLE) END AS depdate,
+  CASE WHEN v.v = 4 THEN 'nan'::DOUBLE WHEN o.o_orderkey % 10 <> 0 THEN CAST(CAST(o.o_orderdate AS DATE) - DATE '1960-01-01' + (v.v = 1)::INT + o.o_orderkey % 30 AS DOUBLE) END AS depdate,
   CAST(o.o_custkey % 90 AS DOUBLE) AS i94bir,
   CAST(1 + o.o_orderkey % 4 AS DOUBLE) AS i94visa,
   substr(o.o_orderpriority, 3, 3) AS visapost,
@@ -111,23 +123,27 @@ RAW_ADMISSIONS_FULL_CTE = """raw_admissions_full AS (
   CAST(o.o_orderkey * 1000 + 7 AS DOUBLE) AS admnum,
   CAST(o.o_orderkey % 9000 AS VARCHAR) AS fltno,
   o.o_orderstatus AS visatype
- FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)"""
+ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN (VALUES (0),(1),(2),(3),(4)) v(v) ON v.v = 0 OR (v.v = 1 AND o.o_orderkey % 7 = 0) OR (v.v = 2 AND o.o_orderkey % 35 = 0)
+   OR (v.v = 3 AND o.o_orderkey % 49 = 0) OR (v.v = 4 AND o.o_orderkey % 77 = 1))"""
 
 FACT_FULL_CTE = """clean_full AS (
  SELECT *, try_strptime(CASE WHEN regexp_matches(regexp_replace(dtaddto, '[^A-Za-z0-9_]+', '', 'g'), '^[0-9]{8}$')
         THEN regexp_replace(dtaddto, '[^A-Za-z0-9_]+', '', 'g') END, '%m%d%Y') AS allowed
- FROM raw_admissions_full WHERE depdate IS NOT NULL AND dtaddto IS NOT NULL),
+ FROM raw_admissions_full WHERE TRY_CAST(depdate AS INTEGER) IS NOT NULL AND dtaddto IS NOT NULL),
+ranked_full AS (SELECT *, row_number() OVER (PARTITION BY TRY_CAST(cicid AS BIGINT) ORDER BY """ + _ORDER_FULL + """) AS rn
+ FROM clean_full WHERE allowed IS NOT NULL AND TRY_CAST(cicid AS BIGINT) IS NOT NULL),
 fact_full AS (
- SELECT CAST(cicid AS BIGINT) AS cic_id, CAST(i94yr AS INTEGER) AS year_of_entry, CAST(i94mon AS INTEGER) AS month_of_entry,
+ SELECT TRY_CAST(cicid AS BIGINT) AS cic_id, CAST(i94yr AS INTEGER) AS year_of_entry, CAST(i94mon AS INTEGER) AS month_of_entry,
   CAST(i94cit AS INTEGER) AS country_of_citizenship, CAST(i94res AS INTEGER) AS country_of_residence,
   i94port AS port_of_entry, DATE '1960-01-01' + CAST(arrdate AS INTEGER) AS arrival_date,
-  m.mode AS arrival_mode, i94addr AS us_state, DATE '1960-01-01' + CAST(depdate AS INTEGER) AS departure_date,
+  m.mode AS arrival_mode, i94addr AS us_state, DATE '1960-01-01' + TRY_CAST(depdate AS INTEGER) AS departure_date,
   CAST(i94bir AS INTEGER) AS person_age, v.visa AS visa_code, visapost AS visa_issuing_post,
   CAST(biryear AS INTEGER) AS person_birth_year, CAST(allowed AS DATE) AS person_allowed_date,
   gender, airline, CAST(admnum AS BIGINT) AS admission_number, fltno AS flight_number, visatype AS visa_type
- FROM clean_full LEFT JOIN (VALUES (1,'Business'),(2,'Pleasure'),(3,'Student')) v(code, visa) ON CAST(i94visa AS INTEGER) = v.code
+ FROM ranked_full LEFT JOIN (VALUES (1,'Business'),(2,'Pleasure'),(3,'Student')) v(code, visa) ON CAST(i94visa AS INTEGER) = v.code
   LEFT JOIN (VALUES (1,'Air'),(2,'Sea'),(3,'Land'),(9,'Not reported')) m(code, mode) ON CAST(i94mode AS INTEGER) = m.code
- WHERE allowed IS NOT NULL AND cicid IS NOT NULL)"""
+ WHERE rn = 1)"""
 
 RAW_AIRPORTS_FULL_CTE = """raw_airports_full AS (
  SELECT c_name AS ident,
@@ -162,6 +178,9 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     return register
 
 
+# Columns of the narrower admissions fixture (the loader wants them named).
+SLIM_COLUMNS = ["cicid", "i94yr", "i94mon", "i94cit", "arrdate", "i94mode", "depdate", "i94visa", "dtaddto", "visatype"]
+
 # ------------------------------------------------------------------ sources
 @query("src_csv_header_strings", """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer
@@ -202,12 +221,12 @@ def src_raw_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     check plus column pruning at the scan)."""
     uri = scratch_uri(spark, "raw-admissions")
     fx.raw_admissions(spark, sf_dir).write.parquet(uri)
-    return load_raw_admissions(spark, uri, "parquet")
+    return load_raw_admissions(spark, uri, "parquet", SLIM_COLUMNS)
 
 
 @query("src_raw_admissions_csv", """
-WITH {raw_admissions} SELECT CAST(cicid AS BIGINT) AS cicid, DATE '1960-01-01' + CAST(arrdate AS INTEGER) AS arrival_date,
- DATE '1960-01-01' + CAST(depdate AS INTEGER) AS departure_date, CAST(i94mode AS INTEGER) AS i94mode,
+WITH {raw_admissions} SELECT TRY_CAST(cicid AS BIGINT) AS cicid, DATE '1960-01-01' + CAST(arrdate AS INTEGER) AS arrival_date,
+ DATE '1960-01-01' + TRY_CAST(depdate AS INTEGER) AS departure_date, CAST(i94mode AS INTEGER) AS i94mode,
  CAST(i94visa AS INTEGER) AS i94visa, dtaddto, visatype FROM raw_admissions
 """)
 def src_raw_admissions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,16 +235,22 @@ def src_raw_admissions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     from their text (``'20573.0'``) as from doubles."""
     uri = scratch_uri(spark, "raw-admissions-csv")
     raw = fx.raw_admissions(spark, sf_dir)
-    raw.select(F.col("cicid").cast("bigint").alias("_c0"), "*").write.option("header", "true").csv(uri)
-    typed = cast_raw(load_raw_admissions(spark, uri, "csv"))
+    raw.select(F.monotonically_increasing_id().alias("_c0"), "*").write.option("header", "true").csv(uri)
+    typed = cast_raw(load_raw_admissions(spark, uri, "csv", SLIM_COLUMNS))
     return typed.select("cicid", sas_day_to_date("arrdate").alias("arrival_date"),
                         sas_day_to_date("depdate").alias("departure_date"),
                         "i94mode", "i94visa", "dtaddto", "visatype")
 
 
 # ------------------------------------------------------------------ code lists
-@query("dict_country", """
-SELECT c_custkey AS country_code, CASE WHEN c_custkey % 5 < 3 THEN 'NA' ELSE c_mktsegment END AS country FROM customer
+_COUNTRY_LABEL = ("CASE WHEN c_custkey % 5 < 3 THEN 'NA' WHEN c_custkey % 15 = 3 THEN c_mktsegment || 'S' "
+                  "WHEN c_custkey % 25 = 4 THEN '' ELSE c_mktsegment END")
+_PORT_CITY = ("CASE WHEN s_suppkey % 7 IN (0, 2) THEN 'NA' ELSE 'PORT ' || CAST(s_suppkey % 97 AS VARCHAR) "
+              "|| CASE WHEN s_suppkey % 5 = 0 THEN 'S' ELSE '' END END")
+
+
+@query("dict_country", f"""
+SELECT c_custkey AS country_code, {_COUNTRY_LABEL} AS country FROM customer
 """)
 def dict_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country list text -> (country_code long, country)."""
@@ -233,10 +258,9 @@ def dict_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_country(spark, uri)
 
 
-@query("dict_port", """
-SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS port_of_entry,
- CASE WHEN s_suppkey % 7 = 0 THEN 'NA' ELSE s_name END AS city,
- CASE WHEN s_suppkey % 7 < 2 THEN NULL ELSE 'N' || CAST(s_nationkey AS VARCHAR) END AS state_code FROM supplier
+@query("dict_port", f"""
+SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS port_of_entry, {_PORT_CITY} AS city,
+ CASE WHEN s_suppkey % 7 < 3 THEN NULL ELSE 'N' || CAST(s_nationkey AS VARCHAR) END AS state_code FROM supplier
 """)
 def dict_port(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Port list text -> (port_of_entry, city, state_code)."""
@@ -265,6 +289,16 @@ def dict_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_mode(spark, uri)
 
 
+@query("dict_visa", """
+SELECT c_custkey AS visa_code, CASE c_custkey % 3 WHEN 0 THEN 'Business' WHEN 1 THEN 'Pleasure' ELSE 'Student' END AS visa
+FROM customer
+""")
+def dict_visa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visa list text (unquoted labels) -> (visa_code long, visa)."""
+    uri = fx.write_lines(spark, fx.visa_lines(spark, sf_dir), "visa-list")
+    return read_visa(spark, uri)
+
+
 # ------------------------------------------------------------------ filters, unions
 @query("filter_eq_not_null", """
 WITH {raw_admissions} SELECT cicid, depdate, dtaddto FROM raw_admissions WHERE visatype = 'F' AND depdate IS NOT NULL AND dtaddto IS NOT NULL
@@ -335,7 +369,7 @@ def dedup_first_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ cleaning
 @query("sas_day_to_date", """
-WITH {raw_admissions} SELECT CAST(cicid AS BIGINT) AS cic_id, DATE '1960-01-01' + CAST(arrdate AS INTEGER) AS arrival_date, DATE '1960-01-01' + CAST(depdate AS INTEGER) AS departure_date FROM raw_admissions
+WITH {raw_admissions} SELECT TRY_CAST(cicid AS BIGINT) AS cic_id, DATE '1960-01-01' + CAST(arrdate AS INTEGER) AS arrival_date, DATE '1960-01-01' + TRY_CAST(depdate AS INTEGER) AS departure_date FROM raw_admissions
 """)
 def sas_day_to_date_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SAS day numbers -> dates (null stays null)."""
@@ -346,7 +380,7 @@ def sas_day_to_date_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("strip_nonword", """
-WITH {raw_admissions} SELECT CAST(cicid AS BIGINT) AS cic_id, regexp_replace(dtaddto, '[^A-Za-z0-9_]+', '', 'g') AS dtaddto FROM raw_admissions
+WITH {raw_admissions} SELECT TRY_CAST(cicid AS BIGINT) AS cic_id, regexp_replace(dtaddto, '[^A-Za-z0-9_]+', '', 'g') AS dtaddto FROM raw_admissions
 """)
 def strip_nonword_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove non-word characters."""
@@ -358,7 +392,7 @@ def strip_nonword_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("admitted_until_date", """
 WITH {raw_admissions}, w AS (SELECT cicid, regexp_replace(dtaddto, '[^A-Za-z0-9_]+', '', 'g') AS s FROM raw_admissions WHERE dtaddto IS NOT NULL),
 d AS (SELECT cicid, CAST(try_strptime(CASE WHEN regexp_matches(s, '^[0-9]{8}$') THEN s END, '%m%d%Y') AS DATE) AS person_allowed_date FROM w)
-SELECT CAST(cicid AS BIGINT) AS cic_id, person_allowed_date FROM d WHERE person_allowed_date IS NOT NULL
+SELECT TRY_CAST(cicid AS BIGINT) AS cic_id, person_allowed_date FROM d WHERE person_allowed_date IS NOT NULL
 """)
 def admitted_until_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Admitted-until text -> date; invalid rows dropped."""
@@ -369,7 +403,7 @@ def admitted_until_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("cast_projection", """
-WITH {raw_admissions} SELECT CAST(cicid AS BIGINT) AS cicid, CAST(i94yr AS INTEGER) AS i94yr, CAST(i94mon AS INTEGER) AS i94mon, CAST(i94cit AS INTEGER) AS i94cit, CAST(i94mode AS INTEGER) AS i94mode, CAST(i94visa AS INTEGER) AS i94visa, visatype FROM raw_admissions
+WITH {raw_admissions} SELECT TRY_CAST(cicid AS BIGINT) AS cicid, CAST(i94yr AS INTEGER) AS i94yr, CAST(i94mon AS INTEGER) AS i94mon, CAST(i94cit AS INTEGER) AS i94cit, CAST(i94mode AS INTEGER) AS i94mode, CAST(i94visa AS INTEGER) AS i94visa, visatype FROM raw_admissions
 """)
 def cast_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5/X11: contract casts (ANSI-safe)."""
@@ -377,9 +411,24 @@ def cast_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_raw(raw.select("cicid", "i94yr", "i94mon", "i94cit", "i94mode", "i94visa", "visatype"))
 
 
+@query("cast_exact_keys", """
+SELECT o_orderkey, o_orderkey + 9007199254740993 AS from_bigint, o_orderkey + 9007199254740993 AS from_text,
+ o_orderkey + 9007199254740993 AS from_fraction, o_orderkey + 9007199254740993 AS from_decimal FROM orders
+""")
+def cast_exact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5/X11: whole numbers above 2^53 keep every digit, as bigint, decimal,
+    and text with or without a fraction."""
+    key = F.col("o_orderkey") + F.lit(9007199254740993)
+    raw = fx.table(spark, sf_dir, "orders").select(
+        "o_orderkey", key.alias("b"), key.cast("string").alias("t"),
+        F.concat(key.cast("string"), F.lit(".0")).alias("f"), key.cast("decimal(25,3)").alias("d"))
+    return raw.select("o_orderkey", *[to_number(c, "bigint").alias(n) for c, n in (
+        ("b", "from_bigint"), ("t", "from_text"), ("f", "from_fraction"), ("d", "from_decimal"))])
+
+
 # ------------------------------------------------------------------ lookups, fact
 @query("lookup_left_join", """
-WITH {raw_admissions} SELECT CAST(cicid AS BIGINT) AS cic_id, m.mode AS arrival_mode, v.visa AS visa_code FROM raw_admissions
+WITH {raw_admissions} SELECT TRY_CAST(cicid AS BIGINT) AS cic_id, m.mode AS arrival_mode, v.visa AS visa_code FROM raw_admissions
 LEFT JOIN (VALUES (1,'Business'),(2,'Pleasure'),(3,'Student')) v(code, visa) ON CAST(i94visa AS INTEGER) = v.code
 LEFT JOIN (VALUES (1,'Air'),(2,'Sea'),(3,'Land'),(9,'Not reported')) m(code, mode) ON CAST(i94mode AS INTEGER) = m.code
 """)
@@ -407,6 +456,24 @@ def fact_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_fact(spark, sf_dir)
 
 
+@query("fact_list_files", """
+WITH {raw_admissions}, {fact} SELECT f.cic_id, f.arrival_date,
+ CASE WHEN o.o_orderkey IS NOT NULL THEN CASE o.o_orderkey % 4 WHEN 0 THEN 'Air' WHEN 1 THEN 'Sea' WHEN 2 THEN 'Land' ELSE 'Not reported' END END AS arrival_mode,
+ CASE c.c_custkey % 3 WHEN 0 THEN 'Business' WHEN 1 THEN 'Pleasure' WHEN 2 THEN 'Student' END AS visa_code
+FROM (SELECT *, row_number() OVER (PARTITION BY TRY_CAST(cicid AS BIGINT) ORDER BY """ + _ORDER_SLIM + """) AS r2 FROM clean
+ WHERE allowed IS NOT NULL AND TRY_CAST(cicid AS BIGINT) IS NOT NULL) k
+JOIN fact f ON f.cic_id = TRY_CAST(k.cicid AS BIGINT) AND k.r2 = 1
+LEFT JOIN orders o ON o.o_orderkey = CAST(k.i94mode AS BIGINT) LEFT JOIN customer c ON c.c_custkey = CAST(k.i94visa AS BIGINT)
+""")
+def fact_list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1/J2 with list files: mode and visa lists that grow with the data are
+    read, checked for size and joined."""
+    mode = read_mode(spark, fx.write_lines(spark, fx.mode_lines(spark, sf_dir), "mode-list"))
+    visa = read_visa(spark, fx.write_lines(spark, fx.visa_lines(spark, sf_dir), "visa-list"))
+    fact = admissions(fx.raw_admissions(spark, sf_dir), mode, visa, lookups_unique=True)
+    return fact.select("cic_id", "arrival_date", "arrival_mode", "visa_code")
+
+
 def _mart(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
     fact = build_fact(spark, sf_dir)
     uri = scratch_uri(spark, f"mart-{layout}")
@@ -469,7 +536,7 @@ _DEMO_COLS = ("City, State, median_age, male_population, female_population, tota
               "number_of_veterans, Foreign_born, Average_Household_Size, State_Code, Race, \"Count\"")
 
 
-@query("dim_demographics_csv", """
+_DEMO_SQL = """
 WITH d AS (
  SELECT 'City ' || CAST(c_nationkey AS VARCHAR) AS City,
   CASE WHEN c_nationkey % 7 <> 0 THEN 'State ' || CAST(c_nationkey % 5 AS VARCHAR) END AS State,
@@ -484,7 +551,10 @@ r AS (SELECT *, row_number() OVER (PARTITION BY City, State, Race, State_Code OR
   female_population, total_population, number_of_veterans, Foreign_born, Average_Household_Size, "Count") AS rn
  FROM d WHERE State IS NOT NULL)
 SELECT """ + _DEMO_COLS + """ FROM r WHERE rn = 1
-""")
+"""
+
+
+@query("dim_demographics_csv", _DEMO_SQL)
 def dim_demographics_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2 input end to end: the ';' demographics file (header with blanks and
     dashes) read by position with the 12-column contract, rows without a
@@ -508,7 +578,7 @@ def fact_admissions_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _published(spark: SparkSession, table: str, df: DataFrame, schema: T.StructType) -> DataFrame:
     """Write a dimension in its published layout and read it back."""
     uri = scratch_uri(spark, f"dim-{table}")
-    write_mart(df, uri, LAYOUTS[table], tasks=write_tasks(spark))
+    write_mart(df, uri, LAYOUTS[table])
     return read_mart(spark, uri, schema)
 
 
@@ -519,32 +589,15 @@ def mart_airports_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.where(F.col("state") == "BUILDING")
 
 
-@query("mart_demographics_by_state", """
-WITH d AS (
- SELECT 'City ' || CAST(c_nationkey AS VARCHAR) AS City,
-  CASE WHEN c_nationkey % 7 <> 0 THEN 'State ' || CAST(c_nationkey % 5 AS VARCHAR) END AS State,
-  CAST(c_custkey % 600 AS DOUBLE) / 10 AS median_age,
-  CAST(c_custkey % 1000 AS INTEGER) AS male_population, CAST(c_custkey % 1100 AS INTEGER) AS female_population,
-  CAST(c_custkey % 1000 + c_custkey % 1100 AS INTEGER) AS total_population,
-  CAST(c_custkey % 90 AS INTEGER) AS number_of_veterans, CAST(c_custkey % 300 AS INTEGER) AS Foreign_born,
-  CAST(c_custkey % 500 AS DOUBLE) / 100 AS Average_Household_Size,
-  'S' || CAST(c_nationkey % 5 AS VARCHAR) AS State_Code, c_mktsegment AS Race, CAST(c_custkey AS INTEGER) AS "Count"
- FROM customer),
-r AS (SELECT *, row_number() OVER (PARTITION BY City, State, Race, State_Code ORDER BY median_age, male_population,
-  female_population, total_population, number_of_veterans, Foreign_born, Average_Household_Size, "Count") AS rn
- FROM d WHERE State IS NOT NULL)
-SELECT """ + _DEMO_COLS + """ FROM r WHERE rn = 1 AND State = 'State 1'
-""")
+@query("mart_demographics_by_state", "SELECT * FROM (" + _DEMO_SQL + ") WHERE State = 'State 1'")
 def mart_demographics_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Demographics by (State, City); one state read back."""
     m = _published(spark, "demographics", dim_demographics_csv(spark, sf_dir), DEMOGRAPHICS)
     return m.where(F.col("State") == "State 1")
 
 
-@query("mart_country_by_country", """
-SELECT * FROM (
- SELECT c_custkey AS country_code, CASE WHEN c_custkey % 5 < 3 THEN 'NA' ELSE c_mktsegment END AS country
- FROM customer) WHERE country = 'NA'
+@query("mart_country_by_country", f"""
+SELECT * FROM (SELECT c_custkey AS country_code, {_COUNTRY_LABEL} AS country FROM customer) WHERE country = 'NA'
 """)
 def mart_country_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country by label; the placeholder partition read back."""
@@ -552,11 +605,10 @@ def mart_country_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.where(F.col("country") == "NA")
 
 
-@query("mart_port_by_city", """
+@query("mart_port_by_city", f"""
 SELECT * FROM (
- SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS port_of_entry,
-  CASE WHEN s_suppkey % 7 = 0 THEN 'NA' ELSE s_name END AS city,
-  CASE WHEN s_suppkey % 7 < 2 THEN NULL ELSE 'N' || CAST(s_nationkey AS VARCHAR) END AS state_code
+ SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS port_of_entry, {_PORT_CITY} AS city,
+  CASE WHEN s_suppkey % 7 < 3 THEN NULL ELSE 'N' || CAST(s_nationkey AS VARCHAR) END AS state_code
  FROM supplier) WHERE city <> 'NA'
 """)
 def mart_port_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -575,6 +627,91 @@ def mart_state_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.where(F.col("state") >= "HOUSEHOLD")
 
 
+# ------------------------------------------------------------------ whole star
+_FULL_COLS = ", ".join(fact_schema().fieldNames())
+
+
+@query("star_fact_layouts", """
+WITH {raw_admissions_full}, {fact_full} SELECT l.layout, """ + _FULL_COLS + """
+FROM fact_full CROSS JOIN (VALUES ('visatype'), ('arrival_date'), ('citizenship')) l(layout)
+""")
+def star_fact_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6-K9: the admissions job publishes all three layouts of the 20-column
+    fact; every row of each is read back."""
+    raw = scratch_uri(spark, "raw-admissions")
+    fx.raw_admissions(spark, sf_dir, full=True).write.parquet(raw)
+    uris = star.publish_admissions(spark, raw, scratch_uri(spark, "star"))
+    out = None
+    for layout, uri in uris.items():
+        rows = star.read_published(spark, layout, uri).withColumn("layout", F.lit(layout))
+        out = rows if out is None else out.unionByName(rows)
+    return out.select("layout", *fact_schema().fieldNames())
+
+
+def _published_star(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The five dimensions and one layout of the fact, published; the airport
+    table gets a row without a key and a repeated one on top, so that its
+    report has something to find."""
+    inputs = fx.write_star_inputs(spark, sf_dir)
+    out = scratch_uri(spark, "star")
+    uris = {"airports": star.publish_airports(spark, inputs.airports_csv, out),
+            "demographics": star.publish_demographics(spark, inputs.demographics_csv, out),
+            "country": star.publish_country(spark, inputs.country_list, out),
+            "portOfEntry": star.publish_ports(spark, inputs.port_list, out),
+            "state": star.publish_states(spark, inputs.state_list, out),
+            "citizenship": star.table_uri(out, "citizenship")}
+    write_mart(star.build_fact(spark, inputs), uris["citizenship"], LAYOUTS["citizenship"])
+    states = read_mart(spark, uris["state"], STATE)
+    odd = states.where("state_code IN ('1', '2')").withColumn(
+        "state_code", F.when(F.col("state_code") == "1", F.lit("2")))
+    write_mart(odd, uris["state"], LAYOUTS["state"], mode="append")
+    return uris
+
+
+_STATE_ROWS = """(SELECT CAST(c_custkey AS VARCHAR) AS state_code, c_mktsegment AS state FROM customer
+ UNION ALL SELECT CASE WHEN c_custkey = 1 THEN '2' END, c_mktsegment FROM customer WHERE c_custkey IN (1, 2))"""
+
+
+@query("dq_published_keys", "WITH {raw_admissions_full}, {fact_full}, a AS (" + _DIM_AIRPORTS_SQL + f"""),
+t AS (SELECT 'airports' AS table_name, count(*) AS row_count, 0 AS null_keys, 0 AS surplus_rows FROM a
+ UNION ALL SELECT 'demographics', count(DISTINCT (c_nationkey, c_mktsegment)), 0, 0 FROM customer WHERE c_nationkey % 7 <> 0
+ UNION ALL SELECT 'country', count(*), 0, 0 FROM customer UNION ALL SELECT 'portOfEntry', count(*), 0, 0 FROM supplier
+ UNION ALL SELECT 'state', count(*), count(*) FILTER (WHERE state_code IS NULL), count(*) FILTER (WHERE state_code IS NOT NULL)
+  - count(DISTINCT state_code) FROM {_STATE_ROWS}
+ UNION ALL SELECT 'citizenship', count(*), 0, 0 FROM fact_full)
+SELECT table_name, row_count, CAST(null_keys AS BIGINT) AS null_keys, CAST(surplus_rows AS BIGINT) AS surplus_rows,
+ row_count >= CASE table_name WHEN 'airports' THEN 1000000000 ELSE 1 END AS enough_rows FROM t
+""")
+def dq_published_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2-Q4: rows, null and surplus keys of the six published tables, and
+    whether each holds enough rows (the airports' minimum is set out of reach)."""
+    return star.published_key_report(spark, _published_star(spark, sf_dir), {"airports": 1_000_000_000})
+
+
+def _published_schema_sql() -> str:
+    parts = []
+    for name, contract, rows in (
+            ("airports", AIRPORTS, "a"), ("demographics", DEMOGRAPHICS, "d"), ("country", COUNTRY, "co"),
+            ("portOfEntry", PORT, "po"), ("state", STATE, "st"), ("citizenship", fact_schema(), "fact_full")):
+        for f in contract.fields:
+            t = f.dataType.simpleString()
+            parts.append(f"SELECT '{name}' AS table_name, '{f.name}' AS column_name, '{t}' AS expected_type, "
+                         f"'{t}' AS actual_type, true AS ok, count(*) - count(\"{f.name}\") AS null_count FROM {rows}")
+    return ("WITH {raw_admissions_full}, {fact_full}, a AS (" + _DIM_AIRPORTS_SQL + "), d AS (" + _DEMO_SQL + "),\n"
+            f"co AS (SELECT c_custkey AS country_code, nullif({_COUNTRY_LABEL}, '') AS country FROM customer),\n"
+            f"po AS (SELECT 'S' AS port_of_entry, {_PORT_CITY} AS city, CASE WHEN s_suppkey % 7 < 3 THEN NULL "
+            "ELSE 'N' END AS state_code FROM supplier),\n"
+            f"st AS (SELECT * FROM {_STATE_ROWS})\n" + "\nUNION ALL ".join(parts))
+
+
+@query("dq_published_schema", _published_schema_sql())
+def dq_published_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1: types and nulls of every column of the six published tables (an
+    empty partition value is stored as null)."""
+    report = star.published_schema_report(spark, _published_star(spark, sf_dir))
+    return report.select("table_name", "column_name", "expected_type", "actual_type", "ok", "null_count")
+
+
 # ------------------------------------------------------------------ quality
 @query("dq_key_report", """
 SELECT 'lineitem' AS table_name, count(*) AS row_count, count(*) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL) AS null_keys,
@@ -618,13 +755,14 @@ _ADMITTED = ("try_strptime(CASE WHEN regexp_matches(regexp_replace(dtaddto, '[^A
 
 @query("dq_drop_reasons", """
 WITH {raw_admissions}, r AS (
- SELECT CASE WHEN depdate IS NULL THEN 0 WHEN dtaddto IS NULL THEN 1 WHEN """ + _ADMITTED + """ IS NULL THEN 2
-  WHEN cicid IS NULL THEN 3 ELSE 4 END AS r, CAST(cicid AS BIGINT) AS k FROM raw_admissions),
+ SELECT CASE WHEN depdate IS NULL THEN 0 WHEN dtaddto IS NULL THEN 1 WHEN TRY_CAST(depdate AS INTEGER) IS NULL THEN 2 WHEN """ + _ADMITTED + """ IS NULL THEN 3
+  WHEN TRY_CAST(cicid AS BIGINT) IS NULL THEN 4 ELSE 5 END AS r, TRY_CAST(cicid AS BIGINT) AS k FROM raw_admissions),
 t AS (SELECT count(*) FILTER (WHERE r = 0) AS no_departure_date, count(*) FILTER (WHERE r = 1) AS no_admitted_until,
- count(*) FILTER (WHERE r = 2) AS invalid_admitted_until, count(*) FILTER (WHERE r = 3) AS no_cic_id,
- count(*) FILTER (WHERE r = 4) - count(DISTINCT k) FILTER (WHERE r = 4) AS duplicate_cic_id,
- count(DISTINCT k) FILTER (WHERE r = 4) AS kept FROM r)
-SELECT reason, row_count FROM (UNPIVOT t ON no_departure_date, no_admitted_until, invalid_admitted_until, no_cic_id, duplicate_cic_id, kept INTO NAME reason VALUE row_count)
+ count(*) FILTER (WHERE r = 2) AS invalid_departure_date, count(*) FILTER (WHERE r = 3) AS invalid_admitted_until,
+ count(*) FILTER (WHERE r = 4) AS no_cic_id,
+ count(*) FILTER (WHERE r = 5) - count(DISTINCT k) FILTER (WHERE r = 5) AS duplicate_cic_id,
+ count(DISTINCT k) FILTER (WHERE r = 5) AS kept FROM r)
+SELECT reason, row_count FROM (UNPIVOT t ON no_departure_date, no_admitted_until, invalid_departure_date, invalid_admitted_until, no_cic_id, duplicate_cic_id, kept INTO NAME reason VALUE row_count)
 """)
 def dq_drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the raw admission rows go, per cleaning rule."""

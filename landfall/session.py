@@ -89,6 +89,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _LOCAL_FALLBACK[0]
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_uri(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused location for an intermediate table."""
-    return f"{checkpoint_root(spark)}/landfall-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh, never reused location for an intermediate table. It lasts until
+    :func:`release_scratch`."""
+    uri = f"{checkpoint_root(spark)}/landfall-scratch/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(uri)
+    return uri
+
+
+def delete_uri(spark: SparkSession, uri: str) -> None:
+    """Delete a location of any Hadoop file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch locations this process has named; returns how many.
+    Call it when the DataFrames that read them are no longer needed."""
+    n = 0
+    while _SCRATCH:
+        delete_uri(spark, _SCRATCH.pop())
+        n += 1
+    return n

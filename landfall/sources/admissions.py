@@ -19,11 +19,12 @@ from landfall.sources.delimited import require_columns
 def load_raw_admissions(spark: SparkSession, uri: str | Sequence[str], fmt: str = "parquet",
                         columns: Sequence[str] | None = None,
                         options: dict[str, str] | None = None) -> DataFrame:
-    """Load raw admissions and keep the contract columns present.
+    """Load raw admissions: all 20 contract columns, or ``columns``.
 
-    ``columns`` restricts the selection further (default: every contract
-    column the source has). The columns the fact job cannot do without
-    (``cicid``, ``arrdate``, ``depdate``, ``dtaddto``) must be present.
+    Every wanted column must be present, else the missing ones are named in an
+    error; a narrower source needs its column list spelled out, which must
+    hold what the fact job cannot do without (``cicid``, ``arrdate``,
+    ``depdate``, ``dtaddto``).
     For ``fmt='csv'`` a header is expected and a leading index column
     (``_c0``) is ignored.
     """
@@ -35,8 +36,9 @@ def load_raw_admissions(spark: SparkSession, uri: str | Sequence[str], fmt: str
     df = reader.load(uri)
     if "_c0" in df.columns:
         df = df.drop("_c0")
-    require_columns(df, ADMISSIONS_REQUIRED, "raw admissions")
     wanted = list(columns) if columns is not None else RAW_ADMISSIONS_COLUMNS
-    require_columns(df, [c for c in wanted if c in ADMISSIONS_REQUIRED or columns is not None],
-                    "raw admissions")
-    return df.select(*[c for c in wanted if c in df.columns])
+    left_out = [c for c in ADMISSIONS_REQUIRED if c not in wanted]
+    if left_out:
+        raise ValueError(f"raw admissions: the column list lacks {left_out}")
+    require_columns(df, wanted, "raw admissions")
+    return df.select(*wanted)

@@ -1,16 +1,17 @@
 """Code lists: ``key = 'label'`` text (a data dictionary cut into lines).
 
-Shapes handled by one parser (tabs shown as ``\\t``)::
-
-       582 =  'FREEDONIA Air Sea, ...'     country: long key
-       'ALQ'\\t=\\t'ALDER, QQ      '         port: quoted string key
-    \\t'QA'='QUILLAND'                      state
-    \\t1 = 'Air'                            transport mode
-    1 = Business                            visa (unquoted)
-
-The file is read with ``spark.read.text`` and parsed with one regular
-expression on the executors; nothing passes through the driver. Lines that
-are not ``key = label`` (blank lines, headers) yield no key and are dropped.
+Shapes handled by one parser (``<k>`` a key, ``<l>`` a label, ``\\t`` a tab)::
+
+       <k> =  '<l>'           country: long key
+       '<k>'\\t=\\t'<l>   '     port: quoted string key, padded label
+    \\t'<k>'='<l>'            state
+    \\t<k> = '<l>'            transport mode
+    <k> = <l>                visa (unquoted)
+
+The file is read with ``spark.read.text`` and each line is cut at its first
+``=`` on the executors, in time linear in its length; nothing passes through
+the driver. Lines without ``=`` are skipped; lines without a key are dropped.
+Of lines with the same key the first in the file wins.
 """
 
 from __future__ import annotations
@@ -26,9 +27,6 @@ from landfall.functions.cleaning import remove_quotes, to_na, trim_ws
 from landfall.operators.relational import drop_null_keys, keep_first
 from landfall.sources.constants import values_frame
 
-# key (optionally quoted) '=' label (optionally quoted), optional ';' at the end
-_LINE = r"^\s*'?\s*([^=]*?)\s*'?\s*=\s*'?(.*?)'?\s*;?\s*$"
-
 # Placeholder labels of the country and port lists become 'NA'.
 COUNTRY_PLACEHOLDERS = ["No Country.*", "INVALID.*", "Collapsed.*"]
 PORT_PLACEHOLDERS = ["Collapsed.*", "No PORT Code.*"]
@@ -44,36 +42,40 @@ _KEY_TYPES = {"long": T.LongType(), "int": T.IntegerType(), "string": T.StringTy
 
 
 def parse_codelist(lines: DataFrame, key: str, label: str, key_type: str = "string",
-                   placeholders: Sequence[str] = (), line_col: str = "value") -> DataFrame:
-    """Parse a DataFrame of text lines into (key, label).
-
-    Keys and labels are stripped of quotes and surrounding white space;
-    placeholder labels are replaced by ``NA`` before quotes are removed.
-    Keys that do not convert to ``key_type`` become null and are dropped.
+                   placeholders: Sequence[str] = (), line_col: str = "value",
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """Parse a DataFrame of text lines into (key, label) and the ``keep`` columns.
+
+    Lines without ``=`` are skipped. Keys and labels are stripped of quotes and
+    surrounding white space, labels also of one closing ``;``; placeholder
+    labels are replaced by ``NA``. Keys that do not convert to ``key_type``
+    become null.
     """
-    line = F.regexp_replace(F.col(line_col), "^\uFEFF", "")  # a byte-order mark on line 1
-    raw_key = trim_ws(remove_quotes(F.regexp_extract(line, _LINE, 1)))
-    raw_label = F.regexp_extract(line, _LINE, 2)
+    cut = lines.where(F.contains(F.col(line_col), F.lit("="))).select(
+        F.split(F.replace(F.col(line_col), F.lit("\uFEFF"), F.lit("")), "=", 2).alias("_cut"), *keep)
+    raw_key = trim_ws(remove_quotes(F.get("_cut", F.lit(0))))
+    tail = trim_ws(F.get("_cut", F.lit(1)))
+    raw_label = F.when(tail.endswith(";"), trim_ws(tail.substr(F.lit(1), F.length(tail) - 1))).otherwise(tail)
+    lab = remove_quotes(raw_label)
     if placeholders:
-        raw_label = to_na(raw_label, list(placeholders))
-    lab = trim_ws(remove_quotes(raw_label))
+        lab = to_na(lab, list(placeholders))
     k = F.when(raw_key != "", raw_key)
     if key_type != "string":
         k = k.try_cast(_KEY_TYPES[key_type])
-    return lines.select(k.alias(key), lab.alias(label))
+    return cut.select(k.alias(key), trim_ws(lab).alias(label), *keep)
 
 
 def read_codelist(spark: SparkSession, uri: str | Sequence[str], key: str, label: str,
-                  key_type: str = "string", placeholders: Sequence[str] = (),
-                  dedup: bool = True) -> DataFrame:
-    """Read and parse a code list; null keys dropped and, with ``dedup``, one
-    row per key (for a repeated key the smallest label is kept,
-    deterministically: text files carry no line order once split across
-    tasks). ``dedup=False`` leaves that to the consumer (``lookup_left``
-    checks the size of the raw rows first, then de-duplicates)."""
-    lines = spark.read.text(uri)
-    parsed = drop_null_keys(parse_codelist(lines, key, label, key_type, placeholders), [key])
-    return keep_first(parsed, [key], [label]) if dedup else parsed
+                  key_type: str = "string", placeholders: Sequence[str] = ()) -> DataFrame:
+    """Read and parse a code list: null keys dropped, one row per key, namely
+    the first line with that key (files in path order, then by place)."""
+    place = ["_file", "_block", "_line"]
+    lines = spark.read.text(uri).select(
+        "value", F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"))  # ascends within a block
+    parsed = drop_null_keys(parse_codelist(lines, key, label, key_type, placeholders, keep=place), [key])
+    return keep_first(parsed, [key], place).select(key, label)
 
 
 def default_visa(spark: SparkSession) -> DataFrame:
@@ -88,8 +90,8 @@ def default_mode(spark: SparkSession) -> DataFrame:
 
 def split_place(df: DataFrame, place: str = "place", city: str = "city",
                 state_code: str = "state_code") -> DataFrame:
-    """``'ALDER, QQ'`` -> city ``ALDER``, state_code ``QQ``; token 1 is null when
-    there is no comma. Tokens are trimmed."""
+    """``'<city>, <state>'`` -> city and state_code; token 1 is null when there
+    is no comma. Tokens are trimmed."""
     parts = F.split(F.col(place), ",")
     return (df.withColumn(city, trim_ws(F.get(parts, 0)))
               .withColumn(state_code, trim_ws(F.get(parts, 1)))
@@ -112,17 +114,17 @@ def read_state(spark: SparkSession, uri: str) -> DataFrame:
     return read_codelist(spark, uri, "state_code", "state", "string")
 
 
-def read_mode(spark: SparkSession, uri: str | None = None, dedup: bool = True) -> DataFrame:
+def read_mode(spark: SparkSession, uri: str | None = None) -> DataFrame:
     """Transport-mode list: ``transport_code`` (long), ``mode``; the
     dictionary's four modes when ``uri`` is None."""
     if uri is None:
         return default_mode(spark)
-    return read_codelist(spark, uri, "transport_code", "mode", "long", dedup=dedup)
+    return read_codelist(spark, uri, "transport_code", "mode", "long")
 
 
-def read_visa(spark: SparkSession, uri: str | None = None, dedup: bool = True) -> DataFrame:
+def read_visa(spark: SparkSession, uri: str | None = None) -> DataFrame:
     """Visa list: ``visa_code`` (long), ``visa``; the dictionary's three
     categories when ``uri`` is None."""
     if uri is None:
         return default_visa(spark)
-    return read_codelist(spark, uri, "visa_code", "visa", "long", dedup=dedup)
+    return read_codelist(spark, uri, "visa_code", "visa", "long")

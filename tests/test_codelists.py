@@ -1,5 +1,14 @@
+"""Code lists: lines are built from a shape, the tests' own keys and labels."""
+
+import time
+
+import pytest
+
+from landfall.session import scratch_uri
 from landfall.sources.codelists import (
     COUNTRY_PLACEHOLDERS,
+    DEFAULT_MODE_ROWS,
+    DEFAULT_VISA_ROWS,
     PORT_PLACEHOLDERS,
     parse_codelist,
     read_country,
@@ -8,7 +17,16 @@ from landfall.sources.codelists import (
     read_state,
     read_visa,
 )
-from landfall.session import scratch_uri
+
+COUNTRY = "   {k} =  '{l}'"
+PORT = "   '{k}'\t=\t'{l}'"
+STATE = "\t'{k}'='{l}'"
+MODE = "\t{k} = '{l}'"
+VISA = "{k} = {l}"
+
+
+def _lines(shape, items):
+    return [shape.format(k=k, l=l) for k, l in items]
 
 
 def _write(spark, lines):
@@ -17,50 +35,69 @@ def _write(spark, lines):
     return uri
 
 
-def test_country_shapes(spark):
-    lines = ["\ufeff   0  =  'INVALID: NOWHERE'", "   311 =  'Collapsed Atlantis (should not show)'",
-             "   54 =  'No Country Code (54)'", "   687 =  'ARCADIA '",
-             "   582 =  'FREEDONIA Air Sea, and Not Reported (X-9, no land arrivals)'", "",
-             "   996 =  'No Country Code (996)' ;"]
+def test_country_labels(spark):
+    items = [(i, f"LAND {i}") for i in range(1, 6)]
+    holders = [(100 + i, p.removesuffix(".*") + f" text {i}") for i, p in enumerate(COUNTRY_PLACEHOLDERS)]
+    lines = ["﻿" + COUNTRY.format(k=0, l="FIRST"), *_lines(COUNTRY, items), "", "a heading",
+             *_lines(COUNTRY + " ;", holders), COUNTRY.format(k="", l="NO KEY"), COUNTRY.format(k="x", l="NO NUMBER"),
+             COUNTRY.format(k=7, l="PADDED "), COUNTRY.format(k=8, l="A = B, C (D-1)"), COUNTRY.format(k=9, l="")]
     got = {r[0]: r[1] for r in read_country(spark, _write(spark, lines)).collect()}
-    assert got == {0: "NA", 311: "NA", 54: "NA", 687: "ARCADIA",
-                   582: "FREEDONIA Air Sea, and Not Reported (X-9, no land arrivals)", 996: "NA"}
-
-
-def test_port_shapes(spark):
-    lines = ["   'QG'\t\t=\t'No PORT Code (QG)'", "   'ZK' \t=\t'No PORT Code (ZK)'",
-             "   'ZP '\t=\t'No PORT Code (ZP)'", "   'KIT'\t=\t'KIT''S CROSSING, ZZ      '",
-             "   'QTF'\t=\t'Collapsed into KIT, ZZ'", "   'BQT'\t=\t'LAKESIDE, RTE. DEPOT, YY '",
-             "   'CPX'\t=\t'CAPITAL CITY         '", "'ALQ'\t=\t'ALDER, QQ             '"]
-    got = {r[0]: (r[1], r[2]) for r in read_port(spark, _write(spark, lines)).collect()}
-    assert got == {
-        "QG": ("NA", None), "ZK": ("NA", None), "ZP": ("NA", None),
-        "KIT": ("KITS CROSSING", "ZZ"), "QTF": ("NA", None),
-        "BQT": ("LAKESIDE", "RTE. DEPOT"), "CPX": ("CAPITAL CITY", None),
-        "ALQ": ("ALDER", "QQ"),
-    }
-
-
-def test_state_mode_visa_shapes(spark):
-    st = read_state(spark, _write(spark, ["\t'QA'='QUILLAND'", "\t'ZY'='ZEPHYRIA' ",
-                                          "\t'99'='All Other Codes'"]))
-    assert sorted(tuple(r) for r in st.collect()) == [
-        ("99", "All Other Codes"), ("QA", "QUILLAND"), ("ZY", "ZEPHYRIA")]
-    # a repeated key yields one row (a list may repeat a line)
-    md = read_mode(spark, _write(spark, ["\t1 = 'Air'", "\t2 = 'Sea'", "\t3 = 'Land'",
-                                         "\t3 = 'Land'", "\t9 = 'Not reported'"]))
-    assert sorted(tuple(r) for r in md.collect()) == [
-        (1, "Air"), (2, "Sea"), (3, "Land"), (9, "Not reported")]
-    vs = read_visa(spark, _write(spark, ["1 = Business", "2 = Pleasure", "3 = Student"]))
-    assert sorted(tuple(r) for r in vs.collect()) == [(1, "Business"), (2, "Pleasure"), (3, "Student")]
-    assert sorted(tuple(r) for r in read_visa(spark).collect()) == [
-        (1, "Business"), (2, "Pleasure"), (3, "Student")]
-    assert sorted(tuple(r) for r in read_mode(spark).collect()) == [
-        (1, "Air"), (2, "Sea"), (3, "Land"), (9, "Not reported")]
-
-
-def test_non_numeric_key_dropped(spark):
-    lines = spark.createDataFrame([("  x =  'foo'",), ("   7 =  'SEVEN'",), ("junk line",)], "value string")
+    assert got == {0: "FIRST", **dict(items), **{k: "NA" for k, _ in holders},
+                   7: "PADDED", 8: "A = B, C (D-1)", 9: ""}
+
+
+def test_port_places(spark):
+    items = [("P1", "TOWN, S1      "), ("P2 ", "TOWN         "), ("P3", "TOWN, RTE. 5, S2 "), ("P4", "D''ARCY, S3")]
+    holders = [(f"H{i}", p.removesuffix(".*") + f" of {i}, S9") for i, p in enumerate(PORT_PLACEHOLDERS)]
+    got = {r[0]: (r[1], r[2]) for r in read_port(spark, _write(spark, _lines(PORT, items + holders))).collect()}
+    assert got == {"P1": ("TOWN", "S1"), "P2": ("TOWN", None), "P3": ("TOWN", "RTE. 5"), "P4": ("DARCY", "S3"),
+                   **{k: ("NA", None) for k, _ in holders}}
+
+
+def test_state_mode_and_visa(spark):
+    states = [(f"K{i}", f"STATE {i}") for i in range(3)]
+    got = read_state(spark, _write(spark, _lines(STATE, states[:2]) + _lines(STATE + " ", states[2:])))
+    assert sorted(tuple(r) for r in got.collect()) == states
+    for read, shape, rows in ((read_mode, MODE, DEFAULT_MODE_ROWS), (read_visa, VISA, DEFAULT_VISA_ROWS)):
+        assert sorted(tuple(r) for r in read(spark, _write(spark, _lines(shape, rows))).collect()) == rows
+        assert sorted(tuple(r) for r in read(spark).collect()) == rows
+
+
+@pytest.mark.parametrize("labels", [["ZULU", "ALPHA"], ["REAL", ""], ["", "REAL"], ["B", "A", "C"]])
+def test_first_line_of_a_key_wins(spark, labels):
+    lines = _lines(MODE, [(5, x) for x in labels]) + _lines(MODE, [(6, "OTHER")])
+    assert sorted(tuple(r) for r in read_mode(spark, _write(spark, lines)).collect()) == [(5, labels[0]), (6, "OTHER")]
+
+
+def test_first_line_wins_across_splits(spark):
+    # a file that is read in many splits: place in the file decides, not the split's order
+    n = 4000
+    lines = _lines(MODE, [(i % 500, f"label {i:06d}") for i in range(n)])
+    uri = _write(spark, lines)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert spark.read.text(uri).rdd.getNumPartitions() > 5
+        got = {r[0]: r[1] for r in read_mode(spark, uri).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == {i: f"label {i:06d}" for i in range(500)}
+
+
+def test_long_lines_parse_in_linear_time(spark):
+    blanks = " " * 100_000
+    lines = [blanks, blanks + "x", MODE.format(k=1, l="A" + blanks + "B"), "'" * 100_000 + "=1", MODE.format(k=2, l="OK")]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    start = time.time()
+    got = [tuple(r) for r in parse_codelist(df, "k", "v", "long", COUNTRY_PLACEHOLDERS).collect()]
+    assert time.time() - start < 20
+    assert got == [(1, "A" + blanks + "B"), (None, "1"), (2, "OK")]
+
+
+def test_keys_that_do_not_convert_are_null(spark):
+    lines = spark.createDataFrame([(COUNTRY.format(k="x", l="foo"),), (COUNTRY.format(k=7, l="SEVEN"),), ("junk line",)],
+                                  "value string")
     got = parse_codelist(lines, "k", "v", "long", COUNTRY_PLACEHOLDERS).collect()
-    assert [tuple(r) for r in got] == [(None, "foo"), (7, "SEVEN"), (None, "")]
-    assert PORT_PLACEHOLDERS == ["Collapsed.*", "No PORT Code.*"]
+    assert [tuple(r) for r in got] == [(None, "foo"), (7, "SEVEN")]

@@ -24,8 +24,8 @@ def test_schema_report(spark):
 
 def test_drop_reasons(spark):
     rows = [(1.0, None, "10292016"), (2.0, 1.0, None), (3.0, 1.0, "D/S"), (None, 1.0, "10292016"),
-            (5.0, 1.0, "10292016"), (5.0, 1.0, "10292016"), (6.0, 1.0, "10/29/2016")]
+            (7.0, float("nan"), "10292016"), (float("nan"), 1.0, "10292016"), (5.0, 1.0, "10292016"), (5.0, 1.0, "10292016"), (6.0, 1.0, "10/29/2016")]
     df = spark.createDataFrame(rows, "cicid double, depdate double, dtaddto string")
     got = {r.reason: r.row_count for r in drop_reasons(df).collect()}
-    assert got == {"no_departure_date": 1, "no_admitted_until": 1, "invalid_admitted_until": 1,
-                   "no_cic_id": 1, "duplicate_cic_id": 1, "kept": 2}
+    assert got == {"no_departure_date": 1, "no_admitted_until": 1, "invalid_departure_date": 1,
+                   "invalid_admitted_until": 1, "no_cic_id": 2, "duplicate_cic_id": 1, "kept": 2}

@@ -33,8 +33,12 @@ def test_csv_schema_by_position_and_bad_numbers(spark):
 def test_load_raw_admissions_csv_variant_and_contract(spark):
     uri = _text(spark, ["_c0,cicid,arrdate,depdate,dtaddto,extra,i94mode",
                         "0,1.0,20573.0,20580.0,10292016,z,1.0"])
-    df = load_raw_admissions(spark, uri, "csv")
-    assert df.columns == ["cicid", "arrdate", "i94mode", "depdate", "dtaddto"]
+    wanted = ["cicid", "arrdate", "i94mode", "depdate", "dtaddto"]
+    assert load_raw_admissions(spark, uri, "csv", wanted).columns == wanted
+    with pytest.raises(ValueError, match="gender"):  # not the whole contract, and no column list
+        load_raw_admissions(spark, uri, "csv")
+    with pytest.raises(ValueError, match="depdate"):
+        load_raw_admissions(spark, uri, "csv", ["cicid", "arrdate", "dtaddto"])
     bad = _text(spark, ["cicid,arrdate", "1.0,2.0"])
     with pytest.raises(ValueError):
         load_raw_admissions(spark, bad, "csv")

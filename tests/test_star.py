@@ -29,8 +29,13 @@ def test_cli_runs_the_star(spark, capsys):
     out = scratch_uri(spark, "star-cli")
     main(["--airports-csv", inp.airports_csv, "--demographics-csv", inp.demographics_csv,
           "--country-list", inp.country_list, "--port-list", inp.port_list,
-          "--state-list", inp.state_list, "--admissions", inp.admissions, "--out", out])
-    uris = json.loads(capsys.readouterr().out.strip().splitlines()[0])
+          "--state-list", inp.state_list, "--admissions", inp.admissions, "--out", out, "--report",
+          "--admissions-option", "mergeSchema=false"])
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    uris = lines[0]
+    assert {x["reason"]: x["row_count"] for x in lines if "reason" in x}["duplicate_cic_id"] > 0
+    assert all(x["ok"] for x in lines if "ok" in x) and sum("ok" in x for x in lines) > 60
+    assert all(x["enough_rows"] for x in lines if "enough_rows" in x)
     assert set(uris) == set(star.TABLE_PATHS)
     assert spark.read.parquet(uris["country"]).count() == fx.table(spark, SMALL, "customer").count()
 
@@ -62,3 +67,31 @@ def test_single_table_jobs(spark):
     layouts = star.publish_admissions(spark, inp.admissions, out)
     assert sorted(layouts) == ["arrival_date", "citizenship", "visatype"]
     assert len({spark.read.parquet(u).count() for u in layouts.values()}) == 1
+
+
+def test_key_report_does_not_retype_partition_values(spark):
+    """Cities 01 and 1 are two keys."""
+    from landfall.contracts import DEMOGRAPHICS, LAYOUTS
+    from landfall.plans.marts import write_mart
+
+    rows = [(city, "S", 1.0, 1, 1, 2, 0, 0, 2.0, "ST", "R", 1) for city in ("01", "1")]
+    uri = scratch_uri(spark, "demographics")
+    write_mart(spark.createDataFrame(rows, DEMOGRAPHICS), uri, LAYOUTS["demographics"])
+    r = star.published_key_report(spark, {"demographics": uri}).first()
+    assert (r.row_count, r.surplus_rows) == (2, 0)
+
+
+def test_scratch_is_released(spark):
+    import os
+
+    from landfall import session
+
+    uri = scratch_uri(spark, "released")
+    spark.range(3).write.parquet(uri)
+    kept = list(session._SCRATCH[:-1])
+    session._SCRATCH[:] = [uri]
+    try:
+        assert session.release_scratch(spark) == 1
+        assert not os.path.exists(uri.removeprefix("file:"))
+    finally:
+        session._SCRATCH[:] = kept
