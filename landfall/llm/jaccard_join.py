@@ -4,14 +4,17 @@ Rows of the incidence matrix are the distinct shingle sets (equal sets are one
 row), columns the shingles. The product of the matrix with its transpose holds
 every pair's overlap; only entries that can reach the bound are computed:
 
-1. Columns of a row are ordered from rare to common. Two sets with Jaccard
-   >= t share a column among the first ``n - ceil(t n) + 1`` of each, whatever
-   the common order is; only these columns form the first product. The order
-   puts shingles that repeat within tasks last, most repeated last.
-2. A product entry is dropped when the sizes of its rows, or the columns left
-   after the shared one, cannot give the overlap ``t (n1 + n2) / (1 + t)``.
-3. Remaining entries get their full overlap in blocks: an Arrow batch of pairs
-   is one sparse block, counted by sorting (pair, column) keys.
+1. Columns of a row are ordered from rare to common; the order puts shingles
+   that repeat within tasks last. Two sets with Jaccard >= t share a column
+   among the first ``p = n - ceil(t n) + 1`` of each, whatever the order is,
+   and each has at most ``p - 1`` columns that the other lacks.
+2. The first ``1.5 p`` columns of each row are dealt by column range in packed
+   blocks (documents x columns). A range task marks the columns with two rows
+   or more; a row with more than ``p - 1`` unmarked columns cannot link.
+3. Among the remaining rows, entries of the product are dropped when the sizes
+   of two rows, or the columns left after the shared one, cannot give the
+   overlap ``t (n1 + n2) / (1 + t)``; the others get their full overlap in
+   blocks: an Arrow batch of pairs, counted over (pair, column) keys.
 
 A column with many rows never emits all its pairs: every round multiplies the
 column with one of its rows per size class only, and links found merge rows.
@@ -37,7 +40,10 @@ from .shingles import Powers, shingle_sets
 
 K = 5
 PERCENT = 80           # links need 100 * intersection >= PERCENT * union
-SLICE_BYTES = 4 << 20  # text bytes that numpy works on at once
+SLICE_BYTES = 1 << 19  # text bytes that numpy works on at once
+BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 1 << 15  # text bytes and rows of a document block
+RANGE_COLUMNS = 1 << 19  # columns of a range, about
+PAIR_SLICE = 1 << 18   # shingles of the pairs whose overlaps are counted at once
 HEAVY = 100_000        # shingles whose counts order the columns (order only, never results)
 STAR_ROUNDS = 3
 
@@ -47,33 +53,46 @@ def needed(n):
     return -(-n * PERCENT // 100)
 
 
-def _parts(batch):
-    """(first row, data, offsets) slices of the text column of a batch."""
+def first_columns(n):
+    """(p, columns dealt) of sets of n shingles."""
+    p = np.where(n > 0, n - needed(n) + 1, 0)
+    return p, np.minimum(n, p + p // 2)
+
+
+def _parts(batch, limit: int = SLICE_BYTES):
+    """(first row, last row, data, offsets) slices of the text column of a batch."""
     data, offsets = utf8_column(batch.column(1))
-    for a, b in batch_slices(offsets, SLICE_BYTES):
-        yield a, b, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+    for a, b in batch_slices(offsets, limit):
+        for c in range(a, b, BLOCK_ROWS):
+            d = min(c + BLOCK_ROWS, b)
+            yield c, d, data[offsets[c]:offsets[d]], offsets[c:d + 1] - offsets[c]
 
 
 def _signed(x):
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64), pa.int64())
 
 
+def _block_sets(data, offsets, k, powers, rank=None):
+    """``shingle_sets`` of a block, slice by slice."""
+    out = [shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], k, powers, rank)
+           for a, b in batch_slices(offsets, SLICE_BYTES)]
+    at = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x[1]) for x in out]))])
+    return np.concatenate([x[0] for x in out]), at, np.concatenate([x[2] for x in out])
+
+
 def sets_and_heavy(docs: DataFrame, k: int) -> DataFrame:
     """kind 0: (doc_id, set id, set size) per document; kind 1: (shingle,
-    number of rows, 0) of shingles that repeat within a batch."""
+    number of rows, 0) of shingles that repeat within a block."""
     def run(batches):
         powers = Powers()
         for b in batches:
-            seen = []
-            for lo, hi, data, offsets in _parts(b):
-                h, at, digest = shingle_sets(data, offsets, k, powers)
-                seen.append(h)
+            for lo, hi, data, offsets in _parts(b, BLOCK_BYTES):
+                h, at, digest = _block_sets(data, offsets, k, powers)
                 yield pa.record_batch(
                     [pa.array(np.zeros(hi - lo, np.int32)), b.column(0).slice(lo, hi - lo),
                      _signed(digest), _signed(np.diff(at))], names=["kind", "a", "b", "c"])
-            if seen:
-                h = np.sort(np.concatenate(seen))
-                first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+                h.sort()
+                first = np.flatnonzero(np.append(True, h[1:] != h[:-1])[:len(h)])
                 count = np.diff(np.append(first, len(h)))
                 many = count > 1
                 yield pa.record_batch(
@@ -83,32 +102,120 @@ def sets_and_heavy(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "kind int, a long, b long, c long")
 
 
-def prefixes(docs: DataFrame, k: int, heavy) -> DataFrame:
-    """(shingle, set, n, pos): the rarest shingles of each set, enough of them
-    that linked sets share one. ``heavy`` broadcasts sorted hashes and counts."""
-    def run(batches):
-        powers = Powers()
-        keys, counts = heavy.value
+class _Ranks:
+    """Rank 0 of most shingles; 1 and up (log2 of the count) of the heavy ones."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        self.keys, self.ranks = keys, 1 + np.log2(np.maximum(counts, 1)).astype(np.int64)
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[(keys >> np.uint64(42)).astype(np.int64)] = True
 
-        def rank(h):
-            if not len(keys):
-                return np.zeros(len(h), np.int64)
-            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            return np.where(keys[at] == h, counts[at], 0)
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(h), np.int64)
+        some = np.flatnonzero(self.maybe[(h >> np.uint64(42)).astype(np.int64)])
+        if len(some):
+            at = np.minimum(np.searchsorted(self.keys, h[some]), len(self.keys) - 1)
+            out[some] = np.where(self.keys[at] == h[some], self.ranks[at], 0)
+        return out
 
+
+# packed layouts: of dealt columns, and of a block's rows with their heavy columns
+_ENTRY = np.dtype([("column", "<u4"), ("more", "u1"), ("row", "<u2"), ("pos", "<u2")])
+_ROW = np.dtype([("set", "<i8"), ("n", "<i4")])
+_HEAVY = np.dtype([("column", "<i8"), ("row", "<u2"), ("pos", "<u2")])
+
+
+def column_blocks(docs: DataFrame, k: int, heavy, n_ranges: int) -> DataFrame:
+    """(block, range, data, heavy): a row per document block and column range
+    with packed entries; range -1 holds the block's rows and heavy columns."""
+    def run(batches):
+        from pyspark import TaskContext
+
+        powers, ranks = Powers(), _Ranks(*heavy.value)
+        block = TaskContext.get().partitionId() << 32
+        limits = np.array([(r << 64) // n_ranges for r in range(1, n_ranges)], np.uint64)
         for b in batches:
-            for _, _, data, offsets in _parts(b):
-                h, at, digest = shingle_sets(data, offsets, k, powers, rank)
-                n = np.diff(at)
-                take = np.where(n > 0, n - needed(n) + 1, 0)
+            for _, _, data, offsets in _parts(b, BLOCK_BYTES):
+                h, at, digest = _block_sets(data, offsets, k, powers, ranks)
+                sizes = np.diff(at)
+                first = np.zeros(len(digest), bool)  # equal sets of a block are one row
+                first[np.unique(digest, return_index=True)[1]] = True
+                kept = np.flatnonzero(first & (sizes > 0))
+                n = sizes[kept]
+                take = first_columns(n)[1]
                 row = np.repeat(np.arange(len(n)), take)
                 pos = np.arange(len(row)) - np.repeat(np.cumsum(take) - take, take)
+                column = h[at[kept][row] + pos]
+                is_heavy = ranks(column) > 0
+                entry = np.zeros(len(row), _ENTRY)
+                entry["column"], entry["more"] = column & np.uint64(0xFFFFFFFF), (column >> np.uint64(32)) & np.uint64(255)
+                entry["row"], entry["pos"] = row, np.minimum(pos, 65535)
+                table = np.zeros(len(n), _ROW)
+                table["set"], table["n"] = digest[kept].view(np.int64), n
+                common = np.zeros(is_heavy.sum(), _HEAVY)
+                common["column"] = column[is_heavy].view(np.int64)
+                common["row"], common["pos"] = row[is_heavy], entry["pos"][is_heavy]
+                column, entry = column[~is_heavy], entry[~is_heavy]
+                order = np.argsort(column)
+                entry = entry[order]
+                cuts = np.concatenate([[0], np.searchsorted(column[order], limits), [len(order)]])
+                used = np.flatnonzero(np.diff(cuts))
+                ranges = [-1, *used.tolist()]
+                packed = [table.tobytes(), *(entry[cuts[r]:cuts[r + 1]].tobytes() for r in used)]
                 yield pa.record_batch(
-                    [_signed(h[at[:-1][row] + pos]), _signed(digest[row]),
-                     pa.array(n[row].astype(np.int32)), pa.array(pos.astype(np.int32))],
-                    names=["shingle", "set", "n", "pos"])
-
-    return docs.mapInArrow(run, "shingle long, set long, n int, pos int")
+                    [pa.array([block] * len(ranges), pa.int64()), pa.array(ranges, pa.int32()),
+                     pa.array(packed, pa.binary()),
+                     pa.array([common.tobytes()] + [None] * len(used), pa.binary())],
+                    names=["block", "range", "data", "heavy"])
+                block += 1
+
+    return docs.mapInArrow(run, "block long, range int, data binary, heavy binary")
+
+
+def shared_columns(blocks: DataFrame) -> DataFrame:
+    """(block, range, data): the entries whose column has two rows or more."""
+    def mark(table: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(x.as_py(), _ENTRY) for x in table.column("data")]
+        every = np.concatenate(parts)
+        column = every["column"].astype(np.uint64) | every["more"].astype(np.uint64) << np.uint64(32)
+        order = np.argsort(column)
+        sorted_ = column[order]
+        same = np.append(False, sorted_[1:] == sorted_[:-1])
+        marked = np.zeros(len(every), bool)
+        marked[order] = same | np.append(same[1:], False)
+        cuts = np.cumsum([len(x) for x in parts])[:-1]
+        out = [x[m].tobytes() for x, m in zip(parts, np.split(marked, cuts), strict=True)]
+        return pa.table({"block": table.column("block"), "range": table.column("range"),
+                         "data": pa.array(out, pa.binary())})
+
+    return blocks.where("range >= 0").select("block", "range", "data").groupBy("range").applyInArrow(
+        mark, "block long, range int, data binary")
+
+
+def possible_entries(blocks: DataFrame, shared: DataFrame) -> DataFrame:
+    """(shingle, set, n, pos): prefix columns of the rows that have few enough
+    columns of their own. A block's rows come together again here."""
+    def unpack(table: pa.Table) -> pa.Table:
+        ranges = table.column("range").to_pylist()
+        head = ranges.index(-1)
+        rows = np.frombuffer(table.column("data")[head].as_py(), _ROW)
+        heavy = np.frombuffer(table.column("heavy")[head].as_py(), _HEAVY)
+        parts = [(r, np.frombuffer(x.as_py(), _ENTRY))
+                 for r, x in zip(ranges, table.column("data"), strict=True) if r >= 0]
+        column = [(p["column"].astype(np.int64) | p["more"].astype(np.int64) << 32) + (r << 40) for r, p in parts]
+        column = np.concatenate([heavy["column"], *column])
+        row = np.concatenate([heavy["row"], *(p["row"] for _, p in parts)]).astype(np.int64)
+        pos = np.concatenate([heavy["pos"], *(p["pos"] for _, p in parts)]).astype(np.int64)
+        n = rows["n"].astype(np.int64)
+        p, dealt = first_columns(n)
+        can = dealt - np.bincount(row, minlength=len(n)) <= p - 1
+        good = can[row] & (pos < p[row])
+        return pa.table({"shingle": pa.array(column[good]), "set": pa.array(rows["set"][row[good]]),
+                         "n": pa.array(rows["n"][row[good]]), "pos": pa.array(pos[good].astype(np.int32))})
+
+    heads = blocks.where("range = -1").select("block", "range", "data", "heavy")
+    every = heads.unionByName(shared.withColumn("heavy", F.lit(None).cast("binary")))
+    return every.groupBy("block").applyInArrow(unpack, "shingle long, set long, n int, pos int")
 
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -146,13 +253,14 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             # blocks of bounded size, however long the sets are
             sizes = np.diff(batch.column(2).offsets.to_numpy()) + np.diff(batch.column(3).offsets.to_numpy())
-            for lo, hi in batch_slices(np.append(0, np.cumsum(sizes)), 1 << 20):
+            for lo, hi in batch_slices(np.append(0, np.cumsum(sizes)), PAIR_SLICE):
                 part = batch.slice(lo, hi - lo)
                 x, y = part.column(2), part.column(3)
                 common = _block_overlaps(x, y)
                 union = np.diff(x.offsets.to_numpy()) + np.diff(y.offsets.to_numpy()) - common
                 good = pa.array(100 * common >= PERCENT * union)
                 yield pa.record_batch([part.column(0).filter(good), part.column(1).filter(good)], names=["a", "b"])
+            pa.default_memory_pool().release_unused()
 
     left = sets.select(F.col("set").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("set").alias("b"), F.col("shingles").alias("y"))
@@ -232,9 +340,13 @@ def jaccard_groups(spark, docs: DataFrame, k: int = K) -> DataFrame:
         heavy = (both.where("kind = 1").groupBy(F.col("a").alias("shingle")).agg(F.sum("b").alias("n"))
                  .orderBy(F.desc("n"), "shingle").limit(HEAVY).toPandas())
         heavy = heavy.assign(key=heavy["shingle"].to_numpy(np.int64).view(np.uint64)).sort_values("key")
+        # bounded: HEAVY rows
         known = spark.sparkContext.broadcast((heavy["key"].to_numpy(np.uint64), heavy["n"].to_numpy(np.int64)))
-        prefix = scratch.keep(prefixes(docs, k, known), "prefixes")
-        comp = set_components(scratch, docs, prefix, table, k)
+        dealt = table.agg(F.sum(F.ceil(F.col("n_shingles") * (150 - 1.5 * PERCENT) / 100) + 1)).first()[0] or 0
+        blocks = scratch.keep(column_blocks(docs, k, known, int(dealt // RANGE_COLUMNS) + 1), "blocks")
+        shared = scratch.keep(shared_columns(blocks), "shared")
+        entries = scratch.keep(possible_entries(blocks, shared), "possible")
+        comp = set_components(scratch, docs, entries, table, k)
         named = scratch.keep(
             table.where("n_shingles > 0").join(comp, F.col("set") == F.col("node"), "left").select(
                 "doc_id", "n_shingles", F.coalesce("component", "set").alias("component")), "named")

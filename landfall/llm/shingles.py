@@ -92,22 +92,26 @@ def shingle_hashes(words: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.n
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int, powers: Powers,
                  rank=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, row offsets, set digests): each row's distinct shingles, ordered
-    by ``rank(hash)`` and hash. The digest depends on the set only."""
+    by ``rank(hash)`` (0 to 63) and hash. The digest depends on the set only."""
     words, at = word_hashes(data, offsets, powers)
     h, rows = shingle_hashes(words, at, k)
     n_rows = len(offsets) - 1
-    order = np.lexsort((h, rows))
-    h, rows = h[order], rows[order]
+    ranks = np.zeros(len(h), np.uint64) if rank is None else rank(h).astype(np.uint64)
+    # one sort by (row, rank, leading bits of the hash)
+    bits = np.uint64(max(n_rows - 1, 1).bit_length() + 6)
+    key = (rows.astype(np.uint64) << (np.uint64(64) - bits + np.uint64(6))
+           | ranks << (np.uint64(64) - bits) | h >> bits)
+    order = np.argsort(key)
+    key, sorted_h = key[order], h[order]
+    if ((key[1:] == key[:-1]) & (sorted_h[1:] != sorted_h[:-1])).any():  # the bits left out decide
+        order = np.lexsort((h, ranks, rows))
+        sorted_h = h[order]
+    h, rows = sorted_h, rows[order]
     if len(h):
-        new = np.empty(len(h), bool)
-        new[0] = True
-        new[1:] = (h[1:] != h[:-1]) | (rows[1:] != rows[:-1])
+        new = np.append(True, (h[1:] != h[:-1]) | (rows[1:] != rows[:-1]))
         h, rows = h[new], rows[new]
     out = np.searchsorted(rows, np.arange(n_rows + 1))
     total = np.zeros(len(h) + 1, np.uint64)
     np.cumsum(mix64(h + np.uint64(0x632BE59BD9B4E019)), out=total[1:])
     digest = mix64(total[out[1:]] - total[out[:-1]] + np.diff(out).astype(np.uint64))
-    if rank is not None and len(h):
-        order = np.lexsort((h, rank(h), rows))
-        h = h[order]
     return h, out, digest
