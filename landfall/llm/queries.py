@@ -116,3 +116,107 @@ FROM base d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
 LEFT JOIN picked p ON p.source IS NOT DISTINCT FROM d.source AND p.key = d.key
      AND p.doc_id IS NOT DISTINCT FROM d.doc_id AND p.size = d.size
 """
+
+ORACLE["op2_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(8), lambda g: list_reduce(list_transform([15, 10, 5, 0], lambda s:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(x, (g * 5 + 1)::BIGINT, 5))::BIGINT) >> s) & 31) + 1, 1)),
+    lambda a, b: a || b)), '') AS payload_digest,
+  min(page_id) OVER (PARTITION BY h) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+ CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM d
+"""
+
+ORACLE["op4_embedding_dedup"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+   AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+   AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+   AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+ vec_id = least(vec_id, coalesce(b, vec_id)) AS kept
+FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN low ON low.a = vec_id
+"""
+
+ORACLE["op8_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+   ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+s AS (SELECT doc_id, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 100 * n >= 80 * (len(x.s) + len(y.s) - n)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id
+FROM sets LEFT JOIN low ON low.a = doc_id
+"""
+
+
+def _quality_sql() -> str:
+    """The rules' counts, votes and EM rounds (always all of them) in SQL."""
+    q = quality_rules
+    votes = "\n UNION ALL ".join(
+        f"SELECT doc_id, '{name}' AS rule, CASE WHEN n_words = 0 THEN 0 WHEN ({ratio})::DOUBLE <= {good} THEN 1 "
+        f"WHEN ({ratio})::DOUBLE > {bad} THEN -1 ELSE 0 END AS vote FROM c"
+        for name, (ratio, good, bad) in q.RULES.items())
+    score = ("ln(any_value(share) / (1 - any_value(share))) + sum(CASE vote WHEN 1 THEN ln(on_good / (1 - on_bad)) "
+             "WHEN -1 THEN ln((1 - on_good) / on_bad) ELSE 0 END)")
+    clamp = f"least(greatest({{}}, {q.ACCURACY_RANGE[0]}), {q.ACCURACY_RANGE[1]})"
+    right = [clamp.format("sum(n * {p}) FILTER (vote = {v}) / sum(n * {p}) FILTER (vote <> 0)".format(p=p, v=v))
+             for p, v in (("p", 1), ("(1 - p)", -1))]
+    some = ["sum(n * {p}) FILTER (vote <> 0) > 1e-9".format(p=p) for p in ("p", "(1 - p)")]
+    return rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1),
+   lambda i: array_to_string(w[i:i + 2], ' '))) AS x FROM t WHERE len(w) > 2),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, x) > 1),
+hit AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) o(k) GROUP BY doc_id),
+c AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+   (length(t) - length(translate(t, '{q.SYMBOLS}', '')))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+   coalesce(n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines, len(list_distinct(w)) AS n_kinds,
+   length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS n_upper, length(t) - length(translate(t, '0123456789', '')) AS n_digits
+  FROM t LEFT JOIN hit USING (doc_id)),
+votes AS ({votes}),
+rules AS (SELECT DISTINCT rule FROM votes),
+of_doc AS (SELECT doc_id, string_agg(vote::VARCHAR, ',' ORDER BY rule) AS pattern FROM votes GROUP BY doc_id),
+patterns AS (SELECT pattern, rule, vote, count(*) AS n FROM of_doc JOIN votes USING (doc_id) GROUP BY ALL),
+em(step, rule, on_good, on_bad, share) AS (
+  SELECT 0, rule, {q.START_ACCURACY[0]}::DOUBLE, {q.START_ACCURACY[1]}::DOUBLE, {q.START_GOOD}::DOUBLE FROM rules
+  UNION ALL
+  SELECT step, rule, on_good, on_bad, least(greatest(sum(good) OVER () / sum(docs) OVER (), {q.GOOD_RANGE[0]}), {q.GOOD_RANGE[1]})
+  FROM (SELECT any_value(step) + 1 AS step, rule, sum(n * p) AS good, sum(n) AS docs,
+         CASE WHEN {some[0]} THEN {right[0]} ELSE {q.START_ACCURACY[0]} END AS on_good,
+         CASE WHEN {some[1]} THEN {right[1]} ELSE {q.START_ACCURACY[1]} END AS on_bad
+        FROM (SELECT pattern, any_value(step) AS step, 1 / (1 + exp(-({score}))) AS p
+              FROM patterns JOIN em USING (rule) GROUP BY pattern) e JOIN patterns USING (pattern) GROUP BY rule)
+  WHERE step <= {q.ROUNDS}),
+last AS (SELECT * FROM em WHERE step = {q.ROUNDS}),
+good AS (SELECT pattern, 1 / (1 + exp(-({score}))) AS p FROM (SELECT DISTINCT pattern, rule, vote FROM patterns) JOIN last USING (rule)
+         GROUP BY pattern)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+ (n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+ NOT (n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words) AND p >= {q.KEEP_FROM} AS kept
+FROM c JOIN of_doc USING (doc_id) JOIN good USING (pattern)
+"""
+
+
+ORACLE["op9_quality_rules"] = _quality_sql()
