@@ -14,11 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.session import scratch_uri
+from landfall.session import delete_uri, scratch_uri
 
 # ASCII white space as the contracts define it: space and \t\n\v\f\r.
 WS_CHARS = " \t\n\x0b\x0c\r"
 WS_CLASS = r"[\x20\x09-\x0D]+"
+COMPONENT_ROWS = 100_000  # edges per task of the component search
 
 
 class Scratch:
@@ -40,7 +41,7 @@ class Scratch:
 
     def __exit__(self, *exc) -> None:
         for uri in self._temporary:
-            self.drop(uri)
+            delete_uri(self.spark, uri)
 
     def path(self, tag: str) -> str:
         self._n += 1
@@ -57,19 +58,6 @@ class Scratch:
         """Delete ``uri`` with the other tables."""
         self._temporary.append(uri)
 
-    def drop(self, uri: str) -> None:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(uri)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def fresh(df: DataFrame, name: str) -> str:
-    """A column name that ``df`` does not have (case-insensitive)."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
-
 
 def let(value, body):
     """Bind ``value`` once: ``body`` may use it many times (also in lambdas)."""
@@ -84,8 +72,8 @@ def words_column(text):
 
 
 def count_words(text):
-    """Number of words: after joining white-space runs, one more than the
-    blanks (null or blank text: 0)."""
+    """Number of maximal runs of non-white-space characters (null or blank
+    text: 0)."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(WS_CHARS))
     return let(trimmed, lambda t: F.when(t == "", F.lit(0).cast("long"))
                .otherwise(F.size(F.split(t, WS_CLASS)).cast("long")))
@@ -137,18 +125,19 @@ def components(scratch: Scratch, edges: DataFrame, a: str = "a", b: str = "b") -
     """
     e = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))
     e = scratch.keep(e.where("u <> v").distinct(), "cc-edges")
+    parts = 1 + e.count() // COMPONENT_ROWS  # tables of a few rows are not written in many files
     previous = None
     while True:
         # large star: every larger neighbour of u points to the least of u and its neighbours
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = scratch.keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-min")
+        low = scratch.keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).coalesce(parts), "cc-min")
         large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        e = scratch.keep(large, "cc-large")
+        e = scratch.keep(large.coalesce(parts), "cc-large")
         # small star: a node's smaller neighbours, and the node, point to the least of them
         low = e.groupBy("u").agg(F.min("v").alias("m"))
         small = (e.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        e = scratch.keep(small, "cc-small")
+        e = scratch.keep(small.coalesce(parts), "cc-small")
         state = tuple(e.agg(F.count("*"), F.count_distinct("u"), F.sum(F.col("u").cast("decimal(38,0)")),
                             F.sum(F.col("v").cast("decimal(38,0)"))).first())
         if state == previous and state[0] == state[1]:

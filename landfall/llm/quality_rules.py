@@ -141,38 +141,66 @@ def posterior(accuracy: dict[str, tuple[float, float]], good: float):
     return 1 / (1 + F.exp(-score))
 
 
+def _clamp(value, bounds):
+    return F.least(F.greatest(value, F.lit(bounds[0])), F.lit(bounds[1]))
+
+
+def _share(part, whole, otherwise: float):
+    return F.when(whole > 1e-9, part / F.when(whole > 1e-9, whole)).otherwise(F.lit(otherwise))
+
+
+def _em_round(patterns, state):
+    """The next state (share, on_good[], on_bad[]) from the vote patterns
+    (votes[], n): posteriors of the patterns, then weighted vote counts."""
+    for_good = F.zip_with(state["on_good"], state["on_bad"], lambda g, b: F.log(g / (1 - b)))
+    for_bad = F.zip_with(state["on_good"], state["on_bad"], lambda g, b: F.log((1 - g) / b))
+    prior = F.log(state["share"] / (1 - state["share"]))
+
+    def score(votes, weights):
+        terms = F.zip_with(votes, weights, lambda v, w: F.when(v == 1, w["for_good"]).when(v == -1, w["for_bad"])
+                           .otherwise(0.0))
+        return F.aggregate(terms, prior, lambda total, x: total + x)
+
+    def posteriors(weights):
+        return F.transform(patterns, lambda p: F.struct(
+            p["votes"].alias("votes"), p["n"].alias("n"), (1 / (1 + F.exp(-score(p["votes"], weights)))).alias("p")))
+
+    def counted(judged):
+        def total(value):
+            return F.aggregate(judged, F.lit(0.0), lambda s, x: s + value(x))
+
+        def accuracy(k, sign, weight, start):
+            vote = lambda x: F.get(x["votes"], F.lit(k))
+            right = total(lambda x: F.when(vote(x) == sign, weight(x)).otherwise(0.0))
+            voted = total(lambda x: F.when(vote(x) != 0, weight(x)).otherwise(0.0))
+            return _clamp(_share(right, voted, start), ACCURACY_RANGE)
+
+        good = lambda x: x["n"] * x["p"]
+        bad = lambda x: x["n"] * (1 - x["p"])
+        rules = range(len(RULES))
+        return F.struct(
+            _clamp(_share(total(good), total(lambda x: x["n"]), START_GOOD), GOOD_RANGE).alias("share"),
+            F.array(*[accuracy(k, 1, good, START_ACCURACY[0]) for k in rules]).alias("on_good"),
+            F.array(*[accuracy(k, -1, bad, START_ACCURACY[1]) for k in rules]).alias("on_bad"))
+
+    weights = F.zip_with(for_good, for_bad, lambda g, b: F.struct(g.alias("for_good"), b.alias("for_bad")))
+    return let(let(weights, posteriors), counted)
+
+
 def estimate(patterns: DataFrame) -> tuple[dict[str, tuple[float, float]], float]:
     """EM over (one column per rule, ``n``): accuracies per rule, share of good.
 
-    The table has a row per vote pattern, at most ``3 ** len(RULES)``; each
-    round is one aggregate over it that returns a single row of sums.
+    The table has a row per vote pattern, at most ``3 ** len(RULES)``, so it
+    fits one row; all rounds are one expression over it.
     """
-    def clamp(x, lo, hi):
-        return min(max(x, lo), hi)
-
-    accuracy, good = dict.fromkeys(RULES, START_ACCURACY), START_GOOD
-    for _ in range(ROUNDS):
-        p, n = posterior(accuracy, good), F.col("n")
-        sums = [F.sum(n * p).alias("good"), F.sum(n).cast("double").alias("all")]
-        for name in RULES:
-            v = F.col(name)
-            sums += [F.sum(F.when(v == 1, n * p).otherwise(0.0)).alias(f"{name}_good_right"),
-                     F.sum(F.when(v != 0, n * p).otherwise(0.0)).alias(f"{name}_good_all"),
-                     F.sum(F.when(v == -1, n * (1 - p)).otherwise(0.0)).alias(f"{name}_bad_right"),
-                     F.sum(F.when(v != 0, n * (1 - p)).otherwise(0.0)).alias(f"{name}_bad_all")]
-        row = patterns.agg(*sums).first()
-        if not row["all"]:
-            break
-        before = (accuracy, good)
-        good = clamp(row["good"] / row["all"], *GOOD_RANGE)
-        accuracy = {name: tuple(
-            clamp(row[f"{name}_{k}_right"] / row[f"{name}_{k}_all"], *ACCURACY_RANGE)
-            if row[f"{name}_{k}_all"] > 1e-9 else START_ACCURACY[i]
-            for i, k in enumerate(("good", "bad"))) for name in RULES}
-        moved = [abs(a - b) for name in RULES for a, b in zip(accuracy[name], before[0][name], strict=True)]
-        if max(abs(good - before[1]), *moved) < 1e-6:
-            break
-    return accuracy, good
+    rows = patterns.agg(F.collect_list(F.struct(
+        F.array(*RULES).alias("votes"), F.col("n").cast("double").alias("n"))).alias("patterns"))
+    start = F.struct(F.lit(START_GOOD).alias("share"),
+                     *[F.array(*[F.lit(a)] * len(RULES)).alias(n) for n, a in zip(("on_good", "on_bad"), START_ACCURACY, strict=True)])
+    state = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start,
+                        lambda s, _: _em_round(F.col("patterns"), s))
+    last = rows.select(state.alias("state")).first()["state"]
+    return dict(zip(RULES, zip(last["on_good"], last["on_bad"], strict=True), strict=True)), last["share"]
 
 
 def judged(scratch: Scratch, docs: DataFrame, keep: list, text: str = "text", result: bool = False) -> DataFrame:
