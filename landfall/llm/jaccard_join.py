@@ -16,9 +16,12 @@ every pair's overlap; only entries that can reach the bound are computed:
    overlap ``t (n1 + n2) / (1 + t)``; the others get their full overlap in
    blocks: an Arrow batch of pairs, counted over (pair, column) keys.
 
-A column with many rows never emits all its pairs: every round multiplies the
-column with one of its rows per size class only, and links found merge rows.
-Pairs are listed only between rows that are still in different components.
+A column with many rows never lists its pairs. First each column is multiplied
+with one of its rows per size class, and the links found merge rows into
+components. Then only products across components are left: rows are dealt to
+tiles by component, a row meets the tiles that hold enough of its columns, and
+a task multiplies a block of rows with a tile in full and keeps one link per
+row and component.
 
 Defined cases: null, empty and blank texts have no shingles and stay alone;
 fewer than ``k`` words are one shingle; equal texts (and texts with equal
@@ -45,7 +48,10 @@ BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 1 << 15  # text bytes and rows of a document
 RANGE_COLUMNS = 1 << 19  # columns of a range, about
 PAIR_SLICE = 1 << 18   # shingles of the pairs whose overlaps are counted at once
 HEAVY = 100_000        # shingles whose counts order the columns (order only, never results)
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
+CHUNK = 2048            # tiles of a column that are packed together
+TILE_ROWS = 1024        # rows of a tile, and of a block that meets it
+PRODUCTS = 1 << 20      # products that are added up at once
 
 
 def needed(n):
@@ -193,7 +199,7 @@ def shared_columns(blocks: DataFrame) -> DataFrame:
 
 
 def possible_entries(blocks: DataFrame, shared: DataFrame) -> DataFrame:
-    """(shingle, set, n, pos): prefix columns of the rows that have few enough
+    """(shingle, set, n, pos): dealt columns of the rows that have few enough
     columns of their own. A block's rows come together again here."""
     def unpack(table: pa.Table) -> pa.Table:
         ranges = table.column("range").to_pylist()
@@ -209,7 +215,7 @@ def possible_entries(blocks: DataFrame, shared: DataFrame) -> DataFrame:
         n = rows["n"].astype(np.int64)
         p, dealt = first_columns(n)
         can = dealt - np.bincount(row, minlength=len(n)) <= p - 1
-        good = can[row] & (pos < p[row])
+        good = can[row]
         return pa.table({"shingle": pa.array(column[good]), "set": pa.array(rows["set"][row[good]]),
                          "n": pa.array(rows["n"][row[good]]), "pos": pa.array(pos[good].astype(np.int32))})
 
@@ -225,9 +231,10 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
         for b in batches:
             for _, _, data, offsets in _parts(b):
                 h, at, digest = shingle_sets(data, offsets, k, powers)
-                yield pa.record_batch(
+                out = pa.record_batch(
                     [_signed(digest), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), _signed(h))],
                     names=["set", "shingles"])
+                yield out.take(pa.array(np.unique(digest, return_index=True)[1]))  # equal sets once
 
     return docs.mapInArrow(run, "set long, shingles array<long>")
 
@@ -273,7 +280,8 @@ def _size_bound(n1, n2):
 
 
 def _reachable(n1, pos1, n2, pos2):
-    """Whether the shared column and all later ones can give the overlap."""
+    """Whether the shared column, if it is the first, and all later ones can
+    give the overlap."""
     most = F.least(n1 - pos1, n2 - pos2)
     return (100 + PERCENT) * most >= PERCENT * (n1 + n2)
 
@@ -288,48 +296,157 @@ def set_components(scratch: Scratch, docs: DataFrame, prefix: DataFrame, table:
     entries = scratch.keep(prefix.join(shared, "shingle").distinct()
                            .withColumn("size_class", size_class), "entries")
     active = entries.select("set").distinct()
-    one = scratch.keep(table.join(active, "set").groupBy("set").agg(F.min("doc_id").alias("id"))
+    # one document per set, before the join: a set may have very many
+    one = scratch.keep(table.groupBy("set").agg(F.min("doc_id").alias("id")).join(active, "set", "left_semi")
                        .select("id").distinct(), "rows-of-sets")
     sets = scratch.keep(full_sets(docs.join(one, F.col("doc_id").eqNullSafe(F.col("id")))
                                   .select("doc_id", "text"), k), "sets")
     nothing = spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
-    done, edges = nothing, nothing
+    edges = nothing
     comp = nothing.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for round_no in range(STAR_ROUNDS + 1):
-        here = entries.join(comp, F.col("set") == F.col("node"), "left").withColumn(
-            "comp", F.coalesce("component", "set")).drop("node", "component")
+        sizes = comp.groupBy(F.col("component").alias("c_id")).agg(F.count("*").alias("size"))
+        of_set = comp.join(sizes, F.col("component") == F.col("c_id")).select("node", "component", "size")
+        here = entries.join(of_set, F.col("set") == F.col("node"), "left").select(
+            "shingle", "set", "n", "pos", "size_class", F.coalesce("component", "set").alias("comp"),
+            F.coalesce("size", F.lit(1)).alias("comp_size"))
         # columns whose rows are in different components
-        spread = scratch.keep(here.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-                              .where("low <> high").select("shingle"), "open-columns")
+        spread = scratch.keep(here.groupBy("shingle").agg(
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("rows"),
+            F.max(F.struct("comp_size", "comp")).alias("largest")).where("low <> high").drop("low", "high"),
+            "open-columns")
         here = scratch.keep(here.join(spread, "shingle"), "open-entries")
         if here.isEmpty():
             break
-        x = here.select("shingle", "size_class", F.col("set").alias("a"), F.col("comp").alias("ca"),
-                        F.col("n").alias("na"), F.col("pos").alias("pa"))
-        y = here.select("shingle", "size_class", F.col("set").alias("b"), F.col("comp").alias("cb"),
-                        F.col("n").alias("nb"), F.col("pos").alias("pb"))
         if round_no < STAR_ROUNDS:
-            # one row per column and size class, another one each round
-            order = F.struct(F.xxhash64("b", F.lit(round_no)).alias("h"), "b", "cb", "nb", "pb")
-            y = y.groupBy("shingle", "size_class").agg(F.min(order).alias("m")).select(
-                "shingle", "size_class", "m.b", "m.cb", "m.nb", "m.pb")
-            pairs = x.join(scratch.keep(y, "stars"), ["shingle", "size_class"])
+            links = linked(scratch.keep(star_pairs(here, round_no), "pairs"), sets)
         else:
-            pairs = x.join(y.drop("size_class"), "shingle").where("a < b")
-        pairs = pairs.where((F.col("ca") != F.col("cb")) & _size_bound(F.col("na"), F.col("nb"))
-                            & _reachable(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = scratch.keep(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
-        done = done.unionByName(pairs)
-        found = scratch.keep(linked(pairs, sets), "links")
+            links = tile_links(scratch, here, sets)
+        found = scratch.keep(links, "links")
         if not found.isEmpty():
             edges = edges.unionByName(found)
             comp = scratch.keep(components(scratch, edges), "components")
     return comp
 
 
+def star_pairs(here: DataFrame, round_no: int) -> DataFrame:
+    """Possible pairs (a, b) of each open column's rows with one of them per
+    size class, another one each round."""
+    here = here.where(F.col("pos") < F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)  # linked rows share one
+    x = here.select("shingle", "size_class", F.col("set").alias("a"), F.col("comp").alias("ca"),
+                    F.col("n").alias("na"), F.col("pos").alias("pa"))
+    y = here.select("shingle", "size_class", F.col("set").alias("b"), F.col("comp").alias("cb"),
+                    F.col("n").alias("nb"), F.col("pos").alias("pb"))
+    order = F.struct(F.xxhash64("b", F.lit(round_no)).alias("h"), "b", "cb", "nb", "pb")
+    y = y.groupBy("shingle", "size_class").agg(F.min(order).alias("m")).select(
+        "shingle", "size_class", "m.b", "m.cb", "m.nb", "m.pb")
+    pairs = x.join(y, ["shingle", "size_class"]).where(
+        (F.col("ca") != F.col("cb")) & _size_bound(F.col("na"), F.col("nb"))
+        & _reachable(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb")))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def tiles_of(scratch: Scratch, here: DataFrame) -> DataFrame:
+    """(set, n, comp, comp_size, tile) of the open rows. Rows of a component
+    share tiles; rows that are alone share them with rows of the same least
+    column. A tile has about TILE_ROWS rows; ``alone`` tells the two kinds."""
+    rows = here.groupBy("set").agg(F.min("n").alias("n"), F.min("comp").alias("comp"),
+                                   F.min("comp_size").alias("comp_size"), F.min(F.xxhash64("shingle")).alias("least"))
+    alone = F.col("comp_size") == 1
+    rows = scratch.keep(rows.select("set", "n", "comp", "comp_size", alone.alias("alone"),
+                                    F.when(alone, F.col("least")).otherwise(F.col("comp")).alias("cluster")), "open-rows")
+    parts = scratch.keep(rows.groupBy(F.col("cluster").alias("p_cluster"), F.col("alone").alias("p_alone")).agg(
+        F.ceil(F.count("*") / TILE_ROWS).alias("parts")), "clusters")
+    part = F.pmod(F.xxhash64("set"), F.col("parts"))
+    return scratch.keep(rows.join(parts, (F.col("cluster") == F.col("p_cluster")) & (F.col("alone") == F.col("p_alone")))
+                        .select("set", "n", "comp", "comp_size", "alone",
+                                F.xxhash64("cluster", "alone", part).alias("tile")), "tiles")
+
+
+def possible_tiles(here: DataFrame, tiles: DataFrame) -> DataFrame:
+    """(a, tile): open rows and tiles of larger (size, id) components, or of
+    rows that are alone too, in which the row misses few enough columns."""
+    of_column = here.join(tiles.select(F.col("set").alias("t_set"), "tile", "alone"), F.col("set") == F.col("t_set")).select(
+        "shingle", "rows", F.struct("tile", "alone", F.col("comp_size").cast("long").alias("size"),
+                                    F.when(F.col("alone"), 0).otherwise(F.col("comp")).alias("comp")).alias("member"))
+    chunk = F.pmod(F.xxhash64("member"), F.ceil(F.col("rows") / CHUNK)).alias("chunk")
+    packed = of_column.distinct().groupBy("shingle", chunk).agg(F.collect_list("member").alias("members"))
+    probes = here.where(F.struct("comp_size", "comp") < F.col("largest")).select(
+        "shingle", F.col("set").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"),
+        F.col("comp_size").cast("long").alias("sa"))
+
+    def count(table: pa.Table) -> pa.Table:
+        a, na, ca, sa = (table.column(c)[0].as_py() for c in ("a", "na", "ca", "sa"))
+        flat = table.column("members").combine_chunks().flatten()
+        tile, alone, size, comp = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("tile", "alone", "size", "comp"))
+        wanted = (size > sa) | ((size == sa) & (alone | (comp > ca)))
+        tile, met = np.unique(tile[wanted], return_counts=True)
+        p, dealt = first_columns(np.array(na))
+        tile = tile[dealt - met <= p - 1]
+        return pa.table({"a": pa.array(np.full(len(tile), a, np.int64)), "tile": pa.array(tile, pa.int64())})
+
+    met = probes.join(packed, "shingle").select("a", "na", "ca", "sa", "members")
+    return met.groupBy("a").applyInArrow(count, "a long, tile long")
+
+
+def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    x = lists.combine_chunks()
+    return x.flatten().to_numpy(zero_copy_only=False), np.diff(x.offsets.to_numpy())
+
+
+def _tile_links(rows: pa.Table, tile: pa.Table) -> pa.Table:
+    """(a, b): one link per row and component of the tile. The block product
+    of the rows and the tile, a few million products at a time."""
+    if not rows.num_rows or not tile.num_rows:
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    column, size_b = _flat(tile.column("y"))
+    row_b = np.repeat(np.arange(len(size_b)), size_b)
+    order = np.argsort(column)
+    column, row_b = column[order], row_b[order]
+    set_b, comp_b, rank_b = (tile.column(c).to_numpy() for c in ("b", "cb", "sb"))
+    wanted, size_a = _flat(rows.column("x"))
+    set_a, comp_a, rank_a = (rows.column(c).to_numpy() for c in ("a", "ca", "sa"))
+    start, stop = np.searchsorted(column, wanted), np.searchsorted(column, wanted, side="right")
+    ends = np.append(0, np.cumsum(size_a))
+    products = np.append(0, np.cumsum(stop - start))[ends] if len(wanted) else ends
+    out_a, out_b = [], []
+    for lo, hi in batch_slices(products, PRODUCTS):
+        first, last = ends[lo], ends[hi]
+        n = stop[first:last] - start[first:last]
+        at = np.arange(n.sum()) + np.repeat(start[first:last] - (np.cumsum(n) - n), n)
+        row_a = np.repeat(np.repeat(np.arange(hi - lo), size_a[lo:hi]), n)
+        common = np.bincount(row_a * len(size_b) + row_b[at], minlength=(hi - lo) * len(size_b)).reshape(hi - lo, -1)
+        union = size_a[lo:hi, None] + size_b[None, :] - common
+        larger = (rank_b[None, :] > rank_a[lo:hi, None]) | (
+            (rank_b[None, :] == rank_a[lo:hi, None]) & (comp_b[None, :] > comp_a[lo:hi, None]))
+        i, j = np.nonzero((100 * common >= PERCENT * union) & larger)
+        _, one = np.unique(np.stack([i, comp_b[j]]), axis=1, return_index=True)
+        out_a.append(set_a[lo:hi][i[one]])
+        out_b.append(set_b[j[one]])
+    empty = np.zeros(0, np.int64)
+    return pa.table({"a": pa.array(np.concatenate([empty, *out_a])), "b": pa.array(np.concatenate([empty, *out_b]))})
+
+
+def tile_links(scratch: Scratch, here: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b) links between open rows of different components: at least one
+    for each two components that are linked."""
+    tiles = tiles_of(scratch, here)
+    met = scratch.keep(possible_tiles(here, tiles), "rows-of-tiles")
+    blocks = scratch.keep(met.groupBy(F.col("tile").alias("b_tile")).agg(
+        F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("blocks")), "blocks-of-tiles")
+    own = tiles.select(F.col("set").alias("o_set"), F.col("comp").alias("ca"), F.col("comp_size").cast("long").alias("sa"))
+    rows = met.join(blocks, F.col("tile") == F.col("b_tile")).withColumn(
+        "block", F.pmod(F.xxhash64("a"), F.col("blocks").cast("long")).cast("int")).join(
+        own, F.col("a") == F.col("o_set")).join(sets, F.col("a") == F.col("set")).select(
+        F.col("tile").alias("a_tile"), F.col("block").alias("a_block"), "a", "ca", "sa", F.col("shingles").alias("x"))
+    members = tiles.join(blocks, F.col("tile") == F.col("b_tile")).join(sets, "set").select(
+        F.col("tile").alias("m_tile"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("m_block"),
+        F.col("set").alias("b"), F.col("comp").alias("cb"), F.col("comp_size").cast("long").alias("sb"),
+        F.col("shingles").alias("y"))
+    return rows.groupBy("a_tile", "a_block").cogroup(members.groupBy("m_tile", "m_block")).applyInArrow(
+        _tile_links, "a long, b long")
+
+
 def jaccard_groups(spark, docs: DataFrame, k: int = K) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -342,7 +459,7 @@ def jaccard_groups(spark, docs: DataFrame, k: int = K) -> DataFrame:
         heavy = heavy.assign(key=heavy["shingle"].to_numpy(np.int64).view(np.uint64)).sort_values("key")
         # bounded: HEAVY rows
         known = spark.sparkContext.broadcast((heavy["key"].to_numpy(np.uint64), heavy["n"].to_numpy(np.int64)))
-        dealt = table.agg(F.sum(F.ceil(F.col("n_shingles") * (150 - 1.5 * PERCENT) / 100) + 1)).first()[0] or 0
+        dealt = table.agg(F.sum(F.ceil(F.col("n_shingles") * (150 - 1.5 * PERCENT) / 100) + 2)).first()[0] or 0
         blocks = scratch.keep(column_blocks(docs, k, known, int(dealt // RANGE_COLUMNS) + 1), "blocks")
         shared = scratch.keep(shared_columns(blocks), "shared")
         entries = scratch.keep(possible_entries(blocks, shared), "possible")

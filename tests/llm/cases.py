@@ -5,10 +5,21 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
           "raw string, `set` long, n int, kept boolean, size int, `row` string, spans string, c string")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    """The tables are tiny: shuffles into few tasks (results do not depend on it)."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def sentence(rng, n, letters="etaoinshrdlu"):
     return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(n))
 

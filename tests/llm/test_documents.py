@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 
 import brute
 import cases
+from cases import few_partitions  # noqa: F401 - applies to this module
 from conftest import SMALL, plan_text
 from landfall.llm import byte_bpe, jaccard_join, mixing, queries, quality_rules, suffix_dedup
 from landfall.llm.common import Scratch, components
@@ -153,7 +154,7 @@ def expected_groups(rows):
     return cases.multiset((rows[i][0], n, rows[low][0] if n else rows[i][0]) for i, (n, low) in enumerate(groups))
 
 
-@pytest.mark.parametrize("rounds", [0, 3])
+@pytest.mark.parametrize("rounds", [0, 2])
 def test_jaccard_odd_rows(odd, spark, monkeypatch, rounds):
     monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", rounds)
     rng = random.Random(5)
@@ -215,7 +216,7 @@ def expected_repeats(rows):
                           for (i, t, _), (kept, removed, runs) in zip(rows, brute.repeated(texts), strict=True))
 
 
-@pytest.mark.parametrize("group", [4096, 2])
+@pytest.mark.parametrize("group", [512, 2])
 def test_suffix_odd_rows(odd, spark, monkeypatch, group):
     monkeypatch.setattr(suffix_dedup, "GROUP", group)
     rng = random.Random(2)

@@ -13,6 +13,7 @@ import pytest
 
 import brute
 import cases
+from cases import few_partitions  # noqa: F401 - applies to this module
 from conftest import SMALL
 from landfall.llm import embedding_dedup, html_text, language_id, line_crf, queries, warc
 from landfall.llm.common import Scratch

@@ -1,8 +1,9 @@
 """The pipeline against brute force, stage by stage and as a whole."""
 
-import cases
 import brute
+import cases
 import corpus_pipeline
+from cases import few_partitions  # noqa: F401 - applies to this module
 from conftest import SMALL
 from landfall.llm import quality_rules, queries
 
