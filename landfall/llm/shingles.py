@@ -7,6 +7,7 @@ import numpy as np
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += 32
+PIECE_BYTES = 1 << 20  # a longer row is read in pieces that end between words
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -62,6 +63,25 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[
     return h, np.searchsorted(starts, offsets)
 
 
+def row_word_hashes(data: np.ndarray, offsets: np.ndarray, powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """``word_hashes``, a single long row in pieces: the work arrays stay small."""
+    if len(offsets) != 2 or len(data) <= 2 * PIECE_BYTES:
+        return word_hashes(data, offsets, powers)
+    out, start = [], 0
+    while start < len(data):
+        stop = min(start + PIECE_BYTES, len(data))
+        while stop < len(data):  # on to the next white space
+            gap = np.flatnonzero(_SPACE[data[stop:stop + PIECE_BYTES]])
+            if len(gap):
+                stop += int(gap[0])
+                break
+            stop = min(stop + PIECE_BYTES, len(data))
+        out.append(word_hashes(data[start:stop], np.array([0, stop - start]), powers)[0])
+        start = stop
+    words = np.concatenate(out)
+    return words, np.array([0, len(words)])
+
+
 def shingle_hashes(words: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of every k-word shingle; a row with 1 to k-1 words has its
     whole sequence as its only one."""
@@ -93,7 +113,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int, powers: Powers,
                  rank=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, row offsets, set digests): each row's distinct shingles, ordered
     by ``rank(hash)`` (0 to 63) and hash. The digest depends on the set only."""
-    words, at = word_hashes(data, offsets, powers)
+    words, at = row_word_hashes(data, offsets, powers)
     h, rows = shingle_hashes(words, at, k)
     n_rows = len(offsets) - 1
     ranks = np.zeros(len(h), np.uint64) if rank is None else rank(h).astype(np.uint64)

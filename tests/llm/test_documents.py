@@ -196,6 +196,17 @@ def test_shingle_sets_match_words(texts):
             assert (a == b) == (digest[i] == digest[j])
 
 
+def test_long_rows_are_hashed_in_pieces(monkeypatch):
+    from landfall.llm import shingles
+
+    raw = (cases.sentence(random.Random(6), 400) + " " + "w" * 300 + "  \n tail words").encode()
+    data, offsets = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
+    whole = shingles.shingle_sets(data, offsets, 5, Powers())
+    monkeypatch.setattr(shingles, "PIECE_BYTES", 50)
+    pieces = shingles.shingle_sets(data, offsets, 5, Powers())
+    assert all((a == b).all() for a, b in zip(whole, pieces, strict=True))
+
+
 def test_components_match_union_find(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(40)]
