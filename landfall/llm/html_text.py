@@ -44,9 +44,11 @@ _DROP_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search",
 _DROP_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|sponsor(?:ed|s)?|promo|promotion|banner|cookies?"
     r"|consent|gdpr|notices?|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|sidebar|side"
-    r"|menu|nav|navbar|navigation|breadcrumbs?|masthead|topbar|toolbar|footer|foot|comments?|disqus|respond|replies"
+    r"|menu|nav|navbar|navigation|breadcrumbs?|masthead|topbar|toolbar|footer|foot|comments?|commentlist|disqus|respond|replies"
     r"|social|share|sharing|related|recommended|recommendations|widgets?|login|signup|search|pager|pagination"
-    r"|skip|site-header|page-header|site-head)(?:$|[\s_-])", re.I)
+    r"|skip)(?:$|[\s_\d-])", re.I)
+_HEADER_NAME = re.compile(r"(?:^|\s)(?:(?:site|page|main|global|top)[_-])?header(?:$|\s|[_\d-])", re.I)
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|respond|replies|reply)(?:$|[\s_-])", re.I)
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",)}
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}}
@@ -75,9 +77,11 @@ def _is_dropped(tag: str, attrs: dict[str, str], parent: _Node) -> bool:
         return True
     if attrs.get("role", "").lower() in _DROP_ROLE and tag not in ("body", "main"):
         return True
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    if tag in ("html", "body", "main"):
+    names = _HUMP.sub("-", f"{attrs.get('class', '')} {attrs.get('id', '')}")
+    if tag in ("html", "body", "main") or names == " ":
         return False
+    if not parent.in_article and _HEADER_NAME.search(names):
+        return True
     return bool((_COMMENTS if tag == "article" else _DROP_NAME).search(names))
 
 

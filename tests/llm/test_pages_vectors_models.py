@@ -100,6 +100,20 @@ def test_html_odd_rows(spark):
     assert html_text.main_text(spark, df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("extra", [
+    '<div class="sidebar left">no</div>', '<div id="cookieBanner">no</div>', '<section id="comments"><p>no</section>',
+    '<div class="ad1">no</div>', '<div role="navigation">no</div>', '<header>no</header>', '<div class="header">no</div>',
+    '<div class="site-header">no</div>', '<nav>no</nav>', '<aside>no</aside>', '<form>no <p>no</form>', '<!-- no -->',
+    '<noscript>no</noscript>', '<p class="notice">no</p>', '<ol class="commentlist"><li>no</ol>', '<style>no</style>',
+    '<select><option>no</select>', '<template>no</template>', '<button>no</button>'])
+def test_what_is_no_article_goes(extra):
+    page = '<body>{0}<div class="post"><h1>Title</h1><p>Some words of text.</p>{1}<p>More of them, too.</p></div>{0}'
+    want = "Title\n\nSome words of text.\n\nMore of them, too."
+    assert html_text.extract(page.format(extra, ""), None) == want
+    if "header" not in extra:
+        assert html_text.extract(page.format("", extra), None) == want
+
+
 def test_host_consensus_decides(spark):
     """A page whose longest container is not the host's article follows the host."""
     usual = '<body><div class="x"><p>%s</p></div><div class="y"><p>%s</p></div>'
