@@ -39,7 +39,7 @@ from .shingles import mix64
 
 WIDTH = 200          # bytes of a repeated string
 GRAM = 32            # bytes of an anchor
-GROUP = 4096         # different contexts of an anchor that one shard takes
+GROUP = 512          # different contexts of an anchor that one shard takes
 SHARD_BYTES = 640 << 10
 SLICE_BYTES = 1 << 19
 FIRST = 7            # bytes of the first ranks
