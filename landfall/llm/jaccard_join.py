@@ -478,6 +478,8 @@ def one_of_each_group(spark, docs: DataFrame) -> DataFrame:
     with a smaller doc_id (rows with equal ids are one document and stay)."""
     with Scratch(spark, "jaccard-stage") as scratch:
         groups = jaccard_groups(spark, docs)
-        keep = scratch.keep(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                            .select(F.col("doc_id").alias("kept_id")).distinct(), "kept-ids", result=True)
-    return docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+        first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+        # the documents that go are few: the smaller table to join with
+        gone = scratch.keep(groups.groupBy(F.col("doc_id").alias("gone_id")).agg(F.max(first).alias("stays"))
+                            .where("NOT stays").select("gone_id"), "gone-ids", result=True)
+    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
