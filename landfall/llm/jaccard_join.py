@@ -8,7 +8,7 @@ every pair's overlap; only entries that can reach the bound are computed:
    that repeat within tasks last. Two sets with Jaccard >= t share a column
    among the first ``p = n - ceil(t n) + 1`` of each, whatever the order is,
    and each has at most ``p - 1`` columns that the other lacks.
-2. The first ``1.5 p`` columns of each row are dealt by column range in packed
+2. The first ``1.5 p`` columns of each row (``p`` of at most 5) are dealt by column range in packed
    blocks (documents x columns). A range task marks the columns with two rows
    or more; a row with more than ``p - 1`` unmarked columns cannot link.
 3. Among the remaining rows, entries of the product are dropped when the sizes
@@ -62,7 +62,8 @@ def needed(n):
 def first_columns(n):
     """(p, columns dealt) of sets of n shingles."""
     p = np.where(n > 0, n - needed(n) + 1, 0)
-    return p, np.minimum(n, p + p // 2)
+    # p // 2 more; a set of 5 would miss two of 3 that a set of 4, dealt one, shares with it
+    return p, np.minimum(n, p + np.where(n > 5, p // 2, 0))
 
 
 def _parts(batch, limit: int = SLICE_BYTES):

@@ -176,6 +176,30 @@ def test_jaccard_query(spark, small):
     assert cases.multiset(got.collect()) == expected_groups(rows_of(small))
 
 
+def test_dealt_columns_hold_the_bound():
+    n = np.arange(1, 1501)
+    p, dealt = jaccard_join.first_columns(n)
+    for a in n:
+        b = n[(100 * np.minimum(a, n) >= jaccard_join.PERCENT * np.maximum(a, n))]
+        least = -(-jaccard_join.PERCENT * (a + b) // (100 + jaccard_join.PERCENT))  # overlap of linked sets
+        shared = np.minimum(dealt[a - 1] - (a - least), dealt[b - 1] - (b - least))
+        assert (dealt[a - 1] - shared <= p[a - 1] - 1).all(), (a, b)
+
+
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_jaccard_links_sets_of_5_and_4(spark, monkeypatch, rounds):
+    monkeypatch.setattr(jaccard_join, "STAR_ROUNDS", rounds)
+    rng = random.Random(8)
+    texts = [cases.sentence(rng, 9, "abcdefghijklmnopqrstuvwxyz") for _ in range(12)]
+    long = [(i, t, "s") for i, t in enumerate(texts)]
+    short = [(100 + i, " ".join(t.split(" ")[i % 2:][:8]), "s") for i, t in enumerate(texts)]
+    parts = [spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").coalesce(1)
+             for rows in (long, short)]  # in different blocks
+    got = jaccard_join.jaccard_groups(spark, parts[0].unionByName(parts[1])).collect()
+    assert cases.multiset(got) == expected_groups(long + short)
+    assert [r["component_id"] for r in got if r["doc_id"] >= 100] == [r["doc_id"] - 100 for r in got if r["doc_id"] >= 100]
+
+
 def test_one_of_each_group(odd, spark):
     out = jaccard_join.one_of_each_group(spark, odd)
     assert out.columns == odd.columns
