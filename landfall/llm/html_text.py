@@ -33,6 +33,7 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[
     |<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/<>]*+)(?P<attrs2>[^<>]*+)>""", re.S | re.X)
 _ATTR = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "select", "svg", "title", "object", "canvas"}
+_RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in _RAW}
 _VOID = {"br", "hr", "img", "meta", "link", "input", "source", "wbr", "area", "base", "col", "embed", "track", "param"}
 _BLOCK = set("html body div section article main nav aside header footer form ul ol li dl dt dd table thead tbody "
              "tfoot tr caption p h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption address fieldset details summary "
@@ -93,7 +94,6 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
     pieces: list[str] = []
     link_from = -1          # number of pieces when a link opened
     links = 0
-    lower = html.lower()
     hidden: list[str] = []  # open inline elements of a dropped kind
 
     def flush():
@@ -151,8 +151,8 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
         text_attrs = m["attrs"] or m["attrs2"] or ""
         if tag in _RAW:
             if not text_attrs.endswith("/"):
-                end = lower.find(f"</{tag}", at)
-                at = n if end < 0 else end
+                end = _RAW_END[tag].search(html, at)
+                at = n if end is None else end.start()
             continue
         if tag == "br" or tag in ("td", "th"):
             add(" ")

@@ -114,6 +114,14 @@ def test_what_is_no_article_goes(extra):
         assert html_text.extract(page.format("", extra), None) == want
 
 
+@pytest.mark.parametrize("tag", sorted(html_text._RAW))
+def test_raw_ends_are_found_after_letters_that_grow(tag):
+    first = "\u0130stanbul " * 20 + "first paragraph of the article"  # U+0130 is two characters in lower case
+    page = (f"<html><body><article><p>{first}</p><{tag}>gone</{tag.upper()}><p>Second paragraph</p>"
+            f"<{tag}>gone</{tag}><p>Third paragraph</p></article></body></html>")
+    assert html_text.extract(page, None) == f"{first}\n\nSecond paragraph\n\nThird paragraph"
+
+
 def test_host_consensus_decides(spark):
     """A page whose longest container is not the host's article follows the host."""
     usual = '<body><div class="x"><p>%s</p></div><div class="y"><p>%s</p></div>'
