@@ -8,15 +8,16 @@ context that has seen it (c times, among T bytes of U kinds), plus an escape
 are frozen: the language with the shortest exact code of the whole text wins.
 
 The trees are fitted on a hash sample of about TRAIN_BYTES of text per
-language (whole texts, counts added up in Spark); all are read as arrays, so
-that a batch of texts walks every tree at once: the place of the last k bytes
-is a child of the place of the k-1 bytes before the last.
+language (pieces of PIECE bytes, each with the ORDER bytes before it and
+learned from once however often it occurs; counts added up in Spark); all are
+read as arrays, so that a batch of texts walks every tree at once: the place
+of the last k bytes is a child of the place of the k-1 bytes before the last.
 
 Defined cases: a null text and one without a letter are ``und`` with score 0,
 and so is every text if nothing could be learned; equal code lengths go to the
 smaller language value; a null doc_id is neither held out nor learned from; a
-null text or lang is not learned from; repeated rows count as often as they
-occur; an empty table gives an empty result.
+null text or lang is not learned from; repeated rows are learned from once and
+each get a result; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from .common import Scratch, batch_slices, utf8_column
 
 ORDER = 3
 TRAIN_BYTES = 1 << 19   # of text per language, about
+PIECE = 1 << 12         # bytes of a text that are drawn together
 SLICE_BYTES = 1 << 20
 DENSE = 1 << 24         # entries of a table that is looked up directly
 PAD = np.frombuffer(b"\n" * ORDER, np.uint8)  # what stands before each text
@@ -56,8 +58,9 @@ def padded(data: np.ndarray, offsets: np.ndarray, before: np.ndarray = PAD) -> t
     return out, new
 
 
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """(lang, gram, n): counts of the ORDER + 1 byte strings of (lang, raw)."""
+def gram_counts(texts: DataFrame, pad: bool = True) -> DataFrame:
+    """(lang, gram, n): counts of the ORDER + 1 byte strings of (lang, raw);
+    without ``pad`` each raw begins with the ORDER bytes before it."""
     def run(batches):
         for b in batches:
             langs = np.array(b.column(0).to_pylist(), object)
@@ -66,7 +69,9 @@ def gram_counts(texts: DataFrame) -> DataFrame:
                 total: dict[int, int] = {}
                 rows = np.flatnonzero(langs == lang)
                 for r in rows:
-                    raw, _ = padded(data[offsets[r]:offsets[r + 1]], np.array([0, offsets[r + 1] - offsets[r]]))
+                    raw = data[offsets[r]:offsets[r + 1]]
+                    if pad:
+                        raw, _ = padded(raw, np.array([0, len(raw)]))
                     code = np.zeros(len(raw) - ORDER, np.int64)
                     for j in range(ORDER + 1):
                         code = code << 8 | raw[j:len(raw) - ORDER + j]
@@ -176,17 +181,34 @@ class ContextTrees:
         return out
 
 
+def training_pieces(docs: DataFrame) -> DataFrame | None:
+    """(lang, raw): distinct pieces of the documents that may be learned from,
+    about TRAIN_BYTES per language, after the ORDER bytes before each."""
+    own = docs.where((remainder(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & (F.octet_length("text") > 0)).select(
+        F.col("lang").cast("string").alias("lang"),
+        F.concat(F.lit(PAD.tobytes()), F.col("text").cast("binary")).alias("raw"))
+    starts = F.sequence(F.lit(1), F.octet_length("raw") - ORDER, F.lit(PIECE))
+    pieces = F.transform(starts, lambda at: F.substring(F.col("raw"), at, F.lit(PIECE + ORDER)))
+    # copies count once, so that the rate holds for what can be learned
+    distinct = own.select("lang", F.explode(F.transform(pieces, lambda p: F.struct(
+        F.xxhash64(p).alias("key"), F.octet_length(p).alias("size")))).alias("p")).groupBy("lang", "p.key").agg(
+        F.max("p.size").alias("size"))
+    sizes = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.sum(F.col("size") - ORDER).alias("n")).collect()}
+    if not sizes:
+        return None
+    share = {lang: min(1.0, TRAIN_BYTES / n) for lang, n in sizes.items()}
+    rate = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
+    drawn = F.filter(pieces, lambda p: F.pmod(F.xxhash64(p), F.lit(1 << 30)) / F.lit(float(1 << 30)) < rate)
+    # bounded: a task for each TRAIN_BYTES, so that few tasks list the same strings
+    return own.select("lang", F.explode(drawn).alias("raw")).distinct().coalesce(len(sizes))
+
+
 def fit(spark, docs: DataFrame) -> ContextTrees:
     """Context trees of the languages of the documents that may be learned from."""
-    own = docs.where((remainder(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("lang").cast("string").alias("lang"), F.col("text").cast("binary").alias("raw"))
-    sizes = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.sum(F.octet_length("raw")).alias("n")).collect()}
-    share = {lang: min(1.0, TRAIN_BYTES / n) for lang, n in sizes.items() if n}
-    if not share:
+    pieces = training_pieces(docs)
+    if pieces is None:
         return ContextTrees([], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    rate = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
-    unit = F.pmod(F.xxhash64("raw"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    table = gram_counts(own.where(unit < rate)).toArrow()
+    table = gram_counts(pieces, pad=False).toArrow()
     langs = sorted(set(table.column("lang").to_pylist()))
     index = {lang: i for i, lang in enumerate(langs)}
     return ContextTrees(langs, np.array([index[x] for x in table.column("lang").to_pylist()], np.int64),

@@ -276,6 +276,32 @@ def test_language_odd_rows(spark):
     assert {r["lang_pred"] for r in nothing.collect()} <= {"und"}
 
 
+def test_long_texts_and_copies_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "TRAIN_BYTES", 1 << 16)
+    rng = random.Random(9)
+    rows = [(i, cases.sentence(rng, 100_000, "abcdefgh"), "aa") for i in range(4)]    # few and very long
+    rows += [(100 + i, cases.sentence(rng, 600, "stuvwxyz"), "bb") for i in range(60)]
+    rows += [(1000 + i, rows[-1][1], "bb") for i in range(3000)]                      # mostly copies
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    pieces = [(r["lang"], bytes(r["raw"])) for r in language_id.training_pieces(df).collect()]
+    assert len(pieces) == len(set(pieces))
+    for lang in ("aa", "bb"):
+        n = sum(len(raw) - language_id.ORDER for x, raw in pieces if x == lang)
+        assert 0.4 * (1 << 16) < n < 2 * (1 << 16)
+    got = language_id.identify(spark, df).join(df.select("doc_id", "lang"), "doc_id").collect()
+    assert len(got) == len(rows) and all(r["lang_pred"] == r["lang"] for r in got)
+
+
+def test_pieces_count_every_byte_once(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "PIECE", 7)
+    texts = ["hello world, hallo welt é", "bonjour", "x", "", "0123456"]
+    df = spark.createDataFrame([(i, t, "aa") for i, t in enumerate(texts * 2, 1)], "doc_id long, text string, lang string")
+    learned = [r["text"].encode() for r in df.where(language_id.remainder(df["doc_id"]) != 0).distinct().collect()]
+    whole = spark.createDataFrame([("aa", t) for t in sorted(set(learned))], "lang string, raw binary")
+    got = language_id.gram_counts(language_id.training_pieces(df), pad=False).collect()
+    assert cases.multiset(got) == cases.multiset(language_id.gram_counts(whole).collect())
+
+
 def test_language_accuracy(spark):
     sf = SMALL.replace("0.001", "0.01")
     got = queries.op7_language_id(spark, sf).join(
