@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, embedding_dedup, html_text, jaccard_join, language_id, line_crf, mixing, quality_rules, suffix_dedup, warc
+from . import byte_bpe, centroid_clusters, conversation_trie, embedding_dedup, html_text, jaccard_join, language_id, line_crf, mixing, quality_rules, suffix_dedup, toxic_passages, warc
 from .common import Scratch
 
 
@@ -62,7 +62,20 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         return scratch.keep(mixed, "result", result=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_crf, op2_warc, op3_byte_bpe, op4_embedding_dedup, op5_html_text, op6_suffix_dedup, op7_language_id, op8_jaccard_join, op9_quality_rules, op10_source_mix)}
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_passages.toxicity(spark, _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.clusters(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_crf, op2_warc, op3_byte_bpe, op4_embedding_dedup, op5_html_text, op6_suffix_dedup, op7_language_id, op8_jaccard_join, op9_quality_rules, op10_source_mix,
+                                    op11_conversation_trie, op12_toxic_passages, op13_centroid_clusters)}
 
 ORACLE: dict[str, str] = {}
 
@@ -220,3 +233,71 @@ FROM c JOIN of_doc USING (doc_id) JOIN good USING (pattern)
 
 
 ORACLE["op9_quality_rules"] = _quality_sql()
+
+
+ORACLE["op11_conversation_trie"] = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+   md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+crc_table AS (
+  SELECT list(v ORDER BY i) AS tb FROM (SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+   lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(i))),
+c AS (
+  SELECT conv_id AS c, conv_id - conv_id % 100 AS base, xor(list_reduce(
+   list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+   lambda a, b: xor(a >> 8, tb[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t), crc_table),
+turns AS (
+  SELECT c, 0 AS part, p, r, x FROM c JOIN t ON conv_id = base AND p <= h
+  UNION ALL SELECT c, 1, p, r, x FROM c JOIN t ON conv_id = c AND p > h),
+seqs AS (
+  SELECT c.c, coalesce(list({'r': r, 'x': x} ORDER BY part, p) FILTER (p IS NOT NULL), []) AS l
+  FROM c LEFT JOIN turns USING (c) GROUP BY c.c),
+prefixes AS (SELECT c, d, len(l) AS n, l[1:d] AS pre FROM seqs, unnest(range(0, len(l) + 1)) u(d)),
+member AS (SELECT c, d, n, pre, min(c) OVER (PARTITION BY d, pre) AS node FROM prefixes),
+nodes AS (
+  SELECT node, d, count(*) AS n_convs, CASE WHEN d = 0 THEN 0 ELSE length(any_value(pre)[-1].x) END AS chars,
+   sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+  FROM member GROUP BY node, d),
+up AS (SELECT a.*, p.node AS parent FROM nodes a LEFT JOIN member p ON p.c = a.node AND p.d = a.d - 1),
+kids AS (SELECT parent AS node, d - 1 AS d, count(*) AS k FROM up WHERE d > 0 GROUP BY ALL),
+counted AS (SELECT nodes.*, coalesce(k, 0) AS k FROM nodes LEFT JOIN kids USING (node, d)),
+below AS (
+  SELECT m.node, m.d, sum((v.n_convs - 1) * v.chars) AS saved, count(*) FILTER (v.k = 0) AS leaves
+  FROM counted v JOIN member m ON m.c = v.node AND m.d <= v.d GROUP BY m.node, m.d)
+SELECT up.node AS conv_id, up.d AS depth, parent AS parent_conv_id, up.n_convs, counted.k AS n_children,
+ leaves AS n_leaves, saved::BIGINT AS saved_tokens, up.ends_sha256
+FROM up JOIN counted USING (node, d) JOIN below USING (node, d)
+"""
+
+
+def _clusters_sql() -> str:
+    """The rounds one after the other; all values are whole numbers below 2^53."""
+    m = centroid_clusters
+    parts = [rf"""
+v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding::DOUBLE[], lambda x: floor({m.SCALE} * x)) AS q
+ FROM embeddings WHERE len(embedding) = {m.WIDTH}
+  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY s NULLS LAST, q) - 1 AS c, q FROM (
+ SELECT sha256('{m.SALT}' || vec_id::VARCHAR) AS s, q FROM v) ORDER BY c LIMIT {m.K})"""]
+    for i in range(m.ROUNDS + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (SELECT rid, min((list_inner_product(v.q, v.q) - 2 * list_inner_product(v.q, c.q)
+  + list_inner_product(c.q, c.q))::BIGINT * {m.K} + c.c) AS best FROM v, c{i} c GROUP BY rid)""")
+        if i < m.ROUNDS:
+            parts.append(f"""
+s{i} AS (SELECT best % {m.K} AS c, k, floor(sum(q[k]) / count(*)) AS x FROM a{i} JOIN v USING (rid), range(1, {m.WIDTH + 1}) r(k)
+ GROUP BY ALL),
+c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(n.q, c.q) AS q FROM c{i} c LEFT JOIN (
+ SELECT c, list(x ORDER BY k) AS q FROM s{i} GROUP BY c) n ON n.c = c.c)""")
+    return "WITH " + ",".join(parts) + rf""",
+f AS (SELECT vec_id, best % {m.K} AS cluster, best // {m.K} AS distance FROM a{m.ROUNDS} JOIN v USING (rid))
+SELECT vec_id, cluster::INTEGER AS cluster, distance::BIGINT AS distance,
+ (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+ sha256(array_to_string(list_transform(q, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM f JOIN c{m.ROUNDS} ON c = cluster
+"""
+
+
+ORACLE["op13_centroid_clusters"] = _clusters_sql()
