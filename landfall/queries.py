@@ -26,6 +26,7 @@ from landfall.contracts import (
     STATE,
     fact_schema,
 )
+from landfall.fixtures_sas import write_sas
 from landfall.functions.cleaning import (
     admitted_until,
     region_state,
@@ -224,6 +225,23 @@ def src_raw_admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_raw_admissions(spark, uri, "parquet", SLIM_COLUMNS)
 
 
+@query("src_admissions_sas", """
+WITH {raw_admissions_full}, s AS (SELECT 'plain' AS stored, * FROM raw_admissions_full UNION ALL SELECT 'packed', * FROM raw_admissions_full)
+SELECT * REPLACE (CASE WHEN NOT isnan(cicid) THEN cicid END AS cicid, CASE WHEN NOT isnan(depdate) THEN depdate END AS depdate) FROM s
+""")
+def src_admissions_sas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: the whole admissions contract from SAS files, read by ranges of
+    pages; once with plain rows and once with run-length compressed ones.
+    Numbers that are missing (NaN among them) are null, as in SAS."""
+    raw, out = fx.raw_admissions(spark, sf_dir, full=True), None
+    for stored in ("plain", "packed"):
+        uri = write_sas(raw, f"admissions-{stored}", packed=stored == "packed")
+        rows = load_raw_admissions(spark, uri, "sas7bdat", options={"partitionBytes": str(1 << 20)})
+        rows = rows.select(F.lit(stored).alias("stored"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query("src_raw_admissions_csv", """
 WITH {raw_admissions} SELECT TRY_CAST(cicid AS BIGINT) AS cicid, DATE '1960-01-01' + CAST(arrdate AS INTEGER) AS arrival_date,
  DATE '1960-01-01' + TRY_CAST(depdate AS INTEGER) AS departure_date, CAST(i94mode AS INTEGER) AS i94mode,
