@@ -74,6 +74,21 @@ DROP_REASONS = ["no_departure_date", "no_admitted_until", "invalid_departure_dat
                 "invalid_admitted_until", "no_cic_id", "duplicate_cic_id", "kept"]
 
 
+def row_reason() -> Column:
+    """The place in ``DROP_REASONS`` of the row rule that drops a raw admission
+    row; 5 for rows that reach the de-duplication."""
+    return (F.when(F.col("depdate").isNull(), 0).when(F.col("dtaddto").isNull(), 1)
+             .when(sas_day_to_date("depdate").isNull(), 2).when(admitted_until(F.col("dtaddto")).isNull(), 3)
+             .when(to_number("cicid", "bigint").isNull(), 4).otherwise(5))
+
+
+def reason_metrics() -> list[Column]:
+    """Counts of the row rules as aggregates of the raw rows, for ``observe``:
+    one per reason, and ``valid`` rows."""
+    names = [*DROP_REASONS[:5], "valid"]
+    return [F.count(F.when(row_reason() == i, 1)).alias(n) for i, n in enumerate(names)]
+
+
 def drop_reasons(raw: DataFrame) -> DataFrame:
     """Where the raw admission rows go: ``reason, row_count`` for each rule of
     the fact job, in the order the rules apply, plus the rows kept.
@@ -81,12 +96,7 @@ def drop_reasons(raw: DataFrame) -> DataFrame:
     One pass for the row rules, one partial-aggregated shuffle on ``cicid``
     for duplicates.
     """
-    dep = F.col("depdate").isNull()
-    dta = F.col("dtaddto").isNull()
-    no_day = sas_day_to_date("depdate").isNull()
-    bad = admitted_until(F.col("dtaddto")).isNull()
-    cic = to_number("cicid", "bigint")
-    reason = (F.when(dep, 0).when(dta, 1).when(no_day, 2).when(bad, 3).when(cic.isNull(), 4).otherwise(5))
+    cic, reason = to_number("cicid", "bigint"), row_reason()
     per_key = (raw.select(reason.alias("_r"), F.when(reason == 5, cic).alias("_k"))
                   .groupBy("_r", "_k").agg(F.count(F.lit(1)).alias("_n")))
     zero = F.lit(0).cast("bigint")

@@ -23,12 +23,13 @@ Only the de-duplication shuffles; both lookups are broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall.contracts import ADMISSIONS_FIELDS, RAW_CASTS
 from landfall.functions.cleaning import admitted_until, may_be_admitted_until, sas_day_to_date, to_number
+from landfall.operators.quality import DROP_REASONS, reason_metrics
 from landfall.operators.relational import keep_first, lookup_left
 
 
@@ -43,16 +44,33 @@ def cast_raw(raw: DataFrame) -> DataFrame:
     return raw.select(*[typed(c) if c in RAW_CASTS else F.col(c) for c in raw.columns])
 
 
+class FactCounts:
+    """Where the raw rows went, counted while the fact is computed: pass it to
+    one :func:`admissions` and read it after the fact's one action."""
+
+    def __init__(self):
+        self.raw, self.kept = Observation(), Observation()
+
+    def reasons(self) -> dict[str, int]:
+        """Rows per entry of ``DROP_REASONS``."""
+        raw, kept = self.raw.get, self.kept.get["kept"]
+        return {r: raw[r] for r in DROP_REASONS[:5]} | {"duplicate_cic_id": raw["valid"] - kept, "kept": kept}
+
+
 def admissions(raw: DataFrame, mode: DataFrame, visa: DataFrame,
-               lookups_bounded: bool = False, lookups_unique: bool = False) -> DataFrame:
+               lookups_bounded: bool = False, lookups_unique: bool = False,
+               counts: FactCounts | None = None) -> DataFrame:
     """Build the fact from raw admissions (any subset of the contract columns
     that includes ``cicid``, ``arrdate``, ``depdate``, ``dtaddto``).
 
     ``mode``: (transport_code, mode); ``visa``: (visa_code, visa).
     ``lookups_bounded``: both lookups are small by construction (skip the
     size check); ``lookups_unique``: their keys are unique (skip the
-    de-duplication).
+    de-duplication). ``counts`` observes the rows (the null predicates then
+    stay above the scan, which has to see the rows it counts).
     """
+    if counts is not None:
+        raw = raw.observe(counts.raw, *reason_metrics())
     clean = raw.where(F.col("depdate").isNotNull() & F.col("dtaddto").isNotNull())
     clean = clean.where(may_be_admitted_until("dtaddto") & sas_day_to_date("depdate").isNotNull())
     clean = clean.withColumns({
@@ -64,6 +82,8 @@ def admissions(raw: DataFrame, mode: DataFrame, visa: DataFrame,
     # a filter here would be pushed below the conversion and repeat it per row
     valid = typed.withColumn("_no_date", F.col("dtaddto").isNull())
     unique = keep_first(valid, ["cicid"], ["_no_date"]).where(~F.col("_no_date")).drop("_no_date")
+    if counts is not None:
+        unique = unique.observe(counts.kept, F.count(F.lit(1)).alias("kept"))
     out = unique
     if "i94mode" in out.columns:
         out = lookup_left(out, mode, "i94mode", "transport_code", [("mode", "_mode")],

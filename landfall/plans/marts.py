@@ -28,12 +28,14 @@ def rebalance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def write_mart(df: DataFrame, uri: str, partition_cols: Sequence[str],
-               mode: str = "overwrite", max_records_per_file: int | None = None) -> None:
+               mode: str = "overwrite", max_records_per_file: int | None = None,
+               options: dict[str, str] | None = None) -> None:
     """Write ``df`` as Hive-style partitioned Parquet at ``uri``.
 
     Rows are REBALANCEd on the partition columns: AQE sizes the tasks by bytes,
     merges small partitions and splits hot values.
     ``max_records_per_file`` caps file size inside a (large) partition.
+    ``options`` go to the writer.
     """
     parts = list(partition_cols)
     writer = rebalance(df, parts).write.mode(mode)
@@ -41,7 +43,7 @@ def write_mart(df: DataFrame, uri: str, partition_cols: Sequence[str],
         writer = writer.partitionBy(*parts)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    writer.parquet(uri)
+    writer.options(**(options or {})).parquet(uri)
 
 
 def read_mart(spark: SparkSession, uri: str, schema: T.StructType) -> DataFrame:

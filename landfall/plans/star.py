@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landfall.contracts import (
     AIRPORT_COLUMNS,
@@ -31,11 +32,14 @@ from landfall.contracts import (
     STATE,
     fact_schema,
 )
+from landfall.operators.footers import file_type_report
 from landfall.operators.quality import drop_reasons, key_report, schema_report
 from landfall.plans import dims
-from landfall.plans.fact import admissions
+from landfall.plans.fact import FactCounts, admissions
 from landfall.plans.marts import read_mart, write_mart
+from landfall.plans.publish import Manifest, Publication
 from landfall.sources.admissions import load_raw_admissions
+from landfall.sources.constants import values_frame
 from landfall.sources.codelists import read_country, read_mode, read_port, read_state, read_visa
 from landfall.sources.delimited import read_delimited
 
@@ -101,11 +105,11 @@ def demographics_dimension(spark: SparkSession, demographics_csv: str) -> DataFr
     return dims.demographics(demo)
 
 
-def build_fact(spark: SparkSession, inp: StarInputs) -> DataFrame:
+def build_fact(spark: SparkSession, inp: StarInputs, counts: FactCounts | None = None) -> DataFrame:
     """The admissions fact. Lazy but for the size check of each list file."""
     built_in = inp.mode_list is None and inp.visa_list is None
     return admissions(raw_admissions(spark, inp), read_mode(spark, inp.mode_list),
-                      read_visa(spark, inp.visa_list), lookups_bounded=built_in, lookups_unique=True)
+                      read_visa(spark, inp.visa_list), lookups_bounded=built_in, lookups_unique=True, counts=counts)
 
 
 def raw_admissions(spark: SparkSession, inp: StarInputs) -> DataFrame:
@@ -172,29 +176,74 @@ def publish_fact(spark: SparkSession, fact: DataFrame, out: str,
     return uris
 
 
-def run(spark: SparkSession, inp: StarInputs, out: str, parallel_jobs: int = 4) -> dict[str, str]:
-    """Build and publish all eight tables; returns table -> URI.
+def _fact_layouts(publication: Publication, spark: SparkSession, inp: StarInputs, parallel_jobs: int) -> None:
+    """The three layouts of one version: the first is computed and counted, the
+    others are written from it."""
+    counts = FactCounts()
+    first, *others = FACT_LAYOUTS
+    fact = build_fact(spark, inp, counts)
+    uri = publication.write(fact, first, TABLE_PATHS[first], LAYOUTS[first])
+    publication.facts.update(counts.reasons())
+    written = read_mart(spark, uri, fact_schema(fact.columns))
+    with ThreadPoolExecutor(max(parallel_jobs, 1)) as pool:
+        for f in [pool.submit(publication.write, written, layout, TABLE_PATHS[layout], LAYOUTS[layout]) for layout in others]:
+            f.result()
+
+
+def publish_star(spark: SparkSession, inp: StarInputs, out: str, parallel_jobs: int = 4) -> Manifest:
+    """Build all eight tables as one version below ``out`` and publish them
+    together, or not at all (see ``landfall.plans.publish``).
 
     The five dimension writes and the fact chain are independent Spark jobs
     and are submitted concurrently (the small dimension jobs fill the
-    cluster while the fact is shuffled); any failure is raised.
+    cluster while the fact is shuffled); any failure is raised and leaves the
+    star published before as it is. The manifest also keeps the drop reasons,
+    counted while the fact was computed.
     """
-    jobs = {
-        "airports": (publish_airports, inp.airports_csv),
-        "demographics": (publish_demographics, inp.demographics_csv),
-        "country": (publish_country, inp.country_list),
-        "portOfEntry": (publish_ports, inp.port_list),
-        "state": (publish_states, inp.state_list),
+    dimensions = {
+        "airports": lambda: airports_dimension(spark, inp.airports_csv),
+        "demographics": lambda: demographics_dimension(spark, inp.demographics_csv),
+        "country": lambda: read_country(spark, inp.country_list),
+        "portOfEntry": lambda: read_port(spark, inp.port_list),
+        "state": lambda: read_state(spark, inp.state_list),
     }
-    fact = build_fact(spark, inp)
-    uris: dict[str, str] = {}
+    publication = Publication(spark, out)
     with ThreadPoolExecutor(max(parallel_jobs, 1)) as pool:
-        fact_job = pool.submit(publish_fact, spark, fact, out)
-        dim_jobs = {name: pool.submit(fn, spark, src, out) for name, (fn, src) in jobs.items()}
-        for name, f in dim_jobs.items():
-            uris[name] = f.result()
-        uris.update(fact_job.result())
-    return uris
+        jobs = [pool.submit(_fact_layouts, publication, spark, inp, parallel_jobs)]
+        jobs += [pool.submit(lambda n=name, df=df: publication.write(df(), n, TABLE_PATHS[n], LAYOUTS[n]))
+                 for name, df in dimensions.items()]
+        for job in jobs:
+            job.result()
+    return publication.commit(same_rows=FACT_LAYOUTS)
+
+
+def run(spark: SparkSession, inp: StarInputs, out: str, parallel_jobs: int = 4) -> dict[str, str]:
+    """:func:`publish_star`; returns table -> URI."""
+    done = publish_star(spark, inp, out, parallel_jobs)
+    return {table: done.uri(out, table) for table in TABLE_PATHS}
+
+
+def observed_report(spark: SparkSession, done: Manifest) -> DataFrame:
+    """What was counted while a star was written: ``table_name, metric, value``
+    with the rows and the nulls per column of every table, and the fact's drop
+    reasons (table ``admissions``). Reads neither inputs nor tables."""
+    rows = [("admissions", reason, n) for reason, n in done.facts.items()]
+    for name, t in done.tables.items():
+        rows += [(name, "rows", t.row_count), *((name, f"nulls:{c}", n) for c, n in t.nulls.items())]
+    return values_frame(spark, rows, T.StructType([
+        T.StructField("table_name", T.StringType()), T.StructField("metric", T.StringType()),
+        T.StructField("value", T.LongType())]))
+
+
+def file_report(spark: SparkSession, out: str, done: Manifest) -> DataFrame:
+    """Types of every file of a published star against the contracts:
+    ``table_name`` and the columns of ``file_type_report``. Reads footers only."""
+    reports = []
+    for name, t in done.tables.items():
+        contract = TABLE_CONTRACTS.get(name) or fact_schema([c for c, _ in t.columns])
+        report = file_type_report(spark, done.uri(out, name), contract, tuple(t.partition_columns))
+        reports.append(report.select(F.lit(name).alias("table_name"), "*"))
+    return _stacked(reports)
 
 
 def read_published(spark: SparkSession, table: str, uri: str,

@@ -34,11 +34,13 @@ from landfall.functions.cleaning import (
     strip_nonword,
     to_number,
 )
+from landfall.operators.fingerprint import compare_tables
+from landfall.operators.footers import file_type_report
 from landfall.operators.quality import drop_reasons, key_report, schema_report
 from landfall.operators.relational import keep_first, label_or_other, lookup_left
 from landfall.plans import dims
 from landfall.plans.fact import admissions, cast_raw
-from landfall.plans import star
+from landfall.plans import publish, star
 from landfall.plans.marts import read_mart, write_mart
 from landfall.session import scratch_uri
 from landfall.sources.admissions import load_raw_admissions
@@ -730,6 +732,131 @@ def dq_published_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("table_name", "column_name", "expected_type", "actual_type", "ok", "null_count")
 
 
+# ------------------------------------------------------------------ publishing
+_STAR_TABLES = (("airports", AIRPORTS, "a"), ("demographics", DEMOGRAPHICS, "d"), ("country", COUNTRY, "co"),
+                ("portOfEntry", PORT, "po"), ("state", STATE, "st"), ("visatype", fact_schema(), "fact_full"),
+                ("arrival_date", fact_schema(), "fact_full"), ("citizenship", fact_schema(), "fact_full"))
+_DIMENSION_CTES = ("a AS (" + _DIM_AIRPORTS_SQL + "), d AS (" + _DEMO_SQL + "),\n"
+                   f"co AS (SELECT c_custkey AS country_code, nullif({_COUNTRY_LABEL}, '') AS country FROM customer),\n"
+                   f"po AS (SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS port_of_entry, {_PORT_CITY} AS city, "
+                   "CASE WHEN s_suppkey % 7 < 3 THEN NULL ELSE 'N' || CAST(s_nationkey AS VARCHAR) END AS state_code FROM supplier),\n"
+                   "st AS (SELECT CAST(c_custkey AS VARCHAR) AS state_code, c_mktsegment AS state FROM customer)")
+_REASON_SQL = ("CASE WHEN depdate IS NULL THEN 0 WHEN dtaddto IS NULL THEN 1 WHEN TRY_CAST(depdate AS INTEGER) IS NULL THEN 2 "
+               "WHEN try_strptime(CASE WHEN regexp_matches(regexp_replace(dtaddto, '[^A-Za-z0-9_]+', '', 'g'), '^[0-9]{8}$') "
+               "THEN regexp_replace(dtaddto, '[^A-Za-z0-9_]+', '', 'g') END, '%m%d%Y') IS NULL THEN 3 "
+               "WHEN TRY_CAST(cicid AS BIGINT) IS NULL THEN 4 ELSE 5 END")
+
+
+def _manifest_sql() -> str:
+    parts = []
+    for name, contract, rows in _STAR_TABLES:
+        parts.append(f"SELECT '{name}' AS table_name, 'rows' AS metric, count(*) AS value FROM {rows}")
+        parts.append(f"SELECT '{name}', 'rows read', count(*) FROM {rows}")
+        parts += [f"SELECT '{name}', 'nulls:{f.name}', count(*) - count(\"{f.name}\") FROM {rows}" for f in contract.fields]
+    for i, reason in enumerate(("no_departure_date", "no_admitted_until", "invalid_departure_date", "invalid_admitted_until", "no_cic_id")):
+        parts.append(f"SELECT 'admissions', '{reason}', count(*) FILTER (r = {i}) FROM reasons")
+    parts.append("SELECT 'admissions', 'duplicate_cic_id', count(*) FILTER (r = 5) - count(DISTINCT k) FILTER (r = 5) FROM reasons")
+    parts.append("SELECT 'admissions', 'kept', count(DISTINCT k) FILTER (r = 5) FROM reasons")
+    return ("WITH {raw_admissions_full}, {fact_full}, " + _DIMENSION_CTES + ",\n"
+            f"reasons AS (SELECT {_REASON_SQL} AS r, TRY_CAST(cicid AS BIGINT) AS k FROM raw_admissions_full)\n"
+            + "\nUNION ALL ".join(parts))
+
+
+@query("star_manifest", _manifest_sql())
+def star_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eight tables published together; a second
+    star that fails before its commit changes nothing. The manifest tells rows,
+    nulls and drop reasons as counted while writing (no scan of inputs or
+    tables); ``rows read`` counts the rows that readers find."""
+    out = scratch_uri(spark, "star")
+    done = star.publish_star(spark, fx.write_star_inputs(spark, sf_dir), out)
+    unfinished = publish.Publication(spark, out)
+    unfinished.write(fx.demographics_rows(spark, sf_dir), "demographics", "demographics", ["state"])  # never committed
+    read = None
+    for name in done.tables:
+        rows = publish.read_table(spark, out, name).agg(F.count(F.lit(1)).alias("value")).select(
+            F.lit(name).alias("table_name"), F.lit("rows read").alias("metric"), "value")
+        read = rows if read is None else read.unionByName(rows)
+    return star.observed_report(spark, publish.manifest(spark, out)).unionByName(read)
+
+
+_DIMENSION_ROWS = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, " + ", ".join(
+        f"CAST({'\"' + c + '\"' if c in contract.fieldNames() else 'NULL'} AS VARCHAR) AS \"{c}\""
+        for c in dict.fromkeys(f for _, s, _ in _STAR_TABLES[:5] for f in s.fieldNames() if f != "Count" and f not in (
+            "median_age", "Average_Household_Size"))) + f" FROM {rows}"
+    for name, contract, rows in _STAR_TABLES[:5])
+
+
+@query("star_dimension_layouts", "WITH " + _DIMENSION_CTES + "\n" + _DIMENSION_ROWS)
+def star_dimension_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1-K5: every row of the five published dimensions, read back from their
+    layouts as text (columns that a table lacks are null)."""
+    inputs, out = fx.write_star_inputs(spark, sf_dir), scratch_uri(spark, "star")
+    uris = {"airports": star.publish_airports(spark, inputs.airports_csv, out),
+            "demographics": star.publish_demographics(spark, inputs.demographics_csv, out),
+            "country": star.publish_country(spark, inputs.country_list, out),
+            "portOfEntry": star.publish_ports(spark, inputs.port_list, out),
+            "state": star.publish_states(spark, inputs.state_list, out)}
+    names = list(dict.fromkeys(f for _, s, _ in _STAR_TABLES[:5] for f in s.fieldNames() if f != "Count" and f not in (
+        "median_age", "Average_Household_Size")))
+    rows = None
+    for name, uri in uris.items():
+        table = star.read_published(spark, name, uri)
+        exact = {c: c for c in table.columns}
+        part = table.select(F.lit(name).alias("table_name"), *[
+            (F.col(c) if c in exact else F.lit(None)).cast("string").alias(f"c{i}") for i, c in enumerate(names)])
+        rows = part if rows is None else rows.unionByName(part)
+    return rows.toDF("table_name", *names)
+
+
+@query("dq_layouts_agree", """
+WITH {raw_admissions_full}, {fact_full} SELECT l.table_name, (SELECT count(*) FROM fact_full) AS row_count, l.agrees
+FROM (VALUES ('visatype', true), ('arrival_date', true), ('citizenship', true), ('one row changed', (SELECT count(*) = 0 FROM fact_full)),
+ ('moved rows', true)) l(table_name, agrees)
+""")
+def dq_layouts_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the three layouts of the fact hold the same rows, by
+    order-free fingerprints; a layout with one row changed does not, one with
+    its rows in other places does."""
+    raw = scratch_uri(spark, "raw-admissions")
+    fx.raw_admissions(spark, sf_dir, full=True).write.parquet(raw)
+    uris = star.publish_admissions(spark, raw, scratch_uri(spark, "star"))
+    tables = {name: star.read_published(spark, name, uri) for name, uri in uris.items()}
+    last = tables["citizenship"]
+    low = last.agg(F.min("cic_id").alias("low")).first()["low"]
+    tables["one row changed"] = last.withColumn("person_age", F.when(F.col("cic_id") == low, F.lit(-1)).otherwise(F.col("person_age")))
+    tables["moved rows"] = last.repartition("airline")
+    return compare_tables(tables, "visatype")
+
+
+def _file_types_sql() -> str:
+    parts = []
+    for f in AIRPORTS.fieldNames():
+        if f == "state":
+            continue
+        odd = {"elevation_ft": "'int'", "coordinates": "NULL"}.get(f)
+        if odd is None:
+            parts.append(f"SELECT '{f}' AS column_name, 'string' AS expected_type, 'string' AS actual_type, n + m AS row_count, true AS ok FROM c")
+        else:
+            parts += [f"SELECT '{f}', 'string', 'string', n, true FROM c", f"SELECT '{f}', 'string', {odd}, m, false FROM c WHERE m > 0"]
+    return ("WITH a AS (" + _DIM_AIRPORTS_SQL + "), c AS (SELECT count(*) AS n, count(*) FILTER (state = 'BUILDING') AS m FROM a)\n"
+            + "\nUNION ALL ".join(parts))
+
+
+@query("dq_file_types", _file_types_sql())
+def dq_file_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1: the types of every file of a published table, from all footers. One
+    state's rows are appended with a number for a text and without a column."""
+    uri = scratch_uri(spark, "dim-airports")
+    write_mart(dim_airports_csv(spark, sf_dir), uri, LAYOUTS["airports"])
+    odd = read_mart(spark, uri, AIRPORTS).where("state = 'BUILDING'")
+    later = scratch_uri(spark, "later")  # written apart first: a table is not appended to while it is read
+    odd.withColumn("elevation_ft", F.col("elevation_ft").try_cast("int")).drop("coordinates").write.parquet(later)
+    write_mart(spark.read.parquet(later), uri, LAYOUTS["airports"], mode="append")
+    return file_type_report(spark, uri, AIRPORTS, ("state",))
+
+
 # ------------------------------------------------------------------ quality
 @query("dq_key_report", """
 SELECT 'lineitem' AS table_name, count(*) AS row_count, count(*) FILTER (WHERE l_orderkey IS NULL OR l_linenumber IS NULL) AS null_keys,

@@ -33,7 +33,8 @@ def test_cli_runs_the_star(spark, capsys):
           "--admissions-option", "mergeSchema=false"])
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     uris = lines[0]
-    assert {x["reason"]: x["row_count"] for x in lines if "reason" in x}["duplicate_cic_id"] > 0
+    counted = {(x["table_name"], x["metric"]): x["value"] for x in lines if "metric" in x}
+    assert counted["admissions", "duplicate_cic_id"] > 0 and counted["admissions", "kept"] == counted["visatype", "rows"]
     assert all(x["ok"] for x in lines if "ok" in x) and sum("ok" in x for x in lines) > 60
     assert all(x["enough_rows"] for x in lines if "enough_rows" in x)
     assert set(uris) == set(star.TABLE_PATHS)
