@@ -6,10 +6,14 @@ before encoding at places where the pre-splitting pattern always ends a match,
 so that the pieces give exactly the tokens of the whole text and the encoder
 never holds more than a piece; text without such a place stays whole.
 
-Safe places: between an ASCII letter or digit and a following blank or line
-feed. Letters and digits never share a match with white space after them (a
-match holds white space only at its start), and the pattern looks ahead only
-inside a run of white space, which the cut leaves whole on the right.
+Safe places: between a letter or digit of any script and following white space,
+ASCII or CJK punctuation. A match of letters or digits ends there, and the
+pattern looks ahead only inside a run of white space, which the cut leaves whole
+on the right.
+
+A run of white space too long for the pattern engine's stack is matched by rule:
+at the end of a text the run is one match, before a word all but its last
+character are one, and that last one stays with what follows.
 
 Defined cases: null and empty texts have no tokens and decode to no bytes;
 bytes that are not UTF-8 are read as U+FFFD; strings of special tokens are
@@ -30,7 +34,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PIECE_CHARS = 1 << 16
-_SAFE = re.compile(r"(?<=[A-Za-z0-9])(?=[ \n])")
+LONG_RUN = 1 << 16  # characters of white space that are matched by rule
+_SAFE = re.compile(r"(?<=[^\W_])(?=[\s!-/:-@\[-`{-~\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f])")
+_WHITE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"  # the pattern's \s
+
+
+@lru_cache(maxsize=4)
+def _long_runs(length: int):
+    return re.compile(f"{_WHITE}{{{length},}}+")
 
 
 @lru_cache(maxsize=4)
@@ -55,10 +66,29 @@ def pieces(text: str, limit: int = PIECE_CHARS):
     yield text[start:] if start else text
 
 
+def _parts(text: str):
+    """(part, whether it is one match) of a text cut at its long runs of white
+    space."""
+    start = 0
+    if len(text) >= LONG_RUN:
+        for run in _long_runs(LONG_RUN).finditer(text):
+            stop = run.end() - (run.end() < len(text))
+            if run.start() > start:
+                yield text[start:run.start()], False
+            yield text[run.start():stop], True
+            start = stop
+    if start < len(text):
+        yield (text[start:] if start else text), False
+
+
 def token_ids(enc, text: str):
     """Lists of token ids, one per piece of the text."""
-    for piece in pieces(text):
-        yield enc.encode_ordinary(piece)
+    for part, is_match in _parts(text):
+        if is_match:
+            yield enc._encode_single_piece(part)
+        else:
+            for piece in pieces(part):
+                yield enc.encode_ordinary(piece)
 
 
 def _texts(column: pa.Array):

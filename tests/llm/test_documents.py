@@ -64,6 +64,40 @@ def test_bpe_pieces_keep_the_tokens(text, limit):
     assert [i for p in pieces for i in enc.encode_ordinary(p)] == enc.encode_ordinary(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab '\n\t\u3000\x85\x1c，字1_-s", max_size=60), st.integers(1, 9), st.integers(2, 5))
+def test_bpe_runs_by_rule_keep_the_tokens(text, limit, run):
+    """White space matched by rule, and all kinds of safe places."""
+    enc, old = byte_bpe.encoding(*queries.bpe_files()), byte_bpe.LONG_RUN
+    byte_bpe.LONG_RUN = run
+    try:
+        parts = list(byte_bpe._parts(text))
+        ids = [i for part, is_match in parts for p in ([part] if is_match else byte_bpe.pieces(part, limit))
+               for i in (enc._encode_single_piece(p) if is_match else enc.encode_ordinary(p))]
+    finally:
+        byte_bpe.LONG_RUN = old
+    assert "".join(p for p, _ in parts) == text and ids == enc.encode_ordinary(text)
+
+
+def test_bpe_very_long_runs(spark):
+    """Runs that overflow the library's own pattern engine; the expected matches
+    come from another one."""
+    import public_tokenizers
+    import regex
+
+    files = queries.bpe_files()
+    enc = byte_bpe.encoding(*files)
+    mixed = " \n\t\u3000" * 300_000
+    texts = ["a" + " " * 2_000_000 + "b", "\n" * 2_000_000, "x\n" + mixed + "\ny " + mixed, "中文字，" * 200_000, "字" * 300_000 + "\u3000" * 1_100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in byte_bpe.digests(df, *files).collect()}
+    for i, text in enumerate(texts):
+        ids = [t for m in regex.findall(public_tokenizers.PATTERN, text) for t in enc._encode_single_piece(m)]
+        assert got[i] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                          hashlib.sha256(text.encode()).hexdigest())
+    assert max(len(p) for p in byte_bpe.pieces(texts[3])) < 2 * byte_bpe.PIECE_CHARS  # cut at its commas
+
+
 def test_bpe_long_text(spark):
     rng = random.Random(3)
     text = cases.sentence(rng, 60_000) + "q" * 30_000 + " " * 5000 + "\n" * 500 + "end"
