@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,26 @@ class Scratch:
         self._temporary.append(uri)
 
 
+def numbered_rows(scratch: Scratch, docs: DataFrame) -> DataFrame:
+    """(key, row): every row of ``docs`` in a struct, with a number of its own.
+
+    Numbers come from a row's file and place in it, so they are the same in
+    every job, whatever tasks read it. Rows that are not read straight from
+    Parquet files are written first.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")]
+    try:
+        rows = docs.select(row, *place)
+    except AnalysisException:
+        docs = scratch.keep(docs, "rows", result=True)
+        rows = docs.select(row, *place)
+    files = sorted(r["file"] for r in rows.select("file").distinct().collect())  # Spark lists them to plan the read
+    numbers = scratch.spark.createDataFrame([(f, i << 40) for i, f in enumerate(files)], "f_file string, start long")
+    return rows.join(F.broadcast(numbers), F.col("file") == F.col("f_file")).select(
+        (F.col("start") + F.col("place")).alias("key"), "row")
+
+
 def let(value, body):
     """Bind ``value`` once: ``body`` may use it many times (also in lambdas)."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch_slices, components, utf8_column
+from .common import Scratch, batch_slices, components, numbered_rows, utf8_column
 from .shingles import Powers, shingle_sets
 
 K = 5
@@ -47,7 +47,7 @@ SLICE_BYTES = 1 << 19  # text bytes that numpy works on at once
 BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 1 << 15  # text bytes and rows of a document block
 RANGE_COLUMNS = 1 << 19  # columns of a range, about
 PAIR_SLICE = 1 << 18   # shingles of the pairs whose overlaps are counted at once
-HEAVY = 100_000        # shingles whose counts order the columns (order only, never results)
+HEAVY = 100_000        # most shingles whose counts order the columns (order only, never results)
 STAR_ROUNDS = 1
 CHUNK = 2048            # tiles of a column that are packed together
 TILE_ROWS = 1024        # rows of a tile, and of a block that meets it
@@ -448,6 +448,25 @@ def tile_links(scratch: Scratch, here: DataFrame, sets: DataFrame) -> DataFrame:
         _tile_links, "a long, b long")
 
 
+def heavy_shingles(scratch: Scratch, counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of the shingles that repeat most, by ascending hash:
+    those with log2(count) from the lowest level on that at most HEAVY reach."""
+    level = F.floor(F.log2("n")).cast("int")
+    summed = scratch.keep(counts.groupBy(F.col("a").alias("shingle")).agg(F.sum("b").alias("n")), "repeats")
+    least, total = None, 0
+    for r in sorted(summed.groupBy(level.alias("level")).count().collect(), reverse=True):  # at most 64 rows
+        total += r["count"]
+        if total > HEAVY:
+            break
+        least = r["level"]
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    found = summed.where(level >= least).toArrow()  # at most HEAVY rows, whatever the number of tasks
+    keys, n = found.column("shingle").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], n[order]
+
+
 def jaccard_groups(spark, docs: DataFrame, k: int = K) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -455,11 +474,8 @@ def jaccard_groups(spark, docs: DataFrame, k: int = K) -> DataFrame:
         both = scratch.keep(sets_and_heavy(docs, k), "sets-heavy")
         table = both.where("kind = 0").select(
             F.col("a").alias("doc_id"), F.col("b").alias("set"), F.col("c").alias("n_shingles"))
-        heavy = (both.where("kind = 1").groupBy(F.col("a").alias("shingle")).agg(F.sum("b").alias("n"))
-                 .orderBy(F.desc("n"), "shingle").limit(HEAVY).toPandas())
-        heavy = heavy.assign(key=heavy["shingle"].to_numpy(np.int64).view(np.uint64)).sort_values("key")
-        # bounded: HEAVY rows
-        known = spark.sparkContext.broadcast((heavy["key"].to_numpy(np.uint64), heavy["n"].to_numpy(np.int64)))
+        heavy = heavy_shingles(scratch, both.where("kind = 1"))
+        known = spark.sparkContext.broadcast(heavy)
         dealt = table.agg(F.sum(F.ceil(F.col("n_shingles") * (150 - 1.5 * PERCENT) / 100) + 2)).first()[0] or 0
         blocks = scratch.keep(column_blocks(docs, k, known, int(dealt // RANGE_COLUMNS) + 1), "blocks")
         shared = scratch.keep(shared_columns(blocks), "shared")
@@ -475,12 +491,18 @@ def jaccard_groups(spark, docs: DataFrame, k: int = K) -> DataFrame:
 
 
 def one_of_each_group(spark, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those that link, directly or not, to a row
-    with a smaller doc_id (rows with equal ids are one document and stay)."""
+    """One row of each group of linked rows: that with the smallest doc_id
+    (null last), of equal ids the first in the files. Rows that link with
+    nothing, those without a word among them, all stay."""
     with Scratch(spark, "jaccard-stage") as scratch:
-        groups = jaccard_groups(spark, docs)
-        first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-        # the documents that go are few: the smaller table to join with
-        gone = scratch.keep(groups.groupBy(F.col("doc_id").alias("gone_id")).agg(F.max(first).alias("stays"))
-                            .where("NOT stays").select("gone_id"), "gone-ids", result=True)
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
+        rows = numbered_rows(scratch, docs)
+        groups = jaccard_groups(spark, rows.select(F.col("key").alias("doc_id"), "row.text"))
+        order = F.struct(F.col("row.doc_id").isNull().alias("n"), F.col("row.doc_id").alias("d"), F.col("key").alias("k"))
+        named = groups.select(F.col("doc_id").alias("g_key"), F.col("component_id").alias("group"))
+        known = scratch.keep(rows.select("key", order.alias("order")).join(named, F.col("key") == F.col("g_key")).select(
+            "key", "order", "group"), "ordered")
+        first = known.groupBy(F.col("group").alias("f_group")).agg(F.min("order").alias("first"), F.count("*").alias("size"))
+        # the rows that go are the smaller table to join with
+        gone = scratch.keep(known.join(first.where("size > 1"), F.col("group") == F.col("f_group")).where(
+            F.col("key") != F.col("first.k")).select(F.col("key").alias("gone")), "gone-rows", result=True)
+    return rows.join(gone, F.col("key") == F.col("gone"), "left_anti").select("row.*")

@@ -235,10 +235,43 @@ def test_jaccard_links_sets_of_5_and_4(spark, monkeypatch, rounds):
 
 
 def test_one_of_each_group(odd, spark):
+    """Exactly one row per component, also of rows with null or repeated ids."""
+    rows = rows_of(odd)
+    union = [low for _, low in brute.jaccard_groups([t for _, t, _ in rows])]
+    first = {}
+    for (i, _, _), group in zip(rows, union):
+        order = (i is None, i or 0)
+        first[group] = min(first.get(group, order), order)
     out = jaccard_join.one_of_each_group(spark, odd)
     assert out.columns == odd.columns
-    keep = {i for i, _, low in expected_groups(rows_of(odd)) if i == low}
-    assert cases.multiset(rows_of(out)) == cases.multiset(r for r in rows_of(odd) if r[0] in keep)
+    got = rows_of(out)
+    assert len(got) == len(first)
+    assert sorted(((i is None, i or 0) for i, _, _ in got)) == sorted(first.values())
+    assert set(got) <= set(rows)
+
+
+def test_one_of_each_group_numbers_rows_by_place(spark, tmp_path):
+    """Equal rows in one file and in several: one stays; clashing names."""
+    df = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (None, None), (None, None), (1, "x y")],
+                               "doc_id long, text string").selectExpr(
+        "*", "1 AS key", "2 AS gone", "3 AS row", "4 AS gone_id", "5 AS file", "6 AS place", "7 AS `group`", "8 AS `order`")
+    path = str(tmp_path / "docs")
+    for _ in range(2):
+        df.repartition(2).write.mode("append").parquet(path)
+    out = jaccard_join.one_of_each_group(spark, spark.read.parquet(path))
+    assert out.columns == df.columns
+    assert cases.multiset(out.select("doc_id", "text").collect()) == cases.multiset(
+        [(1, "a b c d e f"), (1, "x y")] + [(None, None)] * 4)
+
+
+def test_heavy_shingles_are_bounded(spark, monkeypatch):
+    """Whole levels of log2(count), never more than HEAVY shingles."""
+    counts = spark.createDataFrame([(i, n) for i, n in enumerate([2] * 50 + [5] * 20 + [40] * 7 + [1000] * 2)], "a long, b long")
+    for most, want in ((3, 2), (8, 2), (9, 9), (30, 29), (100, 79), (1, 0)):
+        monkeypatch.setattr(jaccard_join, "HEAVY", most)
+        with Scratch(spark, "t") as scratch:
+            keys, n = jaccard_join.heavy_shingles(scratch, counts)
+        assert len(keys) == len(n) == want and (np.diff(keys.astype(np.int64)) > 0).all()
 
 
 @settings(max_examples=80, deadline=None)
