@@ -9,8 +9,10 @@ copies of itself); the rest of its target is filled by key order up to the
 token budget.
 
 Prefix sums never gather a source in one task. A source of ``n`` documents is
-cut into about ``sqrt(n)`` key ranges; sums are taken within a range and over
-the ranges, so the longest sorted run has about ``sqrt(n)`` rows.
+cut into about ``sqrt(n)`` key ranges and their sums are added up; only the one
+range in which the budget ends is looked into. While it holds more than SORTED
+documents (weights far from 1 crowd the keys) it is cut again the same way, so
+a task sorts at most SORTED documents of a source, or those with equal keys.
 
 Defined cases: null text and text without a word have size 0 and are taken 0
 times; a null source is a source of its own and sorts last; a null doc_id
@@ -29,6 +31,7 @@ from .common import WS_CHARS, Scratch, count_words
 WEIGHT_CYCLE = (3, 1, 2)
 MIX_SHARE = 1.5
 MAX_EPOCHS = 2
+SORTED = 4096
 DIGITS_AND_SYMBOLS = "0123456789#*$%&|<>{}[]=_~^"
 
 
@@ -103,18 +106,34 @@ def mix_plan(scratch: Scratch, base: DataFrame, result: bool = False) -> DataFra
                 F.col("n_ranges") - 1).cast("long").alias("range"))
     ranged = scratch.keep(ranged, "mix-ranged")
     over_ranges = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = scratch.keep(ranged.groupBy("source", "range").agg(F.sum("words").alias("range_words")).select(
-        F.col("source").alias("s_source"), F.col("range").alias("s_range"),
-        F.coalesce(F.sum("range_words").over(over_ranges), F.lit(0)).alias("start")), "mix-starts")
-    # the budget ends in few ranges of a source: only those are sorted
-    near = ranged.join(starts, F.col("source").eqNullSafe(F.col("s_source"))
-                       & (F.col("range") == F.col("s_range"))).where("start < budget")
-    within = (Window.partitionBy("source", "range").orderBy("key", "doc_id", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    before = F.col("start") + F.coalesce(F.sum("words").over(within), F.lit(0))
+    whole = None  # the last document of the ranges that fit whole
+    while True:
+        per_range = ranged.groupBy("source", "range").agg(
+            F.sum("words").alias("range_words"), F.max(F.struct("key", "doc_id", "size")).alias("top"),
+            F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n"), F.first("budget").alias("budget"))
+        starts = scratch.keep(per_range.withColumn("start", F.coalesce(F.sum("range_words").over(over_ranges), F.lit(0))),
+                              "mix-starts")
+        fit = starts.where("start + range_words <= budget").groupBy(F.col("source").alias("w_source")).agg(
+            F.max("top").alias("last"))
+        whole = fit if whole is None else whole.unionByName(fit)
+        # at most one range of a source
+        ends = scratch.keep(starts.where("start < budget AND start + range_words > budget").select(
+            F.col("source").alias("s_source"), F.col("range").alias("s_range"), "start", "low", "high", "n"), "mix-ends")
+        near = ranged.join(ends, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("range") == F.col("s_range"))).select(
+            "source", "key", "doc_id", "size", "words", (F.col("budget") - F.col("start")).alias("budget"), "low", "high", "n")
+        largest = ends.where("high > low").agg(F.max("n")).first()[0]
+        if largest is None or largest <= SORTED:
+            break
+        parts = F.ceil(F.sqrt("n"))
+        cut = F.when(F.col("high") > F.col("low"), F.least(F.floor(
+            (F.col("key") - F.col("low")) / (F.col("high") - F.col("low")) * parts), parts - 1)).otherwise(0)
+        ranged = scratch.keep(near.select("source", "key", "doc_id", "size", "words", "budget",
+                                          cut.cast("long").alias("range")), "mix-ranged")
+    within = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("words").over(within), F.lit(0))
     taken = near.withColumn("before", before).where((F.col("budget") - F.col("before")) * 2 >= F.col("words"))
-    last = taken.groupBy(F.col("source").alias("l_source")).agg(
-        F.max(F.struct("key", "doc_id", "size")).alias("last"))
+    last = taken.groupBy(F.col("source").alias("w_source")).agg(F.max(F.struct("key", "doc_id", "size")).alias("last"))
+    last = last.unionByName(whole).groupBy(F.col("w_source").alias("l_source")).agg(F.max("last").alias("last"))
     plan = targets.join(last, F.col("m_source").eqNullSafe(F.col("l_source")), "left")
     return scratch.keep(plan.select("m_source", "source_size", "target", "epochs", "last"), "mix-plan", result)
 

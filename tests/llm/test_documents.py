@@ -234,6 +234,23 @@ def test_jaccard_links_sets_of_5_and_4(spark, monkeypatch, rounds):
     assert [r["component_id"] for r in got if r["doc_id"] >= 100] == [r["doc_id"] - 100 for r in got if r["doc_id"] >= 100]
 
 
+@pytest.mark.parametrize("most", [2, 50])
+def test_mix_of_crowded_keys(spark, monkeypatch, most):
+    """Documents of weight 0.05 crowd into the last range: it is cut again until
+    no task sorts more than SORTED of them."""
+    rng = random.Random(8)
+    monkeypatch.setattr(mixing, "SORTED", most)
+    rows = [(i, " ".join("12345" for _ in range(rng.randint(1, 9))), "hot") for i in range(1500)]
+    rows += [(5000 + i, "some words here", None) for i in range(100)] + [(None, "1 2 3", "hot")] * 40 + [(7, "9 9", "b")] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    with Scratch(spark, "t") as scratch:
+        kept, keep = [], scratch.keep
+        scratch.keep = lambda d, tag, result=False: (kept.append((tag, keep(d, tag, result))), kept[-1][1])[1]
+        assert cases.multiset(mixing.mix(scratch, df).collect()) == cases.multiset(brute.mix(rows))
+        last = [d for tag, d in kept if tag == "mix-ends"][-1]
+        assert all(r["n"] <= most or r["high"] == r["low"] for r in last.collect())
+
+
 def test_one_of_each_group(odd, spark):
     """Exactly one row per component, also of rows with null or repeated ids."""
     rows = rows_of(odd)
