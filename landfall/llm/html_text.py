@@ -5,6 +5,10 @@ tag-class path, for its host. Spark counts the votes; each page is then read
 again at the path that won its host. A page without that path, or without
 text there, uses its own best container.
 
+Page furniture goes by tag, role or name. Inside an article only a whole name of
+furniture counts (``share-buttons``, not ``share-prices``); a block whose name
+merely holds such a word goes if at least half of its text are links.
+
 A block is the text of one block element (paragraph, heading, list item,
 table row, ...) or the text between two of them; white space runs, ``<br>``
 and cell borders become one space.
@@ -17,7 +21,9 @@ pages with equal results; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -42,19 +48,26 @@ _TEXT_BLOCK = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "tr",
                "figcaption", "summary", "address"}
 _DROP = {"nav", "aside", "footer", "form", "menu", "dialog", "search", "head", "button"}
 _DROP_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
-_DROP_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|adsense|sponsor(?:ed|s)?|promo|promotion|banner|cookies?"
-    r"|consent|gdpr|notices?|notification|alert|popup|modal|overlay|newsletter|subscribe|subscription|sidebar|side"
-    r"|menu|nav|navbar|navigation|breadcrumbs?|masthead|topbar|toolbar|footer|foot|comments?|commentlist|disqus|respond|replies"
-    r"|social|share|sharing|related|recommended|recommendations|widgets?|login|signup|search|pager|pagination"
-    r"|skip)(?:$|[\s_\d-])", re.I)
+# Names of page furniture; a name may have several words.
+_FURNITURE = set(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion banner cookie cookies "
+    "consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription sidebar side "
+    "menu nav navbar navigation breadcrumb breadcrumbs masthead topbar toolbar footer foot comment comments commentlist disqus "
+    "respond replies social share sharing related recommended recommendations widget widgets login signup search pager "
+    "pagination skip".split())
+# Words that leave a name of furniture what it is, inside an article as well.
+_NEUTRAL = set(
+    "area articles bar bars block body box button buttons card content container count form group head header heading icon icons "
+    "inner item items label left link links list main message more news outer panel post posts right row rows section slot "
+    "stories text title top unit wrap wrapper page site thread".split())
+_DROP_NAME = re.compile(rf"(?:^|[\s_-])(?:{'|'.join(sorted(_FURNITURE))})(?:$|[\s_\d-])", re.I)
 _HEADER_NAME = re.compile(r"(?:^|\s)(?:(?:site|page|main|global|top)[_-])?header(?:$|\s|[_\d-])", re.I)
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|respond|replies|reply)(?:$|[\s_-])", re.I)
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",)}
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}}
 _INNER = {"div", "section", "article", "main", "table"}  # an implied end tag does not leave these
-PATH_DEPTH = 64  # deeper containers have the path of their ancestor at this depth
+DENSE = 0.5  # share of link text from which a block of an article with a doubtful name is furniture
 
 
 def _label(tag: str, classes: str) -> str:
@@ -64,33 +77,56 @@ def _label(tag: str, classes: str) -> str:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "depth", "parent", "dropped", "in_article", "text", "links", "at", "last")
+    __slots__ = ("tag", "path", "parent", "dropped", "doubtful", "in_article", "text", "links", "at", "last")
 
-    def __init__(self, tag, path, depth, parent, dropped, in_article, at):
-        self.tag, self.path, self.depth, self.parent = tag, path, depth, parent
-        self.dropped, self.in_article = dropped, in_article
+    def __init__(self, tag, path, parent, dropped, in_article, at, doubtful=False):
+        self.tag, self.path, self.parent = tag, path, parent
+        self.dropped, self.in_article, self.doubtful = dropped, in_article, doubtful
         self.text = self.links = 0  # with what is inside, once the page is read
         self.at = self.last = at    # place in page order, and that of the last node inside
 
 
-def _is_dropped(tag: str, attrs: dict[str, str], parent: _Node) -> bool:
+def _path(parent: str, label: str) -> str:
+    """A container's path as a digest, of equal length at any depth."""
+    return hashlib.blake2b(f"{parent}/{label}".encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+
+
+def _is_furniture(names: str) -> bool:
+    """Whether a whole class or id is a name of furniture, like ``share`` or
+    ``share-buttons`` but not ``share-prices``."""
+    for name in names.lower().split():
+        words = [w for w in re.split(r"[\W\d_]+", name) if w]
+        if any(w in _FURNITURE for w in words) and all(w in _FURNITURE or w in _NEUTRAL for w in words):
+            return True
+    return False
+
+
+def _is_dropped(tag: str, attrs: dict[str, str], parent: _Node) -> tuple[bool, bool]:
+    """(whether an element is page furniture, whether that is doubtful until its
+    links are known)."""
     if tag in _DROP or (tag == "header" and not parent.in_article):
-        return True
+        return True, False
     if attrs.get("role", "").lower() in _DROP_ROLE and tag not in ("body", "main"):
-        return True
+        return True, False
     names = _HUMP.sub("-", f"{attrs.get('class', '')} {attrs.get('id', '')}")
     if tag in ("html", "body", "main") or names == " ":
-        return False
+        return False, False
     if not parent.in_article and _HEADER_NAME.search(names):
-        return True
-    return bool((_COMMENTS if tag == "article" else _DROP_NAME).search(names))
+        return True, False
+    if tag == "article":
+        return bool(_COMMENTS.search(names)), False
+    found = bool(_DROP_NAME.search(names))
+    if found and parent.in_article and not _is_furniture(names):
+        return False, True
+    return found, False
 
 
 def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
     """(nodes, blocks) in page order; blocks are (node, text) without what
     belongs to menus, adverts and the like."""
-    root = _Node("body", "", 0, None, False, False, 0)
+    root = _Node("body", "", None, False, False, 0)
     stack, nodes, blocks = [root], [root], []
+    opened = Counter()      # open elements by tag: an end tag of none is not looked for
     pieces: list[str] = []
     link_from = -1          # number of pieces when a link opened
     links = 0
@@ -101,9 +137,9 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
         if pieces:
             text = " ".join(unescape("".join(pieces)).split())
             if text and not stack[-1].dropped:
-                blocks.append((stack[-1], text))
+                blocks.append((stack[-1], text, min(links, len(text))))
                 stack[-1].text += len(text)
-                stack[-1].links += min(links, len(text))
+                stack[-1].links += blocks[-1][2]
         pieces.clear()
         links = 0
         link_from = -1
@@ -115,11 +151,17 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
             if link_from >= 0:
                 links += len(text.strip())
 
+    def leave(i):
+        opened.subtract(node.tag for node in stack[i:])
+        del stack[i:]
+
     def close(tag, scope=()):
+        if not opened[tag]:
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag == tag:
                 flush()
-                del stack[i:]
+                leave(i)
                 return
             if stack[i].tag in scope:
                 return
@@ -164,27 +206,46 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
             link_from = len(pieces)
         attrs = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(text_attrs)} if text_attrs else {}
         if tag not in _BLOCK:
-            if attrs and _is_dropped(tag, attrs, stack[-1]) and not text_attrs.endswith("/"):
+            if attrs and _is_dropped(tag, attrs, stack[-1])[0] and not text_attrs.endswith("/"):
                 hidden.append(tag)
             continue
         hidden.clear()
         flush()
         if stack[-1].tag == "p":
-            stack.pop()
+            leave(len(stack) - 1)
         for other in _CLOSES.get(tag, ()):
             close(other, _SCOPE[tag] | _INNER)
         parent = stack[-1]
-        named = tag not in _TEXT_BLOCK and parent.depth < PATH_DEPTH
-        path = f"{parent.path}/{_label(tag, attrs.get('class', ''))}" if named else parent.path
-        stack.append(_Node(tag, path, parent.depth + named, parent, parent.dropped or _is_dropped(tag, attrs, parent),
-                           parent.in_article or tag in ("article", "main"), len(nodes)))
+        path = parent.path if tag in _TEXT_BLOCK else _path(parent.path, _label(tag, attrs.get("class", "")))
+        dropped, doubtful = _is_dropped(tag, attrs, parent)
+        stack.append(_Node(tag, path, parent, parent.dropped or dropped, parent.in_article or tag in ("article", "main"),
+                           len(nodes), doubtful))
+        opened[tag] += 1
         nodes.append(stack[-1])
     flush()
+    _sum_up(nodes)
+    dense = [n for n in nodes if n.doubtful and not n.dropped and n.text and n.links >= DENSE * n.text]
+    if dense:
+        for node in dense:
+            node.dropped = True
+        for node in nodes[1:]:
+            node.dropped = node.dropped or node.parent.dropped
+            node.text = node.links = 0
+        root.text = root.links = 0
+        blocks = [(node, text, linked) for node, text, linked in blocks if not node.dropped]
+        for node, text, linked in blocks:
+            node.text += len(text)
+            node.links += linked
+        _sum_up(nodes)
+    return nodes, [(node, text) for node, text, _ in blocks]
+
+
+def _sum_up(nodes: list[_Node]) -> None:
+    """Text and link lengths of what is inside, and the last place inside."""
     for node in reversed(nodes[1:]):
         node.parent.text += node.text
         node.parent.links += node.links
         node.parent.last = max(node.parent.last, node.last)
-    return nodes, blocks
 
 
 def best_container(nodes: list[_Node]) -> _Node | None:

@@ -114,6 +114,56 @@ def test_what_is_no_article_goes(extra):
         assert html_text.extract(page.format("", extra), None) == want
 
 
+@pytest.mark.parametrize("block", [
+    '<section class="related-work"><p>kept</p></section>', '<table class="share-prices"><tr><td>kept</table>',
+    '<p class="side-effects">kept</p>', '<div id="searchResults"><p>kept</p></div>', '<p class="comment-on-method">kept <a href=x>x</a></p>',
+    '<div class="footnotes">kept</div>'])
+def test_names_of_an_article_stay(block):
+    page = f'<nav>no</nav><article><h1>Title</h1><p>Some words of text.</p>{block}<p>More of them, too.</p></article>'
+    got = html_text.extract(page, None).split("\n\n")
+    assert len(got) == 4 and got[2].startswith("kept")
+
+
+@pytest.mark.parametrize("block", [
+    '<div class="share-buttons">no</div>', '<div class="related-posts"><a href=x>no</a></div>', '<p class="notice">no</p>',
+    '<div class="ad">no</div>', '<div id="cookieBanner">no</div>', '<ul class="related-reading"><li><a href=x>no no no</a></ul>',
+    '<aside>no</aside>', '<section class="comments"><p>no</section>', '<div class="newsletter-signup">no</div>',
+    '<p>yes <span class="ad-slot">no</span></p>', '<div class="comment-list"><article class=comment>no</article></div>'])
+def test_furniture_in_an_article_goes(block):
+    page = f'<nav>no</nav><article><h1>Title</h1><p>Some words of text.</p>{block}<p>More of them, too.</p></article>'
+    got = html_text.extract(page, None)
+    assert "no" not in got.split() and got.startswith("Title\n\nSome words of text.") and got.endswith("More of them, too.")
+
+
+def test_stray_end_tags_and_depth():
+    import time
+
+    start = time.time()
+    html_text.parse("<div>" * 50_000 + "</section>" * 50_000 + "text")
+    assert time.time() - start < 8  # linear; quadratic took minutes
+    inner = '<article><p>The article itself has some words.</p></article><div class="teaser"><a href=x>Next story link</a></div>'
+    assert html_text.extract("<div>" * 70 + inner + "</div>" * 70, None) == "The article itself has some words."
+    assert html_text.extract(inner, None) == "The article itself has some words."
+
+
+def test_votes_match_brute_force(spark):
+    """The path of each host is the one most of its pages vote for."""
+    rng = random.Random(12)
+    rows = [(i, f"http://h{rng.randint(0, 4)}/{i}", f'<div class="{rng.choice("xyz")}{i}"><p>{"word " * rng.randint(1, 40)}</p></div>'
+             f'<div class="{rng.choice("xyz")}"><p>{"other " * rng.randint(1, 40)}</p></div>') for i in range(120)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(spark, df).collect()}
+    counts = defaultdict(lambda: defaultdict(lambda: [0, 0.0]))
+    for _, url, html in rows:
+        path, score = html_text.best_path(html)
+        counts[url.split("/")[2]][path][0] += 1
+        counts[url.split("/")[2]][path][1] += score
+    for i, url, html in rows:
+        votes = counts[url.split("/")[2]]
+        best = min(votes, key=lambda p: (-votes[p][0], -votes[p][1], p))
+        assert got[i] == html_text.extract(html, best)
+
+
 @pytest.mark.parametrize("tag", sorted(html_text._RAW))
 def test_raw_ends_are_found_after_letters_that_grow(tag):
     first = "\u0130stanbul " * 20 + "first paragraph of the article"  # U+0130 is two characters in lower case
