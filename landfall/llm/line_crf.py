@@ -6,8 +6,9 @@ neighbours. Forward-backward gives each line's probability of being good; the
 document's score is their mean, weighted by line length.
 
 The field is fitted on the driver on a bounded hash sample of labelled
-documents (MAX_DOCS, none over MAX_TRAIN_BYTES), every line carrying its
-document's label. Features are counted on whole batches of bytes.
+documents (about MAX_DOCS of them with about MAX_LINES lines, none over
+MAX_TRAIN_BYTES), every line carrying its document's label. Features are counted
+on whole batches of bytes.
 
 Defined cases: a null, empty or blank text scores EMPTY_SCORE; a null doc_id
 is neither held out nor learned from; labels other than 0 and 1, or null, are
@@ -29,6 +30,7 @@ from .shingles import Powers, mix64, word_hashes
 
 MAX_DOCS = 4000
 MAX_TRAIN_BYTES = 1 << 18
+MAX_LINES = 400_000     # of 192 bytes each on the driver
 SLICE_BYTES = 1 << 19
 THRESHOLD = 0.3
 EMPTY_SCORE = 0.0
@@ -206,13 +208,23 @@ def training_lines(texts: DataFrame) -> DataFrame:
 
 
 def fit(scratch: Scratch, docs: DataFrame, labels: DataFrame) -> LineField:
-    """A field fitted on at most MAX_DOCS labelled documents."""
-    sample = labels.where((remainder(F.col("doc_id")) != 0) & F.col("quality").isin(0, 1)).select(
-        F.col("doc_id").alias("l_id"), F.col("quality").cast("int").alias("label"),
-        F.xxhash64("doc_id").alias("order")).orderBy("order", "l_id", "label").limit(MAX_DOCS)
-    sample = scratch.keep(sample, "labelled")
-    texts = docs.where(F.octet_length("text").between(1, MAX_TRAIN_BYTES)).join(
-        sample, F.col("doc_id") == F.col("l_id")).select("order", "label", F.col("text").cast("binary").alias("raw"))
+    """A field fitted on a sample of the labelled documents."""
+    docs = docs.select("doc_id", "text")
+    told = labels.where((remainder(F.col("doc_id")) != 0) & F.col("quality").isin(0, 1)).select(
+        F.col("doc_id").alias("l_id"), F.col("quality").cast("int").alias("l_label"))
+    text = F.col("text")
+    sized = docs.select("doc_id", (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).alias("lines")).where(
+        F.octet_length(text).between(1, MAX_TRAIN_BYTES))
+    known = sized.join(told, F.col("doc_id") == F.col("l_id")).groupBy("l_id", "l_label").agg(F.max("lines").alias("lines"))
+    known = scratch.keep(known.withColumn("l_order", F.xxhash64("l_id")), "labelled")  # what can be learned from, ids once
+    size = known.agg(F.count("*").alias("n"), F.sum("lines").alias("lines")).first()
+    share = min(1.0, MAX_DOCS / max(size["n"], 1), MAX_LINES / max(size["lines"] or 1, 1))
+    drawn = scratch.keep(known.where(F.pmod(F.hash("l_order"), F.lit(1 << 20)) < share * (1 << 20)).select(
+        "l_id", "l_label", "l_order"), "drawn")
+    texts = docs.where(F.octet_length(text).between(1, MAX_TRAIN_BYTES)).join(
+        F.broadcast(drawn), F.col("doc_id") == F.col("l_id")).select(
+        F.col("l_order").alias("order"), F.col("l_label").alias("label"), text.cast("binary").alias("raw"))
+    texts = texts.groupBy("order", "label").agg(F.min("raw").alias("raw"))  # of repeated ids the least text
     table = scratch.keep(training_lines(texts), "training-lines").toArrow()
     docs_ = sorted(zip(*(table.column(c).to_pylist() for c in ("order", "label", "features")), strict=True))
     parts = [np.frombuffer(f, np.float32).reshape(-1, WIDTH) for _, _, f in docs_]

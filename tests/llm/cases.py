@@ -8,7 +8,8 @@ import random
 import pytest
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
-          "raw string, `set` long, n int, kept boolean, size int, `row` string, spans string, c string")
+          "raw string, `set` long, n int, kept boolean, size int, `row` string, spans string, c string, "
+          "`order` string, label int, gone_id long, `key` string, quality string, toxic string, held_out string")
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -50,7 +51,8 @@ def documents():
 
 def frame(spark, rows=None):
     rows = documents() if rows is None else rows
-    full = [(*r, None if r[1] is None else len(r[1]), "raw", 1, 2, True, 3, "row", "spans", "c") for r in rows]
+    full = [(*r, None if r[1] is None else len(r[1]), "raw", 1, 2, True, 3, "row", "spans", "c", "order", 9, 10, "key", "q", "t", "h")
+            for r in rows]
     return spark.createDataFrame(full, SCHEMA)
 
 

@@ -407,6 +407,23 @@ def test_quality_odd_rows(spark):
     assert line_crf.quality(spark, df.limit(0), labels).collect() == []
 
 
+def test_quality_sample_is_drawn_from_known_texts(spark, monkeypatch):
+    """Labels without a text, or with one that is too long, do not use up the
+    sample; lines are bounded too."""
+    monkeypatch.setattr(line_crf, "MAX_DOCS", 40)
+    docs = spark.createDataFrame([(i, ("fine words here. " * 5 if i % 2 else "### $$$ 123 *** ") + "\n" * (i % 3)) for i in range(200)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100_000, 120_000)] + [(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    got = {r["doc_id"]: r["predicted"] for r in line_crf.quality(spark, docs, labels).collect()}
+    assert np.mean([got[i] == i % 2 for i in got]) == 1.0
+    monkeypatch.setattr(line_crf, "MAX_LINES", 30)
+    seen = []
+    monkeypatch.setattr(line_crf.LineField, "fit", lambda self, x, rows, labels: seen.append(len(x)))
+    with Scratch(spark, "t") as scratch:
+        line_crf.fit(scratch, docs, labels)
+    assert 0 < seen[0] < 60
+
+
 def test_quality_accuracy(spark):
     sf = SMALL.replace("0.001", "0.01")
     got = queries.op1_line_crf(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
