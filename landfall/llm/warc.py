@@ -1,8 +1,11 @@
 """WARC archives compressed record by record with an embedded dictionary.
 
 An archive is a file of Zstandard frames: first a skippable frame (magic
-0x184D2A5D) that holds the dictionary, trained on the archive's own records,
-then one frame per record, each readable alone with that dictionary. Tasks
+0x184D2A5D) that holds the dictionary, built from pieces drawn from all of the
+archive's records, then one frame per record, each readable alone with that
+dictionary. A file that grows beyond SEGMENT_BYTES goes on with a new dictionary
+frame for its further records. Where Zstandard's trainer finds nothing in common
+(too few or too uniform records), the pieces themselves are the dictionary. Tasks
 write through Spark's text writer, whose commit protocol survives lost
 executors and whose paths may be in any store: its line separator is an empty
 skippable frame, so the whole file is a valid Zstandard stream.
@@ -34,9 +37,10 @@ from .common import Scratch
 DICTIONARY_MAGIC = 0x184D2A5D
 SEPARATOR = struct.pack("<II", 0x184D2A50, 0)  # an empty skippable frame; ASCII only
 ARCHIVE_BYTES = 16 << 20   # payload bytes that an archive holds on average
-TRAIN_BYTES = 8 << 20      # records of an archive that its dictionary is trained on
+SEGMENT_BYTES = 32 << 20   # records that one dictionary serves and a task holds, about
+TRAIN_BYTES = 8 << 20      # bytes of the pieces that a dictionary is trained on
+PIECE_BYTES = 16 << 10     # longest piece
 DICTIONARY_BYTES = 56 << 10
-MIN_TRAIN_RECORDS = 16
 LEVEL = 3
 MIN_REVISIT_BYTES = 0      # payloads under this size are always responses
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -83,40 +87,47 @@ def parse_record(raw: bytes) -> dict:
     return out
 
 
+def training_pieces(records: list[bytes]) -> list[bytes]:
+    """Pieces of all records, evenly spread, of at most about TRAIN_BYTES."""
+    total = sum(map(len, records))
+    size = min(PIECE_BYTES, max(total // 64, 64))
+    pieces = [r[i:i + size] for r in records for i in range(0, len(r), size)]
+    return pieces[::max(-(-total // TRAIN_BYTES), 1)]
+
+
 def train(records: list[bytes]):
-    """A dictionary from an archive's records; None if they are too few for one."""
+    """A dictionary from an archive's records."""
     import zstandard
 
-    if len(records) < MIN_TRAIN_RECORDS:
-        return None
-    size = min(DICTIONARY_BYTES, max(sum(map(len, records)) // 8, 1024))
+    pieces = training_pieces(records)
+    size = min(DICTIONARY_BYTES, max(sum(map(len, pieces)) // 8, 1024))
     try:
-        return zstandard.train_dictionary(size, records, k=200, d=8)
-    except zstandard.ZstdError:  # too uniform to train on
-        return None
+        return zstandard.train_dictionary(size, pieces, k=200, d=8)
+    except zstandard.ZstdError:
+        return zstandard.ZstdCompressionDict(b"".join(pieces)[-size:], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
 def frames(records):
     """The archive's frames: dictionary frame, then a frame per record."""
     import zstandard
 
-    sample, size, stream = [], 0, iter(records)
-    for r in stream:
-        sample.append(r)
+    def segment(held):
+        dictionary = train(held)
+        raw = dictionary.as_bytes()
+        yield struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw
+        compressor = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, dict_data=dictionary)
+        for r in held:
+            yield compressor.compress(r)
+
+    held, size = [], 0
+    for r in records:
+        held.append(r)
         size += len(r)
-        if size >= TRAIN_BYTES:
-            break
-    if not sample:
-        return
-    dictionary = train(sample)
-    raw = dictionary.as_bytes() if dictionary is not None else b""
-    yield struct.pack("<II", DICTIONARY_MAGIC, len(raw)) + raw
-    options = {"dict_data": dictionary} if dictionary is not None else {}
-    compressor = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, **options)
-    for r in sample:
-        yield compressor.compress(r)
-    for r in stream:
-        yield compressor.compress(r)
+        if size >= SEGMENT_BYTES:
+            yield from segment(held)
+            held, size = [], 0
+    if held:
+        yield from segment(held)
 
 
 def read_archive(content: bytes):
@@ -143,9 +154,11 @@ def read_archive(content: bytes):
 
 
 def decided(scratch: Scratch, pages: DataFrame) -> DataFrame:
-    """(page_id, url, payload, sha1, kind, refers_to) of each page."""
+    """(page_id, url, payload, sha1, kind, refers_to, part) of each page."""
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
-    base = pages.select("page_id", "url", payload.alias("payload"), F.unhex(F.sha1(payload)).alias("sha1"))
+    # the part of the input tells repeated rows apart, in every run alike
+    base = pages.select("page_id", "url", payload.alias("payload"), F.unhex(F.sha1(payload)).alias("sha1"),
+                        F.spark_partition_id().alias("part"))
     first = (base.where(F.octet_length("payload") >= MIN_REVISIT_BYTES).groupBy(F.col("sha1").alias("d_sha1"))
              .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n"))
     # written: the planner knows its size, and a hot payload's rows can be split in the join
@@ -154,7 +167,7 @@ def decided(scratch: Scratch, pages: DataFrame) -> DataFrame:
         F.octet_length("payload") >= MIN_REVISIT_BYTES)
     return base.join(first, F.col("sha1") == F.col("d_sha1"), "left").select(
         "page_id", "url", "payload", "sha1", F.when(again, "revisit").otherwise("response").alias("kind"),
-        F.when(again, F.col("first_id")).cast("long").alias("refers_to"))
+        F.when(again, F.col("first_id")).cast("long").alias("refers_to"), "part")
 
 
 def write_archives(scratch: Scratch, pages: DataFrame, path: str) -> None:
@@ -180,14 +193,15 @@ def write_archives(scratch: Scratch, pages: DataFrame, path: str) -> None:
 
     rows = decided(scratch, pages).withColumn("url", F.col("url").cast("binary"))
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    dealt = rows.repartition(max(1, round(total / ARCHIVE_BYTES)), F.xxhash64("page_id", "sha1"))
+    dealt = rows.repartition(max(1, round(total / ARCHIVE_BYTES)), F.xxhash64("page_id", "sha1", "part")).drop("part")
     (dealt.mapInArrow(run, "frame binary").select(F.col("frame").cast("string"))
      .write.option("lineSep", SEPARATOR.decode("ascii")).text(path))
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """(page_id, url, kind, payload, payload_bytes, payload_digest, refers_to)
-    per record; the payload and its digest are those read, not those declared."""
+    per record; the payload and its digest are those read, not those declared.
+    Without ``payloads`` they are checked but not returned (null)."""
     def run(batches):
         for b in batches:
             for content in b.column(0):
@@ -200,7 +214,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                         if digest != declared or len(r["payload"]) != r["http_length"]:
                             raise ValueError(f"record {r['warc-record-id']} is damaged")
                     ids = [int(r[k]) if k in r else None for k in ("x-page-id", "x-refers-to-page-id")]
-                    rows.append((ids[0], r.get("warc-target-uri"), r["warc-type"], r["payload"], r["http_length"],
+                    rows.append((ids[0], r.get("warc-target-uri"), r["warc-type"], r["payload"] if payloads else None, r["http_length"],
                                  declared, ids[1]))
                 columns = list(zip(*rows, strict=True)) or [()] * 7
                 kinds = (pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.int64())
@@ -220,6 +234,6 @@ def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
         path = scratch.path("archives")
         scratch.temporary(path)
         write_archives(scratch, pages, path)
-        out = read_archives(spark, path).select(
+        out = read_archives(spark, path, payloads=False).select(
             "page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")
         return scratch.keep(out, "result", result=True)

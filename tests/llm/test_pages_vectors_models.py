@@ -75,6 +75,34 @@ def test_warc_archive_format(spark, monkeypatch):
         list(warc.read_archive(max(full, key=len)[:-9]))
 
 
+def test_warc_every_archive_has_a_dictionary(monkeypatch):
+    """Few records, large ones, tiny ones, uniform ones; several segments."""
+    rng = random.Random(4)
+    large = [("".join(rng.choice("abcdef ") for _ in range(200_000))).encode() for _ in range(3)]
+    for records in (large, [b"x"], [b"tiny %d" % i for i in range(5)], [b"\x00" * 100_000], [b"same"] * 100):
+        data = list(warc.frames(records))
+        assert int.from_bytes(data[0][4:8], "little") > 0 and list(warc.read_archive(b"".join(data))) == records
+    late = [b"a" * 3000 + bytes([i]) for i in range(40)] + [b"the only common passage of late records " * 40 + bytes([i]) for i in range(40)]
+    assert any(b"only common" in p for p in warc.training_pieces(late))
+    monkeypatch.setattr(warc, "SEGMENT_BYTES", 300_000)
+    data = list(warc.frames(large * 2))
+    assert sum(f[:4] == warc.DICTIONARY_MAGIC.to_bytes(4, "little") for f in data) == 3
+    assert list(warc.read_archive(b"".join(data))) == large * 2
+    assert list(warc.frames([])) == []
+
+
+def test_warc_repeated_rows_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1 << 18)
+    df = spark.range(3000).selectExpr("7L AS page_id", "'u' AS url", "repeat('<p>page', 50) AS html").repartition(16)
+    with Scratch(spark, "t") as s:
+        path = s.path("archives")
+        s.temporary(path)
+        warc.write_archives(s, df, path)
+        rows = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()
+        sizes = [len(list(warc.read_archive(bytes(r["content"])))) for r in rows if r["content"]]
+    assert sum(sizes) == 3000 and max(sizes) < 2000 and len(sizes) > 1
+
+
 # --- HTML -----------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><div class="site-header"><h1>Site</h1></div>
