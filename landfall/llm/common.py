@@ -60,24 +60,29 @@ class Scratch:
         self._temporary.append(uri)
 
 
-def numbered_rows(scratch: Scratch, docs: DataFrame) -> DataFrame:
-    """(key, row): every row of ``docs`` in a struct, with a number of its own.
+def row_numbers(scratch: Scratch, docs: DataFrame):
+    """A function that selects columns of ``docs`` with ``key``, a number of
+    each row's own.
 
     Numbers come from a row's file and place in it, so they are the same in
     every job, whatever tasks read it. Rows that are not read straight from
     Parquet files are written first.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")]
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__place")]
     try:
-        rows = docs.select(row, *place)
+        files = docs.select(*place)
     except AnalysisException:
         docs = scratch.keep(docs, "rows", result=True)
-        rows = docs.select(row, *place)
-    files = sorted(r["file"] for r in rows.select("file").distinct().collect())  # Spark lists them to plan the read
-    numbers = scratch.spark.createDataFrame([(f, i << 40) for i, f in enumerate(files)], "f_file string, start long")
-    return rows.join(F.broadcast(numbers), F.col("file") == F.col("f_file")).select(
-        (F.col("start") + F.col("place")).alias("key"), "row")
+        files = docs.select(*place)
+    names = sorted(r["__file"] for r in files.select("__file").distinct().collect())  # Spark lists them to plan the read
+    starts = scratch.spark.createDataFrame([(f, i << 40) for i, f in enumerate(names)], "__name string, __start long")
+
+    def select(*columns):
+        rows = docs.select(*columns, *place)
+        return rows.join(F.broadcast(starts), F.col("__file") == F.col("__name")).withColumn(
+            "key", F.col("__start") + F.col("__place")).drop("__file", "__place", "__name", "__start")
+
+    return select
 
 
 def let(value, body):

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, batch_slices, components, numbered_rows, utf8_column
+from .common import Scratch, batch_slices, components, row_numbers, utf8_column
 from .shingles import Powers, shingle_sets
 
 K = 5
@@ -105,6 +105,7 @@ def sets_and_heavy(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.record_batch(
                     [pa.array(np.ones(many.sum(), np.int32)), _signed(h[first][many]), _signed(count[many]),
                      _signed(np.zeros(many.sum(), np.int64))], names=["kind", "a", "b", "c"])
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, "kind int, a long, b long, c long")
 
@@ -175,6 +176,7 @@ def column_blocks(docs: DataFrame, k: int, heavy, n_ranges: int) -> DataFrame:
                      pa.array([common.tobytes()] + [None] * len(used), pa.binary())],
                     names=["block", "range", "data", "heavy"])
                 block += 1
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, "block long, range int, data binary, heavy binary")
 
@@ -236,6 +238,7 @@ def full_sets(docs: DataFrame, k: int) -> DataFrame:
                     [_signed(digest), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), _signed(h))],
                     names=["set", "shingles"])
                 yield out.take(pa.array(np.unique(digest, return_index=True)[1]))  # equal sets once
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, "set long, shingles array<long>")
 
@@ -495,14 +498,15 @@ def one_of_each_group(spark, docs: DataFrame) -> DataFrame:
     (null last), of equal ids the first in the files. Rows that link with
     nothing, those without a word among them, all stay."""
     with Scratch(spark, "jaccard-stage") as scratch:
-        rows = numbered_rows(scratch, docs)
-        groups = jaccard_groups(spark, rows.select(F.col("key").alias("doc_id"), "row.text"))
-        order = F.struct(F.col("row.doc_id").isNull().alias("n"), F.col("row.doc_id").alias("d"), F.col("key").alias("k"))
+        numbered = row_numbers(scratch, docs)
+        groups = jaccard_groups(spark, numbered("text").select(F.col("key").alias("doc_id"), "text"))
+        order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("key").alias("k"))
         named = groups.select(F.col("doc_id").alias("g_key"), F.col("component_id").alias("group"))
-        known = scratch.keep(rows.select("key", order.alias("order")).join(named, F.col("key") == F.col("g_key")).select(
-            "key", "order", "group"), "ordered")
+        known = scratch.keep(numbered("doc_id").select("key", order.alias("order")).join(
+            named, F.col("key") == F.col("g_key")).select("key", "order", "group"), "ordered")
         first = known.groupBy(F.col("group").alias("f_group")).agg(F.min("order").alias("first"), F.count("*").alias("size"))
         # the rows that go are the smaller table to join with
         gone = scratch.keep(known.join(first.where("size > 1"), F.col("group") == F.col("f_group")).where(
             F.col("key") != F.col("first.k")).select(F.col("key").alias("gone")), "gone-rows", result=True)
+    rows = numbered(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     return rows.join(gone, F.col("key") == F.col("gone"), "left_anti").select("row.*")
