@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.contracts import AIRPORT_COLUMNS, RAW_ADMISSIONS_COLUMNS
+from landfall.contracts import AIRPORT_COLUMNS, RAW_ADMISSIONS_COLUMNS  # fixed values: the inputs' column names
 from landfall.functions.cleaning import SAS_EPOCH
 from landfall.session import scratch_uri
 
@@ -169,7 +169,8 @@ def _ordered_lines(rows: DataFrame, key: Column, lines: list[tuple[Column, Colum
 def port_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Port list lines ``   'S<key>' \\t=\\t'<place>'`` from ``supplier``:
     both kinds of placeholders, places without a comma, and ``<city>, N<nation>``
-    over 97 cities, some with a quote inside. Every 9th key has a second line."""
+    over 97 cities, some with a quote inside. Every 9th key has a second line,
+    every 8th supplier a line without a key."""
     s = table(spark, sf_dir, "supplier")
     key = F.col("s_suppkey")
     pad = F.lit("      ")
@@ -180,17 +181,20 @@ def port_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise(F.concat(city, F.lit(", N"), F.col("s_nationkey").cast("string"), pad)))
     return _ordered_lines(s, key, [
         (F.lit(True), F.format_string("   'S%d' \t=\t'%s'", key, place)),
-        (key % 9 == 0, F.format_string("   'S%d' \t=\t'A SECOND PORT, XX'", key))])
+        (key % 9 == 0, F.format_string("   'S%d' \t=\t'A SECOND PORT, XX'", key)),
+        (key % 8 == 0, F.lit("   '' \t=\t'NO KEY, NO'"))])
 
 
 def state_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State list lines ``\t'<key>'='<name>'``, one per customer (the market
-    segment as name), with a blank after the closing quote for even keys."""
+    segment as name), with a blank after the closing quote for even keys. Every
+    10th key has a second line, every 13th customer a line without a key."""
     c = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     tail = F.when(key % 2 == 0, F.lit(" ")).otherwise(F.lit(""))
-    return c.select(F.concat(F.format_string("\t'%d'='%s'", key, F.col("c_mktsegment")), tail)
-                    .alias("value"))
+    return _ordered_lines(c, key, [
+        (F.lit(True), F.concat(F.format_string("\t'%d'='%s'", key, F.col("c_mktsegment")), tail)),
+        (key % 10 == 0, F.format_string("\t'%d'='A SECOND STATE'", key)), (key % 13 == 0, F.lit("\t' '='NO KEY'"))])
 
 
 def mode_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,6 +218,59 @@ def visa_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    (key % 9 == 0, F.format_string("%d = Another", key))])
 
 
+def dictionary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A data dictionary: the five lists as sections of one text, the visa list
+    inside a comment, with other lines and comments between them. In order of
+    the columns ``part``, ``n`` and ``value``."""
+    def rows(part, text):
+        return spark.range(1).select(F.lit(part).alias("part"), F.lit(0).cast("long").alias("n"), F.lit(text).alias("value"))
+
+    def entries(part, table_name, key, line):
+        return table(spark, sf_dir, table_name).select(F.lit(part).alias("part"), F.col(key).cast("long").alias("n"), line.alias("value"))
+
+    c, k = F.col("c_mktsegment"), F.col("c_custkey")
+    s, o = F.col("s_suppkey"), F.col("o_orderkey")
+    mode = _cases(o % 4, [(0, "Air"), (1, "Sea"), (2, "Land"), (3, "Not reported")])
+    visa = _cases(k % 3, [(0, "Business"), (1, "Pleasure"), (2, "Student")])
+    parts = [
+        rows(0, "proc format library=library ;"), rows(1, "/* I94YR - 4 digit year */"), rows(2, "  value i94cntyl"),
+        entries(3, "customer", "c_custkey", F.format_string("   %d =  '%s'", k, F.when(k % 5 == 0, F.concat(F.lit("INVALID: "), c)).otherwise(c))),
+        rows(4, "   5 = 'A LATER LINE' ;"), rows(5, "   77 = 'OUTSIDE'"), rows(6, "/* I94PORT - codes */"), rows(7, "  value $i94prtl"),
+        entries(8, "supplier", "s_suppkey", F.format_string("   'S%d'\t=\t'PORT %d, N%d     '", s, s % 97, F.col("s_nationkey"))),
+        rows(9, ";"), rows(10, "value i94model"), entries(11, "orders", "o_orderkey", F.format_string("\t%d = '%s'", o, mode)),
+        rows(12, ";"), rows(13, "/* I94ADDR - many invalid codes, the list"), rows(14, "   shows those that 1 = 'are valid' */"), rows(15, "value i94addrl"),
+        entries(16, "customer", "c_custkey", F.format_string("\t'%d'='%s'", k, c)), rows(17, "\t'99999999'='All Other Codes' ;"),
+        rows(18, "/* I94VISA - categories:"), entries(19, "customer", "c_custkey", F.format_string("   %d = %s", k, visa)), rows(20, "*/"),
+        rows(21, "/* COUNT - 1 = 'no list' */"), rows(22, "run ;")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def write_dictionary(spark: SparkSession, sf_dir: str) -> str:
+    """The dictionary as one file (a list of codes; its order is its meaning)."""
+    uri = scratch_uri(spark, "dictionary")
+    dictionary_lines(spark, sf_dir).orderBy("part", "n", "value").select("value").coalesce(1).write.text(uri)
+    return uri
+
+
+def broken_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the ';' demographics file, one per customer: every 50th has too
+    few fields, every 51st too many; text and fractions stand in number columns
+    of others, some of which are empty or blank."""
+    k = F.col("c_custkey")
+    number = lambda c, bad: F.when(bad, c).otherwise((k % 1000).cast("string"))
+    fields = [F.col("c_name"), F.concat(F.lit("State "), (F.col("c_nationkey") % 5).cast("string")),
+              number(F.lit("n/a"), k % 7 == 1), number(F.lit("12.5"), k % 11 == 2), number(F.lit(" 7 "), k % 13 == 3),
+              number(F.lit("many"), k % 7 == 4), number(F.lit(""), k % 17 == 5), number(F.lit("99999999999"), k % 19 == 6),
+              number(F.lit("1e1"), k % 23 == 7), F.lit("S"), F.col("c_mktsegment"), number(F.lit("-3"), k % 29 == 8)]
+    line = F.concat_ws(";", *fields)
+    few = F.concat_ws(";", *fields[:9])
+    return table(spark, sf_dir, "customer").select(
+        F.when(k % 50 == 0, few).when(k % 51 == 0, F.concat(line, F.lit(";more"))).otherwise(line).alias("value"))
+
+
 def write_lines(spark: SparkSession, lines: DataFrame, name: str) -> str:
     """Write text lines to a fresh scratch location; returns its URI."""
     uri = scratch_uri(spark, name)

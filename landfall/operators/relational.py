@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from landfall.session import scratch_uri
+
 # Lookups within both bounds are broadcast; beyond them the join shuffles.
 DEFAULT_BROADCAST_ROWS = 250_000
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -47,6 +49,39 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
     return df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) == 1).drop(rn)
 
 
+def key_hash(keys: Sequence[str]) -> Column:
+    """64-bit hash of a key; null parts count (Spark's hash skips nulls)."""
+    return F.xxhash64(*[x for k in keys for x in (F.col(k), F.col(k).isNull())])
+
+
+def keep_first_sieved(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), nulls_last: bool = True,
+                      max_rows: int = DEFAULT_BROADCAST_ROWS * 16) -> DataFrame:
+    """:func:`keep_first` for wide rows whose keys hardly repeat.
+
+    A first pass over the key columns alone counts 64-bit key hashes; the hashes
+    seen twice are the sieve. Only rows that it holds back are sorted and
+    shuffled, all others pass as they are. Exact: a false hit (two keys with
+    one hash) only does needless work. Hashes of unique keys are the 8 bytes a
+    row that still shuffle.
+
+    ``df`` is read three times (key columns; rows on either side of the sieve),
+    so it should be a scan with cheap expressions, and deterministic. A sieve
+    of more than ``max_rows`` hashes is not broadcast: then this is
+    :func:`keep_first`.
+    """
+    keys = list(keys)
+    uri = scratch_uri(df.sparkSession, "repeated-keys")
+    seen = df.select(key_hash(keys).alias("__sieve")).groupBy("__sieve").agg(F.count(F.lit(1)).alias("n"))
+    seen.where("n > 1").select("__sieve").write.parquet(uri)
+    sieve = df.sparkSession.read.schema("__sieve long").parquet(uri)
+    if sieve.count() > max_rows:
+        return keep_first(df, keys, order, nulls_last)
+    hashed = df.withColumn("__sieve", key_hash(keys))
+    again = hashed.join(F.broadcast(sieve), "__sieve", "left_semi").drop("__sieve").select(*df.columns)
+    alone = hashed.join(F.broadcast(sieve), "__sieve", "left_anti").drop("__sieve").select(*df.columns)
+    return alone.unionByName(keep_first(again, keys, order, nulls_last))
+
+
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key parts are all present."""
     cond = None
@@ -130,6 +165,46 @@ def lookup_left(df: DataFrame, lookup: DataFrame, left_key: str | Column, right_
     return df.join(side, lk == side["_lk"], "left").drop("_lk")
 
 
+def hot_codes(df: DataFrame, key: str, share: float = 0.02) -> list:
+    """The codes (null excepted) that hold more than ``share`` of all rows: at
+    most ``1 / share`` of them. One aggregation job with partial counts."""
+    counts = df.groupBy(F.col(key).alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    gathered = counts.agg(F.sum("n").alias("total"), F.max("n").alias("most")).first()
+    if gathered["total"] is None or gathered["most"] <= share * gathered["total"]:
+        return []
+    return sorted(r["code"] for r in counts.where(
+        F.col("code").isNotNull() & (F.col("n") > share * gathered["total"])).collect())
+
+
+def salted_lookup_left(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str,
+                       columns: Sequence[tuple[str, str]] | None = None, copies: int = 64, share: float = 0.02,
+                       unique: bool = False) -> DataFrame:
+    """:func:`lookup_left` for a lookup that is too large to broadcast and rows
+    that gather on few codes.
+
+    A shuffle join sends all rows of a code to one task. Here the rows of hot
+    codes (:func:`hot_codes`) are dealt over ``copies`` salts, and only those
+    codes' lookup rows are repeated that often; rows without a code, which
+    match nothing, are dealt too. Rows, columns and labels are those of
+    ``lookup_left``.
+    """
+    if columns is None:
+        columns = [(c, c) for c in lookup.columns if c != right_key]
+    small = lookup.select(right_key, *[c for c, _ in columns])
+    deduped = small if unique else keep_first(small, [right_key], [c for c, _ in columns])
+    hot = hot_codes(df, left_key, share)
+    code = F.col(left_key)
+    is_hot = code.isin(hot) if hot else F.lit(False)
+    # the part of the input tells equal rows apart, in every run alike
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in df.columns]), F.lit(copies)).cast("int")
+    salted = df.withColumn("__salt", F.when(code.isNull() | is_hot, salt).otherwise(0))
+    some = F.col(right_key).isin(hot) if hot else F.lit(False)
+    repeated = F.explode(F.when(some, F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(F.array(F.lit(0))))
+    side = deduped.select(F.col(right_key).alias("__lk"), *[F.col(c).alias(o) for c, o in columns], repeated.alias("__ls"))
+    joined = salted.hint("shuffle_merge").join(side, (code == F.col("__lk")) & (F.col("__salt") == F.col("__ls")), "left")
+    return joined.drop("__lk", "__ls", "__salt")
+
+
 def label_or_other(df: DataFrame, code_col: str, lookup: DataFrame, key: str, label: str,
                    out: str, other: str, bounded: bool = False,
                    unique: bool = False) -> DataFrame:

@@ -37,7 +37,7 @@ from landfall.functions.cleaning import (
 from landfall.operators.fingerprint import compare_tables
 from landfall.operators.footers import file_type_report
 from landfall.operators.quality import drop_reasons, key_report, schema_report
-from landfall.operators.relational import keep_first, label_or_other, lookup_left
+from landfall.operators.relational import keep_first, keep_first_sieved, label_or_other, lookup_left, salted_lookup_left
 from landfall.plans import dims
 from landfall.plans.fact import admissions, cast_raw
 from landfall.plans import publish, star
@@ -55,6 +55,8 @@ from landfall.sources.codelists import (
 )
 from landfall.sources.constants import values_frame
 from landfall.sources.delimited import read_delimited
+from landfall.sources.dictionary import read_dictionary
+from landfall.sources.rejects import read_with_rejects, reject_report
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -319,6 +321,28 @@ def dict_visa(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_visa(spark, uri)
 
 
+@query("dict_sections", """
+SELECT 'country' AS list, CAST(c_custkey AS VARCHAR) AS code, CASE WHEN c_custkey % 5 = 0 THEN 'NA' ELSE c_mktsegment END AS label, NULL AS state_code FROM customer
+UNION ALL SELECT 'port', 'S' || CAST(s_suppkey AS VARCHAR), 'PORT ' || CAST(s_suppkey % 97 AS VARCHAR), 'N' || CAST(s_nationkey AS VARCHAR) FROM supplier
+UNION ALL SELECT 'mode', CAST(o_orderkey AS VARCHAR), CASE o_orderkey % 4 WHEN 0 THEN 'Air' WHEN 1 THEN 'Sea' WHEN 2 THEN 'Land' ELSE 'Not reported' END, NULL FROM orders
+UNION ALL SELECT 'state', CAST(c_custkey AS VARCHAR), c_mktsegment, NULL FROM customer
+UNION ALL SELECT 'state', '99999999', 'All Other Codes', NULL
+UNION ALL SELECT 'visa', CAST(c_custkey AS VARCHAR), CASE c_custkey % 3 WHEN 0 THEN 'Business' WHEN 1 THEN 'Pleasure' ELSE 'Student' END, NULL FROM customer
+""")
+def dict_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five lists, the visa list included, from the sections
+    of one data dictionary, read in splits."""
+    lists = read_dictionary(spark, fx.write_dictionary(spark, sf_dir))
+    out = None
+    for name, (code, label) in {"country": ("country_code", "country"), "port": ("port_of_entry", "city"), "mode": ("transport_code", "mode"),
+                                "state": ("state_code", "state"), "visa": ("visa_code", "visa")}.items():
+        state = F.col("state_code") if name == "port" else F.lit(None).cast("string")
+        rows = lists[name].select(F.lit(name).alias("list"), F.col(code).cast("string").alias("code"), F.col(label).alias("label"),
+                                  state.alias("state_code"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # ------------------------------------------------------------------ filters, unions
 @query("filter_eq_not_null", """
 WITH {raw_admissions} SELECT cicid, depdate, dtaddto FROM raw_admissions WHERE visatype = 'F' AND depdate IS NOT NULL AND dtaddto IS NOT NULL
@@ -387,6 +411,17 @@ def dedup_first_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_first(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"])
 
 
+@query("dedup_sieved", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM (
+ SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1
+""")
+def dedup_sieved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1-D7 for wide rows: only rows whose key repeats are sorted and shuffled."""
+    li = fx.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return keep_first_sieved(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"])
+
+
 # ------------------------------------------------------------------ cleaning
 @query("sas_day_to_date", """
 WITH {raw_admissions} SELECT TRY_CAST(cicid AS BIGINT) AS cic_id, DATE '1960-01-01' + CAST(arrdate AS INTEGER) AS arrival_date, DATE '1960-01-01' + TRY_CAST(depdate AS INTEGER) AS departure_date FROM raw_admissions
@@ -463,6 +498,20 @@ def lookup_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("cicid").alias("cic_id"), "arrival_mode", "visa_code")
 
 
+@query("lookup_salted", """
+WITH {raw_admissions} SELECT TRY_CAST(cicid AS BIGINT) AS cic_id, i94mode::INTEGER AS i94mode,
+ CASE WHEN o_orderkey IS NOT NULL THEN CASE o_orderkey % 4 WHEN 0 THEN 'Air' WHEN 1 THEN 'Sea' WHEN 2 THEN 'Land' ELSE 'Not reported' END END AS arrival_mode
+FROM raw_admissions LEFT JOIN orders ON o_orderkey = CAST(i94mode AS BIGINT)
+""")
+def lookup_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1/J2 beyond the broadcast bound: a list that grows with the data, and
+    rows that gather on five codes (or none): hot codes are salted."""
+    raw = cast_raw(fx.raw_admissions(spark, sf_dir).select("cicid", "i94mode"))
+    mode = read_mode(spark, fx.write_lines(spark, fx.mode_lines(spark, sf_dir), "mode-list"))
+    out = salted_lookup_left(raw, mode, "i94mode", "transport_code", [("mode", "arrival_mode")], unique=True)
+    return out.select(F.col("cicid").alias("cic_id"), "i94mode", "arrival_mode")
+
+
 def build_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return admissions(fx.raw_admissions(spark, sf_dir), default_mode(spark), default_visa(spark),
                       lookups_bounded=True, lookups_unique=True)
@@ -914,6 +963,24 @@ def dq_drop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_reasons(fx.raw_admissions(spark, sf_dir))
 
 
+@query("dq_csv_rejects", """
+WITH k AS (SELECT c_custkey AS k, c_custkey % 50 = 0 AS few, c_custkey % 50 <> 0 AND c_custkey % 51 = 0 AS many FROM customer),
+b AS (SELECT few OR many AS malformed, k % 7 = 1 AS median_age, k % 11 = 2 AS male_population, k % 7 = 4 AS total_population,
+ k % 19 = 6 AS "Foreign_born", false AS female_population, false AS number_of_veterans, false AS "Average_Household_Size", false AS "Count" FROM k),
+t AS (SELECT count(*) AS "rows", count(*) FILTER (NOT malformed AND NOT median_age AND NOT male_population AND NOT total_population AND NOT "Foreign_born") AS sound_rows,
+ count(*) FILTER (malformed) AS malformed_line, count(*) FILTER (median_age) AS "bad_value:median_age", count(*) FILTER (male_population) AS "bad_value:male_population",
+ count(*) FILTER (female_population) AS "bad_value:female_population", count(*) FILTER (total_population) AS "bad_value:total_population",
+ count(*) FILTER (number_of_veterans) AS "bad_value:number_of_veterans", count(*) FILTER ("Foreign_born") AS "bad_value:Foreign_born",
+ count(*) FILTER ("Average_Household_Size") AS "bad_value:Average_Household_Size", count(*) FILTER ("Count") AS "bad_value:Count" FROM b)
+SELECT reason, row_count FROM (UNPIVOT t ON COLUMNS(*) INTO NAME reason VALUE row_count)
+""")
+def dq_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken lines and values that are not of their column's type, per
+    reason, with the rows that are sound."""
+    uri = fx.write_lines(spark, fx.broken_demographics(spark, sf_dir), "broken-demographics")
+    return reject_report(read_with_rejects(spark, uri, DEMOGRAPHICS, sep=";", header=False), DEMOGRAPHICS)
+
+
 # Parameters of the catch-all lookup check: order status codes with labels.
 STATUS_LABELS = [("F", "FILLED"), ("O", "OPEN")]
 

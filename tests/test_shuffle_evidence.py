@@ -18,3 +18,11 @@ def test_hot_key_is_limited_before_the_shuffle():
     assert m["max_records_read_by_one_task"]["keep_first"] < hot
     # without the map-side limit the hot group lands in one task
     assert m["max_records_read_by_one_task"]["without_partial_limit"] >= hot
+    # the fewer keys repeat, the less a sieved keep_first shuffles
+    b = m["shuffle_bytes_written"]
+    assert b["sieve_100"] < b["sieve_90"] < b["sieve_50"] < b["sieve_0"]
+    assert b["sieve_100"] < 0.1 * b["sieve_off"] and b["sieve_90"] < 0.3 * b["sieve_off"]
+    # four codes: no task of the salted join reads more than twice the median
+    plain, salted = m["lookup_tasks"]["lookup_plain"], m["lookup_tasks"]["lookup_salted"]
+    assert salted["largest"] <= 2 * salted["median"] and salted["tasks"] >= 12
+    assert plain["largest"] > 4 * salted["largest"]
