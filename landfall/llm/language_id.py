@@ -9,9 +9,10 @@ are frozen: the language with the shortest exact code of the whole text wins.
 
 The trees are fitted on a hash sample of about TRAIN_BYTES of text per
 language (pieces of PIECE bytes, each with the ORDER bytes before it and
-learned from once however often it occurs; counts added up in Spark); all are
-read as arrays, so that a batch of texts walks every tree at once: the place
-of the last k bytes is a child of the place of the k-1 bytes before the last.
+learned from once however often it occurs; counts added up in Spark). A tree is
+a few sorted arrays, so that a batch of texts walks it at once: the place of the
+last k bytes is a child of the place of the k-1 bytes before the last. Trees
+share nothing: memory is that of the languages' own strings, about 5 MB each.
 
 Defined cases: a null text and one without a letter are ``und`` with score 0,
 and so is every text if nothing could be learned; equal code lengths go to the
@@ -34,7 +35,7 @@ ORDER = 3
 TRAIN_BYTES = 1 << 19   # of text per language, about
 PIECE = 1 << 12         # bytes of a text that are drawn together
 SLICE_BYTES = 1 << 20
-DENSE = 1 << 24         # entries of a table that is looked up directly
+DENSE = 1 << 24         # entries of all tables that are looked up directly; the trees share them
 PAD = np.frombuffer(b"\n" * ORDER, np.uint8)  # what stands before each text
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
@@ -86,17 +87,19 @@ def gram_counts(texts: DataFrame, pad: bool = True) -> DataFrame:
 class _Children:
     """Place of (parent, byte class); 0 where there is none."""
 
-    def __init__(self, keys: np.ndarray, width: int, parents: int):
+    def __init__(self, keys: np.ndarray, width: int, parents: int, dense: int):
         self.width = width
-        if parents * width <= DENSE:
+        if parents * width <= dense:
             self.table = np.zeros(parents * width, np.int32)
             self.table[keys] = np.arange(1, len(keys) + 1)
             self.keys = None
         else:
-            self.keys = keys
+            self.keys = keys.astype(np.int32) if parents * width < 1 << 31 else keys
 
     def __call__(self, parent: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         key = parent.astype(np.int64) * self.width + symbol
+        if self.keys is not None:
+            key = key.astype(self.keys.dtype)
         if self.keys is None:
             return self.table[key]
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
@@ -111,9 +114,10 @@ class ContextTrees:
     the others, per language; ``escape[k]`` that of leaving it as a context.
     """
 
-    def __init__(self, langs: list[str], lang_of: np.ndarray, grams: np.ndarray, counts: np.ndarray):
+    def __init__(self, langs: list[str], lang_of: np.ndarray, grams: np.ndarray, counts: np.ndarray,
+                 dense: int | None = None):
         self.langs = langs
-        size = len(langs)
+        size, dense = len(langs), DENSE if dense is None else dense
         symbols = np.unique(np.concatenate([grams >> 8 * j & 255 for j in range(ORDER + 1)])) if len(grams) else []
         self.classes = np.zeros(256, np.int64)  # class 0: never seen
         self.classes[symbols] = np.arange(1, len(symbols) + 1)
@@ -149,7 +153,7 @@ class ContextTrees:
             unknown = self.escape[-1][:1] + 8.0 if k == 1 else np.zeros((1, size))
             self.cost.append(np.concatenate([unknown, cost]))
             keys = parents * width + last
-            self.children.append(_Children(keys, width, places))
+            self.children.append(_Children(keys, width, places, dense // 2))
             places = len(unique) + 1
 
     def code_lengths(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -181,6 +185,37 @@ class ContextTrees:
         return out
 
 
+class Forest:
+    """One tree per language."""
+
+    def __init__(self, langs: list[str], lang_of: np.ndarray, grams: np.ndarray, counts: np.ndarray):
+        self.langs, self.trees = langs, []
+        for i in range(len(langs)):
+            own = lang_of == i
+            self.trees.append(ContextTrees(langs[i:i + 1], np.zeros(own.sum(), np.int64), grams[own], counts[own],
+                                           DENSE // len(langs)))
+
+    def code_lengths(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """[row, language] bits of padded rows. A byte's code length depends on
+        it and the ORDER bytes before: every such string is priced once."""
+        out = np.zeros((len(offsets) - 1, len(self.langs)))
+        gram = np.zeros(max(len(raw) - ORDER, 0), np.uint32)
+        for j in range(ORDER + 1):
+            gram = gram << np.uint32(8) | raw[j:len(raw) - ORDER + j]
+        counted = np.ones(len(raw), bool)
+        counted[(offsets[:-1, None] + np.arange(ORDER)).ravel()] = False
+        counted = np.flatnonzero(counted)
+        distinct, which = np.unique(gram[counted - ORDER], return_inverse=True)
+        strings = np.stack([distinct >> np.uint32(8 * (ORDER - j)) & np.uint32(255) for j in range(ORDER + 1)], axis=1).astype(np.uint8)
+        at = np.arange(len(distinct) + 1) * (ORDER + 1)
+        bits = np.zeros(len(raw))
+        for i, tree in enumerate(self.trees):
+            if len(distinct):
+                bits[counted] = tree.code_lengths(strings.ravel(), at)[:, 0][which]
+            out[:, i] = np.add.reduceat(bits, offsets[:-1])
+        return out
+
+
 def training_pieces(docs: DataFrame) -> DataFrame | None:
     """(lang, raw): distinct pieces of the documents that may be learned from,
     about TRAIN_BYTES per language, after the ORDER bytes before each."""
@@ -203,16 +238,16 @@ def training_pieces(docs: DataFrame) -> DataFrame | None:
     return own.select("lang", F.explode(drawn).alias("raw")).distinct().coalesce(len(sizes))
 
 
-def fit(spark, docs: DataFrame) -> ContextTrees:
+def fit(spark, docs: DataFrame) -> Forest:
     """Context trees of the languages of the documents that may be learned from."""
     pieces = training_pieces(docs)
     if pieces is None:
-        return ContextTrees([], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return Forest([], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     table = gram_counts(pieces, pad=False).toArrow()
-    langs = sorted(set(table.column("lang").to_pylist()))
-    index = {lang: i for i, lang in enumerate(langs)}
-    return ContextTrees(langs, np.array([index[x] for x in table.column("lang").to_pylist()], np.int64),
-                        table.column("gram").to_numpy(), table.column("n").to_numpy())
+    named = table.column("lang").combine_chunks().dictionary_encode()
+    langs = sorted(named.dictionary.to_pylist())
+    place = np.array([langs.index(x) for x in named.dictionary.to_pylist()], np.int64)
+    return Forest(langs, place[named.indices.to_numpy()], table.column("gram").to_numpy(), table.column("n").to_numpy())
 
 
 def _letters(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -225,7 +260,7 @@ def _letters(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def row_code_lengths(trees: ContextTrees, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+def row_code_lengths(trees: Forest, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """[row, language] bits; a long row is read in pieces, each after the last
     bytes of the one before."""
     out = np.zeros((len(offsets) - 1, len(trees.langs)))
@@ -242,7 +277,7 @@ def row_code_lengths(trees: ContextTrees, data: np.ndarray, offsets: np.ndarray)
 
 
 def predict(docs: DataFrame, trees) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score); ``trees`` broadcasts ContextTrees."""
+    """(doc_id, held_out, lang_pred, score); ``trees`` broadcasts a Forest."""
     def run(batches):
         model = trees.value
         names = np.array([*model.langs, "und"], object)

@@ -380,6 +380,41 @@ def test_pieces_count_every_byte_once(spark, monkeypatch):
     assert cases.multiset(got) == cases.multiset(language_id.gram_counts(whole).collect())
 
 
+def test_trees_share_nothing(monkeypatch):
+    """A tree per language gives the code lengths of a common one, and memory
+    grows with the languages' own strings: 100 languages of 512 KiB."""
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.choice(np.frombuffer(b"abcde \n\xc3\xa9", np.uint8), 400)) for _ in range(6)]
+
+    def table(texts, of):
+        parts = []
+        for t, i in zip(texts, of):
+            raw = np.frombuffer(b"\n\n\n" + t, np.uint8).astype(np.int64)
+            code = sum(raw[j:len(raw) - 3 + j] << 8 * (3 - j) for j in range(4))
+            parts.append((np.full(len(code), i), code))
+        lang_of, grams = (np.concatenate(x) for x in zip(*parts))
+        pairs, counts = np.unique(np.stack([lang_of, grams]), axis=1, return_counts=True)
+        return pairs[0], pairs[1], counts
+
+    known = table(texts[:4], [0, 1, 2, 1])
+    raw = b"".join(texts)
+    data, offsets = np.frombuffer(raw, np.uint8), np.append(0, np.cumsum([len(t) for t in texts]))
+    common = language_id.ContextTrees(list("xyz"), *known)
+    apart = language_id.Forest(list("xyz"), *known)
+    assert np.allclose(language_id.row_code_lengths(common, data, offsets), language_id.row_code_lengths(apart, data, offsets))
+
+    def size(x):
+        if isinstance(x, np.ndarray):
+            return x.nbytes
+        return sum(map(size, x if isinstance(x, list) else vars(x).values() if hasattr(x, "__dict__") else []))
+
+    n = 100
+    grams = [np.unique(sum(rng.integers(97, 157, 60_000) << 8 * j for j in range(4))) for _ in range(n)]
+    many = language_id.Forest([f"l{i:03d}" for i in range(n)], np.repeat(np.arange(n), [len(g) for g in grams]),
+                              np.concatenate(grams), np.ones(sum(map(len, grams)), np.int64))
+    assert size(many.trees) < 500 << 20
+
+
 def test_language_accuracy(spark):
     sf = SMALL.replace("0.001", "0.01")
     got = queries.op7_language_id(spark, sf).join(
