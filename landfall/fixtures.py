@@ -49,10 +49,9 @@ def raw_admissions(spark: SparkSession, sf_dir: str, full: bool = False) -> Data
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     k, ck, nk, v = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey"), F.col("variant")
-    j = o.join(c, o["o_custkey"] == c["c_custkey"]).withColumn(
-        "variant", F.explode(F.array(*[F.lit(i) for i in range(5)]))).where(
-        (v == 0) | ((v == 1) & (k % 7 == 0)) | ((v == 2) & (k % 35 == 0)) | ((v == 3) & (k % 49 == 0))
-        | ((v == 4) & (k % 77 == 1)))
+    wanted = [(0, F.lit(True)), (1, k % 7 == 0), (2, k % 35 == 0), (3, k % 49 == 0), (4, k % 77 == 1)]
+    variants = F.array_compact(F.array(*[F.when(on, F.lit(i)) for i, on in wanted]))
+    j = o.join(c, o["o_custkey"] == c["c_custkey"]).withColumn("variant", F.explode(variants))
     nan = F.lit(float("nan"))
     day = F.datediff(F.to_date("o_orderdate"), F.lit(SAS_EPOCH).cast("date")) + (v == 1).cast("int")
     mode = _cases(k % 6, [(0, 1.0), (1, 2.0), (2, 3.0), (3, 9.0), (4, 7.0)])
@@ -89,6 +88,15 @@ def raw_admissions(spark: SparkSession, sf_dir: str, full: bool = False) -> Data
     return j.select(*[cols[name].alias(name) for name in RAW_ADMISSIONS_COLUMNS if name in cols])
 
 
+def stored_admissions(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
+    """The raw admissions as a source of the fact: written to Parquet and read
+    back, so that the fact's rules run over stored columns and not over the
+    expressions that derive them."""
+    raw, uri = raw_admissions(spark, sf_dir, full), scratch_uri(spark, "raw-admissions")
+    raw.write.parquet(uri)
+    return spark.read.schema(raw.schema).parquet(uri)
+
+
 def _airport_columns(full: bool) -> dict[str, Column]:
     key, nk = F.col("c_custkey"), F.col("c_nationkey")
     cols = {

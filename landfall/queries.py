@@ -513,7 +513,7 @@ def lookup_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return admissions(fx.raw_admissions(spark, sf_dir), default_mode(spark), default_visa(spark),
+    return admissions(fx.stored_admissions(spark, sf_dir), default_mode(spark), default_visa(spark),
                       lookups_bounded=True, lookups_unique=True)
 
 
@@ -539,7 +539,7 @@ def fact_list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     read, checked for size and joined."""
     mode = read_mode(spark, fx.write_lines(spark, fx.mode_lines(spark, sf_dir), "mode-list"))
     visa = read_visa(spark, fx.write_lines(spark, fx.visa_lines(spark, sf_dir), "visa-list"))
-    fact = admissions(fx.raw_admissions(spark, sf_dir), mode, visa, lookups_unique=True)
+    fact = admissions(fx.stored_admissions(spark, sf_dir), mode, visa, lookups_unique=True)
     return fact.select("cic_id", "arrival_date", "arrival_mode", "visa_code")
 
 
@@ -638,7 +638,7 @@ WITH {raw_admissions_full}, {fact_full} SELECT * FROM fact_full
 """)
 def fact_admissions_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact with the whole 20-column contract (P5/P6 in full)."""
-    raw = fx.raw_admissions(spark, sf_dir, full=True)
+    raw = fx.stored_admissions(spark, sf_dir, full=True)
     return admissions(raw, default_mode(spark), default_visa(spark),
                       lookups_bounded=True, lookups_unique=True)
 
