@@ -30,7 +30,7 @@ def _files(uri: str) -> list[str]:
     return sorted(f.path for f in found if f.is_file and f.base_name.endswith(".parquet") and f.base_name[0] not in "._")
 
 
-def _footers(root: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _footers(root: str, expected: tuple[str, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark.sql.pandas.types import from_arrow_type
 
     system, _ = open_uri(root)
@@ -41,7 +41,8 @@ def _footers(root: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
                 file = pq.ParquetFile(stream)
                 rows = file.metadata.num_rows
                 kinds = [(f.name, from_arrow_type(f.type).simpleString()) for f in file.schema_arrow]
-            for key in [*kinds, (None, None)]:  # the last one counts the file itself
+            absent = [(c, None) for c in expected if c not in {n for n, _ in kinds}]
+            for key in [*kinds, *absent, (None, None)]:  # the last one counts the file itself
                 total = found.setdefault(key, [0, 0])
                 total[0] += 1
                 total[1] += rows
@@ -51,13 +52,13 @@ def _footers(root: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             names=["column_name", "actual_type", "file_count", "row_count"])
 
 
-def footer_types(spark: SparkSession, uri: str) -> DataFrame:
+def footer_types(spark: SparkSession, uri: str, expected: tuple[str, ...] = ()) -> DataFrame:
     """``column_name, actual_type, file_count, row_count``: how many files (and
-    rows in them) store a column with a type. The row without a column name
-    counts all files."""
+    rows in them) store a column with a type (null: files without one of the
+    ``expected`` columns). The row without a column name counts all files."""
     files = _files(uri)
     paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, -(-len(files) // FILES_PER_TASK)))
-    parts = paths.mapInArrow(partial(_footers, uri), "column_name string, actual_type string, file_count long, row_count long")
+    parts = paths.mapInArrow(partial(_footers, uri, expected), "column_name string, actual_type string, file_count long, row_count long")
     return parts.groupBy("column_name", "actual_type").agg(
         F.sum("file_count").alias("file_count"), F.sum("row_count").alias("row_count"))
 
@@ -66,18 +67,12 @@ def file_type_report(spark: SparkSession, uri: str, contract: T.StructType, stor
     """``column_name, expected_type, actual_type, row_count, ok``: one row per
     contract column and type found in any file; rows in files without the
     column have a null ``actual_type``; ``ok`` needs the contract's type.
-    Columns in ``stored_apart`` (partition columns) are not in the files."""
+    Columns in ``stored_apart`` (partition columns) are not in the files. A
+    table without files has no row."""
     schema = T.StructType([T.StructField("c_name", T.StringType()), T.StructField("expected_type", T.StringType())])
     fields = [(f.name, f.dataType.simpleString()) for f in contract.fields if f.name not in stored_apart]
     wanted = F.broadcast(values_frame(spark, fields, schema))  # one row per contract column
-    types = footer_types(spark, uri).persist()
-    every = types.where("column_name IS NULL").select(F.col("row_count").alias("all_rows"), F.lit(1).alias("one"))
-    types = types.where("column_name IS NOT NULL")
-    found = wanted.join(types, F.col("c_name") == F.col("column_name"), "left").select(
-        F.col("c_name").alias("column_name"), "expected_type", "actual_type", F.coalesce("row_count", F.lit(0)).alias("row_count"))
-    held = found.groupBy("column_name", "expected_type").agg(F.sum("row_count").alias("held"), F.lit(1).alias("one"))
-    absent = held.join(F.broadcast(every), "one").where(F.col("held") < F.col("all_rows")).select(
-        "column_name", "expected_type", F.lit(None).cast("string").alias("actual_type"),
-        (F.col("all_rows") - F.col("held")).alias("row_count"))
-    out = found.where("actual_type IS NOT NULL").unionByName(absent)
-    return out.withColumn("ok", F.col("actual_type").eqNullSafe(F.col("expected_type")))
+    types = footer_types(spark, uri, tuple(n for n, _ in fields))
+    found = types.join(wanted, F.col("column_name") == F.col("c_name"))
+    return found.select("column_name", "expected_type", "actual_type", "row_count",
+                        F.col("actual_type").eqNullSafe(F.col("expected_type")).alias("ok"))
