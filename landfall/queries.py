@@ -42,7 +42,7 @@ from landfall.plans import dims
 from landfall.plans.fact import admissions, cast_raw
 from landfall.plans import publish, star
 from landfall.plans.marts import read_mart, write_mart
-from landfall.session import scratch_uri
+from landfall.session import distinguish_case, scratch_uri
 from landfall.sources.admissions import load_raw_admissions
 from landfall.sources.codelists import (
     default_mode,
@@ -840,7 +840,9 @@ _DIMENSION_ROWS = " UNION ALL ".join(
 @query("star_dimension_layouts", "WITH " + _DIMENSION_CTES + "\n" + _DIMENSION_ROWS)
 def star_dimension_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1-K5: every row of the five published dimensions, read back from their
-    layouts as text (columns that a table lacks are null)."""
+    layouts as text (columns that a table lacks are null). Some columns differ
+    only by case (``state``, ``State``), so that the session tells cases apart
+    from here until its scratch is released."""
     inputs, out = fx.write_star_inputs(spark, sf_dir), scratch_uri(spark, "star")
     uris = {"airports": star.publish_airports(spark, inputs.airports_csv, out),
             "demographics": star.publish_demographics(spark, inputs.demographics_csv, out),
@@ -856,6 +858,7 @@ def star_dimension_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
         part = table.select(F.lit(name).alias("table_name"), *[
             (F.col(c) if c in exact else F.lit(None)).cast("string").alias(f"c{i}") for i, c in enumerate(names)])
         rows = part if rows is None else rows.unionByName(part)
+    distinguish_case(spark)
     return rows.toDF("table_name", *names)
 
 

@@ -108,9 +108,26 @@ def delete_uri(spark: SparkSession, uri: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_FORMER_CASE: list[tuple[SparkSession, str]] = []
+
+
+def distinguish_case(spark: SparkSession) -> None:
+    """Tell column names apart by case in this session, until
+    :func:`release_scratch`. A result with names that differ in nothing else
+    can neither be written nor read again without."""
+    former = spark.conf.get("spark.sql.caseSensitive")
+    if former != "true":
+        _FORMER_CASE.append((spark, former))
+        spark.conf.set("spark.sql.caseSensitive", "true")
+
+
 def release_scratch(spark: SparkSession) -> int:
     """Delete the scratch locations this process has named; returns how many.
-    Call it when the DataFrames that read them are no longer needed."""
+    Call it when the DataFrames that read them are no longer needed. Undoes
+    :func:`distinguish_case` too."""
+    for kept in [x for x in _FORMER_CASE if x[0] is spark]:
+        _FORMER_CASE.remove(kept)
+        spark.conf.set("spark.sql.caseSensitive", kept[1])
     n = 0
     while _SCRATCH:
         delete_uri(spark, _SCRATCH.pop())

@@ -1,3 +1,5 @@
+import datetime
+
 from conftest import SMALL
 from landfall import fixtures as fx
 from landfall.plans import star
@@ -96,3 +98,28 @@ def test_scratch_is_released(spark):
         assert not os.path.exists(uri.removeprefix("file:"))
     finally:
         session._SCRATCH[:] = kept
+
+
+def test_dimension_layouts_can_be_stored(spark, tmp_path):
+    """Columns that differ only by case are written and read again."""
+    from landfall import queries, session
+    session.release_scratch(spark)
+    rows = {"customer": ("c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+                         [(i, f"Customer {i}", i % 9, "ABC"[i % 3]) for i in range(1, 60)]),
+            "supplier": ("s_suppkey long, s_nationkey int", [(i, i % 9) for i in range(1, 30)]),
+            "orders": ("o_orderkey long, o_custkey long, o_orderdate date, o_orderstatus string, o_orderpriority string",
+                       [(1, 1, datetime.date(1996, 1, 2), "F", "1-URGENT")])}
+    for name, (schema, values) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    before = spark.conf.get("spark.sql.caseSensitive")
+    try:
+        got = queries.QUERIES["star_dimension_layouts"](spark, str(tmp_path))
+        got.write.parquet(f"{tmp_path}/out")
+        again = spark.read.parquet(f"{tmp_path}/out")
+        assert again.columns == got.columns and {"state", "State", "city", "City"} <= set(again.columns)
+        assert again.where("State IS NOT NULL AND state IS NULL").select("table_name").distinct().collect() == [("demographics",)]
+        assert again.where("city IS NOT NULL").select("table_name").distinct().collect() == [("portOfEntry",)]
+        assert {r["table_name"]: r["count"] for r in again.groupBy("table_name").count().collect()}["country"] == 59
+    finally:
+        session.release_scratch(spark)
+    assert spark.conf.get("spark.sql.caseSensitive") == before
