@@ -237,7 +237,7 @@ def src_admissions_sas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: the whole admissions contract from SAS files, read by ranges of
     pages; once with plain rows and once with run-length compressed ones.
     Numbers that are missing (NaN among them) are null, as in SAS."""
-    raw, out = fx.raw_admissions(spark, sf_dir, full=True), None
+    raw, out = fx.stored_admissions(spark, sf_dir, full=True), None
     for stored in ("plain", "packed"):
         uri = write_sas(raw, f"admissions-{stored}", packed=stored == "packed")
         rows = load_raw_admissions(spark, uri, "sas7bdat", options={"partitionBytes": str(1 << 20)})

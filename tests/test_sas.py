@@ -89,3 +89,49 @@ def test_short_numbers():
     value = np.array([3.0, -17.0], "<f8").view(np.uint8).reshape(-1, 8)[:, 4:]
     got = sas7bdat.decode(value.tobytes(), layout, [sas7bdat.Column("x", True, 0, 4)])
     assert got.column(0).to_pylist() == [3.0, -17.0]
+
+
+def test_rows_are_packed_and_expanded_together(spark, monkeypatch):
+    """No row of a well-formed file is expanded alone; the rows of a task are
+    dealt over files of FILE_ROWS rows."""
+    monkeypatch.setattr(fixtures_sas, "FILE_ROWS", 1000)
+    rows = [(float(i % 7) if i % 5 else None, f"text {i}" if i % 3 else None, "x" * (i % 50)) for i in range(2500)]
+    df = spark.createDataFrame(rows, "n double, t string, u string").coalesce(1)
+    uri = fixtures_sas.write_sas(df, "sas", packed=True)
+    assert len(glob.glob(_plain(uri) + "/*.sas7bdat")) == 3
+    sas7bdat.register(spark)
+    assert _rows(spark.read.format("sas7bdat").load(uri)) == sorted([(n, t, u or None) for n, t, u in rows], key=repr)
+    monkeypatch.setattr(sas7bdat, "expand", lambda data, length: pytest.fail("a row was expanded alone"))
+    got = []
+    for i in range(3):
+        file = sorted(glob.glob(_plain(uri) + "/*.sas7bdat"))[i]
+        with open(file, "rb") as f:
+            data = f.read()
+        with sas7bdat.open_uri(file)[0].open_input_file(file) as f:
+            layout = sas7bdat.read_layout(f, file)
+        block = sas7bdat.block_rows(data[layout.header:], layout)
+        got += sas7bdat.decode(block, layout, layout.columns).to_pylist()
+    assert [tuple(r.values()) for r in got] == [(n, t, u or None) for n, t, u in rows]
+
+
+def test_rows_expanded_together_are_those_expanded_alone():
+    rng = np.random.default_rng(2)
+    for width in (1, 7, 130, 700):
+        for alphabet in (b" \x00", b" \x00@a", bytes(range(256))):
+            letters = np.frombuffer(alphabet, np.uint8)
+            rows = np.array([rng.choice(letters, width).repeat(rng.integers(1, 400 if i % 2 else 3, width))[:width] for i in range(50)])
+            data, lengths = fixtures_sas.compress_rows(rows)
+            at = np.cumsum(lengths) - lengths
+            some = np.frombuffer(data, np.uint8)
+            assert (sas7bdat.expand_rows(some, at, lengths, width) == rows).all()
+            assert sas7bdat.expand(data[at[9]:at[9] + lengths[9]], width) == rows[9].tobytes()
+            bad = some.copy()
+            bad[at[30]] = 0x30
+            with pytest.raises(sas7bdat.SasFormatError):
+                sas7bdat.expand_rows(bad, at, lengths, width)
+    # repeated "@" and a byte given by its command, which the fixtures do not write for "@"
+    row = np.frombuffer(b"\xd0\x50\x03\x40\x12z\xc2y", np.uint8)
+    data, at = np.tile(row, 40), np.arange(40) * len(row)
+    alone = sas7bdat.expand(row.tobytes(), 63)
+    assert alone == b"@" * 22 + b"z" * 36 + b"y" * 5
+    assert (sas7bdat.expand_rows(data, at, np.full(40, len(row)), 63) == np.frombuffer(alone, np.uint8)).all()
